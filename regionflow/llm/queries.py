@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionflow.llm import decontaminate, exact_dedup
+from regionflow.llm import decontaminate, exact_dedup, simhash
 from regionflow.llm.common import table
 
 
@@ -17,6 +17,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(table(spark, sf_dir, "documents"))
+    return groups.select(F.col("k_id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -32,6 +37,7 @@ WINDOW w AS (PARTITION BY t ORDER BY n DESC, doc_id)
 
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
 }
 ORACLES = {
