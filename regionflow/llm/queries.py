@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionflow.llm import decontaminate, exact_dedup, simhash
+from regionflow.llm import decontaminate, exact_dedup, secrets, sentencepiece_codec, simhash
 from regionflow.llm.common import table
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = sentencepiece_codec.encode(docs, decoded_col="decoded")
+    return out.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return report.select(
@@ -22,6 +32,22 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("k_id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base, every = F.col("secrets.base"), F.concat("secrets.base", "secrets.weak")
+    order = F.create_map(*[F.lit(x) for pair in ((k, i) for i, k in enumerate(secrets.KINDS)) for x in pair])
+    listed = lambda xs: F.array_join(F.transform(xs, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    by_place = F.transform(
+        F.array_sort(F.transform(every, lambda x: F.struct(x["start"].alias("start"), order[x["kind"]].alias("o"), x["end"].alias("end"), x["kind"].alias("kind")))),
+        lambda x: x,
+    )
+    n = lambda kind: F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", n("assign"), n("access"), n("hex"), F.sha2(listed(base), 256).alias("base_sha256"), listed(by_place).alias("spans"),
+        F.size("secrets.links").cast("long").alias("n_links"),
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -36,8 +62,10 @@ WINDOW w AS (PARTITION BY t ORDER BY n DESC, doc_id)
 """
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_decontaminate": op2_decontaminate,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_secrets": op4_secrets,
     "op8_exact_dedup": op8_exact_dedup,
 }
 ORACLES = {
