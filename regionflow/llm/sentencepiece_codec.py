@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 SPACE = "▁"
 DEFAULT_MODEL = "piece_bpe_32k.model"
 #: Chunks that a worker remembers, twice this at most.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 #: Rows that are encoded at a time.
 SLICE = 512
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE = 1, 2, 3, 4, 6
@@ -92,8 +92,7 @@ class Codec:
                 self.surface[i] = chr(b)
         if any(SPACE in p.lstrip(SPACE) for p in self.id):
             raise ValueError("a piece has a space inside")
-        self.high = np.zeros(len(kinds), bool)
-        self.high[[i for b, i in self.byte.items() if b >= 128]] = True
+        self.high = {i for b, i in self.byte.items() if b >= 128}
         self.automaton = ahocorasick.Automaton()
         for piece in self.id:
             self.automaton.add_word(piece, (self.id[piece], len(piece)))
@@ -102,7 +101,7 @@ class Codec:
         self.chunks = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + f"|[{alone}]" * bool(alone))
         self.replayed: dict[str, tuple | None] = {}
         self.fits: dict[int, bool] = {}
-        self.ids, self.texts = _Store(self.encode_chunk), _Store(self.decode_chunk)
+        self.known = _Store(self.encode_chunk)
 
     def replay(self, piece: str) -> tuple | None:
         """How the merges of a piece's own text go: scores in order, and the last and first symbol before each and at
@@ -176,13 +175,15 @@ class Codec:
     def split(self, text: str | None) -> list[str]:
         return self.chunks.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def encode(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.ids.__getitem__, self.split(text))), np.int32)
+    def encode(self, text: str | None) -> array:
+        ids = array("i")
+        ids.frombytes(b"".join(map(self.known.__getitem__, self.split(text))))
+        return ids
 
-    def join(self, ids: np.ndarray) -> str:
+    def join(self, ids: list[int]) -> str:
         """The text of ids, with the space in front. Bytes that are no UTF-8 become U+FFFD one by one."""
-        if not self.high[ids].any():
-            return "".join(map(self.surface.__getitem__, ids.tolist()))
+        if self.high.isdisjoint(ids):
+            return "".join(map(self.surface.__getitem__, ids))
         out, run = [], bytearray()
 
         def flush() -> None:
@@ -200,7 +201,7 @@ class Codec:
                 i += size
             run.clear()
 
-        for i in ids.tolist():
+        for i in ids:
             if i in self.raw:
                 run.append(self.raw[i])
             else:
@@ -209,13 +210,10 @@ class Codec:
         flush()
         return "".join(out)
 
-    def decode_chunk(self, s: str) -> str:
-        return self.join(np.frombuffer(self.ids[s], np.int32))
-
     def decode(self, ids) -> str:
         """The text of ids. The space in front goes if a piece, not the unknown mark, brings it."""
-        ids = np.asarray(ids, np.int32)
-        first = next((self.surface[i] for i in ids.tolist() if i not in self.control), "")
+        ids = list(ids)
+        first = next((self.surface[i] for i in ids if i not in self.control), "")
         return self.join(ids)[first.startswith(" ") and first != " ⁇ " :]
 
 
@@ -267,15 +265,10 @@ def encode(
         for whole in batches:
             for k in range(0, whole.num_rows, SLICE):
                 b = whole.slice(k, SLICE)
-                blobs, texts = [], []
-                for text in b.column(len(keep)).to_pylist():
-                    chunks = c.split(text)
-                    blobs.append(b"".join(map(c.ids.__getitem__, chunks)))
-                    if decoded_col:
-                        texts.append("".join(map(c.texts.__getitem__, chunks)).removeprefix(" "))
-                ends = np.cumsum([0, *map(len, blobs)]) // 4
-                ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(blobs), np.int32)))
-                more = [pa.array(texts, pa.string())] if decoded_col else []
+                every = list(map(c.encode, b.column(len(keep)).to_pylist()))
+                ends = np.cumsum([0, *map(len, every)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(every), np.int32)))
+                more = [pa.array(map(c.decode, every), pa.string())] if decoded_col else []
                 yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], ids, *more], [*keep, *(f.name for f in new)])
 
     return rows.mapInArrow(run, _schema(rows, text_col, new))
@@ -293,7 +286,7 @@ def decode(df: DataFrame, model_path: str | None = None, ids_col: str = "ids", t
         for whole in batches:
             for k in range(0, whole.num_rows, SLICE):
                 b = whole.slice(k, SLICE)
-                texts = [c.decode(x.values.to_numpy()) if x.is_valid else "" for x in b.column(len(keep))]
+                texts = [c.decode(x.as_py()) if x.is_valid else "" for x in b.column(len(keep))]
                 yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(texts, pa.string())], [*keep, text_col])
 
     return rows.mapInArrow(run, _schema(rows, ids_col, [T.StructField(text_col, T.StringType(), False)]))
