@@ -82,3 +82,19 @@ def keep_rows(docs: DataFrame, decisions: DataFrame, id_col: str, text_col: str)
             .select("row")
         )
     return out.select("row.*")
+
+
+def bounded_sample(df: DataFrame, class_col: str, id_col: str, per_class: int, classes: int) -> DataFrame:
+    """About per_class rows of each of the most frequent classes, and never over twice that in all, by a hash of the
+    id: the same rows whatever the partitions."""
+    counted = df.groupBy(class_col).count().orderBy(F.desc("count"), class_col).limit(classes).collect()
+    place = F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1_000_000))
+    wanted = F.lit(False)
+    for value, n in counted:
+        wanted = wanted | ((F.col(class_col) == F.lit(value)) & (place < int(1_000_000 * min(1.0, per_class / n))))
+    return df.where(wanted).limit(2 * per_class * max(1, len(counted)))
+
+
+def remainder(id_col: str, k: int):
+    """crc32 of the id as text, modulo k; null for a null id."""
+    return F.crc32(F.col(id_col).cast("string")) % k

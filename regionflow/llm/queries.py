@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionflow.llm import decontaminate, exact_dedup, secrets, sentencepiece_codec, simhash
-from regionflow.llm.common import table
+from regionflow.llm import decontaminate, exact_dedup, langid, secrets, sentencepiece_codec, simhash, toxicity
+from regionflow.llm.common import remainder, table
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +48,24 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train_from(docs, table(spark, sf_dir, "labels"), learnable=toxicity.learnable())
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train_from(docs, learnable=langid.learnable())
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score",
+        F.size("spans").cast("long").alias("n_spans"),
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -66,7 +84,9 @@ QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_secrets": op4_secrets,
+    "op5_toxicity": op5_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_language_id": op10_language_id,
 }
 ORACLES = {
     "op2_decontaminate": decontaminate.SQL,
