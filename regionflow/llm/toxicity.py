@@ -31,8 +31,10 @@ from regionflow.llm.common import bounded_sample, remainder
 DECAY, SPAN, WINDOW = 0.6, 6, 10
 #: Bound of the sample that the machine is fitted on: texts of each label, and code points of a text.
 PER_LABEL, LONGEST = 2500, 100_000
-LANDMARKS, ROUNDS = 256, 4
+LANDMARKS, ROUNDS = 256, 6
 SLICE = 1024
+#: Texts that training works through at a time.
+BLOCK = 250
 THRESHOLD = 0.7
 SEP, BORDER, SKIP = 0, 1, 255
 ACCENTED = "àáâãäåæçèéêëìíîïñòóôõöøùúûüýÿßœ"
@@ -142,7 +144,7 @@ def inserted(symbols: np.ndarray, at: np.ndarray, rng: np.random.Generator) -> t
     return rows.ravel(), np.arange(len(at)) * rows.shape[1]
 
 
-def _machine(x: np.ndarray, y: np.ndarray, cost: float = 4.0) -> np.ndarray:
+def _machine(x: np.ndarray, y: np.ndarray, cost: float = 30.0) -> np.ndarray:
     """Weights, the last for the constant, of a linear machine with squared hinge loss, by Newton's method."""
     x = np.concatenate([x, np.ones((len(x), 1))], 1)
     each = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)) * len(y)
@@ -183,48 +185,70 @@ def train(texts: list[str], labels: list[int], seed: int = 7, toxic_share: float
     if min((fit & (y == 1)).sum(), (fit & (y == 0)).sum(), (~fit & (y == 1)).sum(), (~fit & (y == 0)).sum()) == 0:
         p = min(max(share, 1e-6), 1 - 1e-6)
         return Model(np.zeros(1 << 18, np.float32), 0.0, float(np.log(p / (1 - p))))
-    symbols, begins = stream(texts)
+    # The sample is worked through in blocks of texts: whole arrays exist only of its symbols.
+    made = [stream(texts[k : k + BLOCK]) for k in range(0, len(texts), BLOCK)]
+    offset = np.cumsum([0] + [len(m[0]) for m in made])
+    symbols = np.concatenate([m[0] for m in made])
+    begins = np.concatenate([m[1] + o for m, o in zip(made, offset)])
     ends = np.append(begins[1:], len(symbols))
-    doc = np.repeat(np.arange(len(y)), ends - begins) if begins[0] == 0 else np.repeat(np.arange(-1, len(y)), np.append(begins[0], ends - begins))
-    s = np.concatenate([symbols, np.zeros(8, np.uint8)]).astype(np.int64)
-    n = len(symbols)
-    gram = sum(s[k : k + n] << (6 * k) for k in range(5))
-    inside = np.all([s[k : k + n] > 0 for k in range(5)], axis=0)
+
+    def grams(a: int, b: int) -> np.ndarray:
+        """The five symbols at each place as a number, -1 where they reach into a separator."""
+        s = np.concatenate([symbols[a : b + 4], np.zeros(4, np.uint8)]).astype(np.int32)
+        n = b - a
+        inside = np.all([s[k : k + n] > 0 for k in range(5)], axis=0)
+        return np.where(inside, sum(s[k : k + n] << (6 * k) for k in range(5)), -1)
+
     # How particular the five symbols at a place are to toxic texts, in numbers of texts.
-    usable = np.flatnonzero(inside & fit[doc])
-    pairs = np.unique(np.stack([gram[usable], doc[usable]], 1), axis=0)
-    names, of = np.unique(pairs[:, 0], return_inverse=True)
-    toxic = y[pairs[:, 1]] == 1
-    with_t, with_c = np.bincount(of, toxic, len(names)), np.bincount(of, ~toxic, len(names))
-    n_t, n_c = (fit & (y == 1)).sum(), (fit & (y == 0)).sum()
-    odds = np.where(with_t >= 3, np.log((with_t + 0.5) / (n_t + 1)) - np.log((with_c + 0.5) / (n_c + 1)), -9.0)
-    rank = np.full(n, -9.0)
-    rank[usable] = odds[np.searchsorted(names, gram[usable])]
-
-    def worst(value: np.ndarray, which: np.ndarray, k: int = 1) -> np.ndarray:
-        """The places of the k first-ranked windows, apart from each other, of each of the texts."""
-        out = []
+    bad, clean = np.flatnonzero(fit & (y == 1)), np.flatnonzero(fit & (y == 0))
+    tallies = []
+    for which in (bad, clean):
+        names, counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        for k in range(0, len(which), BLOCK):
+            own = [np.unique(grams(begins[d], ends[d])) for d in which[k : k + BLOCK]]
+            names, of = np.unique(np.concatenate([names, *own]), return_inverse=True)
+            counts = np.bincount(of, np.concatenate([counts, np.ones(sum(map(len, own)))]))
+        tallies.append((names, counts))
+    (names, with_t), (others, counts) = tallies
+    names, with_t = names[with_t >= 3], with_t[with_t >= 3]
+    where = np.minimum(np.searchsorted(others, names), len(others) - 1)
+    with_c = np.where(others[where] == names, counts[where], 0)
+    odds = np.log((with_t + 0.5) / (len(bad) + 1)) - np.log((with_c + 0.5) / (len(clean) + 1))
+    odds[names < 0] = -9.0
+
+    def rank(a: int, b: int) -> np.ndarray:
+        g = grams(a, b)
+        where = np.minimum(np.searchsorted(names, g), len(names) - 1)
+        return np.where(names[where] == g, odds[where], -9.0) if len(names) else np.full(b - a, -9.0)
+
+    def ranked(a: int, b: int) -> np.ndarray:
+        value = windows(symbols[a:b], weights)
+        value[symbols[a:b] == SEP] = -np.inf
+        return value
+
+    def worst(value, which: np.ndarray, k: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """The places of the k windows that value ranks first, apart from each other, of each of the texts, and ranks."""
+        out, ranks = [], []
         for d in which:
-            v = value[begins[d] : ends[d]].copy()
+            v = value(begins[d], ends[d])
             for _ in range(k):
                 at = int(v.argmax())
                 if not np.isfinite(v[at]):
                     break
                 out.append(begins[d] + at)
+                ranks.append(v[at])
                 v[max(0, at - WINDOW) : at + WINDOW] = -np.inf
-        return np.array(out, np.int64)
+        return np.array(out, np.int64), np.array(ranks)
 
-    bad, clean = np.flatnonzero(fit & (y == 1)), np.flatnonzero(fit & (y == 0))
-    positive = worst(rank, bad)
-    positive = positive[rank[positive] > 0.5]
-    if not len(positive):
-        positive = worst(rank, bad)
-    pool = np.flatnonzero(inside & fit[doc] & (y[doc] == 0))
-    negative = rng.choice(pool, min(len(pool), 8000), replace=False)
+    places, ranks = worst(rank, bad)
+    positive = places[ranks > 0.5] if (ranks > 0.5).any() else places
+    tried = rng.integers(0, len(symbols), 24_000)
+    of = np.searchsorted(begins, tried, "right") - 1
+    negative = tried[(of >= 0) & (fit & (y == 0))[of] & (symbols[tried] > 0)][:8000]
     weights = np.zeros(1 << 18, np.float32)
     for turn in range(ROUNDS):
         # Landmarks: positive windows of as many beginnings as there are, and negative ones.
-        firsts, kind = np.unique(gram[positive], return_inverse=True)
+        firsts, kind = np.unique([int(grams(a, a + 1)[0]) for a in positive], return_inverse=True)
         order = rng.permutation(len(positive))
         nth = np.zeros(len(positive), np.int64)
         seen = np.zeros(len(firsts), np.int64)
@@ -262,14 +286,13 @@ def train(texts: list[str], labels: list[int], seed: int = 7, toxic_share: float
         weights[used] = (to @ w[:-1]).astype(np.float32)
         weights[0] = 0
         if turn < ROUNDS - 1:
-            value = windows(symbols, weights)
-            value[symbols == SEP] = -np.inf
-            positive = worst(value, bad)
             # A toxic text without anything telling is no example: leave out those that look clean.
-            positive = positive[value[positive] + w[-1] > -0.5] if (value[positive] + w[-1] > -0.5).sum() >= 10 else positive
-            hard = worst(value, clean, 2)
-            negative = np.concatenate([negative[: 8000], hard[np.argsort(value[hard])]])
-    margin = np.maximum.reduceat(windows(symbols, weights), begins)
+            places, ranks = worst(ranked, bad)
+            sure = ranks + w[-1] > -0.5
+            positive = places[sure] if sure.sum() >= 10 else places
+            hard, ranks = worst(ranked, clean, 2)
+            negative = np.concatenate([negative[:8000], hard[np.argsort(ranks)]])
+    margin = np.concatenate([np.maximum.reduceat(windows(m[0], weights), m[1]) for m in made])
     rest = ~fit
     each = np.where(y == 1, 0.5 / (y[rest] == 1).mean(), 0.5 / (y[rest] == 0).mean())[rest]  # both labels weigh the same
     slope, bias = _platt(margin[rest], y[rest], each)
