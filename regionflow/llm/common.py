@@ -98,3 +98,20 @@ def bounded_sample(df: DataFrame, class_col: str, id_col: str, per_class: int, c
 def remainder(id_col: str, k: int):
     """crc32 of the id as text, modulo k; null for a null id."""
     return F.crc32(F.col(id_col).cast("string")) % k
+
+
+class Store(dict):
+    """What compute gives, by key. Beyond size entries the older half goes, so there are never over twice as many."""
+
+    def __init__(self, compute, size: int):
+        self.compute, self.size, self.old = compute, size, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionflow.llm import decontaminate, exact_dedup, langid, secrets, sentencepiece_codec, simhash, toxicity
-from regionflow.llm.common import remainder, table
+from regionflow.llm import decontaminate, exact_dedup, langid, licenses, packing, secrets, sentencepiece_codec, simhash, toxicity, warc
+from regionflow.llm.common import remainder, shared_path, table
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +66,30 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_licenses, licenses (distinct SPDX names in order, comma-joined), templates (numbers, likewise)."""
+    found = licenses.find_licenses(table(spark, sf_dir, "documents"))
+    names = F.array_sort(F.array_distinct(F.col("matches.spdx")))
+    return found.select(
+        F.col("k_id").alias("doc_id"), F.size(names).cast("long").alias("n_licenses"), F.array_join(names, ",").alias("licenses"),
+        F.array_join(F.col("matches.template").cast("array<string>"), ",").alias("templates"),
+    )
+
+
+def op7_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of the packed documents: doc_id, segment, n_tokens, block (file name), row, offset."""
+    packed = packing.pack(table(spark, sf_dir, "documents"), shared_path(spark, "packed"))
+    return packed.select(F.col("k_id").alias("doc_id"), "segment", "n_tokens", F.substring_index("block", "/", -1).alias("block"), "row", "offset")
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), shared_path(spark, "warc"))
+    return warc.read_archives(manifest, with_html=False).select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -85,12 +109,16 @@ QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
+    "op6_license_scan": op6_license_scan,
+    "op7_token_packing": op7_token_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_warc": op9_warc,
     "op10_language_id": op10_language_id,
 }
 ORACLES = {
     "op2_decontaminate": decontaminate.SQL,
     "op8_exact_dedup": OP8_SQL,
+    "op9_warc": warc.SQL,
 }
 
 

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from regionflow.llm.common import Store
+
 SPACE = "▁"
 DEFAULT_MODEL = "piece_bpe_32k.model"
 #: Chunks that a worker remembers, twice this at most.
@@ -101,7 +103,7 @@ class Codec:
         self.chunks = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + f"|[{alone}]" * bool(alone))
         self.replayed: dict[str, tuple | None] = {}
         self.fits: dict[int, bool] = {}
-        self.known = _Store(self.encode_chunk)
+        self.known = Store(self.encode_chunk, REMEMBERED)
 
     def replay(self, piece: str) -> tuple | None:
         """How the merges of a piece's own text go: scores in order, and the last and first symbol before each and at
@@ -217,23 +219,6 @@ class Codec:
         return self.join(ids)[first.startswith(" ") and first != " ⁇ " :]
 
 
-class _Store(dict):
-    """What was computed, by key; the older half goes when there is too much."""
-
-    def __init__(self, compute):
-        self.compute, self.old = compute, {}
-
-    def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.compute(key)
-        if len(self) >= REMEMBERED:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-
 _CODECS: dict[str, Codec] = {}
 
 
