@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from regionflow.llm.common import cut
 
 MAGIC = b"\x1f\x8b\x08"
-#: Bytes of a range, and of a read past its end.
-SPLIT, AHEAD = 16 << 20, 1 << 20
+#: Bytes of a range, of a read past its end, and of what is decoded at a time.
+SPLIT, AHEAD, PIECE = 16 << 20, 1 << 16, 1 << 13
 #: Payloads from this size on are written once.
 LEAST = 0
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -124,7 +124,7 @@ def members(f, length: int, start: int, end: int) -> Iterator[bytes]:
     """The records, decoded, whose gzip member starts in [start, end) of a file."""
     f.seek(start)
     held, base = f.read(min(end + len(MAGIC) - 1, length) - start), start
-    at = held.find(MAGIC)
+    at, view = held.find(MAGIC), memoryview(held)
     while at >= 0 and base + at < end:
         try:
             begins = zlib.decompressobj(31).decompress(held[at : at + 4096], 16)
@@ -136,12 +136,14 @@ def members(f, length: int, start: int, end: int) -> Iterator[bytes]:
         if not begins.startswith(b"WARC/"):
             at = held.find(MAGIC, at + 1)
             continue
-        d = zlib.decompressobj(31)
-        parts, size = [d.decompress(held[at:])], len(held) - at
-        f.seek(base + len(held))
+        d, parts, size = zlib.decompressobj(31), [], 0
         while not d.eof:
-            more = f.read(AHEAD)
-            if not more:
+            if at + size < len(held):
+                more = view[at + size : at + size + PIECE]
+            else:
+                f.seek(base + at + size)
+                more = f.read(AHEAD)
+            if not len(more):
                 raise ValueError("a record is cut off at the end of its file")
             parts.append(d.decompress(more))
             size += len(more)
