@@ -32,7 +32,7 @@ DECAY, SPAN, WINDOW = 0.6, 6, 10
 #: Bound of the sample that the machine is fitted on: texts of each label, and code points of a text.
 PER_LABEL, LONGEST = 2500, 100_000
 LANDMARKS, ROUNDS = 256, 6
-SLICE = 1024
+SLICE = 256
 #: Texts that training works through at a time.
 BLOCK = 250
 THRESHOLD = 0.7
