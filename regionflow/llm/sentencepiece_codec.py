@@ -27,7 +27,7 @@ from regionflow.llm.common import Store
 SPACE = "▁"
 DEFAULT_MODEL = "piece_bpe_32k.model"
 #: Chunks that a worker remembers, twice this at most.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 #: Rows that are encoded at a time.
 SLICE = 512
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE = 1, 2, 3, 4, 6
@@ -148,7 +148,7 @@ class Codec:
         or the beginning, where only the token's own merges count."""
         left, right = key >> 16, self.piece[key & 65535]
         ok = self.fit(self.piece[left - 1], right) if left else self.replay(right) is not None
-        if len(self.fits) > 1_000_000:
+        if len(self.fits) > 500_000:
             self.fits.clear()
         self.fits[key] = ok
         return ok
