@@ -27,7 +27,7 @@ from regionflow.llm.common import Store
 SPACE = "▁"
 DEFAULT_MODEL = "piece_bpe_32k.model"
 #: Chunks that a worker remembers, twice this at most.
-REMEMBERED = 200_000
+REMEMBERED = 280_000
 #: Rows that are encoded at a time.
 SLICE = 512
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE = 1, 2, 3, 4, 6
