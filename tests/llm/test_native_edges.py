@@ -1,0 +1,32 @@
+from regionflow.llm import decontaminate, exact_dedup
+
+SCHEMA = "doc_id long, text string, digest string, kept int"
+
+
+def test_exact_dedup_edges(spark):
+    rows = [(5, "a b"), (3, "ab"), (4, "a  b"), (4, "a  b"), (9, None), (7, ""), (None, " \n"), (None, "solo"), (1, "É x"), (2, "é x")]
+    df = spark.createDataFrame([(*r, "x", 0) for r in rows], SCHEMA)
+    got = exact_dedup.exact_groups(df).collect()
+    assert len(got) == len(rows) and sum(r.kept for r in got) == 5
+    assert {(r.keep_id, r.group_size) for r in got} == {(4, 4), (None, 3), (None, 1), (1, 1), (2, 1)}
+    out = exact_dedup.exact_dedup(df)
+    assert out.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == [(0, " \n"), (0, "solo"), (1, "É x"), (2, "é x"), (4, "a  b")]
+    assert exact_dedup.exact_dedup(df.limit(0)).count() == 0
+
+
+def test_decontamination_edges(spark):
+    item = " ".join(f"w{i}" for i in range(15))
+    items = spark.createDataFrame([(1, item), (1, item), (2, "Short One"), (3, None), (None, "lone item")], "item_id long, text string")
+    rows = [(1, f"x {item.upper()} y"), (1, f"x {item.upper()} y"), (2, None), (3, ""), (None, "a short, ONE b"), (4, "lone item"), (5, "z " * 30_000 + "short one"), (6, "clean text")]
+    df = spark.createDataFrame([(*r, "x", 0) for r in rows], SCHEMA)
+    got = {r.k_id: r for r in decontaminate.contamination(df, items).collect()}
+    assert (got[1].n_words, got[1].n_hit, got[1]["items"]) == (17, 15, ["1"])
+    assert (got[None].n_hit, got[None]["items"], got[4].n_hit, got[4]["items"]) == (2, ["2"], 2, [])
+    assert (got[5].n_hit, got[5].contaminated, got[2].n_words, got[6].n_hit) == (2, False, 0, 0)
+    kept = decontaminate.remove_documents(df, items)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 5, 6]
+    cleaned = {r.doc_id: r.text for r in decontaminate.remove_spans(df, items).collect()}
+    assert cleaned[1] == "x y" and cleaned[None] == "a b" and cleaned[2] is None and cleaned[6] == "clean text"
+    assert decontaminate.contamination(df, items.limit(0)).where("contaminated").count() == 0
+    assert decontaminate.remove_documents(df.limit(0), items).count() == 0
