@@ -101,12 +101,15 @@ def remainder(id_col: str, k: int):
 
 
 class Store(dict):
-    """What compute gives, by key. Beyond size entries the older half goes, so there are never over twice as many."""
+    """What compute gives, by key. Beyond size entries the older half goes, so there are never over twice as many; a
+    key longer than longest is computed each time, so entries are small too."""
 
-    def __init__(self, compute, size: int):
-        self.compute, self.size, self.old = compute, size, {}
+    def __init__(self, compute, size: int, longest: int):
+        self.compute, self.size, self.longest, self.old = compute, size, longest, {}
 
     def __missing__(self, key):
+        if len(key) > self.longest:
+            return self.compute(key)
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)

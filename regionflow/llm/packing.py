@@ -31,6 +31,8 @@ LENGTH = 2048
 #: Tokens of a block.
 BLOCK_TOKENS = 4_000_000
 REMEMBERED = 300_000
+#: Code points of the longest chunk that is remembered.
+LONGEST = 64
 SLICE = 512
 #: Fixed value: what the tokenizer's pattern takes for white space.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -53,7 +55,7 @@ def encoder(path: str) -> tuple[Store, int]:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        _ENCODERS[path] = Store(lambda s: array("i", own.encode_ordinary(s)).tobytes(), REMEMBERED), max(ranks.values()) + 1
+        _ENCODERS[path] = Store(lambda s: array("i", own.encode_ordinary(s)).tobytes(), REMEMBERED, LONGEST), max(ranks.values()) + 1
     return _ENCODERS[path]
 
 

@@ -28,6 +28,8 @@ SPACE = "▁"
 DEFAULT_MODEL = "piece_bpe_32k.model"
 #: Chunks that a worker remembers, twice this at most.
 REMEMBERED = 280_000
+#: Code points of the longest chunk that is remembered.
+LONGEST = 64
 #: Rows that are encoded at a time.
 SLICE = 512
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE = 1, 2, 3, 4, 6
@@ -103,7 +105,7 @@ class Codec:
         self.chunks = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + f"|[{alone}]" * bool(alone))
         self.replayed: dict[str, tuple | None] = {}
         self.fits: dict[int, bool] = {}
-        self.known = Store(self.encode_chunk, REMEMBERED)
+        self.known = Store(self.encode_chunk, REMEMBERED, LONGEST)
 
     def replay(self, piece: str) -> tuple | None:
         """How the merges of a piece's own text go: scores in order, and the last and first symbol before each and at

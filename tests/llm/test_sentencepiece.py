@@ -48,6 +48,13 @@ def test_small_store_gives_the_same(monkeypatch):
     assert c.encode(text).tolist() == SP.encode(text)
 
 
+def test_long_chunks_are_not_remembered():
+    c = sc.Codec(PATH)
+    text = "short " + "ab" * 50_000 + " end"
+    assert c.encode(text).tolist() == SP.encode(text) and c.encode(text).tolist() == SP.encode(text)
+    assert max(map(len, c.known)) <= sc.LONGEST
+
+
 def test_frames(spark):
     rows = [(1, None, "k"), (None, "", "k"), (2, "hello world", None), (2, "hello world", None), (3, "long " * 50_000, "k")]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
