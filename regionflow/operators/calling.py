@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regionflow.functions import reads as R
@@ -57,3 +57,47 @@ def features(bases: DataFrame) -> DataFrame:
         F.count("*").alias("dp"), F.round(F.sqrt(F.sum(F.col("mapq") * F.col("mapq")) / F.count("*")), 4).alias("mq"),
         F.count_if(ref & ~rev).alias("ref_fwd"), F.count_if(ref & rev).alias("ref_rev"), F.count_if(~ref & ~rev).alias("alt_fwd"), F.count_if(~ref & rev).alias("alt_rev"),
     )
+
+
+def fisher_phred(a: Column, b: Column, c: Column, d: Column) -> Column:
+    """Phred-scaled two-sided Fisher test of the table (a b / c d). Tables with the same sums are walked in order; each
+    one's weight follows from the one before, taken as a logarithm relative to the observed table's."""
+    row, col, other = a + b, a + c, c + d
+    low, high = F.greatest(F.lit(0).cast("long"), col - other), F.least(row, col)
+
+    def walk(end: Column) -> Column:
+        return F.when(end > low, F.sequence(low + 1, end)).otherwise(F.array().cast("array<bigint>"))
+
+    def grown(k: Column) -> Column:
+        return F.log((row - k + 1) * (col - k + 1) / (k * (other - col + k)))
+
+    def added(total: Column, w: Column, when: Column) -> Column:
+        return total + F.when(when, F.exp(w)).otherwise(F.lit(0.0))
+
+    observed = F.aggregate(walk(a), F.lit(0.0), lambda x, k: x + grown(k))
+
+    def step(x: Column, k: Column) -> Column:
+        w = x["w"] + grown(k)
+        return F.struct(w.alias("w"), added(x["tail"], w, w <= 1e-7).alias("tail"), added(x["all"], w, F.lit(True)).alias("all"))
+
+    first = -observed
+    start = F.struct(first.alias("w"), added(F.lit(0.0), first, first <= 1e-7).alias("tail"), F.exp(first).alias("all"))
+    p = F.aggregate(walk(high), start, step, lambda x: x["tail"] / x["all"])
+    return F.abs(F.round(-10 * F.log10(F.greatest(F.least(p, F.lit(1.0)), F.lit(1e-300))), 3))
+
+
+def strand_odds(a: Column, b: Column, c: Column, d: Column) -> Column:
+    """Symmetric odds ratio of the strand table, one added to each cell, weighed by how even either allele's strands are."""
+    a, b, c, d = a + 1, b + 1, c + 1, d + 1
+    r = a * d / (b * c)
+    even = lambda x, y: F.least(x, y) / F.greatest(x, y)
+    return F.round(F.log(r + 1 / r) + F.log(even(a, b)) - F.log(even(c, d)), 4)
+
+
+def annotations(bases: DataFrame) -> DataFrame:
+    """dp, fs, mq, qd and sor of the sites that are not reference. Both sides are grouped by site, so the join that
+    brings them together needs no shuffle of its own."""
+    called = genotypes(likelihoods(bases)).where("gt <> '0/0'").select(*SITE, "gt", "qual")
+    table = [F.col(c) for c in ("ref_fwd", "ref_rev", "alt_fwd", "alt_rev")]
+    qd = F.round(F.col("qual") / 1000 / F.col("dp"), 4)
+    return features(bases).join(called, SITE).select(*SITE, "gt", "dp", fisher_phred(*table).alias("fs"), "mq", qd.alias("qd"), strand_odds(*table).alias("sor"))

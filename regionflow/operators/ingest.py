@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regionflow.functions import reads as R
+from regionflow.operators.store import cut
 
 CHUNK_PAIRS = 750_000
 
@@ -49,10 +50,8 @@ def improper(reads: DataFrame, order: list[str]) -> DataFrame:
     run = lag.withColumn("run", F.sum(F.when(F.col("before") == F.col("m"), 0).otherwise(1)).over(w))
     # Within alternating runs of lengths c1, c2, ...: a run of c leaves c - 1 improper, and its last meets the next run.
     g = run.groupBy("qname", "run").agg(F.count("*").alias("c"))
-    o = Window.partitionBy("qname").orderBy("run")
     # Whether a run's first record finds a mate waiting: the run before had one left after meeting its own predecessor.
     seq = g.groupBy("qname").agg(F.transform(F.array_sort(F.collect_list(F.struct("run", "c"))), lambda x: x["c"].cast("int")).alias("cs"))
-    del o
     start = F.struct(F.lit(0).alias("waits"), F.lit(0).alias("n"))
 
     def step(a, c):
@@ -77,10 +76,11 @@ def interleaved(records: DataFrame) -> DataFrame:
 
 
 def numbered(df: DataFrame, order: list[str], name: str = "n") -> DataFrame:
-    """Rows numbered from 0 in order without a single-task sort: range partitions are counted, then numbered within."""
-    parts = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()).sortWithinPartitions(*order)
-    w = Window.partitionBy("_p").orderBy(*order)
-    inner = parts.withColumn("_k", F.row_number().over(w) - 1)
+    """Rows numbered from 0 in order without a single-task sort: range partitions are counted, then numbered within.
+    The ranges come from a sample, so the partitioned rows are kept before they are counted and numbered; both would
+    otherwise draw their own. There are as many counts as partitions."""
+    parts = cut(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
+    inner = parts.withColumn("_k", F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1)
     sizes = parts.groupBy("_p").agg(F.count("*").alias("_c"))
     before = sizes.withColumn("_b", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return inner.join(F.broadcast(before.select("_p", "_b")), "_p").withColumn(name, (F.col("_b") + F.col("_k")).cast("long")).drop("_p", "_k", "_b")

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from math import log, pi
+
+import numpy as np
 from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from regionflow.operators.store import cut
+
 #: Resource, whether known, training, truth, and prior.
 RESOURCES = [("hapmap", False, True, True, 10), ("dbsnp", True, False, False, 2), ("omni", True, False, False, 7), ("kg_indel", False, True, False, 10), ("mills", False, True, True, 12)]
 TRUTH_LEVEL = 0.99
+#: The prior of sites that no resource has, and what is added to the diagonal of a covariance.
+NOVEL, RIDGE = 2, 1e-3
 
 
 def concat_distinct(calls: DataFrame, keys: list[str]) -> DataFrame:
@@ -47,21 +54,51 @@ def apply_cut(scored: DataFrame, cut: DataFrame, level: float = TRUTH_LEVEL) ->
     return scored.crossJoin(cut).withColumn("filter", F.when(F.col("score") >= F.col("cut"), "PASS").otherwise(f"VQSRTranche{100 * level:.1f}")).drop("cut")
 
 
-def mixture_scores(sites: DataFrame, columns: list[str], training: str, k: int = 2, seed: int = 1) -> DataFrame:
-    """sites with score, the log density under a Gaussian mixture of the standardised training sites."""
+def _standardised(sites: DataFrame, columns: list[str], training: str) -> DataFrame:
+    """sites with z_<column>, and v, the vector of them; mean and spread are those of the training sites."""
     stats = sites.where(training).agg(*[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]).first()
+    if stats[0] is None:
+        raise ValueError("no training sites")
     std = [((F.col(c) - F.lit(stats[f"m_{c}"])) / F.lit(stats[f"s_{c}"] or 1.0)).alias(f"z_{c}") for c in columns]
-    v = VectorAssembler(inputCols=[f"z_{c}" for c in columns], outputCol="v").transform(sites.select("*", *std))
-    model = GaussianMixture(k=k, featuresCol="v", seed=seed).fit(v.where(training))
-    from math import log, pi
-
-    import numpy as np
-
-    score = F.lit(0.0)
-    for weight, g in zip(model.weights, model.gaussians):
-        inv = np.linalg.inv(g.cov.toArray() + 1e-6 * np.eye(len(columns)))
-        diff = [F.col(f"z_{c}") - float(m) for c, m in zip(columns, g.mean.toArray())]
+    return VectorAssembler(inputCols=[f"z_{c}" for c in columns], outputCol="v").transform(sites.select("*", *std))
+
+
+def _gaussians(rows: DataFrame, columns: list[str], k: int, seed: int) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    """Weight, mean and covariance of each of k Gaussians fitted to z_<column>."""
+    if k == 1:
+        z = [f"z_{c}" for c in columns]
+        got = rows.agg(*[F.avg(x) for x in z], *[F.covar_pop(x, y) for x in z for y in z]).first()
+        n = len(z)
+        return [(1.0, np.array(got[:n], float), np.array(got[n:], float).reshape(n, n))]
+    model = GaussianMixture(k=k, featuresCol="v", seed=seed).fit(rows)
+    return [(w, g.mean.toArray(), g.cov.toArray()) for w, g in zip(model.weights, model.gaussians)]
+
+
+def _log_density(rows: DataFrame, columns: list[str], k: int, seed: int) -> Column:
+    """The log density under k Gaussians fitted to rows, as an expression over z_<column>."""
+    terms = []
+    for weight, mean, cov in _gaussians(rows, columns, k, seed):
+        inv = np.linalg.inv(cov + RIDGE * np.eye(len(columns)))
+        diff = [F.col(f"z_{c}") - float(m) for c, m in zip(columns, mean)]
         dist = sum(diff[i] * diff[j] * float(inv[i, j]) for i in range(len(columns)) for j in range(len(columns)))
         const = log(weight + 1e-12) + 0.5 * float(np.linalg.slogdet(inv)[1]) - len(columns) / 2 * log(2 * pi)
-        score = score + F.exp(F.lit(const) - dist / 2)
-    return v.withColumn("score", F.log(score + 1e-300)).drop("v", *[f"z_{c}" for c in columns])
+        terms.append(F.lit(const) - dist / 2)
+    top = F.greatest(*terms) if len(terms) > 1 else terms[0]
+    return top + F.log(sum(F.exp(t - top) for t in terms))
+
+
+def mixture_scores(sites: DataFrame, columns: list[str], training: str, k: int = 2, seed: int = 1) -> DataFrame:
+    """sites with score, the log density under a Gaussian mixture of the standardised training sites."""
+    v = _standardised(sites, columns, training)
+    return v.withColumn("score", _log_density(v.where(training), columns, k, seed)).drop("v", *[f"z_{c}" for c in columns])
+
+
+def vqslod(sites: DataFrame, columns: list[str], training: str, prior: str, k: int = 2, worst: float = 0.05, seed: int = 1) -> DataFrame:
+    """sites with vqslod: log10 odds of the model of the training sites against one of the worst share of all sites by
+    that model, plus the log10 odds of the phred-scaled prior (NOVEL at least). One Gaussian describes the worst."""
+    v = cut(_standardised(sites, columns, training))
+    good = _log_density(v.where(training), columns, k, seed)
+    edge = v.agg(F.percentile_approx(good, worst, 10_000)).first()[0]
+    bad = _log_density(v.where(good <= edge), columns, 1, seed)
+    p = 1 - F.pow(F.lit(10.0), -F.greatest(F.col(prior), F.lit(NOVEL)) / 10)
+    return v.withColumn("vqslod", (good - bad) / log(10) + F.log10(p / (1 - p))).drop("v", *[f"z_{c}" for c in columns])

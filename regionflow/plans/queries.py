@@ -387,12 +387,25 @@ def _(g):
     return calling.features(g.bases())
 
 
+_ANNOTATE = _LIK + """, tab AS (SELECT contig_id, rpos, ref_base, count(*) AS n, round(sqrt(sum(mapq * mapq) / count(*)), 4) AS mq, count(*) FILTER (base_call = ref_base AND (flag & 16) = 0) AS a, count(*) FILTER (base_call = ref_base AND (flag & 16) <> 0) AS b, count(*) FILTER (base_call <> ref_base AND (flag & 16) = 0) AS c, count(*) FILTER (base_call <> ref_base AND (flag & 16) <> 0) AS d FROM panel_bases WHERE bq >= 17 GROUP BY 1, 2, 3),
+probs AS (SELECT *, a - greatest(0, a - d) AS nth, list_transform(range(greatest(0, a - d), least(a + b, a + c) + 1), lambda k: exp(lgamma(a + b + 1) - lgamma(k + 1) - lgamma(a + b - k + 1) + lgamma(c + d + 1) - lgamma(a + c - k + 1) - lgamma(d - a + k + 1) - lgamma(n + 1) + lgamma(a + c + 1) + lgamma(b + d + 1))) AS ps FROM tab),
+fish AS (SELECT *, ps[nth + 1] AS seen FROM probs)
+SELECT contig_id, rpos, ref_base, gt, dp, abs(round(-10 * log10(greatest(least(list_sum(list_filter(ps, lambda p: p <= seen * (1 + 1e-7))), 1.0), 1e-300)), 3)) AS fs, mq, round(qual / 1000 / dp, 4) AS qd,
+round(ln((a + 1) * (d + 1) / ((b + 1) * (c + 1)) + (b + 1) * (c + 1) / ((a + 1) * (d + 1))) + ln(least(a + 1, b + 1) / greatest(a + 1, b + 1)) - ln(least(c + 1, d + 1) / greatest(c + 1, d + 1)), 4) AS sor FROM fish JOIN calls USING (contig_id, rpos, ref_base) WHERE gt <> '0/0'"""
+
+
+@query("site_annotations", _ANNOTATE, panel=True)
+def _(g):
+    return calling.annotations(g.bases())
+
+
 @query("vqsr_gmm")
 def _(g):
-    f = calling.features(g.bases())
-    t = labelled(g).select(F.col("contig_id").alias("l_c"), F.col("pos").alias("l_p"), "is_training")
-    sites = f.join(t, (F.col("contig_id") == F.col("l_c")) & (F.col("rpos") == F.col("l_p"))).drop("l_c", "l_p").select("*", F.col("dp").cast("double").alias("depth"))
-    return variants.mixture_scores(sites, ["depth", "mq"], "is_training").select("contig_id", "rpos", F.round("score", 4).alias("score"))
+    f = calling.annotations(g.bases())
+    t = labelled(g).select(F.col("contig_id").alias("l_c"), F.col("pos").alias("l_p"), "is_training", "prior")
+    sites = f.join(t, (F.col("contig_id") == F.col("l_c")) & (F.col("rpos") == F.col("l_p"))).drop("l_c", "l_p").withColumn("dp", F.col("dp").cast("double"))
+    lod = variants.vqslod(sites, ["dp", "fs", "mq", "qd", "sor"], "is_training", "prior")
+    return lod.select("contig_id", "rpos", F.round("vqslod", 4).alias("vqslod"))
 
 
 @query("log_terms", "SELECT doc_id % 50 AS task_index, bool_or(lower(text) LIKE '%the%') AND NOT bool_or(lower(text) LIKE '%idiot%' OR lower(text) LIKE '%password%') AS ok FROM documents GROUP BY 1")
