@@ -59,6 +59,14 @@ def features(bases: DataFrame) -> DataFrame:
     )
 
 
+def indel_events(reads: DataFrame) -> DataFrame:
+    """contig_id, pos (the base before the event), op (I or D), len and the number of passing primaries that show it."""
+    ops = R.cigar(F.col("cigar"))
+    each = F.transform(ops, lambda x, i: F.struct(x["op"].alias("op"), x["len"].alias("len"), R.reference_span(F.slice(ops, F.lit(1), i)).alias("before")))
+    found = reads.where(R.is_primary(F.col("flag"))).select("contig_id", "pos", F.explode(F.filter(each, lambda x: x["op"].isin("I", "D"))).alias("x"))
+    return found.groupBy("contig_id", (F.col("pos") + F.col("x.before") - 1).alias("pos"), "x.op", "x.len").agg(F.count("*").alias("n"))
+
+
 def fisher_phred(a: Column, b: Column, c: Column, d: Column) -> Column:
     """Phred-scaled two-sided Fisher test of the table (a b / c d). Tables with the same sums are walked in order; each
     one's weight follows from the one before, taken as a logarithm relative to the observed table's."""

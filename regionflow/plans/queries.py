@@ -408,6 +408,11 @@ def _(g):
     return lod.select("contig_id", "rpos", F.round("vqslod", 4).alias("vqslod"))
 
 
+@query("indel_events", ", c AS (SELECT contig_id, pos, regexp_extract_all(cigar, '(\\d+)([MIDNSHP=XB])', 2) AS o, list_transform(regexp_extract_all(cigar, '(\\d+)([MIDNSHP=XB])', 1), lambda x: CAST(x AS INT)) AS l FROM reads WHERE (flag & 2820) = 0), e AS (SELECT *, unnest(range(1, len(o) + 1)) AS i FROM c) SELECT contig_id, CAST(pos + coalesce(list_sum(list_transform(range(1, i), lambda j: CASE WHEN o[j] IN ('M', 'D', 'N', '=', 'X') THEN l[j] ELSE 0 END)), 0) - 1 AS BIGINT) AS pos, o[i] AS op, l[i] AS len, count(*) AS n FROM e WHERE o[i] IN ('I', 'D') GROUP BY ALL")
+def _(g):
+    return calling.indel_events(g.reads())
+
+
 @query("log_terms", "SELECT doc_id % 50 AS task_index, bool_or(lower(text) LIKE '%the%') AND NOT bool_or(lower(text) LIKE '%idiot%' OR lower(text) LIKE '%password%') AS ok FROM documents GROUP BY 1")
 def _(g):
     return logs.check_terms(g.table("documents").selectExpr("doc_id % 50 as task_index", "text as line"), ["the"], ["idiot", "password"])
@@ -418,7 +423,19 @@ def _(g):
     return logs.failed(g.table("documents").selectExpr("doc_id % 50 as task_index", "text as line"), ["the"], ["idiot", "password"])
 
 
-@query("seed_hits", ", km AS (SELECT rec_id, i - 1 AS at, substr(seq, i, 11) AS kmer FROM (SELECT rec_id, seq, unnest(range(1, length(seq) - 9)) AS i FROM reads)), gm AS (SELECT p_partkey AS ref_id, i - 1 AS at, substr(s, i, 11) AS kmer FROM (SELECT p_partkey, s, unnest(range(1, length(s) - 9)) AS i FROM (SELECT p_partkey, translate(md5(CAST(p_partkey AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT') AS s FROM part))) SELECT rec_id, ref_id, gm.at - km.at AS diagonal, count(*) AS seeds FROM km JOIN gm USING (kmer) GROUP BY 1, 2, 3")
-def _(g):
+_SEEDS = ", km AS (SELECT rec_id, i - 1 AS at, substr(seq, i, 11) AS kmer FROM (SELECT rec_id, seq, unnest(range(1, length(seq) - 9)) AS i FROM reads)), gm AS (SELECT p_partkey AS ref_id, i - 1 AS at, substr(s, i, 11) AS kmer FROM (SELECT p_partkey, s, unnest(range(1, length(s) - 9)) AS i FROM (SELECT p_partkey, translate(md5(CAST(p_partkey AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT') AS s FROM part))) SELECT rec_id, ref_id, gm.at - km.at AS diagonal, count(*) AS seeds FROM km JOIN gm USING (kmer) GROUP BY 1, 2, 3"
+
+
+def seeds(g):
     ref = g.table("part").selectExpr("p_partkey as ref_id", "translate(md5(cast(p_partkey as string)), '0123456789abcdef', 'ACGTACGTACGTACGT') as ref_seq")
     return align.seed_hits(g.reads(), ref, 11)
+
+
+@query("seed_hits", _SEEDS)
+def _(g):
+    return seeds(g)
+
+
+@query("seed_best", ", hits AS (" + _SEEDS.replace(", km AS", "WITH km AS", 1) + "), r AS (SELECT *, row_number() OVER (PARTITION BY rec_id ORDER BY seeds DESC, ref_id, diagonal) AS k FROM hits) SELECT a.rec_id, a.ref_id, a.diagonal, a.seeds, coalesce(b.seeds, 0) AS second FROM r a LEFT JOIN r b ON b.rec_id = a.rec_id AND b.k = 2 WHERE a.k = 1")
+def _(g):
+    return align.best_seeds(seeds(g))

@@ -51,6 +51,20 @@ def parse_sam(lines: DataFrame) -> DataFrame:
     )
 
 
+def sam_header(spark: SparkSession, path: str) -> DataFrame:
+    """kind (HD, SQ, RG, PG, CO), n (their order in the file) and fields (map) of the header lines. HD lines become one row,
+    of whose keys the last value counts; a comment's text is the field `text`."""
+    lines = spark.read.text(path).where("value like '@%'").select("value", F.monotonically_increasing_id().alias("n"))
+    kind, rest = F.substr(F.col("value"), F.lit(2), F.lit(2)), F.filter(F.split("value", "\t"), lambda x: x.contains(":"))
+    pairs = F.transform(rest, lambda x: F.struct(F.substring_index(x, ":", 1).alias("key"), F.regexp_replace(x, "^[^:]*:", "").alias("value")))
+    text = F.array(F.struct(F.lit("text").alias("key"), F.regexp_replace("value", "^@CO\t", "").alias("value")))
+    rows = lines.select("n", kind.alias("kind"), F.when(kind == "CO", text).otherwise(pairs).alias("fields"))
+    one = rows.where("kind = 'HD'").select("n", F.explode("fields").alias("x")).groupBy("x.key").agg(F.max_by("x.value", "n").alias("value"), F.min("n").alias("n"))
+    head = one.groupBy().agg(F.min("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("fields")).where("n is not null")
+    rest = rows.where("kind <> 'HD'").select("kind", "n", F.map_from_entries("fields").alias("fields"))
+    return head.select(F.lit("HD").alias("kind"), "n", "fields").unionByName(rest)
+
+
 def sam(spark: SparkSession, path: str) -> DataFrame:
     return parse_sam(spark.read.text(path))
 

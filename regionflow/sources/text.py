@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,12 @@ def config(lines: list[str]) -> dict[str, str | list[str]]:
     return out
 
 
+def with_values(text: str, values: dict[str, str]) -> str:
+    """Configuration text with the values of the given keys replaced, quoted; all else stays, keys it lacks are not added."""
+    names = "|".join(map(re.escape, values))
+    return re.sub(rf"(?m)^[ \t]*({names})[ \t]*:.*$", lambda m: f'{m[1]}: "{values[m[1]]}"', text) if values else text
+
+
 def sequence_dict(spark: SparkSession, path: str) -> DataFrame:
     """contig_id (file order), contig, len of the @SQ lines. A dictionary is one small file, read as a whole."""
     lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("n", "line")).where("line like '@SQ%'")

@@ -1,13 +1,16 @@
 import gzip
+import math
 import struct
 import zlib
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
 from regionflow.functions import reads as R
-from regionflow.operators import genome, ingest, route
+from regionflow.operators import calling, genome, ingest, route, variants
 from regionflow.plans import pipeline
+from regionflow.sources import ingest as inputs
 from regionflow.sources import sequence, text
 from regionflow.streaming import ingest as streaming
 
@@ -71,6 +74,7 @@ def test_text_sources(spark, tmp_path):
     (tmp_path / "batch").write_text("s1 a.bam\ns2 x_1.fq,x_2.fq\n")
     assert [tuple(r) for r in text.batch(spark, str(tmp_path / "batch")).collect()] == [("s1", "a.bam", None), ("s2", "x_1.fq", "x_2.fq")]
     assert text.config(["---", "# c", "a: 1", "b: ['x', \"y\"]", "...", "c: 2"]) == {"a": "1", "b": ["x", "y"]}
+    assert text.with_values("# a: 0\n---\na: 1\nab: 2\n...\n", {"a": "9", "z": "1"}) == '# a: 0\n---\na: "9"\nab: 2\n...\n'
     (tmp_path / "d").write_text("@HD\tVN:1\n@SQ\tSN:c1\tLN:10\n@SQ\tSN:HLA:2\tLN:5\n")
     assert [tuple(r) for r in text.sequence_dict(spark, str(tmp_path / "d")).orderBy("contig_id").collect()] == [(0, "c1", 10), (1, "HLA:2", 5)]
     (tmp_path / "iv").mkdir()
@@ -111,3 +115,57 @@ def test_stages_are_not_run_twice(spark, tmp_path):
     for _ in range(2):
         assert pipeline.run(spark, spark.range(5), stages, str(tmp_path)).count() == 3
     assert ran == ["a", "b"]
+
+
+def test_numbering_over_many_partitions(spark):
+    rows = spark.range(20_000, numPartitions=7).selectExpr("id", "id * 7919 % 20000 as k")
+    assert ingest.numbered(rows, ["k"]).where("n <> k").count() == 0
+
+
+def test_strand_annotations(spark):
+    tables = [(3, 1, 1, 3), (10, 0, 0, 10), (5, 5, 5, 5), (7, 0, 3, 0), (0, 0, 0, 2), (400, 3, 2, 390)]
+    df = spark.createDataFrame(tables, "a long, b long, c long, d long")
+    table = [F.col(c) for c in "abcd"]
+    got = df.select(*table, calling.fisher_phred(*table).alias("fs"), calling.strand_odds(*table).alias("sor")).collect()
+
+    def slow(a, b, c, d):
+        way = lambda k: Fraction(math.comb(a + b, k) * math.comb(c + d, a + c - k), math.comb(a + b + c + d, a + c))
+        every = [way(k) for k in range(max(0, a - d), min(a + b, a + c) + 1)]
+        p = sum(x for x in every if x <= way(a))
+        return -10 * (math.log10(p.numerator) - math.log10(p.denominator))
+
+    for r in got:
+        assert r.fs == pytest.approx(slow(r.a, r.b, r.c, r.d), abs=1e-3)
+    assert {(r.a, r.b): r.sor for r in got}[(5, 5)] == pytest.approx(math.log(2), abs=1e-4)
+
+
+def test_bad_sites_score_below_good_ones(spark):
+    rows = [(i, 30.0 + i % 5, 50.0 + i % 7, i % 3 == 0, 10) for i in range(100)] + [(100 + i, 5.0 + i % 2, 20.0 - i % 3, False, 0) for i in range(6)]
+    df = spark.createDataFrame(rows, "id int, x double, y double, train boolean, prior int")
+    got = {r.id: r.vqslod for r in variants.vqslod(df, ["x", "y"], "train", "prior").collect()}
+    assert len(got) == 106 and max(got[i] for i in range(100, 106)) < min(got[i] for i in range(100))
+    with pytest.raises(ValueError):
+        variants.vqslod(df.where("not train"), ["x", "y"], "train", "prior")
+
+
+def test_inputs_of_every_kind(spark, tmp_path):
+    one, two = "@a/1\nAC\n+\nIJ\n@b/1\nGG\n+\nKL\n", "@a/2\nTT\n+\nMN\n@b/2\nCA\n+\nOP\n@c/2\nA\n+\nI\n"
+    (tmp_path / "x_1.fq").write_text(one)
+    (tmp_path / "x_2.fq").write_text(two)
+    (tmp_path / "mixed.fastq").write_text("@a/1\nAC\n+\nIJ\n@a/2\nTT\n+\nMN\n@b/1\nGG\n+\nKL\n@b/2\nCA\n+\nOP\n@c/1\nA\n+\nI\n")
+    sam = "@HD\tVN:1.5\n@HD\tSO:unsorted\n@SQ\tSN:c:1\tLN:9\n@CO\tfree: text\n"
+    for name, flag, seq, qual in (("a", 65, "AC", "IJ"), ("a", 145, "AA", "NM"), ("b", 65, "GG", "KL"), ("b", 129, "CA", "OP"), ("c", 65, "A", "I"), ("d", 321, "A", "I"), ("d", 129, "A", "I")):
+        sam += f"{name}\t{flag}\tc:1\t1\t9\t{len(seq)}M\t*\t0\t0\t{seq}\t{qual}\n"
+    (tmp_path / "x.sam").write_text(sam)
+    want = [("a", "AC", "IJ", "TT", "MN"), ("b", "GG", "KL", "CA", "OP")]
+    for spec in (f"{tmp_path}/x_1.f*,{tmp_path}/x_2.f*", f"{tmp_path}/mixed.fastq", f"{tmp_path}/x.sam"):
+        assert sorted(map(tuple, inputs.read_pairs(spark, spec).collect())) == want
+    assert inputs.resolve(spark, f"{tmp_path}/x.sam")[0] == "aligned"
+    for spec in (f"{tmp_path}/none*", f"{tmp_path}/x_*.fq,{tmp_path}/x_1.fq", f"{tmp_path}/x*"):
+        with pytest.raises(ValueError):
+            inputs.resolve(spark, spec)
+    inputs.write_pairs(inputs.read_pairs(spark, f"{tmp_path}/x.sam"), f"{tmp_path}/out")
+    again = inputs.read_pairs(spark, f"{tmp_path}/out/mate=1/*.gz,{tmp_path}/out/mate=2/*.gz")
+    assert sorted(map(tuple, again.collect())) == want
+    head = {r.kind: r.fields for r in sequence.sam_header(spark, str(tmp_path / "x.sam")).collect()}
+    assert head == {"HD": {"VN": "1.5", "SO": "unsorted"}, "SQ": {"SN": "c:1", "LN": "9"}, "CO": {"text": "free: text"}}
