@@ -55,7 +55,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 def linked_spans(text: str, base: list[tuple[int, int, str]]) -> tuple[list[tuple[int, int, str]], list[tuple]]:
     """The weak parts whose complement co-occurs, and the links: (access, secret, endpoint or None), as (start, end)."""
     strong = [x for x in base if x[2] != "hex"]
-    if not any(k == "access" for *_, k in strong) and not _HINT.search(text) and not (strong and "://" in text):
+    if not strong and not _HINT.search(text):  # no access identifier, and no strong secret that an endpoint could stand beside
         return [], []
     parts = list(strong)
     for kind, pattern in WEAK.items():
