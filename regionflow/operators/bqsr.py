@@ -6,14 +6,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regionflow.functions import reads as R
+from regionflow.operators.store import cut
 
 
-def covariates(bases: DataFrame) -> DataFrame:
-    """q, cyc (negative for the second mate), ctx (the base before and the base), miss."""
+def with_covariates(bases: DataFrame) -> DataFrame:
+    """bases with cyc (negative for the second mate) and ctx (the base before and the base; null for a first base)."""
     before = F.lag("base_call").over(Window.partitionBy("rec_id").orderBy("cycle"))
-    ctx = F.concat(before, F.col("base_call"))
     cyc = F.when(R.has(F.col("flag"), R.READ2), -F.col("cycle")).otherwise(F.col("cycle"))
-    return bases.select("contig_id", "rpos", F.col("bq").alias("q"), cyc.alias("cyc"), ctx.alias("ctx"), (F.col("base_call") != F.col("ref_base")).alias("miss"))
+    return bases.withColumn("cyc", cyc).withColumn("ctx", F.concat(before, F.col("base_call")))
+
+
+def covariates(bases: DataFrame) -> DataFrame:
+    """contig_id, rpos, q, cyc, ctx, miss."""
+    return with_covariates(bases).select("contig_id", "rpos", F.col("bq").alias("q"), "cyc", "ctx", (F.col("base_call") != F.col("ref_base")).alias("miss"))
 
 
 def unknown_only(bases: DataFrame, known: DataFrame) -> DataFrame:
@@ -44,12 +49,39 @@ def marginals(cov: DataFrame) -> DataFrame:
     )
 
 
-def deltas(table: DataFrame) -> DataFrame:
-    """Per reported quality, the shift to the empirical one. There are as many rows as qualities."""
-    return table.select(F.col("q").alias("d_q"), (F.col("emp_q") - F.col("q")).alias("delta"))
+def _shifted(shift: Column) -> Column:
+    """bq shifted, rounded, within 1 and 60; below 6 unchanged."""
+    new = F.greatest(F.lit(1), F.least(F.lit(60), F.floor(F.round(F.col("bq") + shift, 4) + 0.5).cast("int")))
+    return F.when(F.col("bq") >= 6, new).otherwise(F.col("bq"))
+
+
+def apply_quality(bases: DataFrame, table: DataFrame) -> DataFrame:
+    """bases with new_q by the quality alone: shifted by emp_q - q where table (q, emp_q) has bq."""
+    d = table.select(F.col("q").alias("d_q"), (F.col("emp_q") - F.col("q")).alias("delta"))  # a row per quality
+    return bases.join(F.broadcast(d), F.col("bq") == F.col("d_q"), "left").withColumn("new_q", _shifted(F.coalesce("delta", F.lit(0.0)))).drop("d_q", "delta")
 
 
 def apply(bases: DataFrame, table: DataFrame) -> DataFrame:
-    """bases with new_q: shifted, rounded, within 1 and 60; below 6 unchanged."""
-    new = F.greatest(F.lit(1), F.least(F.lit(60), F.floor(F.col("bq") + F.coalesce("delta", F.lit(0.0)) + 0.5).cast("int")))
-    return bases.join(F.broadcast(deltas(table).limit(256)), F.col("bq") == F.col("d_q"), "left").withColumn("new_q", F.when(F.col("bq") < 6, F.col("bq")).otherwise(new)).drop("d_q", "delta")
+    """bases with new_q, rounded, within 1 and 60, below 6 unchanged: bq and its shifts by table (of marginals).
+
+    The shift of all bases is from the quality that their reported errors make up to the empirical one, that of a
+    quality goes on to its own empirical one, and those of a cycle and a context go from there to theirs within the
+    quality. What table does not have, and the missing context of a first base, shifts nothing. table has as many rows
+    as qualities times cycles and contexts; it is kept first.
+    """
+    t = cut(table.withColumn("emp", empirical(F.col("err"), F.col("obs"))))
+    level = lambda q, cyc, ctx: t.where((F.col("g_q") == q) & (F.col("g_cyc") == cyc) & (F.col("g_ctx") == ctx))
+    reported = level(0, 1, 1).agg((-10 * F.log10(F.sum(F.col("obs") * F.pow(F.lit(10.0), -F.col("q") / 10.0)) / F.sum("obs"))).alias("reported"))
+    everything = level(1, 1, 1).crossJoin(reported).select(F.round(F.col("emp") - F.col("reported"), 4).alias("d_all"))  # one row
+    by_q = level(0, 1, 1).crossJoin(everything).select(F.col("q").alias("k_q"), F.col("emp").alias("emp_q"), (F.col("emp") - F.col("q") - F.col("d_all")).alias("d_q"))
+    own = by_q.select("k_q", "emp_q")
+    by_cyc = level(0, 0, 1).join(F.broadcast(own), F.col("q") == F.col("k_q")).select(F.col("q").alias("c_q"), F.col("cyc").alias("c_cyc"), (F.col("emp") - F.col("emp_q")).alias("d_cyc"))
+    by_ctx = level(0, 1, 0).where("ctx is not null").join(F.broadcast(own), F.col("q") == F.col("k_q")).select(F.col("q").alias("x_q"), F.col("ctx").alias("x_ctx"), (F.col("emp") - F.col("emp_q")).alias("d_ctx"))
+    joined = (
+        with_covariates(bases).join(F.broadcast(everything), F.lit(True), "left")
+        .join(F.broadcast(by_q.drop("emp_q")), F.col("bq") == F.col("k_q"), "left")
+        .join(F.broadcast(by_cyc), (F.col("bq") == F.col("c_q")) & (F.col("cyc") == F.col("c_cyc")), "left")
+        .join(F.broadcast(by_ctx), (F.col("bq") == F.col("x_q")) & (F.col("ctx") == F.col("x_ctx")), "left")
+    )
+    shifts = [F.coalesce(c, F.lit(0.0)) for c in ("d_all", "d_q", "d_cyc", "d_ctx")]
+    return joined.withColumn("new_q", _shifted(shifts[0] + shifts[1] + shifts[2] + shifts[3])).drop("k_q", "c_q", "c_cyc", "x_q", "x_ctx", "d_all", "d_q", "d_cyc", "d_ctx")

@@ -293,7 +293,24 @@ _APPLY = ", t AS (SELECT q, round(-10 * log10((count(*) FILTER (miss) + 1) / (co
 
 @query("bqsr_apply", _COV + _APPLY, panel=True)
 def _(g):
-    return bqsr.apply(g.bases(), bqsr.gather(bqsr.tabulate(cov(g), "q"), "q")).groupBy("bq", "new_q").agg(F.count("*").alias("n"))
+    return bqsr.apply_quality(g.bases(), bqsr.gather(bqsr.tabulate(cov(g), "q"), "q")).groupBy("bq", "new_q").agg(F.count("*").alias("n"))
+
+
+_RECALIBRATE = """, cv AS (SELECT contig_id, rpos, bq AS q, CASE WHEN (flag & 128) <> 0 THEN -cycle ELSE cycle END AS cyc, lag(base_call) OVER (PARTITION BY rec_id ORDER BY cycle) || base_call AS ctx, base_call <> ref_base AS miss FROM panel_bases),
+un AS (SELECT * FROM cv WHERE NOT EXISTS (SELECT 1 FROM known_sites k WHERE k.contig_id = cv.contig_id AND k.pos = cv.rpos)),
+ta AS (SELECT round(round(-10 * log10((count(*) FILTER (miss) + 1) / (count(*) + 2)), 4) + 10 * log10(sum(pow(10.0, -q / 10.0)) / count(*)), 4) AS d FROM un),
+tq AS (SELECT q, round(-10 * log10((count(*) FILTER (miss) + 1) / (count(*) + 2)), 4) AS emp FROM un GROUP BY 1),
+tc AS (SELECT q, cyc, round(-10 * log10((count(*) FILTER (miss) + 1) / (count(*) + 2)), 4) AS emp FROM un GROUP BY 1, 2),
+tx AS (SELECT q, ctx, round(-10 * log10((count(*) FILTER (miss) + 1) / (count(*) + 2)), 4) AS emp FROM un WHERE ctx IS NOT NULL GROUP BY 1, 2),
+shifted AS (SELECT cv.*, coalesce(ta.d, 0) + coalesce(tq.emp - cv.q - ta.d, 0) + coalesce(tc.emp - tq.emp, 0) + coalesce(tx.emp - tq.emp, 0) AS shift
+FROM cv CROSS JOIN ta LEFT JOIN tq ON tq.q = cv.q LEFT JOIN tc ON tc.q = cv.q AND tc.cyc = cv.cyc LEFT JOIN tx ON tx.q = cv.q AND tx.ctx = cv.ctx)
+SELECT q AS bq, cyc, ctx, CASE WHEN q < 6 THEN q ELSE greatest(1, least(60, CAST(floor(round(q + shift, 4) + 0.5) AS INT))) END AS new_q, count(*) AS n FROM shifted GROUP BY 1, 2, 3, 4"""
+
+
+@query("bqsr_recalibrate", _RECALIBRATE, panel=True)
+def _(g):
+    table = bqsr.marginals(bqsr.unknown_only(bqsr.covariates(g.bases()), g.known_sites()))
+    return bqsr.apply(g.bases(), table).groupBy("bq", "cyc", "ctx", "new_q").agg(F.count("*").alias("n"))
 
 
 @query("bqsr_overlap_excess", _COV + " SELECT q, count(*) AS regional, count(*) FILTER (own) AS once FROM (SELECT q, g >= r * 500 AND g < (r + 1) * 500 AS own FROM (SELECT *, contig_id * 2000 + rpos - 1 AS g FROM cov) JOIN rid ON g >= r * 500 - 100 AND g < (r + 1) * 500 + 100) GROUP BY 1", panel=True)

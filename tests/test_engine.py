@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from regionflow.functions import reads as R
-from regionflow.operators import calling, genome, ingest, route, variants
+from regionflow.operators import bqsr, calling, genome, ingest, route, variants
 from regionflow.plans import pipeline
 from regionflow.sources import ingest as inputs
 from regionflow.sources import sequence, text
@@ -169,3 +169,29 @@ def test_inputs_of_every_kind(spark, tmp_path):
     assert sorted(map(tuple, again.collect())) == want
     head = {r.kind: r.fields for r in sequence.sam_header(spark, str(tmp_path / "x.sam")).collect()}
     assert head == {"HD": {"VN": "1.5", "SO": "unsorted"}, "SQ": {"SN": "c:1", "LN": "9"}, "CO": {"text": "free: text"}}
+
+
+def test_recalibration_follows_cycle_and_context(spark):
+    schema = "rec_id string, contig_id int, rpos long, cycle int, flag int, bq int, ref_base string, base_call string"
+    # G after C in cycle 3 of the first mate is always wrong, the other bases never are.
+    rows = [(f"a{i}", 0, 10 + k, k, 65, 30, "ACA"[k - 1], "ACG"[k - 1]) for i in range(50) for k in (1, 2, 3)]
+    rows += [(f"b{i}", 0, 10 + k, k, 129, 30, "ATA"[k - 1], "ATA"[k - 1]) for i in range(50) for k in (1, 2, 3)]
+    bases = spark.createDataFrame([*rows, ("c", 0, 50, 1, 65, 40, "A", "A"), ("c", 0, 51, 2, 65, 3, "A", "T")], schema)
+    table = bqsr.marginals(bqsr.covariates(bases.where("rec_id <> 'c'")))
+    got = {(r.rec_id[0], r.cycle): r.new_q for r in bqsr.apply(bases, table).collect()}
+    emp = lambda err, obs: round(-10 * math.log10((err + 1) / (obs + 2)), 4)
+    q = emp(50, 300)
+    want = {("c", 1): math.floor(40 + q - 30 + 0.5), ("c", 2): 3}
+    for mate, cycle, fails, context in (("a", 1, 0, None), ("a", 2, 0, 0), ("a", 3, 50, 50), ("b", 1, 0, None), ("b", 2, 0, 0), ("b", 3, 0, 0)):
+        shift = emp(fails, 50) - q + (0 if context is None else emp(context, 50) - q)
+        want[mate, cycle] = max(1, min(60, math.floor(q + shift + 0.5)))
+    assert got == want and got["a", 3] < got["a", 2]
+    assert bqsr.apply(bases, table).count() == bases.count()
+    empty = bqsr.apply(bases, table.limit(0))
+    assert empty.where("new_q <> bq").count() == 0 and empty.count() == bases.count()
+
+
+def test_a_table_of_over_256_qualities_is_not_cut(spark):
+    table = spark.range(300).selectExpr("cast(id as int) as q", "cast(10 as double) as emp_q")
+    bases = spark.range(6, 300).selectExpr("cast(id as int) as bq")
+    assert bqsr.apply_quality(bases, table).where("new_q <> 10").count() == 0
