@@ -62,13 +62,13 @@ def from_interleaved(spark: SparkSession, path: str) -> DataFrame:
 
 
 def from_aligned(spark: SparkSession, path: str) -> DataFrame:
-    """Names with one passing record of each mate (supplementary ones count too); reverse records are turned back."""
+    """Names with one passing record of each mate, supplementary ones aside; reverse records are turned back."""
     if path.lower().endswith(".cram"):
         raise ValueError(f"CRAM is not read: {path}")
     reads = sequence.bam(spark, path) if path.lower().endswith(".bam") else sequence.sam(spark, path)
     f = F.col("flag")
     turned = R.has(f, R.REVERSE)
-    slim = passing(reads, supplementary=True).select(
+    slim = passing(reads).select(
         "qname", R.has(f, R.READ1).alias("is1"),
         F.struct(F.when(turned, R.reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("seq"), F.when(turned, F.reverse("qual")).otherwise(F.col("qual")).alias("qual")).alias("r"),
     )

@@ -195,3 +195,15 @@ def test_a_table_of_over_256_qualities_is_not_cut(spark):
     table = spark.range(300).selectExpr("cast(id as int) as q", "cast(10 as double) as emp_q")
     bases = spark.range(6, 300).selectExpr("cast(id as int) as bq")
     assert bqsr.apply_quality(bases, table).where("new_q <> 10").count() == 0
+
+
+def test_a_split_alignment_does_not_cost_its_pair(spark, tmp_path):
+    records = [
+        ("a", 65, "ACGT", "IJKL"), ("a", 2113, "GT", "KL"), ("a", 145, "AA", "NM"),  # R1, its supplementary part, R2
+        ("b", 65, "GG", "KL"), ("b", 129, "CATT", "OPQR"), ("b", 2193, "AA", "RQ"), ("b", 2177, "T", "Q"),  # two of R2
+        ("c", 65, "A", "I"), ("c", 2177, "C", "J"),  # no R2 but a supplementary part
+        ("d", 65, "A", "I"), ("d", 65, "C", "J"), ("d", 129, "G", "K"),  # two of R1 that are not supplementary
+    ]
+    (tmp_path / "x.sam").write_text("".join(f"{name}\t{flag}\tc1\t1\t9\t{len(seq)}M\t*\t0\t0\t{seq}\t{qual}\n" for name, flag, seq, qual in records))
+    got = sorted(map(tuple, inputs.read_pairs(spark, f"{tmp_path}/x.sam").collect()))
+    assert got == [("a", "ACGT", "IJKL", "TT", "MN"), ("b", "GG", "KL", "CATT", "OPQR")]
