@@ -1,4 +1,5 @@
-"""Base quality recalibration over exploded bases (contig_id, rpos, cycle, flag, bq, ref_base, base_call, rec_id)."""
+"""Reads as bases, and base quality recalibration over bases (contig_id, rpos, cycle, flag, bq, ref_base, base_call,
+rec_id, and before, the call before in the read, where there is one)."""
 
 from __future__ import annotations
 
@@ -9,9 +10,38 @@ from regionflow.functions import reads as R
 from regionflow.operators.store import cut
 
 
+#: Records whose bases count nowhere.
+SKIPPED = R.UNMAPPED | R.SECONDARY | R.QCFAIL | R.DUPLICATE
+
+
+def explode(reads: DataFrame) -> DataFrame:
+    """A row per base of reads (contig_id, pos, flag, cigar, seq, qual, and columns that are kept) that stands over a
+    base of the reference: rpos, cycle (its place in seq from 1, clips and insertions counted), bq, base_call, before
+    (the call before in seq; null for a first one) in place of pos, cigar, seq and qual.
+
+    Clipped and inserted bases, N, and records that are unmapped, secondary, failing or flagged as duplicates have no
+    rows; nor have records without sequence, qualities or CIGAR. Supplementary ones stay. A CIGAR or qualities of
+    another length than the sequence are an error."""
+    kept = [F.col(f"`{c}`") for c in reads.columns if c not in ("pos", "cigar", "seq", "qual")]
+    used = reads.where((F.col("flag").bitwiseAND(SKIPPED) == 0) & (F.col("seq") != "*") & (F.col("qual") != "*") & (F.col("cigar") != "*"))
+    ops = R.cigar(F.col("cigar"))
+    fits = (R.cigar_sum(ops, "MIS=X") == F.length("seq")) & (F.length("qual") == F.length("seq"))
+    ops = F.when(fits, ops).otherwise(F.raise_error(F.concat_ws(" ", F.lit("lengths differ:"), "cigar", "seq", "qual")))
+    each = F.transform(ops, lambda x, i: F.struct(x["op"].alias("op"), x["len"].alias("len"), R.reference_span(F.slice(ops, F.lit(1), i)).alias("ref"), R.cigar_sum(F.slice(ops, F.lit(1), i), "MIS=X").alias("own")))
+    runs = used.select(*kept, "pos", "seq", "qual", F.explode(F.filter(each, lambda x: x["op"].isin("M", "=", "X") & (x["len"] > 0))).alias("_run"))
+    bases = runs.select("*", F.explode(F.sequence(F.lit(1), F.col("_run.len"))).alias("_k")).withColumn("cycle", F.col("_run.own") + F.col("_k"))
+    call = lambda at: F.upper(F.substring("seq", at, 1))
+    return bases.select(
+        *kept, (F.col("pos") + F.col("_run.ref") + F.col("_k") - 1).alias("rpos"), "cycle", (F.ascii(F.substring("qual", F.col("cycle"), 1)) - 33).alias("bq"),
+        call(F.col("cycle")).alias("base_call"), F.when(F.col("cycle") > 1, call(F.col("cycle") - 1)).alias("before"),
+    ).where("base_call <> 'N'")
+
+
 def with_covariates(bases: DataFrame) -> DataFrame:
-    """bases with cyc (negative for the second mate) and ctx (the base before and the base; null for a first base)."""
-    before = F.lag("base_call").over(Window.partitionBy("rec_id").orderBy("cycle"))
+    """bases with cyc (negative for the second mate) and ctx (the base before and the base; null for a first base, and
+    after N). Without a column before, the base before is that of the last cycle that bases has."""
+    own = "before" in bases.columns
+    before = F.when(F.col("before") != "N", F.col("before")) if own else F.lag("base_call").over(Window.partitionBy("rec_id").orderBy("cycle"))
     cyc = F.when(R.has(F.col("flag"), R.READ2), -F.col("cycle")).otherwise(F.col("cycle"))
     return bases.withColumn("cyc", cyc).withColumn("ctx", F.concat(before, F.col("base_call")))
 

@@ -32,3 +32,9 @@ def mark(reads: DataFrame) -> DataFrame:
     both = paired.unionByName(single)
     first = F.row_number().over(here.orderBy(F.col("is_pair").desc(), F.desc("score"), "rec_id")) > 1
     return both.withColumn("first", first).select("rec_id", "is_pair", F.when(F.col("is_pair"), F.col("dup")).otherwise(F.col("first")).alias("duplicate"))
+
+
+def flagged(reads: DataFrame) -> DataFrame:
+    """reads with the duplicate bit set in the flag of those that mark finds, beside those that had it."""
+    found = mark(reads).where("duplicate").select("rec_id", F.lit(R.DUPLICATE).alias("_bit"))
+    return reads.join(found, "rec_id", "left").withColumn("flag", F.col("flag").bitwiseOR(F.coalesce("_bit", F.lit(0)))).select(*reads.columns)

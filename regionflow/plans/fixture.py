@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regionflow.operators import bqsr
+
 N_REGIONS = 20
 
 
@@ -48,14 +50,13 @@ class Genome:
 
     def panel(self) -> DataFrame:
         return self.reads().where("(flag & 2820) = 0 and cigar = '32M'").selectExpr(
-            "rec_id", "cast(l_orderkey % 5 as int) as contig_id", "1 + (l_orderkey * 7919 + l_partkey) % 2000 as pos", "flag", "mapq", "qual", "l_orderkey", "l_partkey", "l_linenumber"
+            "rec_id", "cast(l_orderkey % 5 as int) as contig_id", "1 + (l_orderkey * 7919 + l_partkey) % 2000 as pos", "flag", "mapq", "cigar", "seq", "qual", "l_orderkey", "l_partkey", "l_linenumber"
         )
 
     def bases(self) -> DataFrame:
-        """The panel's reads, a row per base, against a formula reference with planted variants."""
-        b = self.panel().selectExpr("*", "explode(sequence(1, 32)) as cycle").selectExpr(
-            "rec_id", "contig_id", "pos + cycle - 1 as rpos", "cycle", "flag", "mapq", "ascii(substr(qual, cycle, 1)) - 33 as bq", "l_orderkey", "l_partkey", "l_linenumber"
-        )
+        """The panel's reads, a row per base, against a formula reference with planted variants. The calls are those of
+        the formula instead of the reads' own."""
+        b = bqsr.explode(self.panel()).drop("base_call", "before")
         b = b.withColumn("rb", F.expr("cast((rpos * 31 + contig_id * 17 + ((rpos * rpos) % 7)) % 4 as int)"))
         t = F.broadcast(self.truth().selectExpr("contig_id as t_c", "pos as t_p", "gt"))  # 100 rows
         b = b.join(t, (F.col("contig_id") == F.col("t_c")) & (F.col("rpos") == F.col("t_p")), "left")

@@ -1,5 +1,6 @@
 import gzip
 import math
+import re
 import struct
 import zlib
 from fractions import Fraction
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from regionflow.functions import reads as R
-from regionflow.operators import bqsr, calling, genome, ingest, route, variants
+from regionflow.operators import bqsr, calling, dedup, genome, ingest, route, variants
 from regionflow.plans import pipeline
 from regionflow.sources import ingest as inputs
 from regionflow.sources import sequence, text
@@ -207,3 +208,42 @@ def test_a_split_alignment_does_not_cost_its_pair(spark, tmp_path):
     (tmp_path / "x.sam").write_text("".join(f"{name}\t{flag}\tc1\t1\t9\t{len(seq)}M\t*\t0\t0\t{seq}\t{qual}\n" for name, flag, seq, qual in records))
     got = sorted(map(tuple, inputs.read_pairs(spark, f"{tmp_path}/x.sam").collect()))
     assert got == [("a", "ACGT", "IJKL", "TT", "MN"), ("b", "GG", "KL", "CATT", "OPQR")]
+
+
+READS = "rec_id string, qname string, flag int, contig_id int, pos long, cigar string, seq string, qual string"
+
+
+def slow_bases(rec, pos, cigar, seq, qual):
+    out, at = [], 0
+    for n, op in re.findall(r"(\d+)([MIDNSHP=X])", cigar):
+        for _ in range(int(n)):
+            if op in "M=X" and seq[at] != "N":
+                out.append((rec, pos, at + 1, ord(qual[at]) - 33, seq[at], seq[at - 1] if at else None))
+            at += op in "MIS=X"
+            pos += op in "MDN=X"
+    return out
+
+
+def test_reads_become_bases_by_their_cigar(spark):
+    seq, qual = "ACGTNACGGTCATTGACNGTACCATGACTTGA", "".join(chr(33 + k) for k in range(32))
+    cigars = ["5S27M", "20M2I10M", "20M3D9M3S", "32M", "2H3S10M5N4=1X0M12M2S1H", "1I30M1S", "32S"]
+    rows = [(f"r{i}", f"q{i}", 65, 1, 100, c, seq, qual) for i, c in enumerate(cigars)]
+    rows += [(f"f{f}", f"f{f}", f, 1, 100, "32M", seq, qual) for f in (69, 321, 577, 1089)]  # unmapped, secondary, failing, duplicate
+    rows += [("s", "s", 2113, 1, 100, "32M", seq, qual), ("n1", "n1", 65, 1, 100, "*", seq, qual), ("n2", "n2", 65, 1, 100, "32M", seq, "*"), ("n3", "n3", 65, 1, 100, "32M", "*", "*")]
+    got = bqsr.explode(spark.createDataFrame(rows, READS))
+    assert got.columns == ["rec_id", "qname", "flag", "contig_id", "rpos", "cycle", "bq", "base_call", "before"]
+    want = [b for i, c in enumerate(cigars) for b in slow_bases(f"r{i}", 100, c, seq, qual)] + slow_bases("s", 100, "32M", seq, qual)
+    key = lambda r: (r[0], r[2])
+    assert sorted((tuple(r) for r in got.select("rec_id", "rpos", "cycle", "bq", "base_call", "before").collect()), key=key) == sorted(want, key=key)
+    ctx = {(r.rec_id, r.cycle): r.ctx for r in bqsr.with_covariates(got).collect()}
+    assert (ctx["r0", 7], ctx["r0", 6], ctx["r1", 23], ctx["r3", 1]) == ("AC", None, seq[21] + seq[22], None)
+    with pytest.raises(Exception, match="lengths differ"):
+        bqsr.explode(spark.createDataFrame([("x", "x", 65, 1, 1, "31M", seq, qual)], READS)).collect()
+
+
+def test_duplicates_leave_no_bases(spark):
+    row = lambda rec, q: (rec, rec, 65, 1, 100, "4M", "ACGT", q * 4)
+    reads = spark.createDataFrame([row("a", "I"), row("b", "5"), ("c", "c", 65, 1, 101, "4M", "ACGT", "5555"), ("u", "u", 69, 1, 100, "4M", "ACGT", "5555")], READS)
+    marked = dedup.flagged(reads)
+    assert {r.rec_id: r.flag for r in marked.collect()} == {"a": 65, "b": 65 + 1024, "c": 65, "u": 69} and marked.columns == reads.columns
+    assert {r.rec_id for r in bqsr.explode(marked).collect()} == {"a", "c"}
