@@ -4,7 +4,8 @@ Templates are short license statements and notices. A template of T shingles bel
 two; texts are cut into windows of the class that overlap so far that any occurrence lies whole in one. Only windows
 that hold some template shingle, found by one probe per word in a broadcast hash table, can match, and only those get
 MinHash signatures; a window whose signature agrees with a template's in a band retrieves it, and exact containment of
-the template's shingles in the window decides. band_settings derives the bands from the least similarity that a window
+the template's shingles in the window decides. Templates of different names that share so many shingles that one cannot
+match without them are rivals; where both match, the one that more of its own shingles speak for stands. band_settings derives the bands from the least similarity that a window
 over the containment threshold can have, so that all but MISS of such windows collide.
 """
 
@@ -32,13 +33,14 @@ TEMPLATES = [
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "licensed under the GNU Lesser General Public License, version 3"),
     ("AGPL-3.0", "licensed under the GNU Affero General Public License, version 3"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
 ]
 
 
@@ -98,20 +100,46 @@ def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> Dat
     return t.withColumn("class", F.greatest(F.lit(SMALLEST), F.pow(2, F.ceil(F.log2(F.size("set")))).cast("int")))
 
 
+def with_rivals(table: DataFrame) -> DataFrame:
+    """table (of template_table) with rivals: array of (rival, own, rests). rival is a template of another name that
+    shares shingles; own are the shingles that it lacks; rests is whether own is less than CONTAINMENT of all, so that
+    a match rests on shared ones. A pair is listed on both sides, if either rests on the other. Pairs of templates: few."""
+    a, b = table.select("template", "spdx", "set"), table.select(F.col("template").alias("rival"), F.col("spdx").alias("r_spdx"), F.col("set").alias("r_set"))
+    own, theirs = F.array_except("set", "r_set"), F.array_except("r_set", "set")
+    rests = lambda x, of: F.size(x) < CONTAINMENT * F.size(of)
+    pairs = a.join(F.broadcast(b), (F.col("spdx") != F.col("r_spdx")) & F.arrays_overlap("set", "r_set")).where(rests(own, "set") | rests(theirs, "r_set"))
+    listed = pairs.groupBy("template").agg(F.collect_list(F.struct("rival", own.alias("own"), rests(own, "set").alias("rests"))).alias("rivals"))
+    none = F.array().cast("array<struct<rival:int,own:array<string>,rests:boolean>>")
+    return table.join(F.broadcast(listed), "template", "left").withColumn("rivals", F.coalesce("rivals", none))
+
+
+def outdone(hits: DataFrame) -> DataFrame:
+    """o_id, o_text, o_template, o_start of the windows whose match rests on shingles shared with a rival that matches
+    in a window over their middle with a larger share of its own shingles. Few templates have rivals."""
+    each = hits.where(F.size("own") > 0).select("k_id", "k_text", "template", "start", "n", F.explode("own").alias("o")).distinct()
+    a = each.where("o.rests").select(F.col("k_id").alias("o_id"), F.col("k_text").alias("o_text"), F.col("template").alias("o_template"), F.col("start").alias("o_start"), (F.col("start") + F.col("n") / 2).alias("middle"), F.col("o.rival").alias("a_rival"), F.col("o.share").alias("a_share"))
+    on = (
+        F.col("k_id").eqNullSafe(F.col("o_id")) & (F.col("k_text") == F.col("o_text")) & (F.col("template") == F.col("a_rival")) & (F.col("o.rival") == F.col("o_template"))
+        & (F.col("o.share") > F.col("a_share")) & F.col("middle").between(F.col("start"), F.col("start") + F.col("n"))
+    )
+    return a.join(each, on, "left_semi").select("o_id", "o_text", "o_template", "o_start").distinct()
+
+
 def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """One row per row of docs: k_id, k_text, matches: array of (spdx, template, containment as shingles found per
-    shingle of the template, start and end word of the first window), by template.
+    shingle of the template, start and end word of the first window, outdone: whether a rival stands for it in each of
+    its windows), by template. The first of the best windows is told, of those that are not outdone if there are any.
 
     A template matches where a window holds CONTAINMENT or more of its distinct shingles. Words are those of
     decontaminate.words. Null, empty and short texts have no matches; repeated rows get the same matches each; an
     empty table gives no rows; other columns are not looked at. templates is a bounded list that is broadcast.
     """
     spark = docs.sparkSession
-    table = cut(template_table(spark, templates))
+    table = cut(with_rivals(template_table(spark, templates)))
     classes = sorted(r[0] for r in table.select("class").distinct().collect())
     key = [F.col(id_col).alias("k_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("k_text")]
     every = docs.select(*key)
-    none = F.array().cast("array<struct<spdx:string,template:int,containment:double,start:int,end:int>>")
+    none = F.array().cast("array<struct<spdx:string,template:int,containment:double,start:int,end:int,outdone:boolean>>")
     if not classes:
         return every.withColumn("matches", none)
     probes = table.select(F.explode("set").alias("s"), "class").select(F.xxhash64(F.split("s", " ")).alias("h"), "class")
@@ -133,19 +161,22 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         cells.select("k_id", "k_text", "class", "start", F.size("part").alias("n"), F.array_distinct(shingles(F.col("part"))).alias("set"))
         .withColumn("hashed", F.transform("set", lambda s: F.xxhash64(s)))
     )
-    keyed = table.select("template", "spdx", F.col("set").alias("wanted"), F.explode(bands("hashed", classes)).alias("band"))
+    keyed = table.select("template", "spdx", F.col("set").alias("wanted"), "rivals", F.explode(bands("hashed", classes)).alias("band"))
+    share = lambda x: F.size(F.array_intersect("set", x["own"])) / F.greatest(F.size(x["own"]), F.lit(1))
     hits = (
         cells.withColumn("band", F.explode(bands("hashed", classes)))
         .join(F.broadcast(cut(keyed)), "band")
-        .select("k_id", "k_text", "start", "n", "template", "spdx", (F.size(F.array_intersect("set", "wanted")) / F.size("wanted")).alias("containment"))
+        .select("k_id", "k_text", "start", "n", "template", "spdx", (F.size(F.array_intersect("set", "wanted")) / F.size("wanted")).alias("containment"), F.transform("rivals", lambda x: F.struct(x["rival"].alias("rival"), share(x).alias("share"), x["rests"].alias("rests"))).alias("own"))
         .where(F.col("containment") >= CONTAINMENT)
     )
+    of = F.col("k_id").eqNullSafe(F.col("o_id")) & (F.col("k_text") == F.col("o_text")) & (F.col("template") == F.col("o_template")) & (F.col("start") == F.col("o_start"))
+    hits = hits.join(outdone(hits), of, "left").select("k_id", "k_text", "start", "n", "template", "spdx", "containment", F.col("o_template").isNull().alias("stands"))
     best = (
         hits.groupBy("k_id", "k_text", "template", "spdx")
-        .agg(F.max(F.struct("containment", (-F.col("start")).alias("at"), "n")).alias("b"))
+        .agg(F.max(F.struct("stands", "containment", (-F.col("start")).alias("at"), "n")).alias("b"))
         .groupBy("k_id", "k_text")
-        .agg(F.array_sort(F.collect_list(F.struct("template", "spdx", F.col("b.containment").alias("containment"), (-F.col("b.at")).alias("start"), (F.col("b.n") - F.col("b.at")).alias("end")))).alias("m"))
-        .select(F.col("k_id").alias("f_id"), F.col("k_text").alias("f_text"), F.transform("m", lambda x: F.struct(x["spdx"].alias("spdx"), x["template"].alias("template"), x["containment"].alias("containment"), x["start"].cast("int").alias("start"), x["end"].cast("int").alias("end"))).alias("m"))
+        .agg(F.array_sort(F.collect_list(F.struct("template", "spdx", F.col("b.containment").alias("containment"), (-F.col("b.at")).alias("start"), (F.col("b.n") - F.col("b.at")).alias("end"), (~F.col("b.stands")).alias("outdone")))).alias("m"))
+        .select(F.col("k_id").alias("f_id"), F.col("k_text").alias("f_text"), F.transform("m", lambda x: F.struct(x["spdx"].alias("spdx"), x["template"].alias("template"), x["containment"].alias("containment"), x["start"].cast("int").alias("start"), x["end"].cast("int").alias("end"), x["outdone"].alias("outdone"))).alias("m"))
     )
     on = F.col("k_id").eqNullSafe(F.col("f_id")) & (F.col("k_text") == F.col("f_text"))
     return every.join(best, on, "left").select("k_id", "k_text", F.coalesce("m", none).alias("matches"))

@@ -67,8 +67,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_licenses, licenses (distinct SPDX names in order, comma-joined), templates (numbers, likewise)."""
-    found = licenses.find_licenses(table(spark, sf_dir, "documents"))
+    """doc_id, n_licenses, licenses (distinct SPDX names in order, comma-joined), templates (numbers, likewise)
+    of the matches that no rival outdoes."""
+    found = licenses.find_licenses(table(spark, sf_dir, "documents")).withColumn("matches", F.filter("matches", lambda x: ~x["outdone"]))
     names = F.array_sort(F.array_distinct(F.col("matches.spdx")))
     return found.select(
         F.col("k_id").alias("doc_id"), F.size(names).cast("long").alias("n_licenses"), F.array_join(names, ",").alias("licenses"),

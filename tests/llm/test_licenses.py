@@ -54,3 +54,22 @@ def test_scan_equals_brute_force(spark):
     for r in got:
         assert {m.template for m in r.matches} == slow(texts[4] if r.k_id is None else texts[r.k_id]), r
     assert li.find_licenses(df.limit(0)).count() == 0
+
+
+def test_rivals_that_share_their_text(spark):
+    body = dict(li.TEMPLATES)  # the last, that is the long, one of each name
+    warranty = body["GPL-3.0"][body["GPL-3.0"].index("This program is distributed") :]
+    filler = "other words " * 400
+    texts = {
+        "BSD-2-Clause": f"{body['BSD-2-Clause']} THIS SOFTWARE IS PROVIDED AS IS",
+        "BSD-3-Clause": f"{body['BSD-3-Clause'].replace('copyright holder nor', 'Example Organization nor')} THIS SOFTWARE IS PROVIDED AS IS",
+        "GPL-3.0": body["GPL-3.0"],
+        "GPL-2.0": f"{body['GPL-2.0']} {warranty}",
+        "BSD-2-Clause,BSD-3-Clause": f"{body['BSD-3-Clause']} {filler} {body['BSD-2-Clause']}",
+        "GPL-2.0,GPL-3.0": f"{body['GPL-2.0']} {warranty} {filler} {body['GPL-3.0']}",
+        "CC-BY-4.0,GPL-3.0": f"{li.TEMPLATES[5][1]}. {body['CC-BY-4.0']}.",
+        "Apache-2.0,MIT": f"{li.TEMPLATES[0][1]} {li.TEMPLATES[2][1]}",
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    got = {r.k_id: ",".join(sorted({m.spdx for m in r.matches if not m.outdone})) for r in li.find_licenses(df).collect()}
+    assert got == {k: k for k in texts}
