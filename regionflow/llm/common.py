@@ -84,15 +84,17 @@ def keep_rows(docs: DataFrame, decisions: DataFrame, id_col: str, text_col: str)
     return out.select("row.*")
 
 
-def bounded_sample(df: DataFrame, class_col: str, id_col: str, per_class: int, classes: int) -> DataFrame:
-    """About per_class rows of each of the most frequent classes, and never over twice that in all, by a hash of the
-    id: the same rows whatever the partitions."""
-    counted = df.groupBy(class_col).count().orderBy(F.desc("count"), class_col).limit(classes).collect()
+def bounded_sample(df: DataFrame, class_col: str, id_col: str, per_class: int, classes: int | None = None) -> DataFrame:
+    """About per_class rows of each class (of the most frequent ones, if classes is given), and never over twice that in
+    all, by a hash of the id: the same rows whatever the partitions."""
+    counted = df.groupBy(class_col).count().orderBy(F.desc("count"), class_col)
+    counted = [(value, n) for value, n in (counted if classes is None else counted.limit(classes)).collect() if value is not None]
+    if not counted:
+        return df.limit(0)
     place = F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1_000_000))
-    wanted = F.lit(False)
-    for value, n in counted:
-        wanted = wanted | ((F.col(class_col) == F.lit(value)) & (place < int(1_000_000 * min(1.0, per_class / n))))
-    return df.where(wanted).limit(2 * per_class * max(1, len(counted)))
+    kind = df.schema[class_col].dataType
+    below = F.create_map(*[x for value, n in counted for x in (F.lit(value).cast(kind), F.lit(int(1_000_000 * min(1.0, per_class / n))))])
+    return df.where(place < F.try_element_at(below, F.col(class_col))).limit(2 * per_class * len(counted))
 
 
 def remainder(id_col: str, k: int):

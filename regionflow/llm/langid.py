@@ -20,10 +20,11 @@ from pyspark.sql import types as T
 from regionflow.llm.common import bounded_sample, remainder
 
 PENALTY = 12.0
-#: Bound of the sample that scores are learned from: texts of a language, languages, code points of a text.
-PER_LANGUAGE, LANGUAGES, LONGEST = 1000, 24, 100_000
+#: Bound of the sample that scores are learned from: texts of a language, code points of a text.
+PER_LANGUAGE, LONGEST = 1000, 100_000
 SYMBOLS = 96
-SLICE = 1024
+#: Texts that are worked at once, with up to so many languages; fewer with more.
+SLICE, SLICE_LANGUAGES = 1024, 24
 NO_CANDIDATE = -1e4
 #: Unicode ranges of scripts, first and last code point.
 SCRIPTS = [
@@ -88,10 +89,12 @@ def sequences(symbols: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """languages; symbol of each code point; log probabilities, codes x languages; candidates, scripts x languages."""
+    """languages; symbol of each code point; row of each code in logs, 0 for those that no language has; log
+    probabilities, rows x languages; candidates, scripts x languages."""
 
     languages: list[str]
     symbol: dict[int, int]
+    row: np.ndarray
     logs: np.ndarray
     candidates: np.ndarray
 
@@ -106,7 +109,7 @@ class Model:
         if not len(w["at"]):
             return w, np.zeros(0, np.int64)
         code = sequences(lookup[w["letters"]])
-        scores = np.add.reduceat(self.logs[code] * (w["letters"] > 0)[:, None], w["at"], axis=0)
+        scores = np.add.reduceat(self.logs[self.row[code]] * (w["letters"] > 0)[:, None], w["at"], axis=0)
         scores += np.where(self.candidates[w["script"]], 0, NO_CANDIDATE)
         counts = np.bincount(w["text"], minlength=len(texts))
         return w, viterbi(scores.astype(np.float64), counts)
@@ -120,7 +123,7 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float = PENALTY) ->
     order = order[counts[order] > 0]
     at, size = begins[order], counts[order]
     active = np.searchsorted(-size, -np.arange(1, size[0] + 1), "right") if len(size) else []
-    back, label, every = np.empty((n, k), np.uint8), np.empty(n, np.int64), np.arange(k)
+    back, label, every = np.empty((n, k), np.min_scalar_type(max(k - 1, 0))), np.empty(n, np.int64), np.arange(k)
     v = scores[at].copy()
     for t in range(1, len(active)):
         a = active[t]
@@ -143,12 +146,16 @@ def train(texts: list[str], languages: list[str]) -> Model:
     w = words(texts)
     used, n = np.unique(w["letters"][w["letters"] > 0], return_counts=True)
     frequent = used[np.lexsort((used, -n))][: SYMBOLS - 2]
-    model = Model(names, {int(c): i + 1 for i, c in enumerate(frequent)}, np.zeros((SYMBOLS**3, len(names)), np.float32), np.zeros((len(NAMES), len(names)), bool))
+    model = Model(names, {int(c): i + 1 for i, c in enumerate(frequent)}, np.zeros(SYMBOLS**3, np.int32), np.zeros((0, len(names)), np.float32), np.zeros((len(NAMES), len(names)), bool))
     code = sequences(model.lookup()[w["letters"]])
-    of = np.array([names.index(x) for x in languages])[w["text"]] if len(w["text"]) else np.zeros(0, np.int64)
+    number = {x: i for i, x in enumerate(names)}
+    of = np.array([number[x] for x in languages])[w["text"]] if len(w["text"]) else np.zeros(0, np.int64)
     by_letter = np.repeat(of, w["size"] + 1)
+    found = np.unique(code[w["letters"] > 0])
+    model.row[found] = np.arange(1, len(found) + 1)
+    model.logs = np.zeros((len(found) + 1, len(names)), np.float32)
     for k in range(len(names)):
-        counts = np.bincount(code[(by_letter == k) & (w["letters"] > 0)], minlength=SYMBOLS**3)
+        counts = np.bincount(model.row[code[(by_letter == k) & (w["letters"] > 0)]], minlength=len(found) + 1)
         model.logs[:, k] = np.log((counts + 0.05) / (counts.sum() + 0.05 * 20_000))
         script = np.bincount(w["script"][of == k], minlength=len(NAMES))
         model.candidates[:, k] = script >= max(1, 0.01 * script.sum())
@@ -157,14 +164,13 @@ def train(texts: list[str], languages: list[str]) -> Model:
 
 
 def train_from(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", learnable=None) -> Model:
-    """Learns from about PER_LANGUAGE texts of each of the LANGUAGES most frequent languages, LONGEST code points each
-    at most, among rows of docs for which learnable (a condition on the id) holds. Null languages and texts are left
+    """Learns from about PER_LANGUAGE texts of every language, LONGEST code points each at most, among rows of docs for which learnable (a condition on the id) holds. Null languages and texts are left
     out."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= LONGEST))
     if learnable is not None:
         known = known.where(learnable)
     known = known.select(F.col(id_col).alias("l_id"), F.col(lang_col).cast("string").alias("l"), F.col(text_col).alias("t"))
-    rows = bounded_sample(known, "l", "l_id", PER_LANGUAGE, LANGUAGES).collect()
+    rows = bounded_sample(known, "l", "l_id", PER_LANGUAGE).collect()
     rows.sort(key=lambda r: (r.l, r.l_id, r.t))
     return train([r.t for r in rows], [r.l for r in rows])
 
@@ -186,9 +192,10 @@ def identify(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup, names = model.lookup(), np.array([*model.languages, "und"], object)
+        step = max(1, SLICE * SLICE_LANGUAGES // max(SLICE_LANGUAGES, len(model.languages)))
         for whole in batches:
-            for i in range(0, whole.num_rows, SLICE):
-                b = whole.slice(i, SLICE)
+            for i in range(0, whole.num_rows, step):
+                b = whole.slice(i, step)
                 n, k = b.num_rows, len(model.languages)
                 if k:
                     w, label = model.label(b.column(len(keep)).to_pylist(), lookup)

@@ -54,3 +54,22 @@ def test_held_out_accuracy():
     w, label = model.label([t for t, _ in pairs[1::2]], model.lookup())
     right = [model.languages[label[w["text"] == i][0]] == k for i, (_, k) in enumerate(pairs[1::2])]
     assert np.mean(right) > 0.99
+
+
+def test_every_language_is_learned(spark):
+    """Thirty languages, the last ones with the fewest texts, each of three letters of its own order."""
+    names = [f"l{i:02}" for i in range(30)]
+    words_of = {n: ["".join(p) for p in itertools.product("abcdefghijklmnoprstuvwyzäöüßéè"[i] + "xq", repeat=3)] for i, n in enumerate(names)}
+    rng = random.Random(3)
+    said = lambda n: " ".join(rng.choice([w for w in words_of[n] if w[0] not in "xq"]) for _ in range(20))
+    rows = [(1000 * i + k, said(n), n) for i, n in enumerate(names) for k in range(40 - i)] + [(None, "no language", None)]
+    model = langid.train_from(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == names
+    asked = spark.createDataFrame([(n, said(n)) for n in names], "want string, text string")
+    assert langid.identify(asked, model).where("want <> lang_pred").count() == 0
+
+
+def test_viterbi_over_many_labels():
+    scores = np.zeros((4, 300))
+    scores[:2, 299], scores[2:, 280] = 9.0, 9.0
+    assert langid.viterbi(scores, np.array([4]), 1.0).tolist() == [299, 299, 280, 280]
