@@ -56,6 +56,12 @@ def _(g):
     return genome.with_empty(g.spark.range(N_REGIONS).withColumnRenamed("id", "region"), n)
 
 
+@query("region_all", "SELECT r AS region, coalesce(n, 0) AS n FROM rid LEFT JOIN (SELECT region, count(*) AS n FROM reads JOIN iv ON reads.contig_id = iv.contig_id AND pos BETWEEN lo AND hi GROUP BY 1) x ON r = region", halo=0)
+def _(g):
+    n = genome.points_in(g.reads().select("contig_id", "pos"), iv(g, 0)).groupBy("region").agg(F.count("*").alias("n"))
+    return genome.with_empty(g.spark.range(N_REGIONS).withColumnRenamed("id", "region"), n)
+
+
 @query("reads_scan", "SELECT qname, rec_id, contig_id, pos, mapq, flag, cigar, seq, qual FROM reads")
 def _(g):
     return g.reads().select("qname", "rec_id", "contig_id", "pos", "mapq", "flag", "cigar", "seq", "qual")
@@ -149,6 +155,13 @@ def _(g):
     return ingest.zip_pairs(file("l_linenumber = 1 and l_partkey % 7 = 0"), file("l_linenumber = 1 and l_suppkey % 3 = 0"))
 
 
+@query("zip_all", "SELECT row_number() OVER (ORDER BY rec_id) - 1 AS n, qname, rec_id AS r1, rec_id AS r2 FROM reads")
+def _(g):
+    file = ingest.numbered(g.reads().selectExpr("rec_id", "qname"), ["rec_id"])
+    side = lambda k: file.selectExpr("n", f"concat(qname, ' {k}') as name", "rec_id")
+    return ingest.zip_pairs(side(1), side(2))
+
+
 @query("interleaved_pairs", "SELECT n // 2 AS pair, max(rec_id) FILTER (n % 2 = 0) AS r1, max(rec_id) FILTER (n % 2 = 1) AS r2 FROM (SELECT rec_id, row_number() OVER (ORDER BY rec_id) - 1 AS n FROM reads) GROUP BY 1 HAVING count(*) = 2")
 def _(g):
     return ingest.interleaved(ingest.numbered(g.reads().select("rec_id"), ["rec_id"]))

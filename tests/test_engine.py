@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from regionflow.functions import reads as R
 from regionflow.operators import bqsr, calling, dedup, genome, ingest, route, variants
-from regionflow.plans import pipeline
+from regionflow.plans import pipeline, queries
 from regionflow.sources import ingest as inputs
 from regionflow.sources import sequence, text
 from regionflow.streaming import ingest as streaming
@@ -247,3 +247,22 @@ def test_duplicates_leave_no_bases(spark):
     marked = dedup.flagged(reads)
     assert {r.rec_id: r.flag for r in marked.collect()} == {"a": 65, "b": 65 + 1024, "c": 65, "u": 69} and marked.columns == reads.columns
     assert {r.rec_id for r in bqsr.explode(marked).collect()} == {"a", "c"}
+
+
+def test_whole_reads_are_counted_and_zipped():
+    assert {"region_all", "zip_all"} <= set(queries.ORACLES)
+
+
+def test_empty_regions_are_told(spark):
+    reads = spark.createDataFrame([(0, 1), (0, 2), (0, 9), (1, 7)], "contig_id int, pos long")
+    n = genome.points_in(reads, genome.intervals(contigs(spark, 10, 7, 3), 6)).groupBy("region").agg(F.count("*").alias("n"))
+    regions = spark.range(6).withColumnRenamed("id", "region")
+    assert {r.region: r.n for r in genome.with_empty(regions, n).collect()} == {0: 2, 1: 0, 2: 1, 3: 0, 4: 1, 5: 0}
+
+
+def test_unequal_files_are_zipped_as_far_as_both_go(spark):
+    file = lambda k, names: spark.createDataFrame([(i, f"{name} {k}", f"{name}{k}") for i, name in enumerate(names)], "n long, name string, rec_id string")
+    for a, b in (("pqrs", "pq"), ("pq", "pqrs")):
+        assert sorted(map(tuple, ingest.zip_pairs(file(1, a), file(2, b)).collect())) == [(0, "p", "p1", "p2"), (1, "q", "q1", "q2")]
+    with pytest.raises(Exception, match="names differ"):
+        ingest.zip_pairs(file(1, "pq"), file(2, "pr")).collect()
