@@ -37,10 +37,7 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, every = F.col("secrets.base"), F.concat("secrets.base", "secrets.weak")
     order = F.create_map(*[F.lit(x) for pair in ((k, i) for i, k in enumerate(secrets.KINDS)) for x in pair])
     listed = lambda xs: F.array_join(F.transform(xs, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
-    by_place = F.transform(
-        F.array_sort(F.transform(every, lambda x: F.struct(x["start"].alias("start"), order[x["kind"]].alias("o"), x["end"].alias("end"), x["kind"].alias("kind")))),
-        lambda x: x,
-    )
+    by_place = F.array_sort(F.transform(every, lambda x: F.struct(x["start"].alias("start"), order[x["kind"]].alias("o"), x["end"].alias("end"), x["kind"].alias("kind"))))
     n = lambda kind: F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select(
         "doc_id", n("assign"), n("access"), n("hex"), F.sha2(listed(base), 256).alias("base_sha256"), listed(by_place).alias("spans"),

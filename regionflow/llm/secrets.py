@@ -30,8 +30,8 @@ _ASSIGN_HINT = re.compile(r"(?ai)passw|secret|token|api_?key")
 _HEX_LONG = re.compile(r"[0-9a-f]{16,}")
 #: Parts that count only next to their complement, in the order of kinds after the base ones.
 WEAK = {
-    "weak_access": re.compile(r"(?a)\b(?:AKIA|ASIA|AGPA|AROA)[A-Z0-9]{8,}|\b(?i:access_?key_?id|client_?id|user_?name|login)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.@-]{4,}"),
-    "weak_secret": re.compile(r"(?a)(?i:password|passwd|secret|token|api_?key|pwd|client_secret)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{6,}|(?<![A-Za-z0-9+/_=-])(?=[a-z0-9+/]*[A-Z])(?=[A-Z0-9+/]*[a-z])(?=[A-Za-z+/]*[0-9])[A-Za-z0-9+/]{20,64}={0,2}(?![A-Za-z0-9+/_=-])"),
+    "weak_access": re.compile(r"(?a)\b(?:AKIA|ASIA|AGPA|AROA)[A-Z0-9]{8,}|(?<![A-Za-z0-9])(?i:access_?key(?:_?id)?|client_?id|user_?name|login)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.@-]{4,}"),
+    "weak_secret": re.compile(r"(?a)(?i:password|passwd|secret|token|api_?key|pwd|client_secret)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{6,}|(?<![A-Za-z0-9+/_=-])(?=[a-z0-9+/]*[A-Z])(?=[A-Z0-9+/]*[a-z])(?=[A-Za-z+/]*[0-9])[A-Za-z0-9+/]{20,}={0,2}(?![A-Za-z0-9+/_=-])"),
     "endpoint": re.compile(r"(?a)\b(?:https?|ftp|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[A-Za-z0-9_.:@/-]{4,}|\b(?:\d{1,3}\.){3}\d{1,3}(?::\d{2,5})?\b"),
 }
 KINDS = [*BASE, *WEAK]
