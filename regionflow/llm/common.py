@@ -12,6 +12,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: A side of a join is broadcast only when it has been counted and has no more rows than this.
 BROADCAST_ROWS = 500_000
+#: A group is hot if it holds more than this share of all rows; there are fewer such groups than one in the share.
+HOT = 1 / 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +26,12 @@ def ascii_lower(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; one of our own only where the session has none."""
+    """The folder of spark.checkpoint.dir. A session without one gets a local folder if it runs in one process, as tests
+    do; on a cluster, whose executors would each see a folder of their own, that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="regionflow-")
         spark.conf.set("spark.checkpoint.dir", found)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -51,6 +56,15 @@ def join_small(df: DataFrame, keys: DataFrame, on: Column, how: str) -> DataFram
     return df.join(side, on, how)
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size_col: str, total: int) -> DataFrame:
+    """rows joined with the one group that each belongs to, by keys without nulls. size_col counts the rows of a group,
+    total all of them. Groups over the share HOT, fewer than 1 / HOT, are broadcast, so none makes a shuffled partition
+    large; the rows of the others shuffle. rows is read twice and should be cut."""
+    hot = F.col(size_col) > int(total * HOT)
+    few = F.broadcast(groups.where(hot))
+    return rows.join(few, keys).unionByName(rows.join(few.select(*keys), keys, "left_anti").join(groups.where(~hot), keys))
+
+
 def row_keys(id_col: str, text_col: str) -> list[Column]:
     """What names a row: its id and a hash of its text. Rows that agree in both are repeats of one another."""
     return [F.col(id_col).alias("k_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("k_text")]
@@ -59,8 +73,8 @@ def row_keys(id_col: str, text_col: str) -> list[Column]:
 def keep_rows(docs: DataFrame, decisions: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of docs that decisions (k_id, k_text, kept; one row per row of docs) keeps.
 
-    If a row and its own repeats (same id, same text) differ in kept, one of them stays. The columns of docs,
-    whatever their names, come back unchanged.
+    If a row and its own repeats (same id, same text) differ in kept, one of them stays: that whose other columns come
+    first as JSON. The columns of docs, whatever their names, come back unchanged.
     """
     verdict = cut(
         decisions.groupBy("k_id", "k_text")
@@ -78,23 +92,22 @@ def keep_rows(docs: DataFrame, decisions: DataFrame, id_col: str, text_col: str)
         out = join_small(left, cut(verdict.select("k_id", "k_text")), key, "left_anti").unionByName(
             join_small(left, repeated.select("k_id", "k_text"), key, "left_semi")
             .groupBy(F.col("row")[id_col].alias("a"), F.xxhash64(F.coalesce(F.col("row")[text_col], F.lit(""))).alias("b"))
-            .agg(F.first("row").alias("row"))
+            .agg(F.min_by("row", F.to_json("row")).alias("row"))
             .select("row")
         )
     return out.select("row.*")
 
 
-def bounded_sample(df: DataFrame, class_col: str, id_col: str, per_class: int, classes: int | None = None) -> DataFrame:
-    """About per_class rows of each class (of the most frequent ones, if classes is given), and never over twice that in
-    all, by a hash of the id: the same rows whatever the partitions."""
-    counted = df.groupBy(class_col).count().orderBy(F.desc("count"), class_col)
-    counted = [(value, n) for value, n in (counted if classes is None else counted.limit(classes)).collect() if value is not None]
+def bounded_sample(df: DataFrame, class_col: str, key_cols: list[str], per_class: int) -> DataFrame:
+    """About per_class distinct rows of each class, by a hash of the key columns: the same rows whatever the partitions.
+    Rows that agree in the keys and the class count once, so that one which repeats cannot swell the sample."""
+    counted = [(r[0], r["count"]) for r in df.groupBy(class_col).count().collect() if r[0] is not None]
     if not counted:
         return df.limit(0)
-    place = F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1_000_000))
+    place = F.pmod(F.xxhash64(*key_cols, F.lit("sample")), F.lit(1_000_000))
     kind = df.schema[class_col].dataType
     below = F.create_map(*[x for value, n in counted for x in (F.lit(value).cast(kind), F.lit(int(1_000_000 * min(1.0, per_class / n))))])
-    return df.where(place < F.try_element_at(below, F.col(class_col))).limit(2 * per_class * len(counted))
+    return df.where(place < F.try_element_at(below, F.col(class_col))).dropDuplicates([class_col, *key_cols])
 
 
 def remainder(id_col: str, k: int):

@@ -1,11 +1,13 @@
 """Exact dedup by a tree of merges of sorted digest runs, in DataFrame operations only.
 
-Every input partition digests its rows and belongs to one of RUNS runs. In each round RADIX neighbouring runs
-exchange what they hold and merge it: the engine's sort aggregation sorts a run by digest, combines equal digests
-before the exchange and merges the sorted pieces after it, keeping for each digest the best row and the count.
-Two rounds of radix 16 take 256 runs to one, and a digest that a third of all rows share is at most one row per
-task, then one per run group, then one: no task ever gathers a group. A digest is the SHA-256 of the normalised
-text, verified at every level by the text's length and a second, independent hash, which are part of the key.
+Every input partition belongs to a run and combines its rows into it, one row per digest. The runs stand in as many
+partitions, a power of two. In a round, partitions whose numbers differ in the round's bits alone are partners: each
+keeps the part of its run that these bits of the digest assign to it, sends its partners theirs, and merges what it
+gets, sorted by digest, into one run, keeping for each digest the best row and the count. A round of RADIX_BITS bits
+is that many binomial steps at once, so a merge is RADIX-way; after the last one every digest stands whole in the
+partition that its bits name. A digest that a third of all rows share is one row of each run and RADIX rows of a
+merge: no task ever gathers a group. A digest is the SHA-256 of the normalised text, verified at every level by the
+text's length and a second, independent hash, which are part of the key.
 """
 
 from __future__ import annotations
@@ -13,18 +15,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regionflow.llm.common import cut, keep_rows
+from regionflow.llm.common import cut, join_groups, keep_rows
 
-RADIX = 16
-ROUNDS = 2
-RUNS = RADIX**ROUNDS
+RADIX_BITS = 2
+#: Rows that a run is planned for, and the bits of the largest number of runs.
+RUN_ROWS, MOST_BITS = 1 << 15, 14
 #: What the comparison of texts ignores.
 IGNORED = r"[\x09-\x0D\x20]+"
 KEY = ["digest", "check", "n_left"]
 
 
-def digest_runs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per row of docs: its digest key, its rank among equals (best), and the run it starts in."""
+def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per row of docs: its digest key, its rank among equals (best), and the partition it was read in."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     return (
         docs.select(
@@ -43,17 +45,36 @@ def digest_runs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             F.unhex(F.sha2(F.col("left"), 256)).alias("digest"),
             F.xxhash64("left").alias("check"),
             F.length("left").alias("n_left"),
-            F.pmod(F.spark_partition_id(), F.lit(RUNS)).alias("run"),
+            F.spark_partition_id().alias("part"),
         )
     )
 
 
-def merge_round(runs: DataFrame, divisor: int) -> DataFrame:
-    """Merges the runs whose numbers agree after division, one row per digest and merged run."""
-    return (
-        runs.groupBy(*KEY, F.floor(F.col("run") / divisor).alias("run"))
-        .agg(F.min("best").alias("best"), F.sum("n").alias("n"))
-    )
+def run_bits(rows: int) -> int:
+    """The bits of the number of runs for so many rows."""
+    return min(MOST_BITS, max(0, (rows - 1) // RUN_ROWS).bit_length())
+
+
+def merge(runs: DataFrame) -> DataFrame:
+    """One row per digest of each run, the verified best row and the count of those that agree in the whole key."""
+    return runs.groupBy("run", *KEY).agg(F.min("best").alias("best"), F.sum("n").alias("n"))
+
+
+def exchange(runs: DataFrame, bits: int, low: int, step: int) -> DataFrame:
+    """A round: the run numbers' bits from low on, step of them, become those of the digest; partners merge."""
+    mask = ((1 << step) - 1) << low
+    place = F.col("run").bitwiseAND((1 << bits) - 1 - mask).bitwiseOR(F.col("check").bitwiseAND(mask).cast("int"))
+    moved = runs.withColumn("run", place).repartitionById(1 << bits, "run")
+    return merge(moved.sortWithinPartitions("run", *KEY))
+
+
+def merged_runs(leaves: DataFrame, bits: int) -> DataFrame:
+    """All rounds: KEY, best, n, one row per digest."""
+    run = F.col("part").bitwiseAND((1 << bits) - 1)
+    runs = merge(leaves.select(*KEY, "best", F.lit(1).cast("long").alias("n"), run.alias("run")))
+    for low in range(0, bits, RADIX_BITS):
+        runs = exchange(runs, bits, low, min(RADIX_BITS, bits - low))
+    return runs.select(*KEY, "best", "n")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -64,12 +85,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     id (null ids last), then one of the repeats of that row. Every row of docs has a row, repeated rows and null ids
     too; an empty table gives an empty result. Other columns of docs are not looked at.
     """
-    leaves = cut(digest_runs(docs, id_col, text_col))
-    merged = leaves.withColumn("n", F.lit(1).cast("long"))
-    for _ in range(ROUNDS):
-        merged = merge_round(merged, RADIX)
+    leaves = cut(digests(docs, id_col, text_col))
+    total = leaves.count()
+    merged = merged_runs(leaves, run_bits(total))
     winners = cut(merged.select(*KEY, F.col("best").alias("winner"), F.col("n").alias("group_size")))
-    return leaves.join(winners, KEY).select(
+    return join_groups(leaves, winners, KEY, "group_size", total).select(
         F.col("best.id").alias("id"),
         "k_text",
         F.col("winner.id").alias("keep_id"),
