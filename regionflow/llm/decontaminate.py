@@ -1,9 +1,11 @@
 """Benchmark decontamination, in DataFrame operations only.
 
-The normalised n-grams of the test items form a broadcast hash table. Each n-gram is filed under its longest word,
-the one that is rarest in running text, so one probe per training token covers all windows that contain it; a
-probe that finds something is verified by comparing the whole window word by word. Only verified hits leave the
-scan. The table is broadcast after its bytes have been summed; beyond BROADCAST_BYTES the same join shuffles.
+The normalised n-grams of the test items form a broadcast hash set: each is filed under the hash of its words. The
+windows of a training text are hashed at every word and probe the set; a hit is verified by comparing the windows word
+by word, and only verified hits leave the scan. Items of fewer words than n are windows of their own size, so a text is
+scanned once for each size that the items have, n at most. The set is broadcast after its bytes have been summed;
+beyond BROADCAST_BYTES the scan gives place and hash of each window only, these are joined by a shuffle, and the texts
+that have candidates are read again to verify them.
 """
 
 from __future__ import annotations
@@ -26,8 +28,13 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS_LOWER), "")
 
 
+def hashes(w: Column) -> Column:
+    """The hashes of an array of words; the hash of a slice of them is that of the window."""
+    return F.transform(w, lambda x: F.xxhash64(x))
+
+
 def item_windows(items: DataFrame, id_col: str, text_col: str, n: int = N) -> DataFrame:
-    """One row per distinct window: win, n_win, anchor, off (of the anchor in win), items (ids as text)."""
+    """One row per distinct window: win, n_win, h (its hash), items (ids as text)."""
     listed = items.select(F.col(id_col).cast("string").alias("item"), words(F.col(text_col)).alias("w")).where(F.size("w") > 0)
     each = listed.select(
         "item",
@@ -37,37 +44,52 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, n: int = N) -> Da
             )
         ).alias("win"),
     )
-    best = F.array_max(F.transform("win", lambda x, i: F.struct(F.length(x).alias("n"), (-i).alias("at"))))
     return (
         each.groupBy("win")
         .agg(F.collect_set("item").alias("items"))
-        .select("win", "items", F.size("win").alias("n_win"), (-best["at"]).alias("off"))
-        .withColumn("anchor", F.element_at("win", F.col("off") + 1))
+        .select("win", "items", F.size("win").alias("n_win"), F.xxhash64(hashes(F.col("win"))).alias("h"))
     )
 
 
-def window_hits(docs: DataFrame, windows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def probes(texts: DataFrame, sizes: list[int]) -> DataFrame:
+    """texts (w and other columns) with pos, n and p_h of each window of each of the sizes."""
+    hashed = texts.withColumn("hw", hashes(F.col("w"))).select("*", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("pos"))
+    at = lambda n: F.xxhash64(F.slice("hw", F.col("pos") + 1, n)).alias("p_h")
+    if len(sizes) == 1:
+        each = hashed.withColumn("n", F.lit(sizes[0])).withColumn("p_h", at(sizes[0]))
+    else:
+        each = hashed.select("*", F.explode(F.array(*[F.struct(F.lit(n).alias("n"), at(n)) for n in sizes])).alias("x")).select("*", "x.n", "x.p_h").drop("x")
+    return each.where(F.col("pos") + F.col("n") <= F.size("w")).drop("hw")
+
+
+def window_hits(docs: DataFrame, windows: DataFrame, id_col: str, text_col: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Verified occurrences: k_id, k_text, s, e (word range, end exclusive), items."""
     windows = cut(windows)
     size = windows.agg(F.sum(F.octet_length(F.array_join("win", " ")) + 24 * F.col("n_win") + 64 * F.size("items"))).first()[0] or 0
-    table = F.broadcast(windows) if size <= BROADCAST_BYTES else windows
-    scan = docs.select(
+    sizes = sorted(r[0] for r in windows.select("n_win").distinct().collect())  # n at most
+    texts = docs.select(
         F.col(id_col).alias("k_id"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("k_text"),
         words(F.col(text_col)).alias("w"),
-    ).select("k_id", "k_text", "w", F.posexplode("w").alias("pos", "word"))
-    start = F.col("pos") - F.col("off")
-    return scan.join(
-        table,
-        (F.col("word") == F.col("anchor"))
-        & (start >= 0)
-        & (F.slice("w", F.greatest(start, F.lit(0)) + 1, F.col("n_win")) == F.col("win")),
-    ).select("k_id", "k_text", start.alias("s"), (start + F.col("n_win")).alias("e"), "items")
+    ).where(F.size("w") > 0)
+    same = (F.col("p_h") == F.col("h")) & (F.col("n") == F.col("n_win")) & (F.slice("w", F.col("pos") + 1, F.col("n")) == F.col("win"))
+    if not sizes:
+        found = texts.join(F.broadcast(windows), F.size("w") == F.col("n_win")).withColumn("pos", F.lit(0)).withColumn("n", F.lit(0))
+    elif size <= broadcast_bytes:
+        found = probes(texts, sizes).join(F.broadcast(windows), same)
+    else:
+        names = windows.select("h", F.col("n_win").alias("n")).distinct()
+        slim = probes(texts, sizes).select("k_id", "k_text", "pos", "n", F.col("p_h").alias("h"))
+        candidates = cut(slim.join(names, ["h", "n"], "left_semi").select(F.col("k_id").alias("c_id"), F.col("k_text").alias("c_text"), "pos", "n", F.col("h").alias("p_h")).distinct())
+        again = F.col("k_id").eqNullSafe(F.col("c_id")) & (F.col("k_text") == F.col("c_text"))
+        read = texts.dropDuplicates(["k_id", "k_text"]).join(candidates, again).drop("c_id", "c_text")
+        found = read.join(windows, same)
+    return found.select("k_id", "k_text", F.col("pos").alias("s"), (F.col("pos") + F.col("n")).alias("e"), "items")
 
 
 def contamination(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_id_col: str = "item_id", item_text_col: str = "text", n: int = N, share: int = 20,
+    item_id_col: str = "item_id", item_text_col: str = "text", n: int = N, share: int = 20, broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """One row per row of docs: k_id, k_text, n_words, n_hit, spans, items (sorted as text), contaminated.
 
@@ -77,7 +99,7 @@ def contamination(
     marks words but is not listed. Rows of docs that repeat an id and a text get the same result each. An empty
     items table leaves all clean, an empty docs table gives no rows. Other columns are not looked at.
     """
-    hits = window_hits(docs, item_windows(items, item_id_col, item_text_col, n), id_col, text_col)
+    hits = window_hits(docs, item_windows(items, item_id_col, item_text_col, n), id_col, text_col, broadcast_bytes)
     found = hits.groupBy("k_id", "k_text").agg(
         F.sort_array(F.collect_set(F.struct("s", "e"))).alias("spans"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
@@ -119,7 +141,8 @@ def _keyed(docs: DataFrame, report: DataFrame, id_col: str, text_col: str):
 
 
 def remove_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs without the contaminated documents; columns unchanged."""
+    """docs without the contaminated documents; columns unchanged. Nulls, empty texts, repeated rows and empty tables are
+    as in contamination: null and empty texts stay, and rows that repeat an id and a text stay or go together."""
     report = contamination(docs, items, id_col, text_col, **how)
     bad = cut(report.where("contaminated").select("k_id", "k_text").distinct())
     left, on = _keyed(docs, report, id_col, text_col)
@@ -127,7 +150,8 @@ def remove_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs with the hit words, each with the separators before it, cut out of text; columns unchanged, null stays null."""
+    """docs with the hit words, each with the separators before it, cut out of text; columns unchanged, null stays
+    null and empty texts empty, repeated rows are cut alike, an empty items table cuts nothing."""
     report = contamination(docs, items, id_col, text_col, **how)
     bad = cut(report.where("n_hit > 0").select("k_id", "k_text", "spans").dropDuplicates(["k_id", "k_text"]))
     left, on = _keyed(docs, report, id_col, text_col)

@@ -1,4 +1,9 @@
+import random
+
+from pyspark.sql import functions as F
+
 from regionflow.llm import decontaminate, exact_dedup
+from regionflow.llm.common import cut
 
 SCHEMA = "doc_id long, text string, digest string, kept int"
 
@@ -30,3 +35,37 @@ def test_decontamination_edges(spark):
     assert cleaned[1] == "x y" and cleaned[None] == "a b" and cleaned[2] is None and cleaned[6] == "clean text"
     assert decontaminate.contamination(df, items.limit(0)).where("contaminated").count() == 0
     assert decontaminate.remove_documents(df.limit(0), items).count() == 0
+
+
+def test_shuffled_windows_equal_broadcast_ones(spark):
+    rng = random.Random(4)
+    prose = lambda n: [f"w{rng.randint(0, 60)}" for _ in range(n)]
+    texts = [prose(rng.randint(1, 40)) for _ in range(30)]
+    items = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(99, "w1"), (100, "w1 w2"), (None, " ".join(texts[3])), (101, None)]
+    docs = [(i, " ".join(prose(20) + rng.choice(texts) + prose(5) + rng.choice(texts))) for i in range(60)] + [(1, "w1"), (None, "w1 W2"), (None, "w1 W2"), (7, None)]
+    df, it = spark.createDataFrame([(*d, "x", 0) for d in docs], SCHEMA), spark.createDataFrame(items, "item_id long, text string")
+    got = [sorted(map(repr, decontaminate.contamination(df, it, broadcast_bytes=b).collect())) for b in (1 << 20, 0)]
+    assert got[0] == got[1] and len(got[0]) == len(docs)
+    wins = {(i, tuple(t.lower().split()[k : k + 13])) for i, t in items if t for k in range(max(len(t.split()) - 12, 1))}
+    for r in decontaminate.contamination(df, it).where("k_id is not null").collect():
+        w = next(d for d in docs if d[0] == r.k_id and (r.n_words == len((d[1] or "").split())))[1]
+        w = (w or "").lower().split()
+        found = {(i, k, k + len(win)) for i, win in wins for k in range(len(w)) if tuple(w[k : k + len(win)]) == win}
+        assert r.n_hit == len({p for _, a, b in found for p in range(a, b)}) and {(x.s, x.e) for x in r.spans} == {x[1:] for x in found}
+        assert r["items"] == sorted({str(i) for i, *_ in found if i is not None})
+
+
+def test_runs_merge_to_one_row_a_digest(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.choice(["hot text", " ".join(rng.choice("abc") for _ in range(rng.randint(0, 5)))])) for i in range(900)]
+    leaves = cut(exact_dedup.digests(spark.createDataFrame(rows, "doc_id long, text string").repartition(13), "doc_id", "text"))
+    want = {}
+    for i, t in rows:
+        key = t.replace(" ", "")  # what exact_dedup compares
+        best, n = want.get(key, ((1, 0), 0))
+        want[key] = (min(best, (-len(t), i)), n + 1)
+    for bits in (0, 1, 3, 4):
+        out = exact_dedup.merged_runs(leaves, bits)
+        assert sorted((r.best.order_len, r.best.id, r.n) for r in out.collect()) == sorted((*b, n) for b, n in want.values())
+        places = {(r.p, r.q) for r in out.select(F.spark_partition_id().alias("p"), F.col("check").bitwiseAND((1 << bits) - 1).alias("q")).collect()}
+        assert bits == 0 or all(p == q for p, q in places)  # each digest stands where its bits say
