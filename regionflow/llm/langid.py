@@ -2,8 +2,11 @@
 
 A word is a run of letters. Its script, that of its first letter, leaves as candidates the languages that were learned
 with that script (all, if none was); its score for each is the log probability of its three-letter sequences, borders
-included. Viterbi with a penalty for each switch labels the words of a text, and runs of one label are its spans, so
-mixed texts come apart. The language of most letters is the text's. Texts of a batch are worked in step, word by word.
+included. Sequences are of code points, in lower case, and are counted by a hash of BUCKET_BITS bits, so the letters of
+every script count as themselves; in a sequence that no language has the letter alone counts. Viterbi with a penalty for each switch labels the words of a text, and runs of one
+label are its spans, so mixed texts come apart. The language of most letters is the text's. Texts of a batch are worked
+in step, word by word, so many code points at a time; a longer text is worked in pieces that hand on the state of the
+search, and keeps of each word its place and one bit for each language.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,10 +25,10 @@ from regionflow.llm.common import bounded_sample, remainder
 
 PENALTY = 12.0
 #: Bound of the sample that scores are learned from: texts of a language, code points of a text.
-PER_LANGUAGE, LONGEST = 1000, 100_000
-SYMBOLS = 96
-#: Texts that are worked at once, with up to so many languages; fewer with more.
-SLICE, SLICE_LANGUAGES = 1024, 24
+PER_LANGUAGE, LONGEST = 1000, 20_000
+BUCKET_BITS = 20
+#: Code points and texts that are worked at once with up to so many languages, fewer with more; letters scored at once.
+POINTS, SLICE, SLICE_LANGUAGES, BLOCK = 2_000_000, 1024, 24, 1 << 16
 NO_CANDIDATE = -1e4
 #: Unicode ranges of scripts, first and last code point.
 SCRIPTS = [
@@ -81,38 +85,105 @@ def words(texts: list[str | None]) -> dict[str, np.ndarray]:
     return {"letters": letters, "at": at, "size": size, "text": text, "place": first - begins[text], "script": script[points[first]]}
 
 
-def sequences(symbols: np.ndarray) -> np.ndarray:
-    """The code of the three symbols around each place."""
-    s = np.concatenate([[0], symbols, [0]]).astype(np.int32)
-    return (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:]
+def sequences(letters: np.ndarray) -> np.ndarray:
+    """The bucket of the three letters around each place."""
+    s = np.concatenate([[0], letters, [0]]).astype(np.uint32)
+    mixed = s[:-2] * np.uint32(0x9E3779B1) + s[1:-1] * np.uint32(0x85EBCA77) + s[2:] * np.uint32(0xC2B2AE3D)
+    mixed ^= mixed >> np.uint32(15)
+    return (mixed * np.uint32(0x27D4EB2F)) >> np.uint32(32 - BUCKET_BITS)
+
+
+def alone(letters: np.ndarray) -> np.ndarray:
+    """The bucket of each letter by itself, for sequences that were not learned."""
+    return (letters.astype(np.uint32) * np.uint32(0x165667B1) + np.uint32(0x3C6EF372)) >> np.uint32(32 - BUCKET_BITS)
+
+
+def rows_of(letters: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The row of each place: that of its sequence or, if no language has it, of its letter."""
+    row = rows[sequences(letters)]
+    new = np.flatnonzero(row == 0)
+    row[new] = rows[alone(letters[new])]
+    return row
 
 
 @dataclass
 class Model:
-    """languages; symbol of each code point; row of each code in logs, 0 for those that no language has; log
-    probabilities, rows x languages; candidates, scripts x languages."""
+    """languages; the buckets that were seen, in order, and their log probabilities, from row 1 on (row 0: all other
+    buckets), rows x languages; candidates, scripts x languages."""
 
     languages: list[str]
-    symbol: dict[int, int]
-    row: np.ndarray
+    seen: np.ndarray
     logs: np.ndarray
     candidates: np.ndarray
 
-    def lookup(self) -> np.ndarray:
-        out = np.where(tables()[0], SYMBOLS - 1, 0).astype(np.uint8)
-        out[list(self.symbol)] = list(self.symbol.values())
+    def rows(self) -> np.ndarray:
+        """The row of each bucket in logs."""
+        out = np.zeros(1 << BUCKET_BITS, np.int32)
+        out[self.seen] = np.arange(1, len(self.seen) + 1)
         return out
 
-    def label(self, texts: list[str | None], lookup: np.ndarray) -> tuple[dict, np.ndarray]:
-        """The words of texts and their labels."""
+    def scores(self, w: dict, rows: np.ndarray) -> np.ndarray:
+        """Words x languages, BLOCK letters at a time."""
+        out = np.where(self.candidates[w["script"]], 0.0, NO_CANDIDATE)
+        row = rows_of(w["letters"], rows)
+        for a in range(0, len(row), BLOCK):
+            b = min(a + BLOCK, len(row))
+            i, j = np.searchsorted(w["at"], (a, b))
+            cuts = np.append(a, w["at"][i:j]) - a
+            first = i - 1 if cuts.size < 2 or cuts[1] else i  # a word that goes on from the block before
+            cuts = cuts if first < i else cuts[1:]
+            block = self.logs[row[a:b]] * (w["letters"][a:b] > 0)[:, None]
+            out[first : first + len(cuts)] += np.add.reduceat(block, cuts, axis=0)
+        return out
+
+    def label(self, texts: list[str | None], rows: np.ndarray) -> tuple[dict, np.ndarray]:
+        """The words of texts, without their letters, and their labels."""
+        if len(texts) == 1 and texts[0] and len(texts[0]) > POINTS:
+            return self.label_long(texts[0], rows)
         w = words(texts)
         if not len(w["at"]):
             return w, np.zeros(0, np.int64)
-        code = sequences(lookup[w["letters"]])
-        scores = np.add.reduceat(self.logs[self.row[code]] * (w["letters"] > 0)[:, None], w["at"], axis=0)
-        scores += np.where(self.candidates[w["script"]], 0, NO_CANDIDATE)
-        counts = np.bincount(w["text"], minlength=len(texts))
-        return w, viterbi(scores.astype(np.float64), counts)
+        return w, viterbi(self.scores(w, rows), np.bincount(w["text"], minlength=len(texts)))
+
+    def label_long(self, text: str, rows: np.ndarray, size: int = POINTS // 4) -> tuple[dict, np.ndarray]:
+        """The same for one text, in pieces that end between words."""
+        kept, steps, state, a = [], [], None, 0
+        while a < len(text):
+            b = min(a + size, len(text))
+            while b < len(text) and text[b - 1].isalpha() and text[b].isalpha():
+                b += 1
+            w = words([text[a:b]])
+            if len(w["at"]):
+                state, best, stays = forward(self.scores(w, rows), state)
+                steps.append((best, np.packbits(stays, axis=1)))
+                kept.append({"size": w["size"], "place": w["place"] + a})
+            a = b
+        n = sum(len(k["size"]) for k in kept)
+        whole = {c: np.concatenate([k[c] for k in kept]) if kept else np.zeros(0, np.int64) for c in ("size", "place")}
+        label, at = np.zeros(n, np.int64), n
+        here = int(state.argmax()) if n else 0
+        for best, stays in reversed(steps):
+            stays = np.unpackbits(stays, axis=1, count=len(self.languages))
+            for t in range(len(best) - 1, -1, -1):
+                at -= 1
+                label[at] = here
+                here = here if stays[t, here] else int(best[t])
+        return whole | {"text": np.zeros(n, np.int64)}, label
+
+
+def forward(scores: np.ndarray, state: np.ndarray | None, penalty: float = PENALTY) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Viterbi over the words of one text on from state (None at its start): the new state, and for each word the best
+    label before it and which labels rather stay than come from that one."""
+    best, stays = np.zeros(len(scores), np.int32), np.ones(scores.shape, bool)
+    for t, x in enumerate(scores):
+        if state is None:
+            state = x.copy()
+            continue
+        best[t] = state.argmax()
+        switched = state[best[t]] - penalty
+        np.greater_equal(state, switched, out=stays[t])
+        state = np.maximum(state, switched) + x
+    return state, best, stays
 
 
 def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
@@ -144,34 +215,49 @@ def train(texts: list[str], languages: list[str]) -> Model:
     """Learns from texts and their languages. Languages are in order of name."""
     names = sorted(set(languages))
     w = words(texts)
-    used, n = np.unique(w["letters"][w["letters"] > 0], return_counts=True)
-    frequent = used[np.lexsort((used, -n))][: SYMBOLS - 2]
-    model = Model(names, {int(c): i + 1 for i, c in enumerate(frequent)}, np.zeros(SYMBOLS**3, np.int32), np.zeros((0, len(names)), np.float32), np.zeros((len(NAMES), len(names)), bool))
-    code = sequences(model.lookup()[w["letters"]])
+    letter = w["letters"] > 0
+    code, single = sequences(w["letters"]), alone(w["letters"])
     number = {x: i for i, x in enumerate(names)}
     of = np.array([number[x] for x in languages])[w["text"]] if len(w["text"]) else np.zeros(0, np.int64)
     by_letter = np.repeat(of, w["size"] + 1)
-    found = np.unique(code[w["letters"] > 0])
-    model.row[found] = np.arange(1, len(found) + 1)
-    model.logs = np.zeros((len(found) + 1, len(names)), np.float32)
+    seen = np.union1d(code[letter], single[letter])
+    model = Model(names, seen, np.zeros((len(seen) + 1, len(names)), np.float32), np.zeros((len(NAMES), len(names)), bool))
+    row, own = model.rows()[code], model.rows()[single]
+    letter_only = np.setdiff1d(own[letter], row[letter])
     for k in range(len(names)):
-        counts = np.bincount(model.row[code[(by_letter == k) & (w["letters"] > 0)]], minlength=len(found) + 1)
+        here = (by_letter == k) & letter
+        counts, letters = (np.bincount(x[here], minlength=len(seen) + 1) for x in (row, own))
         model.logs[:, k] = np.log((counts + 0.05) / (counts.sum() + 0.05 * 20_000))
+        # A letter out of an unknown sequence: as rare as any unknown one, and by how often the language has the letter.
+        model.logs[letter_only, k] += np.log((letters[letter_only] + 0.5) / (letters.sum() + 0.5 * 1000))
         script = np.bincount(w["script"][of == k], minlength=len(NAMES))
         model.candidates[:, k] = script >= max(1, 0.01 * script.sum())
     model.candidates[~model.candidates.any(1)] = True
     return model
 
 
+def slices(lengths: list[int], languages: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of the given lengths that are worked at once: a text, and those after it within the bounds."""
+    points, rows = (max(1, x * SLICE_LANGUAGES // max(SLICE_LANGUAGES, languages)) for x in (POINTS, SLICE))
+    a = total = 0
+    for i, n in enumerate(lengths):
+        if i > a and (total + n > points or i - a >= rows):
+            yield a, i
+            a, total = i, 0
+        total += n
+    if len(lengths) > a:
+        yield a, len(lengths)
+
+
 def train_from(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", learnable=None) -> Model:
-    """Learns from about PER_LANGUAGE texts of every language, LONGEST code points each at most, among rows of docs for which learnable (a condition on the id) holds. Null languages and texts are left
-    out."""
+    """Learns from about PER_LANGUAGE different texts of every language, LONGEST code points each at most, among rows of
+    docs for which learnable (a condition on the id) holds. Null languages and texts are left out."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= LONGEST))
     if learnable is not None:
         known = known.where(learnable)
     known = known.select(F.col(id_col).alias("l_id"), F.col(lang_col).cast("string").alias("l"), F.col(text_col).alias("t"))
-    rows = bounded_sample(known, "l", "l_id", PER_LANGUAGE).collect()
-    rows.sort(key=lambda r: (r.l, r.l_id, r.t))
+    rows = bounded_sample(known, "l", ["l_id", "t"], PER_LANGUAGE).collect()
+    rows.sort(key=lambda r: (r.l, r.l_id is None, r.l_id, r.t))
     return train([r.t for r in rows], [r.l for r in rows])
 
 
@@ -191,14 +277,14 @@ def identify(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup, names = model.lookup(), np.array([*model.languages, "und"], object)
-        step = max(1, SLICE * SLICE_LANGUAGES // max(SLICE_LANGUAGES, len(model.languages)))
+        table, names, k = model.rows(), np.array([*model.languages, "und"], object), len(model.languages)
         for whole in batches:
-            for i in range(0, whole.num_rows, step):
-                b = whole.slice(i, step)
-                n, k = b.num_rows, len(model.languages)
+            lengths = pc.fill_null(pc.utf8_length(whole.column(len(keep))), 0).to_pylist()
+            for i, j in slices(lengths, k):
+                b = whole.slice(i, j - i)
+                n = b.num_rows
                 if k:
-                    w, label = model.label(b.column(len(keep)).to_pylist(), lookup)
+                    w, label = model.label(b.column(len(keep)).to_pylist(), table)
                 else:
                     w, label = words([None] * n), np.zeros(0, np.int64)
                 letters = np.bincount(w["text"] * k + label, w["size"], n * k).reshape(n, k) if k else np.zeros((n, 1))

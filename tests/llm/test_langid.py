@@ -1,5 +1,6 @@
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -51,7 +52,7 @@ def test_learns_and_labels_spans(spark):
 def test_held_out_accuracy():
     pairs = [(text(k, 8), k) for k in PARTS for _ in range(80)]
     model = langid.train([t for t, _ in pairs[::2]], [k for _, k in pairs[::2]])
-    w, label = model.label([t for t, _ in pairs[1::2]], model.lookup())
+    w, label = model.label([t for t, _ in pairs[1::2]], model.rows())
     right = [model.languages[label[w["text"] == i][0]] == k for i, (_, k) in enumerate(pairs[1::2])]
     assert np.mean(right) > 0.99
 
@@ -73,3 +74,40 @@ def test_viterbi_over_many_labels():
     scores = np.zeros((4, 300))
     scores[:2, 299], scores[2:, 280] = 9.0, 9.0
     assert langid.viterbi(scores, np.array([4]), 1.0).tolist() == [299, 299, 280, 280]
+
+
+def test_long_texts_equal_short_ones(monkeypatch):
+    pairs = [(text(k), k) for k in PARTS for _ in range(40)]
+    model = langid.train([t for t, _ in pairs], [k for _, k in pairs])
+    mixed = "! ".join(text(k, 40) for k in ("xx", "yy", "ru", "yy", "xx")) + " " + "".join(PARTS["ru"]) * 400 + " ..."
+    w, want = model.label([mixed], model.rows())
+    for size in (50, 333, 10_000):
+        v, got = model.label_long(mixed, model.rows(), size)
+        assert (got == want).all() and (v["place"] == w["place"]).all() and (v["size"] == w["size"]).all()
+    whole = model.scores(w, model.rows())
+    monkeypatch.setattr(langid, "BLOCK", 7)
+    assert np.allclose(model.scores(w, model.rows()), whole, atol=1e-3)
+
+
+def test_a_long_text_takes_bounded_memory():
+    names = [f"l{i}" for i in range(24)]
+    model = langid.train([text("xx", 5)] * 24, names)
+    long = text("xx", 5000) * 60  # 1.7 million code points
+    model.label_long(long, model.rows())
+    tracemalloc.start()
+    try:
+        model.label_long(long, model.rows(), 100_000)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 30 * len(long)
+
+
+def test_letters_of_a_large_script_count_as_themselves():
+    rng = random.Random(2)
+    signs = {k: [chr(0x4E00 + 2000 * i + rng.randrange(1500)) for _ in range(300)] for i, k in enumerate(("a", "b", "c"))}
+    said = lambda k, n: "，".join("".join(rng.choice(signs[k]) for _ in range(8)) for _ in range(n))
+    model = langid.train([said(k, 60) for k in signs for _ in range(20)], [k for k in signs for _ in range(20)])
+    for k in signs:
+        _, label = model.label([said(k, 5)], model.rows())
+        assert {model.languages[x] for x in label} == {k}
