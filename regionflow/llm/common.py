@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,6 +111,18 @@ def bounded_sample(df: DataFrame, class_col: str, key_cols: list[str], per_class
     return df.where(place < F.try_element_at(below, F.col(class_col))).dropDuplicates([class_col, *key_cols])
 
 
+def slices(lengths: list[int], points: int, rows: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of the given lengths that are worked at once: a text, and those after it within both bounds."""
+    a = total = 0
+    for i, n in enumerate(lengths):
+        if i > a and (total + n > points or i - a >= rows):
+            yield a, i
+            a, total = i, 0
+        total += n
+    if len(lengths) > a:
+        yield a, len(lengths)
+
+
 def remainder(id_col: str, k: int):
     """crc32 of the id as text, modulo k; null for a null id."""
     return F.crc32(F.col(id_col).cast("string")) % k

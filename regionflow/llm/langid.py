@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regionflow.llm.common import bounded_sample, remainder
+from regionflow.llm.common import bounded_sample, remainder, slices
 
 PENALTY = 12.0
 #: Bound of the sample that scores are learned from: texts of a language, code points of a text.
@@ -236,19 +236,6 @@ def train(texts: list[str], languages: list[str]) -> Model:
     return model
 
 
-def slices(lengths: list[int], languages: int) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of the given lengths that are worked at once: a text, and those after it within the bounds."""
-    points, rows = (max(1, x * SLICE_LANGUAGES // max(SLICE_LANGUAGES, languages)) for x in (POINTS, SLICE))
-    a = total = 0
-    for i, n in enumerate(lengths):
-        if i > a and (total + n > points or i - a >= rows):
-            yield a, i
-            a, total = i, 0
-        total += n
-    if len(lengths) > a:
-        yield a, len(lengths)
-
-
 def train_from(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", learnable=None) -> Model:
     """Learns from about PER_LANGUAGE different texts of every language, LONGEST code points each at most, among rows of
     docs for which learnable (a condition on the id) holds. Null languages and texts are left out."""
@@ -278,9 +265,10 @@ def identify(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, names, k = model.rows(), np.array([*model.languages, "und"], object), len(model.languages)
+        bounds = [max(1, x * SLICE_LANGUAGES // max(SLICE_LANGUAGES, k)) for x in (POINTS, SLICE)]
         for whole in batches:
             lengths = pc.fill_null(pc.utf8_length(whole.column(len(keep))), 0).to_pylist()
-            for i, j in slices(lengths, k):
+            for i, j in slices(lengths, *bounds):
                 b = whole.slice(i, j - i)
                 n = b.num_rows
                 if k:

@@ -43,7 +43,7 @@ def test_folded_weights_give_the_kernel():
     cut = [symbols[a : a + x.WINDOW + x.SPAN] for a in at]
     cut = [c[: list(c).index(0)] if 0 in c else c for c in cut]
     for i in range(4):
-        weights = np.zeros(1 << 18, np.float32)
+        weights = np.zeros(x.CODES, np.float32)
         np.add.at(weights, codes[i], decay)
         weights[0] = 0
         got = x.windows(symbols, weights)[at]
@@ -66,6 +66,31 @@ def test_learns_gapped_and_inserted_words(spark):
     assert x.score(df.limit(0), model).count() == 0
 
 
+def test_styled_letters_and_other_scripts():
+    same = lambda a, b: x.stream([a])[0].tolist() == x.stream([b])[0].tolist()
+    assert same("\U0001d422\U0001d41d\U0001d422\U0001d428\U0001d42d", "idiot") and same("ＩＤＩＯＴ", "idiot") and same("1d10t", "idiot") and same("Иди", "иди")
+    for alphabet in ("абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω", "אבגדהוזחטיכלמנסעפצקרשת"):
+        assert len(set(x.TABLE[[ord(c) for c in alphabet]])) == len(alphabet)
+    rng = random.Random(9)
+    say = lambda n: " ".join("".join(rng.choice("абвгдеиклмнопрст") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    texts = [f"{say(15)} {'грымболд' if i % 3 == 0 else say(1)} {say(15)}" for i in range(600)]
+    model = x.train(texts[:500], [int(i % 3 == 0) for i in range(500)])
+    got = model.scores(texts[500:]) >= x.THRESHOLD
+    assert (got == [i % 3 == 0 for i in range(500, 600)]).mean() > 0.95
+
+
+def test_strides_do_not_matter(monkeypatch):
+    texts = [sentence(RNG.randint(1, 40)) for _ in range(20)] + ["", "g r u m b o l d"]
+    weights = np.random.default_rng(3).normal(size=x.CODES).astype(np.float32)
+    symbols, begins = x.stream(texts)
+    want = np.maximum.reduceat(x.windows(symbols, weights), begins)
+    for stride in (17, 64, 1000):
+        monkeypatch.setattr(x, "STRIDE", stride)
+        again = x.stream(texts)
+        assert (again[0] == symbols).all() and (again[1] == begins).all()
+        assert np.allclose(x.margins(symbols, begins, weights), want, atol=1e-3)
+
+
 def test_one_label_or_none(spark):
     assert set(x.train(["a", "b"], [0, 0]).scores(["c"]) < 0.01) == {True}
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
