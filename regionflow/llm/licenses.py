@@ -1,12 +1,15 @@
 """License scans by MinHash bands over overlapping windows, in DataFrame operations only.
 
-Templates are short license statements and notices. A template of T shingles belongs to the class of the next power of
-two; texts are cut into windows of the class that overlap so far that any occurrence lies whole in one. Only windows
-that hold some template shingle, found by one probe per word in a broadcast hash table, can match, and only those get
-MinHash signatures; a window whose signature agrees with a template's in a band retrieves it, and exact containment of
-the template's shingles in the window decides. Templates of different names that share so many shingles that one cannot
-match without them are rivals; where both match, the one that more of its own shingles speak for stands. band_settings derives the bands from the least similarity that a window
-over the containment threshold can have, so that all but MISS of such windows collide.
+Templates are short license statements and notices, or license texts that read_templates takes from a folder. A template
+of T shingles belongs to the class of the next power of two; texts are cut into windows of the class that overlap so far
+that any occurrence lies whole in one. A window whose MinHash signature agrees with a template's in a band retrieves it,
+and exact containment of the template's shingles in the window decides. The buckets are looked up lazily: a band's first
+row is the least hash over a set of shingles, so a window can only fall into a template's bucket if it holds the very
+shingle that gives the template its least hash. One probe per word finds those shingles, and the bands are worked out
+for the windows around them; all other windows are in no bucket. Templates of different names that share so many
+shingles that one cannot match without them are rivals; where both match, the one that more of its own shingles speak
+for stands. band_settings derives the bands from the least similarity that a window over the containment threshold can
+have, so that all but MISS of such windows collide. Tables made from the templates are broadcast up to a counted size.
 """
 
 from __future__ import annotations
@@ -16,11 +19,12 @@ from math import ceil, log
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionflow.llm.common import cut
+from regionflow.llm.common import BROADCAST_ROWS, cut
 from regionflow.llm.decontaminate import words
 
 SHINGLE, CONTAINMENT, MISS = 5, 0.8, 1e-4
 SMALLEST = 4
+BROADCAST_BYTES = 64 << 20
 #: License statements and notices by SPDX name.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
@@ -42,6 +46,15 @@ TEMPLATES = [
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
 ]
+#: The notice that licenses of the GNU family share, by name and version.
+NOTICE = "This {work} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} General Public License as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+TEMPLATES += [
+    ("MIT", "Licensed under the MIT license"),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0"),
+    ("AGPL-3.0", NOTICE.format(work="program", name="Affero", version="3")),
+    ("LGPL-3.0", NOTICE.format(work="library", name="Lesser", version="3")),
+    ("LGPL-2.1", NOTICE.format(work="library", name="Lesser", version="2.1")),
+]
 
 
 def size_class(n_shingles: int) -> int:
@@ -92,6 +105,27 @@ def bands(hashed: str, classes: list[int]) -> Column:
     return F.transform(F.sequence(F.lit(0), n - 1), key)
 
 
+def band_shingles(classes: list[int]) -> Column:
+    """Of each band of a set of shingles, in the column set, the shingle that gives the band's first row."""
+    n, rows = (by_class(classes, lambda c, k=k: band_settings(least_similarity(c))[k]) for k in (0, 1))
+    least = lambda k: F.array_min(F.transform("set", lambda s: F.struct(F.xxhash64(F.xxhash64(s), k).alias("h"), s.alias("s"))))
+    return F.array_distinct(F.transform(F.sequence(F.lit(0), n - 1), lambda b: least(b * rows)["s"]))
+
+
+def read_templates(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(name, text) of the text files below path, by name; the name is the file's up to `.txt`. The driver holds them:
+    a list of license texts, some megabytes."""
+    rows = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(F.regexp_replace("_metadata.file_name", r"\.txt$", "").alias("n"), "value")
+    return sorted((r.n, r.value) for r in rows.collect())
+
+
+def small(df: DataFrame, size: Column) -> DataFrame:
+    """df, cut, to be broadcast if its rows and the sum of size are within bounds."""
+    df = cut(df)
+    n, total = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if n <= BROADCAST_ROWS and total <= BROADCAST_BYTES else df
+
+
 def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
     """template (number), spdx, set (its distinct shingles), hashed (their hashes), class. Templates of fewer words than a shingle are left out."""
     t = spark.createDataFrame([(i, *x) for i, x in enumerate(templates)], "template int, spdx string, body string")
@@ -107,10 +141,10 @@ def with_rivals(table: DataFrame) -> DataFrame:
     a, b = table.select("template", "spdx", "set"), table.select(F.col("template").alias("rival"), F.col("spdx").alias("r_spdx"), F.col("set").alias("r_set"))
     own, theirs = F.array_except("set", "r_set"), F.array_except("r_set", "set")
     rests = lambda x, of: F.size(x) < CONTAINMENT * F.size(of)
-    pairs = a.join(F.broadcast(b), (F.col("spdx") != F.col("r_spdx")) & F.arrays_overlap("set", "r_set")).where(rests(own, "set") | rests(theirs, "r_set"))
+    pairs = a.join(small(b, 64 * F.size("r_set")), (F.col("spdx") != F.col("r_spdx")) & F.arrays_overlap("set", "r_set")).where(rests(own, "set") | rests(theirs, "r_set"))
     listed = pairs.groupBy("template").agg(F.collect_list(F.struct("rival", own.alias("own"), rests(own, "set").alias("rests"))).alias("rivals"))
     none = F.array().cast("array<struct<rival:int,own:array<string>,rests:boolean>>")
-    return table.join(F.broadcast(listed), "template", "left").withColumn("rivals", F.coalesce("rivals", none))
+    return table.join(listed, "template", "left").withColumn("rivals", F.coalesce("rivals", none))
 
 
 def outdone(hits: DataFrame) -> DataFrame:
@@ -132,7 +166,7 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     A template matches where a window holds CONTAINMENT or more of its distinct shingles. Words are those of
     decontaminate.words. Null, empty and short texts have no matches; repeated rows get the same matches each; an
-    empty table gives no rows; other columns are not looked at. templates is a bounded list that is broadcast.
+    empty table gives no rows; other columns are not looked at.
     """
     spark = docs.sparkSession
     table = cut(with_rivals(template_table(spark, templates)))
@@ -142,11 +176,11 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     none = F.array().cast("array<struct<spdx:string,template:int,containment:double,start:int,end:int,outdone:boolean>>")
     if not classes:
         return every.withColumn("matches", none)
-    probes = table.select(F.explode("set").alias("s"), "class").select(F.xxhash64(F.split("s", " ")).alias("h"), "class")
-    probes = cut(probes.groupBy("h").agg(F.collect_set("class").alias("classes")))
+    probes = table.select(F.explode(band_shingles(classes)).alias("s"), "class").select(F.xxhash64(F.split("s", " ")).alias("h"), "class")
+    probes = small(probes.groupBy("h").agg(F.collect_set("class").alias("classes")), F.lit(32) + 4 * F.size("classes"))
     scan = docs.select(*key, words(F.col(text_col)).alias("w")).select("k_id", "k_text", "w", F.posexplode("w").alias("pos", "_"))
     found = scan.join(
-        F.broadcast(probes),
+        probes,
         F.xxhash64(F.slice("w", F.col("pos") + 1, SHINGLE)) == F.col("h"),
     ).select("k_id", "k_text", "w", "pos", F.explode("classes").alias("class"))
     # The windows, by number, that hold the shingle at pos.
@@ -161,11 +195,13 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         cells.select("k_id", "k_text", "class", "start", F.size("part").alias("n"), F.array_distinct(shingles(F.col("part"))).alias("set"))
         .withColumn("hashed", F.transform("set", lambda s: F.xxhash64(s)))
     )
-    keyed = table.select("template", "spdx", F.col("set").alias("wanted"), "rivals", F.explode(bands("hashed", classes)).alias("band"))
+    buckets = small(table.select("template", F.explode(bands("hashed", classes)).alias("band")), F.lit(16))
+    sets = small(table.select("template", "spdx", F.col("set").alias("wanted"), "rivals"), F.octet_length(F.array_join("wanted", " ")) + 64 * F.size("wanted") + 1024 * F.size("rivals"))
     share = lambda x: F.size(F.array_intersect("set", x["own"])) / F.greatest(F.size(x["own"]), F.lit(1))
     hits = (
         cells.withColumn("band", F.explode(bands("hashed", classes)))
-        .join(F.broadcast(cut(keyed)), "band")
+        .join(buckets, "band")
+        .join(sets, "template")
         .select("k_id", "k_text", "start", "n", "template", "spdx", (F.size(F.array_intersect("set", "wanted")) / F.size("wanted")).alias("containment"), F.transform("rivals", lambda x: F.struct(x["rival"].alias("rival"), share(x).alias("share"), x["rests"].alias("rests"))).alias("own"))
         .where(F.col("containment") >= CONTAINMENT)
     )
