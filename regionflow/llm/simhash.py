@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regionflow.llm.common import cut, keep_rows
+from regionflow.llm.common import cut, join_groups, keep_rows
 from regionflow.llm.components import connected_components
 
 BITS = 64
@@ -302,14 +302,15 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     leaves = cut(fingerprints(docs, id_col, text_col))
     rank = F.struct(F.col("k_id").isNull().alias("order_null"), F.col("k_id").alias("id"), F.col("uid").alias("uid"))
-    nodes = cut(leaves.groupBy("fp").agg(F.min(rank).alias("best")))
-    parts = plan(bit_counts(nodes), nodes.count(), tau)
+    nodes = cut(leaves.groupBy("fp").agg(F.min(rank).alias("best"), F.count("*").alias("n")))
+    n_nodes, total = nodes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    parts = plan(bit_counts(nodes), n_nodes, tau)
     roots = connected_components(verify(index_rows(nodes, parts), tau))
-    linked = cut(roots.select(F.col("node").alias("fp"), "root").join(nodes, "fp"))
-    best = cut(linked.groupBy("root").agg(F.min("best").alias("winner")))
-    named = linked.join(best, "root").select("fp", "winner")
-    every = cut(nodes.join(named, "fp", "left").select("fp", F.coalesce("winner", "best").alias("winner")))
-    return leaves.join(every, "fp").select(
+    linked = cut(roots.select(F.col("node").alias("fp"), "root").join(nodes.select("fp", "best"), "fp"))
+    best = cut(linked.groupBy("root").agg(F.min("best").alias("winner"), F.count("*").alias("size")))
+    named = join_groups(linked, best, ["root"], "size", n_nodes).select("fp", "winner")
+    every = cut(nodes.join(named, "fp", "left").select("fp", "n", F.coalesce("winner", "best").alias("winner")))
+    return join_groups(leaves, every, ["fp"], "n", total).select(
         "k_id", "k_text", "fp", F.col("winner.id").alias("component_id"), (F.col("uid") == F.col("winner.uid")).alias("kept")
     )
 
