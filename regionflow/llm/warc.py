@@ -2,8 +2,9 @@
 
 Each record is a gzip member of its own. The reader gives byte ranges of the files to tasks; a task looks for the gzip
 magic in its range, takes a place for a record only if what decodes there begins with a WARC header, and owns the
-records that start in its range, reading past the end to finish the last. Files of a writing task that was lost and
-run again are in no manifest and are not read.
+records that start in its range, reading past the end to finish the last. A record that is cut off or damaged, or whose
+payload does not match its digest, is reported with its status and ends nothing. Files of a writing task that was lost
+and run again are in no manifest and are not read.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionflow.llm.common import cut
+from regionflow.llm.common import cut, join_groups
 
 MAGIC = b"\x1f\x8b\x08"
 #: Bytes of a range, of a read past its end, and of what is decoded at a time.
@@ -34,43 +35,48 @@ def digest(payload: bytes) -> str:
 
 
 def decide(pages: DataFrame, id_col: str, url_col: str, html_col: str, least: int = LEAST) -> DataFrame:
-    """k_id, url, html, n, copy (number among repeats of the id and the payload), first (the id that is response),
-    is_response. Hot payloads are combined before the shuffle; the joins' large side is split by the engine."""
+    """k_id, url, html (null where it is not written), n (bytes), sha, copy (from 1, among rows that agree in id, url and
+    payload), first_id and first_url (of the response), is_response.
+
+    Rows that agree in all three are counted and written out again by number, so no task holds or ranks them; of equal
+    payloads the row of the smallest id (null last) and then url is the response. Hot payloads are combined before the
+    shuffle and their decision is broadcast."""
     html = F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit(""))
     rows = pages.select(
         F.col(f"`{id_col}`").alias("k_id"), F.col(f"`{url_col}`").cast("string").alias("url"), html.alias("html"),
         F.sha1(html.cast("binary")).alias("sha"), F.octet_length(html).alias("n"),
     )
-    leaves = cut(rows.where(F.col("n") >= least).groupBy("k_id", "sha").agg(F.count("*").alias("copies")))
-    first = cut(leaves.groupBy("sha").agg(F.min(F.struct(F.col("k_id").isNull().alias("o"), F.col("k_id").alias("id"))).alias("first")))
-    to = cut(leaves.join(first, "sha").where((F.col("copies") > 1) | ~F.col("k_id").eqNullSafe(F.col("first.id"))).select(
-        F.col("k_id").alias("t_id"), F.col("sha").alias("t_sha"), "copies", F.col("first.id").alias("first")
+    leaves = cut(rows.where(F.col("n") >= least).groupBy("k_id", "url", "sha").agg(F.count("*").alias("copies")))
+    place = F.struct(F.col("k_id").isNull().alias("no_id"), F.col("k_id").alias("id"), F.col("url").isNull().alias("no_url"), F.col("url").alias("url"))
+    first = cut(leaves.groupBy("sha").agg(F.min(place).alias("first"), F.count("*").alias("sharers")))
+    is_first = F.col("k_id").eqNullSafe(F.col("first.id")) & F.col("url").eqNullSafe(F.col("first.url"))
+    known = join_groups(leaves, first, ["sha"], "sharers", leaves.count())
+    to = cut(known.where((F.col("copies") > 1) | ~is_first).select(
+        F.col("k_id").alias("t_id"), F.col("url").alias("t_url"), F.col("sha").alias("t_sha"), "copies", F.col("first.id").alias("first_id"),
+        F.col("first.url").alias("first_url"), (~is_first).alias("revisits"),
     ))
-    on = F.col("k_id").eqNullSafe(F.col("t_id")) & (F.col("sha") == F.col("t_sha"))
-    joined = rows.join(to, on, "left")
-    again = to.where("copies > 1")
-    plain = joined.where("copies is null or copies = 1").select(
-        "k_id", "url", "html", "n", F.lit(1).alias("copy"), "first", F.col("copies").isNull().alias("is_response")
+    on = F.col("k_id").eqNullSafe(F.col("t_id")) & F.col("url").eqNullSafe(F.col("t_url")) & (F.col("sha") == F.col("t_sha"))
+    plain = rows.join(to, on, "left").where("copies is null or copies = 1").select(
+        "k_id", "url", F.when(F.col("copies").isNull(), F.col("html")).alias("html"), "n", "sha", F.lit(1).alias("copy"), "first_id", "first_url",
+        F.col("copies").isNull().alias("is_response"),
     )
-    if again.isEmpty():
+    if to.where("copies > 1").isEmpty():
         return plain
-    from pyspark.sql import Window
-
-    nth = F.row_number().over(Window.partitionBy("k_id", "sha").orderBy("url"))
-    repeated = joined.where("copies > 1").select(
-        "k_id", "url", "html", "n", nth.alias("copy"), "first", (F.col("k_id").eqNullSafe(F.col("first")) & (nth == 1)).alias("is_response")
-    )
+    each = rows.join(to.where("copies > 1"), on).groupBy("k_id", "url", "sha", "copies", "first_id", "first_url", "revisits").agg(F.first("html").alias("html"), F.first("n").alias("n"))
+    numbered = each.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).withColumn("is_response", ~F.col("revisits") & (F.col("copy") == 1))
+    repeated = numbered.withColumn("html", F.when(F.col("is_response"), F.col("html"))).select(*plain.columns)
     return plain.unionByName(repeated)
 
 
-def record(page_id: str | None, url: str | None, payload: bytes, n_copy: int, refers: tuple | None) -> bytes:
-    """A record as it stands in the file before compression. refers: of a revisit, (id of the response)."""
-    sha = digest(payload)
-    name = lambda i, copy: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{i}/{sha}/{copy}')}>"
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+def record(page_id: str | None, url: str | None, payload: bytes | None, n_copy: int, n: int = 0, sha: str = "", refers: tuple | None = None) -> bytes:
+    """A record as it stands in the file before compression. A revisit is given by refers, the id and url of its
+    response, and the bytes and digest of the payload that it leaves out."""
+    sha, n = (digest(payload), len(payload)) if refers is None else (sha, n)
+    name = lambda i, u, copy: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{i}/{sha}/{copy}/{u}')}>"
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n}\r\n\r\n".encode()
     block = http if refers else http + payload
     head = [
-        "WARC/1.1", f"WARC-Type: {'revisit' if refers else 'response'}", f"WARC-Record-ID: {name(page_id, n_copy)}",
+        "WARC/1.1", f"WARC-Type: {'revisit' if refers else 'response'}", f"WARC-Record-ID: {name(page_id, url, n_copy)}",
         "WARC-Date: 2000-01-01T00:00:00Z", f"WARC-Payload-Digest: sha1:{sha}", "Content-Type: application/http;msgtype=response",
     ]
     if url is not None:
@@ -78,7 +84,7 @@ def record(page_id: str | None, url: str | None, payload: bytes, n_copy: int, re
     if page_id is not None:
         head.append(f"X-Page-ID: {page_id}")
     if refers:
-        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {name(refers[0], 1)}"]
+        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {name(*refers, 1)}"]
         head += [f"X-Refers-To-Page-ID: {refers[0]}"] if refers[0] is not None else []
     head.append(f"Content-Length: {len(block)}")
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -92,7 +98,7 @@ def write_archives(
     with the smallest id (null last; of repeated rows one) is a response and the others are revisits. An empty table
     writes nothing; other columns are not looked at."""
     rows = decide(pages, id_col, url_col, html_col, least).select(
-        F.col("k_id").cast("string").alias("k_id"), "url", "html", "copy", F.col("first").cast("string").alias("first"), "is_response"
+        F.col("k_id").cast("string").alias("k_id"), "url", "html", "copy", F.col("n").cast("long").alias("n"), "sha", F.col("first_id").cast("string").alias("first_id"), "first_url", "is_response"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,9 +109,13 @@ def write_archives(
                 if out is None:
                     store.create_dir(path)
                     out = store.open_output_stream(f"{path}/{name}", compression=None)
-                page_id, url, html, copy, first, is_response = r
+                page_id, url, html, copy, size, sha, first_id, first_url, is_response = r
                 made = zlib.compressobj(level, zlib.DEFLATED, 31)
-                out.write(made.compress(record(page_id, url, html.encode(), copy, None if is_response else (first,))) + made.flush())
+                if is_response:
+                    raw = record(page_id, url, html.encode(), copy)
+                else:
+                    raw = record(page_id, url, None, copy, size, base64.b32encode(bytes.fromhex(sha)).decode(), (first_id, first_url))
+                out.write(made.compress(raw) + made.flush())
                 n += 1
         if out is not None:
             size = out.tell()
@@ -120,8 +130,21 @@ def archive_files(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.gz").load(folder).select("path", "length")
 
 
-def members(f, length: int, start: int, end: int) -> Iterator[bytes]:
-    """The records, decoded, whose gzip member starts in [start, end) of a file."""
+def salvage(f, start: int) -> bytes:
+    """What decodes of a damaged member, up to a few bytes before the damage."""
+    f.seek(start)
+    d, parts = zlib.decompressobj(31), []
+    try:
+        while more := f.read(16):
+            parts.append(d.decompress(more))
+    except zlib.error:
+        pass
+    return b"".join(parts)
+
+
+def members(f, length: int, start: int, end: int) -> Iterator[tuple[bytes, bool]]:
+    """The records whose gzip member starts in [start, end) of a file: what of each can be decoded, and whether that is
+    all of it. A member that is cut off or damaged ends where its bytes do; the search goes on after its beginning."""
     f.seek(start)
     held, base = f.read(min(end + len(MAGIC) - 1, length) - start), start
     at, view = held.find(MAGIC), memoryview(held)
@@ -136,49 +159,68 @@ def members(f, length: int, start: int, end: int) -> Iterator[bytes]:
         if not begins.startswith(b"WARC/"):
             at = held.find(MAGIC, at + 1)
             continue
-        d, parts, size = zlib.decompressobj(31), [], 0
-        while not d.eof:
+        d, parts, size, whole = zlib.decompressobj(31), [], 0, True
+        while whole and not d.eof:
             if at + size < len(held):
                 more = view[at + size : at + size + PIECE]
             else:
                 f.seek(base + at + size)
                 more = f.read(AHEAD)
-            if not len(more):
-                raise ValueError("a record is cut off at the end of its file")
-            parts.append(d.decompress(more))
+            try:
+                parts.append(d.decompress(more))
+            except zlib.error:
+                parts, whole = [salvage(f, base + at)], False
+            whole = whole and len(more) > 0
             size += len(more)
-        yield b"".join(parts)
-        at += size - len(d.unused_data)
+        yield b"".join(parts), whole
+        at += size - len(d.unused_data) if whole else 1
         at = held.find(MAGIC, at) if at < len(held) else -1
 
 
-def parse(raw: bytes) -> dict:
-    """The parts of a record that the reader returns; a payload that does not match its digest is an error."""
-    head, _, rest = raw.partition(b"\r\n\r\n")
+def same_digest(named: str, payload: bytes) -> bool:
+    """Whether a digest as other writers put it, an algorithm's name and base32 or hexadecimal digits in either case, is
+    that of the payload; so is one of an algorithm that is not known here."""
+    kind, _, digits = named.rpartition(":")
+    kind = (kind or "sha1").lower().replace("-", "")
+    if kind not in hashlib.algorithms_guaranteed or kind.startswith("shake"):
+        return True
+    own, digits = hashlib.new(kind, payload), digits.strip().rstrip("=")
+    return digits.lower() == own.hexdigest() or digits.upper() == base64.b32encode(own.digest()).decode().rstrip("=")
+
+
+def parse(raw: bytes, whole: bool = True) -> dict:
+    """The parts of a record that the reader returns. status: ok; truncated, if the member or the block is shorter than
+    its length says; mismatch, if the payload is not that of the digest; unreadable, if there is no type or a length is
+    no number. A payload_digest is that of the payload that is there, of a revisit the one it names."""
+    head, end, rest = raw.partition(b"\r\n\r\n")
     fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head.decode("utf-8", "replace").split("\r\n")[1:])}
-    block = rest[: int(fields.get("content-length", len(rest)))]
+    kind, named, size = fields.get("warc-type"), fields.get("warc-payload-digest", ""), fields.get("content-length", str(len(rest)))
+    status = "ok" if whole and end else "truncated"
+    if kind is None or not size.isdecimal():
+        status, size = "unreadable" if status == "ok" else status, str(len(rest))
+    block = rest[: int(size)]
+    status = "truncated" if status == "ok" and len(block) < int(size) else status
     http, _, payload = block.partition(b"\r\n\r\n")
-    kind, sha = fields.get("warc-type"), fields.get("warc-payload-digest", "").removeprefix("sha1:")
     if kind == "revisit":
         lines = dict(x.lower().split(b":", 1) for x in http.split(b"\r\n")[1:] if b":" in x)
-        n, payload = int(lines.get(b"content-length", b"0")), None
+        length = lines.get(b"content-length", b"0").strip()
+        n, payload, sha = int(length) if length.isdigit() else 0, None, named.rpartition(":")[2]
     else:
-        n, own = len(payload), digest(payload)
-        if sha and own != sha:
-            raise ValueError(f"the payload of {fields.get('warc-record-id')} does not match its digest")
-        sha = own
+        n, sha = len(payload), digest(payload)
+        status = "mismatch" if status == "ok" and named and not same_digest(named, payload) else status
     return {
-        "page_id": fields.get("x-page-id"), "url": fields.get("warc-target-uri"), "record_type": kind, "payload_bytes": n,
-        "payload_digest": sha, "refers_to": fields.get("x-refers-to-page-id"), "html": payload and payload.decode("utf-8", "replace"),
+        "page_id": fields.get("x-page-id"), "url": fields.get("warc-target-uri"), "record_type": kind, "payload_bytes": n, "payload_digest": sha,
+        "refers_to": fields.get("x-refers-to-page-id"), "status": status, "html": None if payload is None else payload.decode("utf-8", "replace"),
     }
 
 
 def read_archives(files: DataFrame, split: int = SPLIT, with_html: bool = True) -> DataFrame:
     """files (path, length) -> one row per record: page_id (text), url, record_type, payload_bytes, payload_digest,
-    refers_to (text) and html (null for revisits). Any range of split bytes may be a task of its own."""
+    refers_to (text), status (see parse) and html (null for revisits). Any range of split bytes may be a task of its own.
+    Records that are cut off or damaged are rows too; an empty table gives none."""
     ranges = files.where("length > 0").select("path", "length", F.explode(F.sequence(F.lit(0), F.col("length") - 1, F.lit(split))).alias("start"))
     ranges = cut(ranges)
-    columns = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to"] + ["html"] * with_html
+    columns = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "status"] + ["html"] * with_html
     schema = ", ".join(f"{c} {'long' if c == 'payload_bytes' else 'string'}" for c in columns)
     kinds = [pa.int64() if c == "payload_bytes" else pa.string() for c in columns]
 
@@ -192,15 +234,15 @@ def read_archives(files: DataFrame, split: int = SPLIT, with_html: bool = True)
                 with store.open_input_file(place) as f:
                     held, size = [], 0
                     for raw in members(f, length, start, min(start + split, length)):
-                        held.append(parse(raw))
-                        size += len(raw)
+                        held.append(parse(*raw))
+                        size += len(raw[0])
                         if size > 8 << 20:
                             yield batch(held)
                             held, size = [], 0
                     if held:
                         yield batch(held)
 
-    return ranges.repartition(max(1, min(ranges.count(), 100_000)), "path", "start").mapInArrow(run, schema)
+    return ranges.repartition(max(1, min(ranges.count(), 100_000))).mapInArrow(run, schema)
 
 
 _NIBBLE = "strpos('0123456789abcdef', substr(h, (5 * i) // 4 + {}, 1)) - 1"
