@@ -16,21 +16,29 @@ from regionflow.llm.common import shared_path, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs without those scored THRESHOLD or more. The model learns from the labelled documents of the whole table."""
+    """docs without those scored THRESHOLD or more. The model learns from the labelled documents of the whole table. Null
+    and empty texts stay unless the model finds a text without letters toxic, repeated rows stay or go together; with no
+    labels of one kind all texts have the share of toxic labels as their score."""
     model = toxicity.train_from(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learnable=toxicity.learnable())
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
     return toxicity.score(whole, model).where(F.col("score") < toxicity.THRESHOLD).select("row.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """docs with one row of each group of exact copies, as exact_dedup.exact_groups picks it: null and empty texts are one
+    group, of repeated rows one stays, an empty table stays empty, further columns come along whatever their names."""
     return exact_dedup.exact_dedup(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """docs with the row of the smallest id of each component, as simhash.near_groups builds them: texts without words are
+    one component, of repeated rows one stays, an empty table stays empty, further columns come along."""
     return simhash.near_dedup(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """docs without those that decontaminate.contamination finds contaminated: null and empty texts stay, repeated rows
+    stay or go together, an empty benchmark or an empty table removes nothing, further columns come along."""
     return decontaminate.remove_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
