@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regionflow.functions import reads as R
+from regionflow.operators.ingest import numbered
 
 MIN_BASE_QUALITY, HET = 17, 3010
 SITE = ["contig_id", "rpos", "ref_base"]
@@ -42,11 +43,12 @@ def genotypes(lik: DataFrame) -> DataFrame:
 
 
 def bands(calls: DataFrame, edges: tuple[int, int] = (200_000, 600_000)) -> DataFrame:
-    """Reference sites in runs of one contig, one quality band and consecutive positions."""
+    """Reference sites in runs of one contig, one quality band and consecutive positions. Sites are numbered by range
+    partitions: within a run, position and number grow alike."""
     band = F.when(F.col("gq") < edges[0], 0).when(F.col("gq") < edges[1], 1).otherwise(2)
     ref = calls.where("gt = '0/0'").withColumn("band", band)
-    run = F.col("rpos") - F.row_number().over(Window.partitionBy("contig_id", "band").orderBy("rpos"))
-    return ref.withColumn("run", run).groupBy("contig_id", "band", "run").agg(F.min("rpos").alias("lo"), F.max("rpos").alias("hi"), F.min("dp").alias("min_dp")).drop("run")
+    at = numbered(ref.select("contig_id", "band", "rpos", "dp"), ["contig_id", "band", "rpos"])
+    return at.withColumn("run", F.col("rpos") - F.col("n")).groupBy("contig_id", "band", "run").agg(F.min("rpos").alias("lo"), F.max("rpos").alias("hi"), F.min("dp").alias("min_dp")).drop("run")
 
 
 def features(bases: DataFrame) -> DataFrame:

@@ -37,6 +37,16 @@ def points_in(reads: DataFrame, iv: DataFrame) -> DataFrame:
     return r.join(_binned(iv), on).drop("_bin", "bin", "iv_contig", "lo", "hi")
 
 
+def hits_of(reads: DataFrame, iv: DataFrame) -> DataFrame:
+    """reads (contig_id, pos), every one, with n, the regions that hold its start (0 for none, and for a null place), and
+    r, the first of them. The intervals are gathered by bin first, so a read meets one row and is not grouped again."""
+    bins = _binned(iv).groupBy("iv_contig", "bin").agg(F.collect_list(F.struct("region", "lo", "hi")).alias("_ivs"))
+    on = (F.col("contig_id") == F.col("iv_contig")) & (F.expr(f"pos div {BIN}") == F.col("bin"))
+    found = F.filter("_ivs", lambda x: F.col("pos").between(x["lo"], x["hi"]))
+    each = reads.join(bins, on, "left").withColumn("_hit", F.coalesce(F.array_distinct(F.transform(found, lambda x: x["region"])), F.array().cast("array<bigint>")))
+    return each.withColumn("n", F.size("_hit").cast("long")).withColumn("r", F.array_min("_hit")).drop("iv_contig", "bin", "_ivs", "_hit")
+
+
 def spans_over(reads: DataFrame, iv: DataFrame, end: Column) -> DataFrame:
     """reads with each region that their span [pos, end] overlaps, once: the pair meets in the first bin they share."""
     r = reads.withColumn("_end", end).withColumn("_bin", F.explode(F.sequence(F.expr(f"pos div {BIN}"), F.expr(f"_end div {BIN}"))))
@@ -47,6 +57,24 @@ def spans_over(reads: DataFrame, iv: DataFrame, end: Column) -> DataFrame:
     return r.join(_binned(iv), on).drop("_bin", "_end", "bin", "iv_contig", "lo", "hi")
 
 
+def interval_lists(iv: DataFrame) -> DataFrame:
+    """region and ivs, its intervals (contig_id, contig, lo, hi) in order. A region has one for each contig at most."""
+    return iv.groupBy("region").agg(F.array_sort(F.collect_list(F.struct("contig_id", "contig", "lo", "hi"))).alias("ivs"))
+
+
+def restricted(bases: DataFrame, iv: DataFrame, place: str = "rpos") -> DataFrame:
+    """Rows whose place lies in some interval, once each: the restriction of a step to the regions it is given."""
+    return hits_of(bases.withColumn("pos", F.col(place)) if place != "pos" else bases, iv).where("n > 0").select(*bases.columns)
+
+
+def owned(reads: DataFrame, iv: DataFrame) -> DataFrame:
+    """reads with region, that whose interval without halo holds the start: each mapped read once. A read in none is an
+    error, one without a place is left out."""
+    h = hits_of(reads.where("contig_id is not null and pos is not null"), iv)
+    one = F.when(F.col("n") == 1, F.col("r")).otherwise(F.raise_error(F.concat_ws(" ", F.lit("not in one region:"), "contig_id", "pos")))
+    return h.withColumn("region", one).select(*reads.columns, "region")
+
+
 def with_empty(regions: DataFrame, counts: DataFrame) -> DataFrame:
     """All regions with their count, 0 where there is none."""
     return regions.join(counts, "region", "left").select("region", F.coalesce("n", F.lit(0)).alias("n"))

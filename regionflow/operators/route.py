@@ -6,41 +6,75 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regionflow.functions import reads as R
-from regionflow.operators.genome import points_in
-
-
-def hits(reads: DataFrame, iv: DataFrame) -> DataFrame:
-    """Each read with n, the regions that hold its start, and r, the first of them."""
-    keep = [c for c in reads.columns]
-    return points_in(reads, iv).groupBy(*keep).agg(F.count("*").alias("n"), F.min("region").alias("r"))
+from regionflow.operators.genome import hits_of, owned, points_in, spans_over
+from regionflow.operators.ingest import numbered
 
 
 def route(reads: DataFrame, iv: DataFrame) -> DataFrame:
-    """rec_id, dest (unmapped, qcfail, region, chri) and region (of dest region). A name's two primaries stay together
-    or go to chri both; every other read goes by its own start, to chri if several regions hold it."""
-    slim = reads.select("rec_id", "qname", "flag", "contig_id", "pos")
-    h = hits(slim, iv).withColumn("prim", R.is_primary(F.col("flag")))
+    """rec_id, dest (unmapped, qcfail, region, chri) and region (of dest region), one row per read.
+
+    Unmapped reads go by their flag, wherever they stand or without a place, then failing ones. A name's two primaries
+    stay together or go to chri both; every other read goes by its own start, to chri if several regions hold it. A
+    mapped, passing read that no region holds, or without a place, is an error. A null flag is an error too."""
+    f = F.col("flag")
+    slim = reads.select("rec_id", "qname", F.coalesce(f, F.raise_error(F.lit("a read has no flag")).cast("int")).alias("flag"), "contig_id", "pos")
+    aside = slim.where(R.has(f, R.UNMAPPED | R.QCFAIL))
+    sides = aside.select("rec_id", F.when(R.has(f, R.UNMAPPED), "unmapped").otherwise("qcfail").alias("dest"), F.lit(None).cast("long").alias("region"))
+    h = hits_of(slim.where(~R.has(f, R.UNMAPPED | R.QCFAIL)), iv).withColumn("prim", R.is_primary(f))
+    lost = F.raise_error(F.concat_ws(" ", F.lit("no region holds"), "rec_id", "contig_id", "pos")).cast("string")
     w = Window.partitionBy("qname")
-    of = lambda f, c: f(F.when(F.col("prim"), F.col(c))).over(w)
+    of = lambda g, c: g(F.when(F.col("prim"), F.col(c))).over(w)
     together = (of(F.max, "n") == 1) & (of(F.min, "r") == of(F.max, "r")) & (of(F.min, "contig_id") == of(F.max, "contig_id"))
     dest = (
-        F.when(R.has(F.col("flag"), R.UNMAPPED), "unmapped")
-        .when(R.has(F.col("flag"), R.QCFAIL), "qcfail")
+        F.when(F.col("n") == 0, lost)
         .when(F.col("prim") & (F.count_if(F.col("prim")).over(w) == 2), F.when(together, "region").otherwise("chri"))
         .when(F.col("n") > 1, "chri")
         .otherwise("region")
     )
     out = h.withColumn("dest", dest)
-    return out.select("rec_id", "dest", F.when(F.col("dest") == "region", F.col("r")).alias("region"))
+    return out.select("rec_id", "dest", F.when(F.col("dest") == "region", F.col("r")).alias("region")).unionByName(sides)
+
+
+def numbered_within(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
+    """df with the place of each row within its group, from 1. The rows are numbered as a whole by range partitions, so
+    no group is sorted in one task; there are few groups, whose first numbers are joined."""
+    every = numbered(df, [group, *order], "_n")
+    first = every.groupBy(group).agg(F.min("_n").alias("_first")).withColumnRenamed(group, "_g")
+    return every.join(first, F.col(group).eqNullSafe(F.col("_g"))).withColumn(name, F.col("_n") - F.col("_first") + 1).drop("_n", "_g", "_first")
 
 
 def coordinate_rank(reads: DataFrame, iv: DataFrame) -> DataFrame:
     """rec_id, region and place within the region by contig, start and rec_id."""
-    w = Window.partitionBy("region").orderBy("contig_id", "pos", "rec_id")
-    return points_in(reads.select("rec_id", "contig_id", "pos"), iv).select("rec_id", "region", F.row_number().over(w).cast("long").alias("place"))
+    each = points_in(reads.select("rec_id", "contig_id", "pos"), iv)
+    return numbered_within(each, "region", ["contig_id", "pos", "rec_id"], "place").select("rec_id", "region", "place")
+
+
+def merged_order(reads: DataFrame, routed: DataFrame) -> DataFrame:
+    """rec_id and place of the routed reads within their contig: by start, boundary reads first, then rec_id."""
+    own = routed.where(F.col("dest").isin("region", "chri")).select("rec_id", F.when(F.col("dest") == "chri", 0).otherwise(1).alias("late"))
+    both = own.join(reads.select("rec_id", "contig_id", "pos"), "rec_id")
+    return numbered_within(both, "contig_id", ["pos", "late", "rec_id"], "place").select("rec_id", "place")
+
+
+def back_to_regions(reads: DataFrame, routed: DataFrame, iv: DataFrame, end) -> DataFrame:
+    """rec_id, region: the reads of each region and, of the boundary partition, all whose span (to end) overlaps it."""
+    own = routed.where("dest = 'region'").select("rec_id", "region")
+    boundary = reads.join(routed.where("dest = 'chri'").select("rec_id"), "rec_id", "left_semi")
+    return own.unionByName(spans_over(boundary, iv, end).select("rec_id", "region").distinct())
+
+
+def ordered_concat(reads: DataFrame, exact: DataFrame) -> DataFrame:
+    """reads with region, each once in the region that owns its start (exact: intervals without halo), and place, its
+    number in the whole by contig, start and rec_id, from 0."""
+    return numbered(owned(reads, exact), ["contig_id", "pos", "rec_id"], "place")
 
 
 def write_regions(reads: DataFrame, routed: DataFrame, path: str) -> None:
     """One folder per destination and region, each file in coordinate order."""
     out = reads.join(routed, "rec_id")
     out.repartition("dest", "region").sortWithinPartitions("dest", "region", "contig_id", "pos", "rec_id").write.partitionBy("dest", "region").parquet(path)
+
+
+def write_sorted(reads: DataFrame, path: str) -> None:
+    """Range-partitioned by place and sorted, so that the files' statistics stand in for an index."""
+    reads.repartitionByRange("contig_id", "pos").sortWithinPartitions("contig_id", "pos").write.parquet(path)

@@ -10,6 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from regionflow.operators.ingest import numbered
 from regionflow.operators.store import cut
 
 #: Resource, whether known, training, truth, and prior.
@@ -42,12 +43,11 @@ def label(calls: DataFrame, sites: DataFrame) -> DataFrame:
 
 
 def tranche_cut(scored: DataFrame, level: float = TRUTH_LEVEL) -> DataFrame:
-    """One row: the score that keeps `level` of the truth sites. The ranks of truth sites are counted per score."""
-    truth = scored.where("is_truth").groupBy("score").agg(F.count("*").alias("n"))
-    total = scored.where("is_truth").agg(F.count("*").alias("total"))
-    running = F.sum("n").over(Window.orderBy(F.desc("score")))
-    ranked = truth.withColumn("upto", running).crossJoin(total).where(F.col("upto") >= F.ceil(level * F.col("total")))
-    return ranked.agg(F.max("score").alias("cut"))
+    """One row: the score that keeps `level` of the truth sites, null if there are none. Truth sites are numbered by range
+    partitions from the best score on; the one at the level's place has it."""
+    truth = scored.where("is_truth").select("score", (-F.col("score")).alias("_down"))
+    total = scored.agg(F.count_if("is_truth").alias("total"))
+    return numbered(truth, ["_down"]).crossJoin(total).where(F.col("n") == F.ceil(level * F.col("total")) - 1).agg(F.max("score").alias("cut"))  # total: one row
 
 
 def apply_cut(scored: DataFrame, cut: DataFrame, level: float = TRUTH_LEVEL) -> DataFrame:

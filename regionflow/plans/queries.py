@@ -50,13 +50,7 @@ def _(g):
     return iv(g, 0).groupBy("region").agg(F.count("*").alias("n_intervals"), F.sum(F.col("hi") - F.col("lo") + 1).alias("bases"))
 
 
-@query("region_empty", "SELECT r AS region, coalesce(n, 0) AS n FROM rid LEFT JOIN (SELECT region, count(*) AS n FROM reads JOIN iv ON reads.contig_id = iv.contig_id AND pos BETWEEN lo AND hi WHERE l_partkey < 20 GROUP BY 1) x ON r = region", halo=0)
-def _(g):
-    n = genome.points_in(g.reads().where("l_partkey < 20").select("contig_id", "pos"), iv(g, 0)).groupBy("region").agg(F.count("*").alias("n"))
-    return genome.with_empty(g.spark.range(N_REGIONS).withColumnRenamed("id", "region"), n)
-
-
-@query("region_all", "SELECT r AS region, coalesce(n, 0) AS n FROM rid LEFT JOIN (SELECT region, count(*) AS n FROM reads JOIN iv ON reads.contig_id = iv.contig_id AND pos BETWEEN lo AND hi GROUP BY 1) x ON r = region", halo=0)
+@query("region_empty", "SELECT r AS region, coalesce(n, 0) AS n FROM rid LEFT JOIN (SELECT region, count(*) AS n FROM reads JOIN iv ON reads.contig_id = iv.contig_id AND pos BETWEEN lo AND hi GROUP BY 1) x ON r = region", halo=0)
 def _(g):
     n = genome.points_in(g.reads().select("contig_id", "pos"), iv(g, 0)).groupBy("region").agg(F.count("*").alias("n"))
     return genome.with_empty(g.spark.range(N_REGIONS).withColumnRenamed("id", "region"), n)
@@ -149,13 +143,7 @@ def _(g):
     return ingest.improper(g.reads(), ["rec_id"])
 
 
-@query("zip_pairs", "SELECT a.l_orderkey * 10 + a.l_linenumber AS n, a.qname, a.rec_id AS r1, b.rec_id AS r2 FROM (SELECT * FROM reads WHERE l_linenumber = 1 AND l_partkey % 7 = 0) a JOIN (SELECT * FROM reads WHERE l_linenumber = 1 AND l_suppkey % 3 = 0) b ON a.l_orderkey = b.l_orderkey")
-def _(g):
-    file = lambda rule: g.reads().where(rule).selectExpr("l_orderkey * 10 + l_linenumber as n", "concat(qname, ' ', mapq) as name", "rec_id")
-    return ingest.zip_pairs(file("l_linenumber = 1 and l_partkey % 7 = 0"), file("l_linenumber = 1 and l_suppkey % 3 = 0"))
-
-
-@query("zip_all", "SELECT row_number() OVER (ORDER BY rec_id) - 1 AS n, qname, rec_id AS r1, rec_id AS r2 FROM reads")
+@query("zip_pairs", "SELECT row_number() OVER (ORDER BY rec_id) - 1 AS n, qname, rec_id AS r1, rec_id AS r2 FROM reads")
 def _(g):
     file = ingest.numbered(g.reads().selectExpr("rec_id", "qname"), ["rec_id"])
     side = lambda k: file.selectExpr("n", f"concat(qname, ' {k}') as name", "rec_id")
@@ -221,11 +209,36 @@ def _(g):
 
 @query("merge_regional", _ROUTE + " SELECT rec_id, row_number() OVER (PARTITION BY reads.contig_id ORDER BY pos, CASE WHEN dest = 'chri' THEN 0 ELSE 1 END, rec_id) AS place FROM routed JOIN reads USING (rec_id) WHERE dest IN ('region', 'chri')")
 def _(g):
-    from pyspark.sql import Window
+    return route.merged_order(g.reads(), route.route(g.reads(), iv(g)))
+
+
+@query("route_unplaced", """, placed AS (SELECT * REPLACE (CASE WHEN (flag & 4) <> 0 AND l_partkey % 3 = 0 THEN NULL ELSE contig_id END AS contig_id, CASE WHEN (flag & 4) <> 0 AND l_partkey % 3 = 0 THEN NULL ELSE pos END AS pos) FROM reads),
+hit AS (SELECT rec_id, qname, flag, p.contig_id, pos, count(region) AS n, min(region) AS r, (flag & 2820) = 0 AS prim FROM placed p LEFT JOIN iv ON p.contig_id = iv.contig_id AND pos BETWEEN lo AND hi GROUP BY ALL),
+w AS (SELECT *, count(*) FILTER (prim) OVER (PARTITION BY qname) AS np, max(n) FILTER (prim) OVER (PARTITION BY qname) AS mx, min(r) FILTER (prim) OVER (PARTITION BY qname) AS r0, max(r) FILTER (prim) OVER (PARTITION BY qname) AS r1, min(contig_id) FILTER (prim) OVER (PARTITION BY qname) AS c0, max(contig_id) FILTER (prim) OVER (PARTITION BY qname) AS c1 FROM hit)
+SELECT rec_id, CASE WHEN (flag & 4) <> 0 THEN 'unmapped' WHEN (flag & 512) <> 0 THEN 'qcfail' WHEN n = 0 THEN 'lost' WHEN prim AND np = 2 THEN CASE WHEN mx = 1 AND r0 = r1 AND c0 = c1 THEN 'region' ELSE 'chri' END WHEN n > 1 THEN 'chri' ELSE 'region' END AS dest FROM w""")
+def _(g):
+    """Unmapped reads of every third part have no place."""
+    away = "(flag & 4) <> 0 and l_partkey % 3 = 0"
+    reads = g.reads().withColumns({c: F.expr(f"case when not ({away}) then {c} end") for c in ("contig_id", "pos")})
+    return route.route(reads, iv(g)).select("rec_id", "dest")
 
-    both = route.route(g.reads(), iv(g)).where(F.col("dest").isin("region", "chri")).join(g.reads().select("rec_id", "contig_id", "pos"), "rec_id")
-    w = Window.partitionBy("contig_id").orderBy("pos", F.when(F.col("dest") == "chri", 0).otherwise(1), "rec_id")
-    return both.select("rec_id", F.row_number().over(w).cast("long").alias("place"))
+
+@query("back_to_regions", _ROUTE + f" SELECT region, count(*) AS n FROM (SELECT rec_id, r AS region FROM routed WHERE dest = 'region' UNION ALL SELECT DISTINCT rec_id, region FROM (SELECT reads.*, {_SPAN} AS e FROM reads JOIN (SELECT rec_id FROM routed WHERE dest = 'chri') USING (rec_id)) x JOIN iv ON x.contig_id = iv.contig_id AND pos <= hi AND e >= lo) GROUP BY 1")
+def _(g):
+    end = F.col("pos") + R.reference_span(R.cigar(F.col("cigar"))) - 1
+    reads = g.reads().select("rec_id", "qname", "flag", "contig_id", "pos", "cigar")
+    return route.back_to_regions(reads, route.route(reads, iv(g)), iv(g), end).groupBy("region").agg(F.count("*").alias("n"))
+
+
+@query("ordered_concat", "SELECT rec_id, region, row_number() OVER (ORDER BY reads.contig_id, pos, rec_id) - 1 AS place FROM reads JOIN iv ON reads.contig_id = iv.contig_id AND pos BETWEEN lo AND hi", halo=0)
+def _(g):
+    return route.ordered_concat(g.reads().select("rec_id", "contig_id", "pos"), iv(g, 0)).select("rec_id", "region", "place")
+
+
+@query("interval_lists", "SELECT region, string_agg(contig || ':' || lo || '-' || hi, ',' ORDER BY contig_id) AS ivs FROM iv GROUP BY 1")
+def _(g):
+    text = lambda x: R.interval_text(x["contig"], x["lo"], x["hi"])
+    return genome.interval_lists(iv(g)).select("region", F.array_join(F.transform("ivs", text), ",").alias("ivs"))
 
 
 _ENDS = """, ops AS (SELECT *, regexp_extract(cigar, '^(\\d+)S', 1) AS ls, regexp_extract(cigar, '(\\d+)S$', 1) AS ts, list_sum(list_transform(regexp_extract_all(cigar, '(\\d+)[MDN=X]', 1), lambda x: CAST(x AS INT))) AS span FROM reads WHERE (flag & 2820) = 0),

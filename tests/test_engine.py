@@ -53,6 +53,13 @@ def test_routing_goldens(spark):
     reads = spark.createDataFrame([(f"{q}{i}", q, f, c, p) for i, (q, f, c, p, _) in enumerate(rows)], "rec_id string, qname string, flag int, contig_id int, pos long")
     got = {r.rec_id: r.dest for r in route.route(reads, iv).collect()}
     assert got == {f"{q}{i}": d for i, (q, *_, d) in enumerate(rows)}
+    odd = spark.createDataFrame([("u1", "u", 77, None, None), ("u2", "u", 141, None, None), ("x", "x", 517, 0, 9999), ("y", "y", 577, None, None)], reads.schema)
+    assert {r.rec_id: r.dest for r in route.route(odd, iv).collect()} == {"u1": "unmapped", "u2": "unmapped", "x": "unmapped", "y": "qcfail"}
+    for place in ((0, 500), (9, 5), (None, None)):
+        with pytest.raises(Exception, match="no region holds"):
+            route.route(spark.createDataFrame([("z", "z", 65, *place)], reads.schema), iv).collect()
+    with pytest.raises(Exception, match="no flag"):
+        route.route(spark.createDataFrame([("z", "z", None, 0, 10)], reads.schema), iv).collect()
 
 
 def test_reverse_complement_and_fastq(spark):
@@ -250,7 +257,7 @@ def test_duplicates_leave_no_bases(spark):
 
 
 def test_whole_reads_are_counted_and_zipped():
-    assert {"region_all", "zip_all"} <= set(queries.ORACLES)
+    assert {"region_empty", "zip_pairs"} <= set(queries.ORACLES)
 
 
 def test_empty_regions_are_told(spark):
@@ -266,3 +273,19 @@ def test_unequal_files_are_zipped_as_far_as_both_go(spark):
         assert sorted(map(tuple, ingest.zip_pairs(file(1, a), file(2, b)).collect())) == [(0, "p", "p1", "p2"), (1, "q", "q1", "q2")]
     with pytest.raises(Exception, match="names differ"):
         ingest.zip_pairs(file(1, "pq"), file(2, "pr")).collect()
+
+
+def test_regions_are_written_and_read_in_order(spark, tmp_path):
+    iv = genome.intervals(contigs(spark, 300, 200), 4)
+    rows = [(f"r{i}", f"q{i // 2}", 65 if i % 2 == 0 else 129, i % 2, 1 + i * 7 % 190) for i in range(60)] + [("u", "u", 69, None, None)]
+    reads = spark.createDataFrame(rows, "rec_id string, qname string, flag int, contig_id int, pos long")
+    routed = route.route(reads, iv)
+    route.write_regions(reads, routed, f"{tmp_path}/out")
+    back = spark.read.parquet(f"{tmp_path}/out")
+    assert {(r.rec_id, r.dest, r.region) for r in back.select("rec_id", "dest", "region").collect()} == {tuple(r) for r in routed.collect()}
+    route.write_sorted(reads, f"{tmp_path}/sorted")
+    assert spark.read.parquet(f"{tmp_path}/sorted").count() == 61
+    whole = [(r.contig_id, r.pos, r.rec_id) for r in route.ordered_concat(reads, iv).orderBy("place").collect()]
+    assert whole == sorted((c, p, i) for i, _, _, c, p in rows if c is not None)
+    inside = genome.restricted(reads.where("pos is not null").withColumnRenamed("pos", "rpos"), iv.where("region = 0"))
+    assert inside.count() == sum(c == 0 and p <= 125 for *_, c, p in rows) and "pos" not in inside.columns
