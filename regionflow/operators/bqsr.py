@@ -3,6 +3,8 @@ rec_id, and before, the call before in the read, where there is one)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,22 +48,29 @@ def with_covariates(bases: DataFrame) -> DataFrame:
     return bases.withColumn("cyc", cyc).withColumn("ctx", F.concat(before, F.col("base_call")))
 
 
-def covariates(bases: DataFrame) -> DataFrame:
-    """contig_id, rpos, q, cyc, ctx, miss."""
-    return with_covariates(bases).select("contig_id", "rpos", F.col("bq").alias("q"), "cyc", "ctx", (F.col("base_call") != F.col("ref_base")).alias("miss"))
+def covariates(bases: DataFrame, *groups: str) -> DataFrame:
+    """contig_id, rpos, q, cyc, ctx, miss, and the columns that further part the tables, such as the read group. Known sites
+    are masked after this: the context of a base is that of the read, whatever is masked beside it."""
+    return with_covariates(bases).select("contig_id", "rpos", F.col("bq").alias("q"), "cyc", "ctx", (F.col("base_call") != F.col("ref_base")).alias("miss"), *groups)
 
 
 def unknown_only(bases: DataFrame, known: DataFrame) -> DataFrame:
-    """bases at no known site."""
-    k = known.select(F.col("contig_id").alias("k_c"), F.col("pos").alias("k_p")).distinct()
+    """bases (contig_id, rpos) at no known site (contig_id, pos). Where known has a column ref, a site covers as many
+    bases as ref is long, so that deletions mask all that they take; a null or empty ref covers one."""
+    at = F.col("pos")
+    if "ref" in known.columns:
+        at = F.explode(F.sequence(at, at + F.greatest(F.coalesce(F.length("ref"), F.lit(1)), F.lit(1)) - 1))
+    k = known.where("contig_id is not null and pos is not null").select(F.col("contig_id").alias("k_c"), at.alias("k_p")).distinct()
     return bases.join(k, (F.col("contig_id") == F.col("k_c")) & (F.col("rpos") == F.col("k_p")), "left_anti")
 
 
 def tabulate(cov: DataFrame, *keys: str) -> DataFrame:
+    """obs and err of each value of the keys: what a region adds to the tables."""
     return cov.groupBy(*keys).agg(F.count("*").alias("obs"), F.count_if("miss").alias("err"))
 
 
 def gather(partials: DataFrame, *keys: str) -> DataFrame:
+    """The regions' tables added up, with the empirical quality emp_q."""
     out = partials.groupBy(*keys).agg(F.sum("obs").alias("obs"), F.sum("err").alias("err"))
     return out.withColumn("emp_q", empirical(F.col("err"), F.col("obs")))
 
@@ -70,10 +79,11 @@ def empirical(err: Column, obs: Column) -> Column:
     return F.round(-10 * F.log10((err + 1) / (obs + 2)), 4)
 
 
-def marginals(cov: DataFrame) -> DataFrame:
-    """All covariate tables in one pass; g_* tell rolled-up keys from null ones."""
-    sets = [[], [F.col("q")], [F.col("q"), F.col("cyc")], [F.col("q"), F.col("ctx")]]
-    return cov.groupingSets(sets, "q", "cyc", "ctx").agg(
+def marginals(cov: DataFrame, *groups: str) -> DataFrame:
+    """All covariate tables in one pass, those of each value of groups apart; g_* tell rolled-up keys from null ones."""
+    own = [F.col(c) for c in groups]
+    sets = [own, [*own, F.col("q")], [*own, F.col("q"), F.col("cyc")], [*own, F.col("q"), F.col("ctx")]]
+    return cov.groupingSets(sets, *groups, "q", "cyc", "ctx").agg(
         F.count("*").alias("obs"), F.count_if("miss").alias("err"),
         F.grouping("q").cast("int").alias("g_q"), F.grouping("cyc").cast("int").alias("g_cyc"), F.grouping("ctx").cast("int").alias("g_ctx"),
     )
@@ -91,27 +101,42 @@ def apply_quality(bases: DataFrame, table: DataFrame) -> DataFrame:
     return bases.join(F.broadcast(d), F.col("bq") == F.col("d_q"), "left").withColumn("new_q", _shifted(F.coalesce("delta", F.lit(0.0)))).drop("d_q", "delta")
 
 
-def apply(bases: DataFrame, table: DataFrame) -> DataFrame:
-    """bases with new_q, rounded, within 1 and 60, below 6 unchanged: bq and its shifts by table (of marginals).
+def apply(bases: DataFrame, table: DataFrame, *groups: str) -> DataFrame:
+    """bases with new_q, rounded, within 1 and 60, below 6 unchanged: bq and its shifts by table (of marginals with the
+    same groups, whose columns bases has).
 
     The shift of all bases is from the quality that their reported errors make up to the empirical one, that of a
     quality goes on to its own empirical one, and those of a cycle and a context go from there to theirs within the
-    quality. What table does not have, and the missing context of a first base, shifts nothing. table has as many rows
-    as qualities times cycles and contexts; it is kept first.
+    quality; each value of groups has shifts of its own. What table does not have, and the missing context of a first
+    base, shifts nothing. table has as many rows as groups times qualities times cycles and contexts; it is kept first.
     """
     t = cut(table.withColumn("emp", empirical(F.col("err"), F.col("obs"))))
     level = lambda q, cyc, ctx: t.where((F.col("g_q") == q) & (F.col("g_cyc") == cyc) & (F.col("g_ctx") == ctx))
-    reported = level(0, 1, 1).agg((-10 * F.log10(F.sum(F.col("obs") * F.pow(F.lit(10.0), -F.col("q") / 10.0)) / F.sum("obs"))).alias("reported"))
-    everything = level(1, 1, 1).crossJoin(reported).select(F.round(F.col("emp") - F.col("reported"), 4).alias("d_all"))  # one row
-    by_q = level(0, 1, 1).crossJoin(everything).select(F.col("q").alias("k_q"), F.col("emp").alias("emp_q"), (F.col("emp") - F.col("q") - F.col("d_all")).alias("d_q"))
-    own = by_q.select("k_q", "emp_q")
-    by_cyc = level(0, 0, 1).join(F.broadcast(own), F.col("q") == F.col("k_q")).select(F.col("q").alias("c_q"), F.col("cyc").alias("c_cyc"), (F.col("emp") - F.col("emp_q")).alias("d_cyc"))
-    by_ctx = level(0, 1, 0).where("ctx is not null").join(F.broadcast(own), F.col("q") == F.col("k_q")).select(F.col("q").alias("x_q"), F.col("ctx").alias("x_ctx"), (F.col("emp") - F.col("emp_q")).alias("d_ctx"))
+    named = lambda k: [F.col(c).alias(f"{k}_{c}") for c in groups]
+    on = lambda k, *conditions: reduce(lambda a, b: a & b, [*(F.col(c).eqNullSafe(F.col(f"{k}_{c}")) for c in groups), *conditions], F.lit(True))
+    reported = level(0, 1, 1).groupBy(*named("p")).agg((-10 * F.log10(F.sum(F.col("obs") * F.pow(F.lit(10.0), -F.col("q") / 10.0)) / F.sum("obs"))).alias("reported"))
+    everything = level(1, 1, 1).join(F.broadcast(reported), on("p")).select(*named("a"), F.round(F.col("emp") - F.col("reported"), 4).alias("d_all"))
+    by_q = level(0, 1, 1).join(F.broadcast(everything), on("a")).select(*named("k"), F.col("q").alias("k_q"), F.col("emp").alias("emp_q"), (F.col("emp") - F.col("q") - F.col("d_all")).alias("d_q"))
+    own = by_q.drop("d_q")
+    with_own = lambda df: df.join(F.broadcast(own), on("k", F.col("q") == F.col("k_q")))
+    by_cyc = with_own(level(0, 0, 1)).select(*named("c"), F.col("q").alias("c_q"), F.col("cyc").alias("c_cyc"), (F.col("emp") - F.col("emp_q")).alias("d_cyc"))
+    by_ctx = with_own(level(0, 1, 0).where("ctx is not null")).select(*named("x"), F.col("q").alias("x_q"), F.col("ctx").alias("x_ctx"), (F.col("emp") - F.col("emp_q")).alias("d_ctx"))
     joined = (
-        with_covariates(bases).join(F.broadcast(everything), F.lit(True), "left")
-        .join(F.broadcast(by_q.drop("emp_q")), F.col("bq") == F.col("k_q"), "left")
-        .join(F.broadcast(by_cyc), (F.col("bq") == F.col("c_q")) & (F.col("cyc") == F.col("c_cyc")), "left")
-        .join(F.broadcast(by_ctx), (F.col("bq") == F.col("x_q")) & (F.col("ctx") == F.col("x_ctx")), "left")
+        with_covariates(bases).join(F.broadcast(everything), on("a"), "left")
+        .join(F.broadcast(by_q.drop("emp_q")), on("k", F.col("bq") == F.col("k_q")), "left")
+        .join(F.broadcast(by_cyc), on("c", F.col("bq") == F.col("c_q"), F.col("cyc") == F.col("c_cyc")), "left")
+        .join(F.broadcast(by_ctx), on("x", F.col("bq") == F.col("x_q"), F.col("ctx") == F.col("x_ctx")), "left")
     )
     shifts = [F.coalesce(c, F.lit(0.0)) for c in ("d_all", "d_q", "d_cyc", "d_ctx")]
-    return joined.withColumn("new_q", _shifted(shifts[0] + shifts[1] + shifts[2] + shifts[3])).drop("k_q", "c_q", "c_cyc", "x_q", "x_ctx", "d_all", "d_q", "d_cyc", "d_ctx")
+    gone = ["k_q", "c_q", "c_cyc", "x_q", "x_ctx", "d_all", "d_q", "d_cyc", "d_ctx", *(f"{k}_{c}" for k in "akcx" for c in groups)]
+    return joined.withColumn("new_q", _shifted(shifts[0] + shifts[1] + shifts[2] + shifts[3])).drop(*gone)
+
+
+def rewrite(reads: DataFrame, recalibrated: DataFrame) -> DataFrame:
+    """reads (rec_id, qual, ...) with the qualities of recalibrated bases (rec_id, cycle, new_q) in qual; bases that have
+    no row, such as clipped and inserted ones, keep theirs, and so do reads without any. One row per read is joined."""
+    new = recalibrated.groupBy(F.col("rec_id").alias("_rec")).agg(F.map_from_entries(F.collect_list(F.struct("cycle", "new_q"))).alias("_new"))
+    letter = lambda c, i: F.coalesce(F.chr(F.try_element_at("_new", i + 1) + 33), c)
+    qual = F.array_join(F.transform(F.split("qual", ""), letter), "")
+    joined = reads.join(new, F.col("rec_id") == F.col("_rec"), "left")
+    return joined.withColumn("qual", F.when(F.col("_new").isNull(), F.col("qual")).otherwise(qual)).select(*reads.columns)

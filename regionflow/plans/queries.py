@@ -274,12 +274,19 @@ def _(g):
     return dedup.mark(g.reads()).where("not duplicate").select("rec_id")
 
 
-_COV = """, un AS (SELECT * FROM panel_bases b WHERE NOT EXISTS (SELECT 1 FROM known_sites k WHERE k.contig_id = b.contig_id AND k.pos = b.rpos)),
-cov AS (SELECT contig_id, rpos, bq AS q, CASE WHEN (flag & 128) <> 0 THEN -cycle ELSE cycle END AS cyc, lag(base_call) OVER (PARTITION BY rec_id ORDER BY cycle) || base_call AS ctx, base_call <> ref_base AS miss FROM un)"""
+# The context of a base is that of its read: it is taken before known sites are masked.
+_COV = """, cv AS (SELECT rec_id, contig_id, rpos, bq AS q, CASE WHEN (flag & 128) <> 0 THEN -cycle ELSE cycle END AS cyc, lag(base_call) OVER (PARTITION BY rec_id ORDER BY cycle) || base_call AS ctx, base_call <> ref_base AS miss, 'rg' || CAST(split_part(rec_id, '_', 1) AS BIGINT) % 3 AS rg FROM panel_bases),
+un AS (SELECT * FROM cv WHERE NOT EXISTS (SELECT 1 FROM known_sites k WHERE k.contig_id = cv.contig_id AND k.pos = cv.rpos)),
+cov AS (SELECT contig_id, rpos, q, cyc, ctx, miss, rg FROM un)"""
+
+
+def grouped(g):
+    """The panel's bases with a read group."""
+    return g.bases().withColumn("rg", F.concat(F.lit("rg"), F.split("rec_id", "_")[0].cast("long") % 3))
 
 
 def cov(g):
-    return bqsr.covariates(bqsr.unknown_only(g.bases(), g.known_sites()))
+    return bqsr.unknown_only(bqsr.covariates(grouped(g), "rg"), g.known_sites())
 
 
 @query("base_explode", "SELECT contig_id, ref_base, base_call, count(*) AS n, CAST(sum(bq) AS BIGINT) AS q FROM panel_bases GROUP BY 1, 2, 3", panel=True)
@@ -322,21 +329,50 @@ def _(g):
     return bqsr.apply_quality(g.bases(), bqsr.gather(bqsr.tabulate(cov(g), "q"), "q")).groupBy("bq", "new_q").agg(F.count("*").alias("n"))
 
 
-_RECALIBRATE = """, cv AS (SELECT contig_id, rpos, bq AS q, CASE WHEN (flag & 128) <> 0 THEN -cycle ELSE cycle END AS cyc, lag(base_call) OVER (PARTITION BY rec_id ORDER BY cycle) || base_call AS ctx, base_call <> ref_base AS miss FROM panel_bases),
-un AS (SELECT * FROM cv WHERE NOT EXISTS (SELECT 1 FROM known_sites k WHERE k.contig_id = cv.contig_id AND k.pos = cv.rpos)),
+_RECALIBRATE = _COV + """,
 ta AS (SELECT round(round(-10 * log10((count(*) FILTER (miss) + 1) / (count(*) + 2)), 4) + 10 * log10(sum(pow(10.0, -q / 10.0)) / count(*)), 4) AS d FROM un),
 tq AS (SELECT q, round(-10 * log10((count(*) FILTER (miss) + 1) / (count(*) + 2)), 4) AS emp FROM un GROUP BY 1),
 tc AS (SELECT q, cyc, round(-10 * log10((count(*) FILTER (miss) + 1) / (count(*) + 2)), 4) AS emp FROM un GROUP BY 1, 2),
 tx AS (SELECT q, ctx, round(-10 * log10((count(*) FILTER (miss) + 1) / (count(*) + 2)), 4) AS emp FROM un WHERE ctx IS NOT NULL GROUP BY 1, 2),
 shifted AS (SELECT cv.*, coalesce(ta.d, 0) + coalesce(tq.emp - cv.q - ta.d, 0) + coalesce(tc.emp - tq.emp, 0) + coalesce(tx.emp - tq.emp, 0) AS shift
-FROM cv CROSS JOIN ta LEFT JOIN tq ON tq.q = cv.q LEFT JOIN tc ON tc.q = cv.q AND tc.cyc = cv.cyc LEFT JOIN tx ON tx.q = cv.q AND tx.ctx = cv.ctx)
-SELECT q AS bq, cyc, ctx, CASE WHEN q < 6 THEN q ELSE greatest(1, least(60, CAST(floor(round(q + shift, 4) + 0.5) AS INT))) END AS new_q, count(*) AS n FROM shifted GROUP BY 1, 2, 3, 4"""
+FROM cv CROSS JOIN ta LEFT JOIN tq ON tq.q = cv.q LEFT JOIN tc ON tc.q = cv.q AND tc.cyc = cv.cyc LEFT JOIN tx ON tx.q = cv.q AND tx.ctx = cv.ctx),
+recal AS (SELECT *, CASE WHEN q < 6 THEN q ELSE greatest(1, least(60, CAST(floor(round(q + shift, 4) + 0.5) AS INT))) END AS new_q FROM shifted)"""
+
+
+def recalibrated(g):
+    return bqsr.apply(g.bases(), bqsr.marginals(cov(g)))
+
+
+@query("bqsr_recalibrate", _RECALIBRATE + " SELECT q AS bq, cyc, ctx, new_q, count(*) AS n FROM recal GROUP BY 1, 2, 3, 4", panel=True)
+def _(g):
+    return recalibrated(g).groupBy("bq", "cyc", "ctx", "new_q").agg(F.count("*").alias("n"))
+
+
+@query("bqsr_rewrite", _RECALIBRATE + " SELECT rec_id, string_agg(chr(33 + new_q), '' ORDER BY abs(cyc)) AS qual FROM recal GROUP BY 1", panel=True)
+def _(g):
+    return bqsr.rewrite(g.panel(), recalibrated(g)).select("rec_id", "qual")
+
+
+_GROUPED = (
+    _RECALIBRATE.replace("ta AS (SELECT round", "ta AS (SELECT rg, round").replace("4) AS d FROM un)", "4) AS d FROM un GROUP BY 1)")
+    .replace("tq AS (SELECT q,", "tq AS (SELECT rg, q,").replace("tc AS (SELECT q, cyc,", "tc AS (SELECT rg, q, cyc,").replace("tx AS (SELECT q, ctx,", "tx AS (SELECT rg, q, ctx,")
+    .replace("AS emp FROM un GROUP BY 1, 2)", "AS emp FROM un GROUP BY 1, 2, 3)").replace("AS emp FROM un GROUP BY 1)", "AS emp FROM un GROUP BY 1, 2)")
+    .replace("ctx IS NOT NULL GROUP BY 1, 2)", "ctx IS NOT NULL GROUP BY 1, 2, 3)")
+    .replace("FROM cv CROSS JOIN ta", "FROM cv LEFT JOIN ta ON ta.rg = cv.rg").replace("tq ON tq.q", "tq ON tq.rg = cv.rg AND tq.q").replace("tc ON tc.q", "tc ON tc.rg = cv.rg AND tc.q").replace("tx ON tx.q", "tx ON tx.rg = cv.rg AND tx.q")
+)
+
+
+@query("bqsr_by_read_group", _GROUPED + " SELECT rg, q AS bq, new_q, count(*) AS n FROM recal GROUP BY 1, 2, 3", panel=True)
+def _(g):
+    return bqsr.apply(grouped(g), bqsr.marginals(cov(g), "rg"), "rg").groupBy("rg", "bq", "new_q").agg(F.count("*").alias("n"))
 
 
-@query("bqsr_recalibrate", _RECALIBRATE, panel=True)
+@query("bqsr_restricted", _COV + ", two AS (SELECT r AS region, contig_id, GREATEST(contig_id * 2000, r * 500 - 100) - contig_id * 2000 + 1 AS lo, LEAST((contig_id + 1) * 2000, (r + 1) * 500 + 100, 10000) - contig_id * 2000 AS hi FROM rid CROSS JOIN (SELECT DISTINCT contig_id FROM panel) WHERE r IN (3, 4, 11)) SELECT q, cyc, count(*) AS obs, count(*) FILTER (miss) AS err FROM cov WHERE EXISTS (SELECT 1 FROM two WHERE two.contig_id = cov.contig_id AND rpos BETWEEN lo AND hi) GROUP BY 1, 2", panel=True)
 def _(g):
-    table = bqsr.marginals(bqsr.unknown_only(bqsr.covariates(g.bases()), g.known_sites()))
-    return bqsr.apply(g.bases(), table).groupBy("bq", "cyc", "ctx", "new_q").agg(F.count("*").alias("n"))
+    """The tables of three regions alone, with their halos."""
+    contigs = g.spark.range(5).selectExpr("cast(id as int) as contig_id", "cast(id as string) as contig", "cast(2000 as bigint) as len")
+    three = genome.intervals(contigs, N_REGIONS, 100).where("region in (3, 4, 11)")
+    return bqsr.tabulate(genome.restricted(cov(g), three), "q", "cyc")
 
 
 @query("bqsr_overlap_excess", _COV + " SELECT q, count(*) AS regional, count(*) FILTER (own) AS once FROM (SELECT q, g >= r * 500 AND g < (r + 1) * 500 AS own FROM (SELECT *, contig_id * 2000 + rpos - 1 AS g FROM cov) JOIN rid ON g >= r * 500 - 100 AND g < (r + 1) * 500 + 100) GROUP BY 1", panel=True)

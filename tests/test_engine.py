@@ -289,3 +289,29 @@ def test_regions_are_written_and_read_in_order(spark, tmp_path):
     assert whole == sorted((c, p, i) for i, _, _, c, p in rows if c is not None)
     inside = genome.restricted(reads.where("pos is not null").withColumnRenamed("pos", "rpos"), iv.where("region = 0"))
     assert inside.count() == sum(c == 0 and p <= 125 for *_, c, p in rows) and "pos" not in inside.columns
+
+
+def test_context_beside_a_masked_site_is_the_reads_own(spark):
+    schema = "rec_id string, contig_id int, rpos long, cycle int, flag int, bq int, ref_base string, base_call string"
+    bases = spark.createDataFrame([("r", 0, k, k, 65, 30, "ACGT"[k - 1], "ACGT"[k - 1]) for k in (1, 2, 3, 4)], schema)
+    known = spark.createDataFrame([(0, 2, "C"), (0, 4, "TAA"), (None, 1, "A")], "contig_id int, pos long, ref string")
+    got = {r.rpos: r.ctx for r in bqsr.unknown_only(bqsr.covariates(bases), known).collect()}
+    assert got == {1: None, 3: "CG"}
+    span = spark.createDataFrame([(0, 2, "CGT"), (0, 9, None)], known.schema)
+    assert [r.rpos for r in bqsr.unknown_only(bqsr.covariates(bases), span).collect()] == [1]
+
+
+def test_qualities_are_rewritten_where_bases_have_new_ones(spark):
+    reads = spark.createDataFrame([("a", "IIII", 1), ("b", "5555", 2)], "rec_id string, qual string, x int")
+    new = spark.createDataFrame([("a", 2, 10), ("a", 4, 60)], "rec_id string, cycle int, new_q int")
+    out = bqsr.rewrite(reads, new)
+    assert out.columns == reads.columns and {r.rec_id: r.qual for r in out.collect()} == {"a": "I+I]", "b": "5555"}
+
+
+def test_read_groups_shift_apart(spark):
+    schema = "rg string, contig_id int, rpos long, flag int, bq int, ref_base string, base_call string, rec_id string, cycle int"
+    rows = [("x", 0, i, 65, 30, "A", "A" if i % 10 else "C", f"x{i}", 1) for i in range(100)] + [("y", 0, i, 65, 30, "A", "A", f"y{i}", 1) for i in range(100)] + [(None, 0, i, 65, 30, "A", "A", f"n{i}", 1) for i in range(50)]
+    bases = spark.createDataFrame(rows, schema)
+    got = {r.rg: r.new_q for r in bqsr.apply(bases, bqsr.marginals(bqsr.covariates(bases, "rg"), "rg"), "rg").select("rg", "new_q").distinct().collect()}
+    emp = lambda err, obs: math.floor(round(-10 * math.log10((err + 1) / (obs + 2)), 4) + 0.5)
+    assert got == {"x": emp(10, 100), "y": emp(0, 100), None: emp(0, 50)}
