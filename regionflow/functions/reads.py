@@ -56,30 +56,48 @@ def phred(qual: Column) -> Column:
     return F.transform(F.split(qual, ""), lambda c: F.ascii(c) - 33)
 
 
+def cigar_text(ops: Column) -> Column:
+    """The text of cigar ops; `*` for none."""
+    return F.when(F.size(ops) == 0, "*").otherwise(F.array_join(F.transform(ops, lambda x: F.concat(x["len"].cast("string"), x["op"])), ""))
+
+
 def tags(fields: Column) -> Column:
-    """map<tag, struct<type, val>> of an array of TAG:TYPE:VALUE; an unknown type is an error."""
+    """map<tag, struct<type, val, i, f, h, b>> of an array of TAG:TYPE:VALUE: val is the text, and beside it i (long) has
+    the value of an i tag, f (double) of an f tag, h (binary) of an H tag and b (array of long) of a B tag, whose first
+    character names the numbers' size. A value that is no number, a B tag of fractions and an unknown type are errors; of
+    tags that repeat the last counts."""
     parts = F.transform(fields, lambda f: F.split(f, ":", 3))
+    last = F.filter(parts, lambda p, i: ~F.exists(F.slice(parts, i + 2, F.greatest(F.size(parts), F.lit(1))), lambda q: q[0] == p[0]))
+    of = lambda p, kind, value: F.when(p[1] == kind, value)
     checked = F.transform(
-        parts,
+        last,
         lambda p: F.struct(
             p[0].alias("tag"),
-            F.struct(F.when(p[1].isin("i", "f", "H", "B", "A", "Z"), p[1]).otherwise(F.raise_error(F.concat(F.lit("tag type "), p[1]))).alias("type"), p[2].alias("val")).alias("v"),
+            F.struct(
+                F.when(p[1].isin("i", "f", "H", "B", "A", "Z"), p[1]).otherwise(F.raise_error(F.concat(F.lit("tag type "), p[1]))).alias("type"), p[2].alias("val"),
+                of(p, "i", p[2].cast("long")).alias("i"), of(p, "f", p[2].cast("double")).alias("f"), of(p, "H", F.unhex(p[2])).alias("h"),
+                of(p, "B", F.transform(F.slice(F.split(p[2], ","), 2, 1 << 30), lambda x: x.cast("long"))).alias("b"),
+            ).alias("v"),
         ),
     )
     return F.map_from_entries(checked)
 
 
+def read_group(sample: str, platform: str = "ILLUMINA") -> str:
+    """The @RG line of a sample's reads."""
+    return f"@RG\tID:{sample}\tPL:{platform}\tSM:{sample}"
+
+
 def mate_reference(rnext: Column, rname: Column) -> Column:
     return F.when(rnext == "=", rname).when(rnext == "*", F.lit(None)).otherwise(rnext)
 
 
 def read_name(line: Column) -> Column:
-    """struct<qname, mate> of a FASTQ name line."""
+    """struct<qname, mate> of a FASTQ name line: the mate is the name's last character where that is 1 or 2, and a suffix
+    of `/` and mate is cut off."""
     bare = F.regexp_replace(line, "^@", "")
-    return F.struct(
-        F.regexp_replace(bare, "/[12]$", "").alias("qname"),
-        F.when(bare.rlike("/[12]$"), F.right(bare, F.lit(1)).cast("int")).alias("mate"),
-    )
+    last = F.right(bare, F.lit(1))
+    return F.struct(F.regexp_replace(bare, "/[12]$", "").alias("qname"), F.when(last.isin("1", "2"), last.cast("int")).alias("mate"))
 
 
 def fastq(qname: Column, which: Column, seq: Column, qual: Column, reverse: Column, parity: bool = False) -> Column:

@@ -19,6 +19,7 @@ def counters(reads: DataFrame) -> DataFrame:
 
 
 def passing(reads: DataFrame, supplementary: bool = False) -> DataFrame:
+    """Records that are neither secondary nor failing, nor supplementary unless those are asked for; a null flag goes."""
     drop = R.SECONDARY | R.QCFAIL | (0 if supplementary else R.SUPPLEMENTARY)
     return reads.where(F.col("flag").bitwiseAND(drop) == 0)
 
@@ -86,5 +87,32 @@ def numbered(df: DataFrame, order: list[str], name: str = "n") -> DataFrame:
     return inner.join(F.broadcast(before.select("_p", "_b")), "_p").withColumn(name, (F.col("_b") + F.col("_k")).cast("long")).drop("_p", "_k", "_b")
 
 
+def with_contigs(records: DataFrame, contigs: DataFrame) -> DataFrame:
+    """records (rname) with contig_id (null for a null name) by the dictionary (contig_id, contig); a name that it lacks
+    is an error. A dictionary has some thousand rows at most."""
+    named = F.broadcast(contigs.select("contig_id", F.col("contig").alias("_contig")))
+    lost = F.raise_error(F.concat_ws(" ", F.lit("not in the dictionary:"), "rname")).cast("int")
+    joined = records.join(named, F.col("rname") == F.col("_contig"), "left")
+    return joined.withColumn("contig_id", F.when(F.col("rname").isNotNull() & F.col("contig_id").isNull(), lost).otherwise(F.col("contig_id"))).drop("_contig")
+
+
+def counters_with_improper(reads: DataFrame, order: list[str]) -> DataFrame:
+    """counters and improper, the records that follow one of the same mate that still waits."""
+    n = improper(reads, order).agg(F.coalesce(F.sum("improper"), F.lit(0)).alias("improper"))
+    return counters(reads).crossJoin(n)  # a row each
+
+
+def unpaired(reads: DataFrame) -> DataFrame:
+    """The passing records whose name is not a pair of one of each mate."""
+    lone = name_classes(reads).where("kind <> 'pair'").select(F.col("qname").alias("_q"))
+    return passing(reads).join(lone, F.col("qname") == F.col("_q"), "left_semi")
+
+
+def chunk_count(chunked: DataFrame) -> DataFrame:
+    """One row: n_chunks, 0 for none."""
+    return chunked.agg(F.coalesce(F.max("chunk_id") + 1, F.lit(0)).alias("n_chunks"))
+
+
 def chunks(pairs: DataFrame, order: list[str], size: int = CHUNK_PAIRS) -> DataFrame:
+    """pairs with chunk_id: so many of them in order to each chunk."""
     return numbered(pairs, order).withColumn("chunk_id", F.expr(f"n div {size}")).drop("n")

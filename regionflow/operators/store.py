@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df, computed into the folder of spark.checkpoint.dir (a folder of our own only where the session has none), so
-    that every later use sees the same rows in the same partitions, whatever executors are lost."""
+    """df, computed into the folder of spark.checkpoint.dir, so that every later use sees the same rows in the same
+    partitions, whatever executors are lost. A session without the setting gets a local folder if it runs in one process,
+    as tests do; on a cluster that is an error."""
     spark = df.sparkSession
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="regionflow-")
         spark.conf.set("spark.checkpoint.dir", found)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -78,7 +78,7 @@ def _(g):
     return g.reads().select("rec_id", R.fastq(F.col("qname"), R.mate(f), F.col("seq"), F.col("qual"), R.has(f, R.REVERSE)).alias("fq"))
 
 
-@query("name_normalise", "SELECT rec_id, qname, CASE WHEN l_linenumber < 5 THEN CASE WHEN (flag & 64) <> 0 THEN 1 ELSE 2 END END AS mate FROM reads")
+@query("name_normalise", "SELECT rec_id, qname, CASE WHEN l_linenumber < 5 THEN CASE WHEN (flag & 64) <> 0 THEN 1 ELSE 2 END WHEN right(qname, 1) IN ('1', '2') THEN CAST(right(qname, 1) AS INT) END AS mate FROM reads")
 def _(g):
     line = F.concat(F.lit("@"), "qname", F.when(F.col("l_linenumber") < 5, F.concat(F.lit("/"), R.mate(F.col("flag")).cast("string"))).otherwise(""))
     return g.reads().select("rec_id", R.read_name(line).alias("x")).select("rec_id", "x.*")
@@ -95,10 +95,12 @@ def _(g):
     return g.reads().select("rec_id", F.aggregate(q, F.lit(0).cast("long"), lambda a, x: a + x).alias("total"), F.array_min(q).alias("least"), F.array_max(q).alias("most"))
 
 
-@query("sam_tags", "SELECT rec_id, mapq AS nm, 'sample 1:' || l_suppkey AS rg FROM reads")
+@query("sam_tags", "SELECT rec_id, CAST(mapq AS BIGINT) AS nm, 'sample 1:' || l_suppkey AS rg, mapq / 4.0 AS xf, CAST(l_suppkey + l_partkey AS BIGINT) AS xb FROM reads")
 def _(g):
-    fields = F.array(F.concat(F.lit("NM:i:"), "mapq"), F.concat(F.lit("RG:Z:sample 1:"), "l_suppkey"))
-    return g.reads().select("rec_id", R.tags(fields).alias("t")).select("rec_id", F.col("t")["NM"]["val"].cast("int").alias("nm"), F.col("t")["RG"]["val"].alias("rg"))
+    fields = F.array(F.concat(F.lit("NM:i:"), "mapq"), F.concat(F.lit("RG:Z:sample 1:"), "l_suppkey"), F.concat(F.lit("XF:f:"), F.col("mapq") / 4), F.concat(F.lit("XB:B:i,"), "l_suppkey", F.lit(","), "l_partkey"))
+    t = F.col("t")
+    total = F.aggregate(t["XB"]["b"], F.lit(0).cast("long"), lambda a, x: a + x)
+    return g.reads().select("rec_id", R.tags(fields).alias("t")).select("rec_id", t["NM"]["i"].alias("nm"), t["RG"]["val"].alias("rg"), t["XF"]["f"].alias("xf"), total.alias("xb"))
 
 
 @query("mate_ref", "SELECT rec_id, CASE l_linenumber % 3 WHEN 0 THEN 'c' || contig_id WHEN 1 THEN NULL ELSE 'c' || l_partkey % 25 END AS mate_contig FROM reads")
@@ -112,6 +114,18 @@ def _(g):
     return ingest.counters(g.reads())
 
 
+@query("chunk_count", "SELECT CAST(ceil(count(*) / 1000.0) AS BIGINT) AS n_chunks FROM reads")
+def _(g):
+    return ingest.chunk_count(ingest.chunks(g.reads().select("rec_id"), ["rec_id"], 1000))
+
+
+@query("contig_lookup", "SELECT rec_id, CASE WHEN contig_id % 5 <> 0 THEN contig_id END AS contig_id FROM reads")
+def _(g):
+    """Reads of every fifth contig bear `*` for a name."""
+    named = g.reads().join(g.contigs().select("contig_id", "contig"), "contig_id").select("rec_id", F.when(F.col("contig_id") % 5 != 0, F.col("contig")).alias("rname"))
+    return ingest.with_contigs(named, g.contigs()).select("rec_id", "contig_id")
+
+
 @query("primary_pass", "SELECT rec_id FROM reads WHERE (flag & 2816) = 0")
 def _(g):
     return ingest.passing(g.reads()).select("rec_id")

@@ -1,26 +1,33 @@
-"""FASTQ, SAM, BAM and VCF."""
+"""FASTQ, FASTA, SAM, BAM and VCF."""
 
 from __future__ import annotations
 
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regionflow.functions import reads as R
-from regionflow.operators.ingest import numbered
+from regionflow.operators.ingest import numbered, unpaired, with_contigs
+from regionflow.operators.store import cut
 
 SAM = ["qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual"]
 
 
 def fastq(spark: SparkSession, path: str) -> DataFrame:
     """n (record), qname, mate, seq, qual of a file, gzipped or not. Lines are numbered by file and place, so the
-    result does not depend on partitions; a record without `@` and `+` is an error."""
+    result does not depend on partitions; a record without `@` and `+` is an error. An empty line where a name should be
+    ends the file."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("s"), F.monotonically_increasing_id().alias("i"))
     at = numbered(lines, ["f", "s", "i"], "line_no")
+    end = at.where("line_no % 4 = 0 and trim(value) = ''").agg(F.min("line_no").alias("_end"))  # a row
+    at = at.crossJoin(end).where("_end is null or line_no < _end")
     rec = at.groupBy(F.expr("line_no div 4").alias("n")).agg(*[F.max(F.when(F.col("line_no") % 4 == k, F.col("value"))).alias(c) for k, c in enumerate(("name", "seq", "plus", "qual"))])
     ok = F.col("name").startswith("@") & F.col("plus").startswith("+")
     checked = F.when(ok, F.col("name")).otherwise(F.raise_error(F.concat(F.lit("not a FASTQ record: "), "name")))
@@ -34,6 +41,45 @@ def write_fastq(reads: DataFrame, path: str, per_file: int = 750_000, parity: bo
     out.write.option("compression", "gzip").option("maxRecordsPerFile", per_file).partitionBy("mate").text(path)
 
 
+def write_unpaired(reads: DataFrame, path: str) -> None:
+    """The passing records without a partner as gzipped FASTQ text."""
+    write_fastq(unpaired(reads), path)
+
+
+def fasta(spark: SparkSession, path: str) -> DataFrame:
+    """contig_id (file order), contig (the first word of the name), line (from 0), width, seq (upper case) of the lines of
+    a FASTA file. All lines of a contig but the last must be as wide as its first; another is an error."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("s"), F.monotonically_increasing_id().alias("i"))
+    at = numbered(lines.where("trim(value) <> ''"), ["f", "s", "i"], "at").select("at", F.trim("value").alias("value"))
+    heads = numbered(at.where("value like '>%'"), ["at"], "contig_id").select(F.col("contig_id").cast("int").alias("contig_id"), "at", F.regexp_extract("value", r"^>(\S*)", 1).alias("contig"))
+    after = Window.orderBy("at")  # a row per contig
+    spans = heads.select("contig_id", "contig", (F.col("at") + 1).alias("lo"), F.coalesce(F.lead("at").over(after) - 1, F.lit(1 << 60)).alias("hi"))
+    last = at.agg(F.max("at").alias("last"))  # a row
+    spans = spans.crossJoin(last).select("contig_id", "contig", "lo", F.least("hi", "last").alias("hi")).where("lo <= hi")
+    spans = spans.join(at.select(F.col("at").alias("lo"), F.length("value").alias("width")), "lo")
+    cells = spans.withColumn("bin", F.explode(F.sequence(F.expr("lo div 65536"), F.expr("hi div 65536"))))
+    rows = at.withColumn("bin", F.expr("at div 65536")).join(cells, "bin").where("at between lo and hi")
+    fits = (F.length("value") == F.col("width")) | ((F.col("at") == F.col("hi")) & (F.length("value") <= F.col("width")))
+    seq = F.when(fits, F.upper("value")).otherwise(F.raise_error(F.concat_ws(" ", F.lit("uneven lines in"), "contig")))
+    return rows.select("contig_id", "contig", (F.col("at") - F.col("lo")).alias("line"), "width", seq.alias("seq"))
+
+
+def contigs_of(reference: DataFrame) -> DataFrame:
+    """contig_id, contig, len of a reference (of fasta)."""
+    return reference.groupBy("contig_id", "contig").agg(F.sum(F.length("seq")).cast("long").alias("len"))
+
+
+def with_reference(bases: DataFrame, reference: DataFrame) -> DataFrame:
+    """bases (contig_id, rpos) with ref_base, joined by contig and line; bases beyond the reference, and those over an N
+    of it, are left out. Widths are a row per contig."""
+    widths = F.broadcast(reference.groupBy(F.col("contig_id").alias("_c")).agg(F.first("width").alias("_w")))
+    at = bases.join(widths, F.col("contig_id") == F.col("_c")).withColumn("_line", F.expr("(rpos - 1) div _w"))
+    lines = reference.select(F.col("contig_id").alias("_rc"), F.col("line").alias("_rl"), F.col("seq").alias("_seq"))
+    joined = at.join(lines, (F.col("_c") == F.col("_rc")) & (F.col("_line") == F.col("_rl")))
+    ref = F.substring("_seq", ((F.col("rpos") - 1) % F.col("_w") + 1).cast("int"), F.lit(1))
+    return joined.withColumn("ref_base", ref).where("ref_base in ('A', 'C', 'G', 'T')").drop("_c", "_w", "_line", "_rc", "_rl", "_seq")
+
+
 def parse_sam(lines: DataFrame) -> DataFrame:
     """Records of SAM text lines (value): eleven fields, cigar as ops, mate reference resolved, tags typed. Works on
     static and streaming lines alike; fewer fields are an error."""
@@ -69,62 +115,129 @@ def sam(spark: SparkSession, path: str) -> DataFrame:
     return parse_sam(spark.read.text(path))
 
 
+def as_reads(records: DataFrame, contigs: DataFrame, sample: str = "sample") -> DataFrame:
+    """What the operators work on, of SAM or BAM records: rec_id (unique, text), qname, flag, contig_id, pos, mapq, cigar
+    (text), seq, qual, rg (the RG tag or the sample). Records are kept first, so that ids stay as they are."""
+    text = R.cigar_text(F.col("cigar")) if dict(records.dtypes)["cigar"].startswith("array") else F.col("cigar")
+    rg = F.coalesce(F.try_element_at("tags", F.lit("RG"))["val"], F.lit(sample)) if "tags" in records.columns else F.lit(sample)
+    named = with_contigs(records.withColumn("rname", F.when(F.col("rname") != "*", F.col("rname"))), contigs)
+    slim = named.select(
+        F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0").alias("rec_id"), "qname", "flag", "contig_id", F.when(F.col("contig_id").isNotNull(), F.col("pos")).alias("pos"),
+        "mapq", text.alias("cigar"), "seq", "qual", rg.alias("rg"),
+    )
+    return cut(slim)
+
+
 def sam_lines(reads: DataFrame) -> DataFrame:
     """value: SAM text of reads with the eleven fields (cigar as text)."""
     return reads.select(F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("*")) for c in SAM]).alias("value"))
 
 
-def _blocks(data: bytes) -> bytes:
-    """The content of a blocked gzip file."""
-    out = []
-    while data:
-        d = zlib.decompressobj(31)
-        out.append(d.decompress(data))
-        data = d.unused_data
-    return b"".join(out)
+def _pieces(f) -> Iterator[bytes]:
+    """The content of a gzip file of many members, such as a blocked one, piece by piece."""
+    d = zlib.decompressobj(31)
+    while held := f.read(1 << 18):
+        while held:
+            yield d.decompress(held)
+            held = d.unused_data
+            if d.eof:
+                d = zlib.decompressobj(31)
+            else:
+                break
+
+
+class _Buffer:
+    """Bytes that arrive in pieces, taken from the front."""
 
+    def __init__(self, pieces: Iterator[bytes]):
+        self.pieces, self.held, self.at = pieces, b"", 0
 
-def decode_bam(data: bytes) -> Iterator[tuple]:
-    """SAM's eleven fields of each record of a BAM file."""
-    b = _blocks(data)
-    if b[:4] != b"BAM\1":
+    def take(self, n: int) -> bytes:
+        """The next n bytes; fewer at the end."""
+        if len(self.held) - self.at < n:
+            parts, size = [self.held[self.at :]], len(self.held) - self.at
+            for piece in self.pieces:
+                parts.append(piece)
+                size += len(piece)
+                if size >= max(n, 1 << 20):
+                    break
+            self.held, self.at = b"".join(parts), 0
+        out = self.held[self.at : self.at + n]
+        self.at += len(out)
+        return out
+
+
+_BASES = "=ACMGRSVTWYHKDBN"
+_TWO = [a + b for a in _BASES for b in _BASES]
+#: The numbers of binary tags by their type.
+_NUMBERS = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
+
+
+def _binary_tags(b: bytes) -> list[str]:
+    """TAG:TYPE:VALUE of the tags at a record's end."""
+    out, p = [], 0
+    while p < len(b):
+        tag, kind, p = b[p : p + 2].decode(), chr(b[p + 2]), p + 3
+        if kind in "ZH":
+            end = b.index(0, p)
+            value, p = b[p:end].decode(), end + 1
+        elif kind == "A":
+            value, p = chr(b[p]), p + 1
+        elif kind == "B":
+            sub, n = chr(b[p]), struct.unpack_from("<i", b, p + 1)[0]
+            numbers = struct.unpack_from(f"<{n}{_NUMBERS[sub]}", b, p + 5)
+            value, p = ",".join([sub, *map(str, numbers)]), p + 5 + n * struct.calcsize(_NUMBERS[sub])
+        else:
+            (number,) = struct.unpack_from("<" + _NUMBERS[kind], b, p)
+            value, p = str(number), p + struct.calcsize(_NUMBERS[kind])
+            kind = "f" if kind == "f" else "i"
+        out.append(f"{tag}:{kind}:{value}")
+    return out
+
+
+def decode_bam(f) -> Iterator[tuple]:
+    """SAM's eleven fields and the tags of each record of a BAM file; a record at a time is held."""
+    b = _Buffer(_pieces(f))
+    number = lambda: struct.unpack("<i", b.take(4))[0]
+    if b.take(4) != b"BAM\1":
         raise ValueError("not a BAM file")
-    at = 8 + struct.unpack_from("<i", b, 4)[0]
-    names, n = [], struct.unpack_from("<i", b, at)[0]
-    at += 4
-    for _ in range(n):
-        k = struct.unpack_from("<i", b, at)[0]
-        names.append(b[at + 4 : at + 3 + k].decode())
-        at += 8 + k
+    b.take(number())
+    names = []
+    for _ in range(number()):
+        names.append(b.take(number())[:-1].decode())
+        b.take(4)
     name = lambda i: "*" if i < 0 else names[i]
-    while at < len(b):
-        size, ref, pos, l_name, mapq, _, n_ops, flag, l_seq, nref, npos, tlen = struct.unpack_from("<iiiBBHHHiiii", b, at)
-        p = at + 36
-        qname, p = b[p : p + l_name - 1].decode(), p + l_name
-        ops, p = struct.unpack_from(f"<{n_ops}I", b, p), p + 4 * n_ops
-        packed, p = b[p : p + (l_seq + 1) // 2], p + (l_seq + 1) // 2
-        seq = "".join("=ACMGRSVTWYHKDBN"[x >> 4] + "=ACMGRSVTWYHKDBN"[x & 15] for x in packed)[:l_seq]
-        q = b[p : p + l_seq]
+    while size := b.take(4):
+        r = b.take(struct.unpack("<i", size)[0])
+        ref, pos, l_name, mapq, _, n_ops, flag, l_seq, nref, npos, tlen = struct.unpack_from("<iiBBHHHiiii", r, 0)
+        p = 32 + l_name
+        qname, ops = r[32 : p - 1].decode(), struct.unpack_from(f"<{n_ops}I", r, p)
+        p += 4 * n_ops
+        packed, p = r[p : p + (l_seq + 1) // 2], p + (l_seq + 1) // 2
+        seq, q = "".join(map(_TWO.__getitem__, packed))[:l_seq], r[p : p + l_seq]
         qual = "*" if not l_seq or q[0] == 255 else bytes(x + 33 for x in q).decode()
         cigar = "".join(f"{x >> 4}{'MIDNSHP=X'[x & 15]}" for x in ops) or "*"
         rnext = "=" if nref == ref and ref >= 0 else name(nref)
-        yield qname, flag, name(ref), pos + 1, mapq, cigar, rnext, npos + 1, tlen, seq or "*", qual
-        at += 4 + size
+        yield qname, flag, name(ref), pos + 1, mapq, cigar, rnext, npos + 1, tlen, seq or "*", qual, _binary_tags(r[p + l_seq :])
 
 
 def bam(spark: SparkSession, path: str) -> DataFrame:
-    """The eleven fields of BAM files, a file per task (a chunk of reads is about 60 MB)."""
-    files = spark.read.format("binaryFile").load(path).select("content")
+    """The eleven fields and typed tags of BAM files, a file per task, read as a stream: a task holds some thousand records,
+    however large its file."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length").repartition("path")
+    kinds = [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.string())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for content in b.column("content"):
-                rows = list(decode_bam(content.as_py()))
-                cols = list(zip(*rows)) or [()] * 11
-                kinds = [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], SAM)
+            for uri in b.column("path").to_pylist():
+                store, place = fs.FileSystem.from_uri(uri)
+                with store.open_input_stream(place, compression=None) as f:
+                    rows = decode_bam(f)
+                    while held := list(islice(rows, 5000)):
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], [*SAM, "tags"])
 
-    return files.mapInArrow(run, "qname string, flag int, rname string, pos long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string")
+    out = files.mapInArrow(run, "qname string, flag int, rname string, pos long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string, tags array<string>")
+    return out.withColumn("tags", R.tags(F.col("tags")))
 
 
 def vcf(spark: SparkSession, path: str) -> DataFrame:
@@ -138,6 +251,45 @@ def vcf(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def known_sites(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """The sites of several VCF files (source: path), as vcf gives them, with source. An empty dict is an error."""
+    return reduce(DataFrame.unionByName, [vcf(spark, path).withColumn("source", F.lit(source)) for source, path in paths.items()])
+
+
+def vcf_line(calls: DataFrame) -> Column:
+    """The VCF text of a row of calls (contig, pos, id, ref, alt (array), qual, filter (array), and info (map) and sample, the
+    text of GT:..., if there are such columns; format names the sample's fields, GT if it is not there)."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("."))
+    info = F.lit(".")
+    if "info" in calls.columns:
+        listed = F.array_join(F.transform(F.array_sort(F.map_keys("info")), lambda k: F.concat_ws("=", k, F.try_element_at("info", k))), ";")
+        info = F.when(F.size("info") > 0, listed).otherwise(F.lit("."))
+    fields = [F.col("contig"), text("pos"), text("id"), F.col("ref"), F.coalesce(F.array_join("alt", ","), F.lit(".")), text("qual"), F.coalesce(F.array_join("filter", ";"), F.lit(".")), info]
+    if "sample" in calls.columns:
+        fields += [F.col("format") if "format" in calls.columns else F.lit("GT"), F.col("sample")]
+    return F.concat_ws("\t", *fields)
+
+
 def vcf_lines(calls: DataFrame) -> DataFrame:
-    """value: VCF text of calls (contig, pos, id, ref, alt, qual, filter)."""
-    return calls.select(F.concat_ws("\t", "contig", F.col("pos").cast("string"), F.coalesce("id", F.lit(".")), "ref", F.array_join("alt", ","), F.coalesce(F.col("qual").cast("string"), F.lit(".")), F.coalesce(F.array_join("filter", ";"), F.lit(".")), F.lit(".")).alias("value"))
+    """value: the VCF text of calls, without a header."""
+    return calls.select(vcf_line(calls).alias("value"))
+
+
+#: The header lines that describe what calls carry.
+VCF_HEADER = [
+    "##fileformat=VCFv4.2", '##INFO=<ID=DP,Number=1,Type=Integer,Description="Depth">', '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">',
+    '##FORMAT=<ID=AD,Number=R,Type=Integer,Description="Depth of each allele">', '##FORMAT=<ID=GQ,Number=1,Type=Integer,Description="Genotype quality">',
+]
+
+
+def vcf_text(calls: DataFrame, contigs: DataFrame, sample: str | None = None) -> DataFrame:
+    """value: a whole VCF file in order, header first: the dictionary's contigs, then calls (contig_id, pos and what
+    vcf_line takes) by place. Range partitions keep the order, so files that are written from it follow each other."""
+    spark = calls.sparkSession
+    names = ["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO"] + (["FORMAT", sample] if sample else [])
+    schema = "_part int, _a long, _b long, value string"
+    head = spark.createDataFrame([(0, i, 0, x) for i, x in enumerate(VCF_HEADER)] + [(2, 0, 0, "\t".join(names))], schema)
+    listed = contigs.select(F.lit(1).alias("_part"), F.col("contig_id").cast("long").alias("_a"), F.lit(0).cast("long").alias("_b"), F.format_string("##contig=<ID=%s,length=%d>", "contig", "len").alias("value"))
+    keyed = calls.select("*", F.lit(3).alias("_part"), F.col("contig_id").cast("long").alias("_a"), F.col("pos").cast("long").alias("_b"))
+    whole = head.unionByName(listed).unionByName(keyed.select("_part", "_a", "_b", vcf_line(calls).alias("value")))
+    return whole.repartitionByRange("_part", "_a", "_b").sortWithinPartitions("_part", "_a", "_b").select("value")

@@ -3,40 +3,44 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regionflow.functions import reads as R
+from regionflow.operators.genome import intervals
 from regionflow.operators.ingest import numbered
 
 
 def batch(spark: SparkSession, path: str) -> DataFrame:
     """sample_id, path1, path2 (null for one file) of lines of exactly two words; another line is an error."""
-    words = F.split(F.trim("value"), r"\s+")
+    words = F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\s+")
     bad = F.raise_error(F.concat(F.lit("not a sample and a path: "), "value"))
     w = spark.read.text(path).select(F.when(F.size(words) == 2, words).otherwise(bad).alias("w"))
     paths = F.split(F.col("w")[1], ",")
     return w.select(F.col("w")[0].alias("sample_id"), F.get(paths, F.lit(0)).alias("path1"), F.get(paths, F.lit(1)).alias("path2"))
 
 
+_ENTRY = re.compile(r"(?P<key>[^:]*):(?P<value>.*)")
+_IGNORED = re.compile(r"#.*|---|.{0,2}")
+
+
 def config(lines: list[str]) -> dict[str, str | list[str]]:
-    """A flat YAML subset: `key: value` and `key: [a, b]`, all scalars text; comments, `---` and blank lines are
-    skipped, `...` ends it, a key without a value is an error."""
-    out: dict[str, str | list[str]] = {}
-    for line in lines:
-        line = line.strip()
-        if line == "...":
-            break
-        if len(line) < 3 or line[0] == "#" or line == "---":
-            continue
-        key, _, value = line.partition(":")
-        value = value.strip()
-        if not value:
-            raise IndexError(f"{key} has no value")
-        clean = "".join(value.split()).replace("'", "").replace('"', "") if value[0] == "[" else value.strip("'\"")
-        out[key.strip()] = clean[1:-1].split(",") if value[0] == "[" else clean
-    return out
+    """A flat YAML subset: `key: value` and `key: [a, b]`, all scalars text, quotes dropped. Comments, `---` and lines
+    under three characters say nothing, `...` ends it, a key without a value is an error."""
+    body = [x.strip() for x in lines]
+    body = body[: body.index("...")] if "..." in body else body
+    entries = [_ENTRY.fullmatch(x) or {"key": x, "value": ""} for x in body if not _IGNORED.fullmatch(x)]
+    return {e["key"].strip(): _value(e["key"], e["value"].strip()) for e in entries}
+
+
+def _value(key: str, text: str) -> str | list[str]:
+    if not text:
+        raise IndexError(f"{key} has no value")
+    if text.startswith("["):
+        return re.sub(r"[\s'\"]", "", text)[1:-1].split(",")
+    return text.strip("'\"")
 
 
 def with_values(text: str, values: dict[str, str]) -> str:
@@ -61,5 +65,18 @@ def read_intervals(spark: SparkSession, path: str, halo: int) -> DataFrame:
 
 
 def interval_lines(iv: DataFrame, n_regions: int) -> DataFrame:
-    """name and value, the line, for write.partitionBy("name").text(...)."""
-    return iv.select(R.region_name(F.col("region"), n_regions).alias("name"), R.interval_text(F.col("contig"), F.col("lo"), F.col("hi")).alias("value"))
+    """name and value, the line, and what they are sorted by (contig_id, lo)."""
+    return iv.select(R.region_name(F.col("region"), n_regions).alias("name"), R.interval_text(F.col("contig"), F.col("lo"), F.col("hi")).alias("value"), "contig_id", "lo")
+
+
+def write_interval_files(contigs: DataFrame, n_regions: int, path: str, halo: int = 1000) -> None:
+    """The intervals of all regions with 0, 1, 2 and 3 halos, as text below path/halo=m<k>bp/name=<region>."""
+    each = [interval_lines(intervals(contigs, n_regions, k * halo), n_regions).withColumn("halo", F.lit(f"m{k}bp")) for k in range(4)]
+    reduce(DataFrame.unionByName, each).repartition("halo", "name").sortWithinPartitions("halo", "name", "contig_id", "lo").select("halo", "name", "value").write.partitionBy("halo", "name").text(path)
+
+
+def read_interval_files(spark: SparkSession, path: str, halos: int) -> DataFrame:
+    """region_name, contig, lo, hi of what write_interval_files wrote for so many halos."""
+    rows = spark.read.text(path).where(F.col("halo") == f"m{halos}bp")
+    part = lambda k: F.regexp_extract("value", r"^(.*):(\d+)-(\d+)$", k)
+    return rows.select(F.col("name").alias("region_name"), part(1).alias("contig"), part(2).cast("long").alias("lo"), part(3).cast("long").alias("hi"))

@@ -82,6 +82,10 @@ def test_text_sources(spark, tmp_path):
     (tmp_path / "batch").write_text("s1 a.bam\ns2 x_1.fq,x_2.fq\n")
     assert [tuple(r) for r in text.batch(spark, str(tmp_path / "batch")).collect()] == [("s1", "a.bam", None), ("s2", "x_1.fq", "x_2.fq")]
     assert text.config(["---", "# c", "a: 1", "b: ['x', \"y\"]", "...", "c: 2"]) == {"a": "1", "b": ["x", "y"]}
+    for bad in (["abc:"], ["abcd"]):
+        with pytest.raises(IndexError):
+            text.config(bad)
+    assert text.config(["a:", "url: 'http://h:1'", "x"]) == {"url": "http://h:1"}
     assert text.with_values("# a: 0\n---\na: 1\nab: 2\n...\n", {"a": "9", "z": "1"}) == '# a: 0\n---\na: "9"\nab: 2\n...\n'
     (tmp_path / "d").write_text("@HD\tVN:1\n@SQ\tSN:c1\tLN:10\n@SQ\tSN:HLA:2\tLN:5\n")
     assert [tuple(r) for r in text.sequence_dict(spark, str(tmp_path / "d")).orderBy("contig_id").collect()] == [(0, "c1", 10), (1, "HLA:2", 5)]
@@ -114,7 +118,27 @@ def test_bam(spark, tmp_path):
     body = b"BAM\1" + struct.pack("<ii", 0, 1) + struct.pack("<i", 3) + b"c1\0" + struct.pack("<i", 100) + struct.pack("<i", len(rec)) + rec
     z = zlib.compressobj(6, zlib.DEFLATED, 31)
     (tmp_path / "x.bam").write_bytes(z.compress(body) + z.flush())
-    assert tuple(sequence.bam(spark, str(tmp_path / "x.bam")).first()) == ("q1", 99, "c1", 5, 60, "2S3M", "=", 9, 4, "ACGTN", "IIIII")
+    assert tuple(sequence.bam(spark, str(tmp_path / "x.bam")).first())[:11] == ("q1", 99, "c1", 5, 60, "2S3M", "=", 9, 4, "ACGTN", "IIIII")
+
+
+def test_large_bam_with_tags(spark, tmp_path):
+    tags = b"NMC\x05XFf" + struct.pack("<f", 0.5) + b"RGZg1\0XHH0aff\0XBBs" + struct.pack("<i3h", 3, -1, 2, 300) + b"XAAq"
+    body = b"BAM\1" + struct.pack("<ii", 0, 1) + struct.pack("<i", 3) + b"c1\0" + struct.pack("<i", 100)
+    for i in range(12_000):
+        name = f"q{i}".encode() + b"\0"
+        rec = struct.pack("<iiBBHHHiiii", 0, i, len(name), 60, 0, 1, 65, 4, -1, -1, 0) + name + struct.pack("<I", 4 << 4) + bytes([0x12, 0x48]) + bytes([40] * 4) + tags
+        body += struct.pack("<i", len(rec)) + rec
+    out = b""
+    for k in range(0, len(body), 60_000):  # members that end within records
+        z = zlib.compressobj(6, zlib.DEFLATED, 31)
+        out += z.compress(body[k : k + 60_000]) + z.flush()
+    (tmp_path / "x.bam").write_bytes(out)
+    got = sequence.bam(spark, str(tmp_path / "x.bam")).collect()
+    assert [(r.qname, r.pos) for r in got] == [(f"q{i}", i + 1) for i in range(12_000)]
+    t = got[-1].tags
+    assert (t["NM"].i, t["XF"].f, t["RG"].val, bytes(t["XH"].h), t["XB"].b, t["XA"].val) == (5, 0.5, "g1", b"\x0a\xff", [-1, 2, 300], "q")
+    reads = sequence.as_reads(sequence.bam(spark, str(tmp_path / "x.bam")), contigs(spark, 20_000).selectExpr("contig_id", "'c1' as contig"))
+    assert (reads.select("rec_id").distinct().count(), reads.first().rg, reads.first().contig_id) == (12_000, "g1", 0)
 
 
 def test_stages_are_not_run_twice(spark, tmp_path):
@@ -315,3 +339,51 @@ def test_read_groups_shift_apart(spark):
     got = {r.rg: r.new_q for r in bqsr.apply(bases, bqsr.marginals(bqsr.covariates(bases, "rg"), "rg"), "rg").select("rg", "new_q").distinct().collect()}
     emp = lambda err, obs: math.floor(round(-10 * math.log10((err + 1) / (obs + 2)), 4) + 0.5)
     assert got == {"x": emp(10, 100), "y": emp(0, 100), None: emp(0, 50)}
+
+
+def test_reference_and_names_and_tags(spark, tmp_path):
+    (tmp_path / "r.fa").write_text(">c1 first\nACGTA\nCGTNN\nac\n>c2\nGG\n\n>c3\nTTTT\n")
+    ref = sequence.fasta(spark, str(tmp_path / "r.fa"))
+    assert sorted(map(tuple, ref.collect())) == [(0, "c1", 0, 5, "ACGTA"), (0, "c1", 1, 5, "CGTNN"), (0, "c1", 2, 5, "AC"), (1, "c2", 0, 2, "GG"), (2, "c3", 0, 4, "TTTT")]
+    assert sorted(map(tuple, sequence.contigs_of(ref).collect())) == [(0, "c1", 12), (1, "c2", 2), (2, "c3", 4)]
+    bases = spark.createDataFrame([(0, k) for k in range(1, 14)] + [(1, 2), (5, 1)], "contig_id int, rpos long")
+    got = "".join(r.ref_base for r in sequence.with_reference(bases, ref).orderBy("contig_id", "rpos").collect())
+    assert got == "ACGTACGTACG"
+    (tmp_path / "bad.fa").write_text(">c1\nACG\nACGT\n")
+    with pytest.raises(Exception, match="uneven"):
+        sequence.fasta(spark, str(tmp_path / "bad.fa")).collect()
+    names = spark.createDataFrame([("@a/1",), ("@b2",), ("@c",)], "x string").select(R.read_name(F.col("x")).alias("y")).select("y.*")
+    assert [tuple(r) for r in names.collect()] == [("a", 1), ("b2", 2), ("c", None)]
+    (tmp_path / "e.fq").write_text("@a/1\nA\n+\nI\n\n@b/1\nC\n+\nI\n")
+    assert [r.qname for r in sequence.fastq(spark, str(tmp_path / "e.fq")).collect()] == ["a"]
+    tag = lambda *f: spark.createDataFrame([(list(f),)], "f array<string>").select(R.tags(F.col("f")).alias("t")).first().t
+    assert tag("NM:i:1", "NM:i:7", "XZ:Z:a:b")["NM"].i == 7 and tag("XZ:Z:a:b")["XZ"].val == "a:b" and tag() == {}
+    for wrong in ("NM:i:x", "NM:q:1"):
+        with pytest.raises(Exception):
+            tag(wrong)
+
+
+def test_sinks(spark, tmp_path):
+    reads = spark.createDataFrame([("a", 65, "AC", "IJ"), ("a", 145, "AA", "NM"), ("c", 65, "G", "K"), ("d", 833, "G", "K")], "qname string, flag int, seq string, qual string")
+    sequence.write_unpaired(reads, f"{tmp_path}/lone")
+    assert [tuple(r)[1:] for r in sequence.fastq(spark, f"{tmp_path}/lone/mate=1/*.gz").collect()] == [("c", 1, "G", "K")]
+    sequence.write_fastq(reads, f"{tmp_path}/all")
+    assert [tuple(r)[1:] for r in sequence.fastq(spark, f"{tmp_path}/all/mate=2/*.gz").collect()] == [("a", 2, "TT", "MN")]
+    c = contigs(spark, 10, 7, 3)
+    text.write_interval_files(c, 4, f"{tmp_path}/iv", 1)
+    for k in range(4):
+        want = {(f"region_{r.region}", r.contig, r.lo, r.hi) for r in genome.intervals(c, 4, k).collect()}
+        assert {tuple(r) for r in text.read_interval_files(spark, f"{tmp_path}/iv", k).collect()} == want
+    lines = [f"q\t65\tA\t{i}\t9\t2M\t*\t0\t0\tAC\tIJ\tRG:Z:g" for i in (1, 2)] + ["u\t77\t*\t0\t0\t*\t*\t0\t0\tA\tI"]
+    got = sequence.as_reads(sequence.parse_sam(spark.createDataFrame([(x,) for x in lines], "value string")), c, "s").orderBy("rec_id").collect()
+    assert [(r.contig_id, r.pos, r.cigar, r.rg) for r in got] == [(0, 1, "2M", "g"), (0, 2, "2M", "g"), (None, None, "*", "s")]
+    with pytest.raises(Exception, match="not in the dictionary"):
+        sequence.as_reads(sequence.parse_sam(spark.createDataFrame([(lines[0].replace("\tA\t", "\tZ\t"),)], "value string")), c)
+    calls = spark.createDataFrame([(1, "B", 5, None, "A", ["C", "G"], 50.0, ["PASS"], {"DP": "3"}, "0/1"), (0, "A", 9, "rs1", "T", ["C"], None, None, {}, "1/1")], "contig_id int, contig string, pos long, id string, ref string, alt array<string>, qual double, filter array<string>, info map<string,string>, sample string")
+    sequence.vcf_text(calls, c, "s1").write.text(f"{tmp_path}/vcf")
+    whole = "".join(f.read_text() for f in sorted((tmp_path / "vcf").glob("part-*"))).splitlines()
+    assert whole[0] == "##fileformat=VCFv4.2" and whole[5:9] == ["##contig=<ID=A,length=10>", "##contig=<ID=B,length=7>", "##contig=<ID=C,length=3>", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1"]
+    assert whole[9:] == ["A\t9\trs1\tT\tC\t.\t.\t.\tGT\t1/1", "B\t5\t.\tA\tC,G\t50.0\tPASS\tDP=3\tGT\t0/1"]
+    sites = sequence.known_sites(spark, {"x": f"{tmp_path}/vcf", "y": f"{tmp_path}/vcf"})
+    assert sites.groupBy("source").count().count() == 2 and sites.count() == 4
+    assert ingest.counters_with_improper(spark.createDataFrame([("q", 65, 0), ("q", 65, 1), ("q", 129, 2)], "qname string, flag int, n int"), ["n"]).first().improper == 1
