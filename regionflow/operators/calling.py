@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from math import log10
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regionflow.functions import reads as R
+from regionflow.operators.genome import spans_over
 from regionflow.operators.ingest import numbered
 
 MIN_BASE_QUALITY, HET = 17, 3010
@@ -13,10 +16,12 @@ SITE = ["contig_id", "rpos", "ref_base"]
 
 
 def pileup(bases: DataFrame) -> DataFrame:
+    """depth and sum_bq of each call at each site, of bases of MIN_BASE_QUALITY and more."""
     return bases.where(F.col("bq") >= MIN_BASE_QUALITY).groupBy(*SITE, "base_call").agg(F.count("*").alias("depth"), F.sum("bq").cast("long").alias("sum_bq"))
 
 
 def alleles(bases: DataFrame) -> DataFrame:
+    """dp, n_ref and n_alt of each site, of bases of MIN_BASE_QUALITY and more."""
     ok = bases.where(F.col("bq") >= MIN_BASE_QUALITY)
     ref = F.col("base_call") == F.col("ref_base")
     return ok.groupBy(*SITE).agg(F.count("*").alias("dp"), F.count_if(ref).alias("n_ref"), F.count_if(~ref).alias("n_alt"))
@@ -34,12 +39,61 @@ def likelihoods(bases: DataFrame) -> DataFrame:
     return g.withColumn("ra", HET * F.col("dp"))
 
 
-def genotypes(lik: DataFrame) -> DataFrame:
+def _gt(best: Column) -> Column:
+    return F.when(F.col("rr") == best, "0/0").when(F.col("ra") == best, "0/1").otherwise("1/1")
+
+
+def genotypes(lik: DataFrame, *kept: str) -> DataFrame:
     """gt, qual (phred x 1000 that the site is not reference) and gq (x 1000, to the next genotype)."""
     best = F.least("rr", "ra", "aa")
-    gt = F.when(F.col("rr") == best, "0/0").when(F.col("ra") == best, "0/1").otherwise("1/1")
     second = F.sort_array(F.array("rr", "ra", "aa"))[1]
-    return lik.select(*SITE, "dp", "n_alt", gt.alias("gt"), (F.col("rr") - best).alias("qual"), (second - best).alias("gq"))
+    return lik.select(*SITE, "dp", "n_alt", _gt(best).alias("gt"), (F.col("rr") - best).alias("qual"), (second - best).alias("gq"), *kept)
+
+
+def _costs() -> tuple[Column, Column]:
+    """What a base costs an allele that it matches, and another one."""
+    e = F.pow(F.lit(10.0), -F.col("bq") / 10.0)
+    return F.round(-10000 * F.log10(1 - e)).cast("long"), F.round(-10000 * F.log10(e / 3)).cast("long")
+
+
+def allele_genotypes(bases: DataFrame) -> DataFrame:
+    """Sites with alt (the other base with most reads, ties by letter; null without one), dp, ad_ref, ad_alt, gt, qual and
+    gq. A heterozygote explains reference and alt at HET a base; any third base is an error under each genotype. The
+    bases of a site are added up by letter before they meet, so a site is at most four rows of a group."""
+    match, other = _costs()
+    ok = bases.where(F.col("bq") >= MIN_BASE_QUALITY)
+    each = ok.groupBy(*SITE, "base_call").agg(F.count("*").alias("d"), F.sum(match).alias("m"), F.sum(other).alias("o"))
+    sites = each.groupBy(*SITE).agg(F.array_sort(F.collect_list(F.struct((-F.col("d")).alias("less"), "base_call", "d", "m", "o"))).alias("xs"))
+    zero = F.struct(F.lit(0).cast("long").alias("less"), F.lit(None).cast("string").alias("base_call"), *[F.lit(0).cast("long").alias(c) for c in ("d", "m", "o")])
+    ref = F.coalesce(F.get(F.filter("xs", lambda x: x["base_call"] == F.col("ref_base")), F.lit(0)), zero)
+    alt = F.coalesce(F.get(F.filter("xs", lambda x: x["base_call"] != F.col("ref_base")), F.lit(0)), zero)
+    total = lambda c: F.aggregate("xs", F.lit(0).cast("long"), lambda a, x: a + x[c])
+    s = sites.select(*SITE, ref.alias("r"), alt.alias("a"), total("d").alias("dp"), total("o").alias("o"))
+    s = s.withColumns({
+        "rr": F.col("r.m") + F.col("o") - F.col("r.o"), "aa": F.col("a.m") + F.col("o") - F.col("a.o"),
+        "ra": HET * (F.col("r.d") + F.col("a.d")) + F.col("o") - F.col("r.o") - F.col("a.o"),
+    })
+    s = s.withColumn("n_alt", F.col("dp") - F.col("r.d"))
+    kept = genotypes(s, "r", "a")
+    return kept.select(*SITE, F.col("a.base_call").alias("alt"), "dp", F.col("r.d").alias("ad_ref"), F.col("a.d").alias("ad_alt"), "gt", "qual", "gq")
+
+
+def indel_genotypes(reads: DataFrame) -> DataFrame:
+    """The events of indel_events with dp, the passing primaries that cover the base before and the base after, gt, qual
+    and gq: a read either shows the event or does not, and is wrong about it once in a thousand."""
+    events = indel_events(reads)
+    places = events.select("contig_id", "pos").distinct()
+    span = F.col("pos") + R.reference_span(R.cigar(F.col("cigar"))) - 2  # the last base that has one after it in the read
+    slim = reads.where(R.is_primary(F.col("flag"))).select("contig_id", "pos", "cigar").where(span >= F.col("pos"))
+    iv = places.select("contig_id", F.col("pos").alias("region"), F.col("pos").alias("lo"), F.col("pos").alias("hi"))
+    depth = spans_over(slim, iv, span).groupBy(F.col("contig_id").alias("d_c"), F.col("region").alias("d_p")).agg(F.count("*").alias("covering"))
+    joined = events.join(depth, (F.col("contig_id") == F.col("d_c")) & (F.col("pos") == F.col("d_p")), "left")
+    s = joined.withColumn("dp", F.greatest(F.coalesce("covering", F.lit(0)), F.col("n")))
+    right, wrong = round(-10000 * log10(1 - 1e-3)), 30_000
+    s = s.withColumns({"rr": right * (F.col("dp") - F.col("n")) + wrong * F.col("n"), "aa": right * F.col("n") + wrong * (F.col("dp") - F.col("n")), "ra": HET * F.col("dp")})
+    best = F.least("rr", "ra", "aa")
+    second = F.sort_array(F.array("rr", "ra", "aa"))[1]
+    return s.select("contig_id", "pos", "op", "len", "n", "dp", _gt(best).alias("gt"), (F.col("rr") - best).alias("qual"), (second - best).alias("gq"))
 
 
 def bands(calls: DataFrame, edges: tuple[int, int] = (200_000, 600_000)) -> DataFrame:

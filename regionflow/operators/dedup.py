@@ -9,26 +9,31 @@ from regionflow.functions import reads as R
 
 
 def ends(reads: DataFrame) -> DataFrame:
-    """Passing primaries with end5 (unclipped), strand (0 forward) and score (sum of base qualities of 15 and more)."""
+    """Passing primaries with end5 (unclipped), strand (0 forward) and score (sum of base qualities of 15 and more), and
+    library where reads have it."""
+    library = ["library"] if "library" in reads.columns else []
     ops = R.cigar(F.col("cigar"))
     rev = R.has(F.col("flag"), R.REVERSE)
     e = F.when(rev, F.col("pos") + R.reference_span(ops) - 1 + R.clip(ops, False)).otherwise(F.col("pos") - R.clip(ops, True))
     score = F.aggregate(F.filter(R.phred(F.col("qual")), lambda q: q >= 15), F.lit(0), lambda a, q: a + q)
-    return reads.where(R.is_primary(F.col("flag"))).select("rec_id", "qname", "contig_id", e.cast("long").alias("end5"), rev.cast("int").alias("strand"), score.cast("long").alias("score"))
+    return reads.where(R.is_primary(F.col("flag"))).select("rec_id", "qname", "contig_id", e.cast("long").alias("end5"), rev.cast("int").alias("strand"), score.cast("long").alias("score"), *library)
 
 
 def mark(reads: DataFrame) -> DataFrame:
     """rec_id, is_pair, duplicate. A name with exactly two passing primaries is a pair, keyed by both ends in order;
     of pairs with one key the best total score stays. Single reads are duplicates of any pair end at their place, and
-    of the best single read there. Ties go to the smaller name or rec_id."""
+    of the best single read there. Ties go to the smaller name or rec_id. Where reads have a column library, only those
+    of one library are duplicates of each other."""
     w = Window.partitionBy("qname")
-    end = F.struct("contig_id", "end5", "strand")
-    e = ends(reads).withColumn("k", F.count("*").over(w)).withColumn("a", F.min(end).over(w)).withColumn("b", F.max(end).over(w)).withColumn("total", F.sum("score").over(w))
+    found = ends(reads)
+    place = [*(c for c in found.columns if c == "library"), "contig_id", "end5", "strand"]
+    end = F.struct(*place)
+    e = found.withColumn("k", F.count("*").over(w)).withColumn("a", F.min(end).over(w)).withColumn("b", F.max(end).over(w)).withColumn("total", F.sum("score").over(w))
     pair = F.col("k") == 2
     best = F.dense_rank().over(Window.partitionBy("a", "b").orderBy(F.desc("total"), "qname")) > 1
-    paired = e.where(pair).select("rec_id", "contig_id", "end5", "strand", "score", F.lit(True).alias("is_pair"), best.alias("dup"))
-    single = e.where(~pair).select("rec_id", "contig_id", "end5", "strand", "score", F.lit(False).alias("is_pair"), F.lit(False).alias("dup"))
-    here = Window.partitionBy("contig_id", "end5", "strand")
+    paired = e.where(pair).select("rec_id", *place, "score", F.lit(True).alias("is_pair"), best.alias("dup"))
+    single = e.where(~pair).select("rec_id", *place, "score", F.lit(False).alias("is_pair"), F.lit(False).alias("dup"))
+    here = Window.partitionBy(*place)
     both = paired.unionByName(single)
     first = F.row_number().over(here.orderBy(F.col("is_pair").desc(), F.desc("score"), "rec_id")) > 1
     return both.withColumn("first", first).select("rec_id", "is_pair", F.when(F.col("is_pair"), F.col("dup")).otherwise(F.col("first")).alias("duplicate"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from math import log, pi
 
 import numpy as np
@@ -27,8 +28,14 @@ def concat_distinct(calls: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def annotate(calls: DataFrame, known: DataFrame) -> DataFrame:
-    k = known.groupBy(F.col("contig_id").alias("k_c"), F.col("pos").alias("k_p")).agg(F.min("source").alias("source"))
-    return calls.join(k, (F.col("contig_id") == F.col("k_c")) & (F.col("pos") == F.col("k_p")), "left").drop("k_c", "k_p")
+    """calls with source, that of the known site (the first by name of several; null for none). Where both have ref and alt
+    a site must agree in them too; otherwise the place alone counts."""
+    keys = [("contig_id", "contig_id"), ("pos", "pos")]
+    if {"ref", "alt"} <= set(calls.columns) & set(known.columns):
+        keys += [("ref", "ref"), ("alt", "alt")]
+    k = known.groupBy(*[F.col(c).alias(f"k_{c}") for _, c in keys]).agg(F.min("source").alias("source"))
+    on = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"k_{d}") for c, d in keys])
+    return calls.join(k, on, "left").drop(*[f"k_{c}" for _, c in keys])
 
 
 def label(calls: DataFrame, sites: DataFrame) -> DataFrame:
@@ -51,6 +58,7 @@ def tranche_cut(scored: DataFrame, level: float = TRUTH_LEVEL) -> DataFrame:
 
 
 def apply_cut(scored: DataFrame, cut: DataFrame, level: float = TRUTH_LEVEL) -> DataFrame:
+    """scored with filter: PASS from the cut (one row) on, the tranche's name below it; a null cut lets nothing pass."""
     return scored.crossJoin(cut).withColumn("filter", F.when(F.col("score") >= F.col("cut"), "PASS").otherwise(f"VQSRTranche{100 * level:.1f}")).drop("cut")
 
 
@@ -102,3 +110,17 @@ def vqslod(sites: DataFrame, columns: list[str], training: str, prior: str, k: i
     bad = _log_density(v.where(good <= edge), columns, 1, seed)
     p = 1 - F.pow(F.lit(10.0), -F.greatest(F.col(prior), F.lit(NOVEL)) / 10)
     return v.withColumn("vqslod", (good - bad) / log(10) + F.log10(p / (1 - p))).drop("v", *[f"z_{c}" for c in columns])
+
+
+def recalibrate(sites: DataFrame, columns: list[str], level: float = TRUTH_LEVEL, modes: tuple[str, ...] = ("SNP", "INDEL"), k: int = 2) -> DataFrame:
+    """sites (mode, is_training, is_truth, prior and the columns) with vqslod and filter: each mode is scored by a model of
+    its own training sites, and its truth sites set the cut. Sites of another mode, or of one that has no training sites,
+    keep a null vqslod and filter."""
+    done = []
+    trained = [r[0] for r in sites.where("is_training").select("mode").distinct().collect() if r[0] in modes]  # modes at most
+    for mode in trained:
+        scored = vqslod(sites.where(F.col("mode") == mode), columns, "is_training", "prior", k).withColumn("score", F.round("vqslod", 6))
+        done.append(apply_cut(scored, tranche_cut(scored, level), level).drop("score"))
+    rest = sites.where(F.col("mode").isNull() | ~F.col("mode").isin(trained)) if trained else sites
+    done.append(rest.withColumn("vqslod", F.lit(None).cast("double")).withColumn("filter", F.lit(None).cast("string")))
+    return reduce(DataFrame.unionByName, done)

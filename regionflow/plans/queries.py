@@ -532,3 +532,51 @@ def _(g):
 @query("seed_best", ", hits AS (" + _SEEDS.replace(", km AS", "WITH km AS", 1) + "), r AS (SELECT *, row_number() OVER (PARTITION BY rec_id ORDER BY seeds DESC, ref_id, diagonal) AS k FROM hits) SELECT a.rec_id, a.ref_id, a.diagonal, a.seeds, coalesce(b.seeds, 0) AS second FROM r a LEFT JOIN r b ON b.rec_id = a.rec_id AND b.k = 2 WHERE a.k = 1")
 def _(g):
     return align.best_seeds(seeds(g))
+
+
+_ALT = """, eb AS (SELECT contig_id, rpos, ref_base, base_call, count(*) AS d, CAST(sum(CAST(round(-10000 * log10(1 - pow(10.0, -bq / 10.0))) AS BIGINT)) AS BIGINT) AS m, CAST(sum(CAST(round(-10000 * log10(pow(10.0, -bq / 10.0) / 3)) AS BIGINT)) AS BIGINT) AS o FROM panel_bases WHERE bq >= 17 GROUP BY 1, 2, 3, 4),
+nth AS (SELECT *, row_number() OVER (PARTITION BY contig_id, rpos, ref_base, base_call = ref_base ORDER BY d DESC, base_call) AS k FROM eb),
+st AS (SELECT contig_id, rpos, ref_base, CAST(sum(d) AS BIGINT) AS dp, CAST(sum(o) AS BIGINT) AS o, coalesce(max(d) FILTER (base_call = ref_base), 0) AS rd, coalesce(max(m) FILTER (base_call = ref_base), 0) AS rm, coalesce(max(o) FILTER (base_call = ref_base), 0) AS ro,
+max(base_call) FILTER (base_call <> ref_base AND k = 1) AS alt, coalesce(max(d) FILTER (base_call <> ref_base AND k = 1), 0) AS ad, coalesce(max(m) FILTER (base_call <> ref_base AND k = 1), 0) AS am, coalesce(max(o) FILTER (base_call <> ref_base AND k = 1), 0) AS ao FROM nth GROUP BY 1, 2, 3),
+lk AS (SELECT *, rm + o - ro AS rr, am + o - ao AS aa, 3010 * (rd + ad) + o - ro - ao AS ra FROM st)
+SELECT contig_id, rpos, ref_base, alt, dp, rd AS ad_ref, ad AS ad_alt, CASE WHEN rr = least(rr, ra, aa) THEN '0/0' WHEN ra = least(rr, ra, aa) THEN '0/1' ELSE '1/1' END AS gt, rr - least(rr, ra, aa) AS qual, list_sort([rr, ra, aa])[2] - least(rr, ra, aa) AS gq FROM lk"""
+
+
+@query("genotype_alt", _ALT, panel=True)
+def _(g):
+    return calling.allele_genotypes(g.bases())
+
+
+_EVENTS = ORACLES["indel_events"]
+
+
+@query("indel_genotypes", _EVENTS[_EVENTS.index(", c AS (SELECT contig_id, pos, regexp"):].replace("SELECT contig_id, CAST(pos + coalesce", ", ev AS (SELECT contig_id, CAST(pos + coalesce").replace("IN ('I', 'D') GROUP BY ALL", "IN ('I', 'D') GROUP BY ALL), sp AS (SELECT contig_id, pos AS s, " + _SPAN + " - 1 AS t FROM reads WHERE (flag & 2820) = 0), cover AS (SELECT p.contig_id, p.pos, count(*) AS c FROM (SELECT DISTINCT contig_id, pos FROM ev) p JOIN sp ON sp.contig_id = p.contig_id AND s <= p.pos AND t >= p.pos GROUP BY 1, 2), lk AS (SELECT ev.*, greatest(coalesce(c, 0), n) AS dp FROM ev LEFT JOIN cover USING (contig_id, pos)), l2 AS (SELECT *, 4 * (dp - n) + 30000 * n AS rr, 4 * n + 30000 * (dp - n) AS aa, 3010 * dp AS ra FROM lk) SELECT contig_id, pos, op, len, n, dp, CASE WHEN rr = least(rr, ra, aa) THEN '0/0' WHEN ra = least(rr, ra, aa) THEN '0/1' ELSE '1/1' END AS gt, rr - least(rr, ra, aa) AS qual, list_sort([rr, ra, aa])[2] - least(rr, ra, aa) AS gq FROM l2"))
+def _(g):
+    return calling.indel_genotypes(g.reads())
+
+
+@query("dbsnp_annotate_alleles", ", tv AS (SELECT contig_id, pos, SUBSTR('ACGT', 1 + CAST((pos * 31 + contig_id * 17 + ((pos * pos) % 7)) % 4 AS INT), 1) AS ref, SUBSTR('ACGT', 1 + CAST((pos * 31 + contig_id * 17 + ((pos * pos) % 7) + 2) % 4 AS INT), 1) AS alt FROM truth), kv AS (SELECT contig_id, pos, ref, SUBSTR('ACGT', 1 + CAST(i AS INT), 1) AS alt, 'rs' || pos AS source FROM tv CROSS JOIN (SELECT DISTINCT n_nationkey % 4 AS i FROM nation) WHERE (pos + i) % 3 = 0) SELECT tv.*, source FROM tv LEFT JOIN kv USING (contig_id, pos, ref, alt)", panel=True)
+def _(g):
+    """Known sites at some calls have another alt."""
+    base = lambda shift: f"substr('ACGT', 1 + cast((pos * 31 + contig_id * 17 + ((pos * pos) % 7) + {shift}) % 4 as int), 1)"
+    calls = g.truth().selectExpr("contig_id", "pos", f"{base(0)} as ref", f"{base(2)} as alt")
+    known = calls.selectExpr("contig_id", "pos", "ref", "explode(sequence(0, 3)) as i").where("(pos + i) % 3 = 0")
+    return variants.annotate(calls, known.selectExpr("contig_id", "pos", "ref", "substr('ACGT', 1 + i, 1) as alt", "concat('rs', pos) as source"))
+
+
+@query("vqsr_modes")
+def _(g):
+    """Sites at even places stand for one mode, those at odd ones for the other."""
+    f = calling.annotations(g.bases())
+    t = labelled(g).select(F.col("contig_id").alias("l_c"), F.col("pos").alias("l_p"), "is_training", "is_truth", "prior")
+    sites = f.join(t, (F.col("contig_id") == F.col("l_c")) & (F.col("rpos") == F.col("l_p"))).drop("l_c", "l_p").withColumn("dp", F.col("dp").cast("double"))
+    moded = sites.withColumn("mode", F.when(F.col("rpos") % 2 == 0, "SNP").otherwise("INDEL"))
+    return variants.recalibrate(moded, ["dp", "fs", "mq", "qd", "sor"], k=1).select("contig_id", "rpos", "mode", F.round("vqslod", 4).alias("vqslod"), "filter")
+
+
+_LIBRARY = _MARK.replace("SELECT rec_id, qname, contig_id, CAST(CASE", "SELECT rec_id, qname, 'lib' || l_orderkey % 2 AS library, contig_id, CAST(CASE").replace("(contig_id, end5, strand)", "(library, contig_id, end5, strand)").replace("PARTITION BY contig_id, end5, strand", "PARTITION BY library, contig_id, end5, strand")
+
+
+@query("markdup_by_library", _LIBRARY + " SELECT * FROM marked")
+def _(g):
+    return dedup.mark(g.reads().withColumn("library", F.concat(F.lit("lib"), F.col("l_orderkey") % 2)))

@@ -387,3 +387,24 @@ def test_sinks(spark, tmp_path):
     sites = sequence.known_sites(spark, {"x": f"{tmp_path}/vcf", "y": f"{tmp_path}/vcf"})
     assert sites.groupBy("source").count().count() == 2 and sites.count() == 4
     assert ingest.counters_with_improper(spark.createDataFrame([("q", 65, 0), ("q", 65, 1), ("q", 129, 2)], "qname string, flag int, n int"), ["n"]).first().improper == 1
+
+
+def test_modes_are_recalibrated_apart(spark):
+    rows = [(i, "SNP" if i < 60 else "INDEL", 30.0 + i % 5 + (50 if i >= 60 else 0), 9.0 + i % 7, i % 3 == 0, i % 3 == 0, 10) for i in range(120)]
+    rows += [(200, "SNP", -9.0, 1.0, False, False, 0), (201, "INDEL", 31.0, 1.0, False, False, 0), (202, None, 1.0, 1.0, True, True, 0)]
+    sites = spark.createDataFrame(rows, "id int, mode string, x double, y double, is_training boolean, is_truth boolean, prior int")
+    got = {r.id: r for r in variants.recalibrate(sites, ["x", "y"], k=1).collect()}
+    assert len(got) == 123 and got[200].filter == got[201].filter == "VQSRTranche99.0" and (got[202].filter, got[202].vqslod) == (None, None)
+    assert sum(r.filter == "PASS" for r in got.values()) >= 100
+    none = variants.recalibrate(sites.where("not is_training"), ["x", "y"])
+    assert none.where("filter is not null").count() == 0 and none.count() == sites.where("not is_training").count()
+
+
+def test_third_bases_and_alleles(spark):
+    schema = "contig_id int, rpos long, ref_base string, base_call string, bq int"
+    rows = [(0, 1, "A", b, 30) for b in "AAAAGGGGC"] + [(0, 2, "A", "T", 30)] * 4 + [(0, 3, "A", "A", 30)] * 5 + [(0, 4, "A", "C", 10)]
+    got = {r.rpos: (r.alt, r.dp, r.ad_ref, r.ad_alt, r.gt) for r in calling.allele_genotypes(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {1: ("G", 9, 4, 4, "0/1"), 2: ("T", 4, 0, 4, "1/1"), 3: (None, 5, 5, 0, "0/0")}
+    reads = spark.createDataFrame([(f"r{i}", 65, 0, 1 + i, "10M2D10M" if i < 2 else "22M") for i in range(4)], "rec_id string, flag int, contig_id int, pos long, cigar string")
+    ev = {r.pos: (r.op, r.len, r.n, r.dp, r.gt) for r in calling.indel_genotypes(reads).collect()}
+    assert ev == {10: ("D", 2, 1, 4, "0/1"), 11: ("D", 2, 1, 4, "0/1")}
