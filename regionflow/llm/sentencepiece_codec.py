@@ -68,7 +68,7 @@ class Codec:
     """A model's vocabulary with encode() and decode(). Models with a normalisation table, user-defined pieces or
     without byte fallback are refused."""
 
-    def __init__(self, model_path: str):
+    def __init__(self, model_path: str, remembered: int = REMEMBERED):
         sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
         message = list(_fields(sp.serialized_model_proto()))
         kinds = [dict(_fields(v)).get(3, NORMAL) for f, v in message if f == 1]
@@ -105,7 +105,7 @@ class Codec:
         self.chunks = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + f"|[{alone}]" * bool(alone))
         self.replayed: dict[str, tuple | None] = {}
         self.fits: dict[int, bool] = {}
-        self.known = Store(self.encode_chunk, REMEMBERED, LONGEST)
+        self.known = Store(self.encode_chunk, remembered, LONGEST)
 
     def replay(self, piece: str) -> tuple | None:
         """How the merges of a piece's own text go: scores in order, and the last and first symbol before each and at
@@ -221,13 +221,13 @@ class Codec:
         return self.join(ids)[first.startswith(" ") and first != " ⁇ " :]
 
 
-_CODECS: dict[str, Codec] = {}
+_CODECS: dict[tuple[str, int], Codec] = {}
 
 
-def codec(model_path: str) -> Codec:
-    if model_path not in _CODECS:
-        _CODECS[model_path] = Codec(model_path)
-    return _CODECS[model_path]
+def codec(model_path: str, remembered: int = REMEMBERED) -> Codec:
+    if (model_path, remembered) not in _CODECS:
+        _CODECS[model_path, remembered] = Codec(model_path, remembered)
+    return _CODECS[model_path, remembered]
 
 
 def _schema(df: DataFrame, text_col: str, new: list[T.StructField]) -> T.StructType:
@@ -235,12 +235,12 @@ def _schema(df: DataFrame, text_col: str, new: list[T.StructField]) -> T.StructT
 
 
 def encode(
-    df: DataFrame, model_path: str | None = None, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None
+    df: DataFrame, model_path: str | None = None, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None, remembered: int = REMEMBERED
 ) -> DataFrame:
     """df with text_col replaced by ids_col (array of int, without begin and end ids) and, if named, decoded_col, the
     text that the ids give back. Null and empty texts have no ids and decode to the empty text. All rows stay, in
     whole; texts are cut into chunks only at borders that no merge crosses. A column of df that bears a new name is
-    replaced."""
+    replaced. remembered bounds the chunks that a worker keeps with their ids; it changes its memory, not the result."""
     path = model_path or default_model()
     keep = [c for c in df.columns if c not in (text_col, ids_col, decoded_col)]
     rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias(text_col))
@@ -248,7 +248,7 @@ def encode(
     new += [T.StructField(decoded_col, T.StringType(), False)] if decoded_col else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path)
+        c = codec(path, remembered)
         for whole in batches:
             for k in range(0, whole.num_rows, SLICE):
                 b = whole.slice(k, SLICE)
