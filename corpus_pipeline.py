@@ -42,9 +42,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontaminate.remove_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
+#: Chunks that a worker of the last stage keeps: fewer than alone, since the stages before it have filled the executor.
+REMEMBERED = 120_000
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens and whether the ids give the text back (a text's own U+2581 comes back as a space)."""
-    out = sentencepiece_codec.encode(docs.select("doc_id", "text", F.col("text").alias("original")), decoded_col="decoded")
+    out = sentencepiece_codec.encode(docs.select("doc_id", "text", F.col("text").alias("original")), decoded_col="decoded", remembered=REMEMBERED)
     same = F.col("decoded") == F.replace(F.coalesce("original", F.lit("")), F.lit("▁"), F.lit(" "))
     return out.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip"))
 
