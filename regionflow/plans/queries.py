@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from regionflow.functions import reads as R
 from regionflow.operators import align, bqsr, calling, dedup, genome, ingest, logs, route, variants
+from regionflow.plans import calls as assembled
 from regionflow.plans.fixture import N_REGIONS, Genome
 from regionflow.plans.fixture_sql import with_genome
+from regionflow.sources import sequence
 
 QUERIES, ORACLES = {}, {}
 
@@ -580,3 +582,20 @@ _LIBRARY = _MARK.replace("SELECT rec_id, qname, contig_id, CAST(CASE", "SELECT r
 @query("markdup_by_library", _LIBRARY + " SELECT * FROM marked")
 def _(g):
     return dedup.mark(g.reads().withColumn("library", F.concat(F.lit("lib"), F.col("l_orderkey") % 2)))
+
+
+_END_TO_END = _RECALIBRATE + ", pr AS (SELECT p.contig_id, p.rpos, p.ref_base, p.base_call, r.new_q AS bq FROM panel_bases p JOIN recal r ON r.rec_id = p.rec_id AND r.contig_id = p.contig_id AND r.rpos = p.rpos)" + _ALT.replace("FROM panel_bases", "FROM pr")
+
+
+@query("end_to_end_calls", _END_TO_END.replace("\nSELECT contig_id, rpos, ref_base, alt", ",\nout AS (SELECT contig_id, rpos, ref_base, alt").replace("AS gq FROM lk", "AS gq FROM lk) SELECT * FROM out WHERE gt <> '0/0' AND qual >= 30000"), panel=True)
+def _(g):
+    """The panel written as SAM text and read again, over the reference as lines, to calls."""
+    seq = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("cycle", "base_call"))), lambda x: x["base_call"]), "")
+    reads = g.panel().select("rec_id", "flag", "contig_id", "pos", "mapq", "cigar", "qual").join(g.bases().groupBy("rec_id").agg(seq.alias("seq")), "rec_id")
+    star, zero = F.lit("*"), F.lit(0)
+    lines = sequence.sam_lines(reads.select(F.col("rec_id").alias("qname"), "flag", F.concat(F.lit("c"), "contig_id").alias("rname"), "pos", "mapq", "cigar", star.alias("rnext"), zero.alias("pnext"), zero.alias("tlen"), "seq", "qual"))
+    base = "substr('ACGT', cast(1 + (p * 31 + contig_id * 17 + ((p * p) % 7)) % 4 as int), 1)"
+    lines_of = g.spark.range(5 * 34).selectExpr("cast(id div 34 as int) as contig_id", "id % 34 as line")
+    reference = lines_of.selectExpr("contig_id", "concat('c', contig_id) as contig", "line", "60 as width", f"array_join(transform(sequence(line * 60 + 1, line * 60 + 60), p -> {base}), '') as seq")
+    bases = assembled.bases_of(sequence.as_reads(sequence.parse_sam(lines), sequence.contigs_of(reference)), reference)
+    return assembled.called(assembled.recalibrated(bases, g.known_sites()))

@@ -1,5 +1,6 @@
 import gzip
 import math
+import random
 import re
 import struct
 import zlib
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from regionflow.functions import reads as R
 from regionflow.operators import bqsr, calling, dedup, genome, ingest, route, variants
-from regionflow.plans import pipeline, queries
+from regionflow.plans import calls, pipeline, queries
 from regionflow.sources import ingest as inputs
 from regionflow.sources import sequence, text
 from regionflow.streaming import ingest as streaming
@@ -408,3 +409,28 @@ def test_third_bases_and_alleles(spark):
     reads = spark.createDataFrame([(f"r{i}", 65, 0, 1 + i, "10M2D10M" if i < 2 else "22M") for i in range(4)], "rec_id string, flag int, contig_id int, pos long, cigar string")
     ev = {r.pos: (r.op, r.len, r.n, r.dp, r.gt) for r in calling.indel_genotypes(reads).collect()}
     assert ev == {10: ("D", 2, 1, 4, "0/1"), 11: ("D", 2, 1, 4, "0/1")}
+
+
+def test_files_become_calls(spark, tmp_path):
+    rng = random.Random(5)
+    chosen = {c: "".join(rng.choices("ACGT", k=5000)) for c in ("one", "two")}
+    (tmp_path / "r.fa").write_text("".join(f">{c}\n" + "".join(s[i : i + 50] + "\n" for i in range(0, 5000, 50)) for c, s in chosen.items()))
+    planted = {c: (chosen[c][2499], "ACGT"["ACGT".index(chosen[c][2499]) - 2]) for c in chosen}
+    lines, depth = ["@HD\tVN:1.6"], 0
+    for k in range(6000):
+        contig, at = ("one", "two")[k % 2], 1 + k // 4 * 3
+        seq = list(chosen[contig][at - 1 : at + 49])
+        if 0 <= 2500 - at < 50:
+            depth += contig == "one"
+            if contig == "one" or k % 8 > 3:  # one letter in all reads, the other in half of them
+                seq[2500 - at] = planted[contig][1]
+        line = "\t".join([str(k // 2 % 2 * 16), contig, str(at), "60", f"{len(seq)}M", "*", "0", "0", "".join(seq), "I" * len(seq)])
+        lines += [f"q{k}\t{line}"] + [f"copy{k}\t{line}"] * (0 <= 2500 - at < 50)
+    lines.append("\t".join(["lost", "4", "*", "0", "0", "*", "*", "0", "0", "ACGT", "IIII"]))
+    (tmp_path / "a.sam").write_text("\n".join(lines) + "\n")
+    (tmp_path / "known.vcf").write_text("##fileformat=VCFv4.2\n" + "\t".join(["one", "2500", "rs1", *planted["one"], ".", ".", "."]) + "\n")
+    out = [r.value for r in calls.run(spark, str(tmp_path / "a.sam"), str(tmp_path / "r.fa"), str(tmp_path / "run"), {"dbsnp": str(tmp_path / "known.vcf")}).collect()]
+    assert [x for x in out if x.startswith("##contig")] == ["##contig=<ID=one,length=5000>", "##contig=<ID=two,length=5000>"]
+    rows = [x.split("\t") for x in out if not x.startswith("#")]
+    assert [(r[0], r[1], (r[3], r[4]), r[9].split(":")[0]) for r in rows] == [("one", "2500", planted["one"], "1/1"), ("two", "2500", planted["two"], "0/1")]
+    assert rows[0][7] == f"DP={depth}"  # copies are not counted
