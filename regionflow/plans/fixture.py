@@ -36,6 +36,21 @@ class Genome:
             base.format("l_orderkey", "l_partkey", "ACGTACGTACGTACGT") + " as seq", base.format("l_partkey", "l_suppkey", "#(-27<ADFGHIJKLM") + " as qual",
         )
 
+    def parts_reference(self) -> DataFrame:
+        """Contigs of 100 lines of 32 bases, a line per part."""
+        return self.table("part").selectExpr(
+            "cast(p_partkey div 100 as int) as contig_id", "concat('p', p_partkey div 100) as contig", "cast(p_partkey % 100 as bigint) as line", "32 as width",
+            "translate(md5(cast(p_partkey as string)), '0123456789abcdef', 'ACGTACGTACGTACGT') as seq",
+        )
+
+    def planted_reads(self) -> DataFrame:
+        """rec_id and seq: two lines of parts_reference with a letter changed, three left out, two put in, or as they are, by
+        the line number; turned round by the return flag."""
+        line = "translate(md5(cast({} as string)), '0123456789abcdef', 'ACGTACGTACGTACGT')"
+        two = self.reads().withColumn("a", F.expr("if(l_partkey % 100 = 99, l_partkey - 1, l_partkey)")).withColumn("t", F.concat(F.expr(line.format("a")), F.expr(line.format("a + 1"))))
+        edited = "case l_linenumber % 4 when 1 then concat(left(t, 32), translate(substr(t, 33, 1), 'ACGT', 'CGTA'), substr(t, 34)) when 2 then concat(left(t, 32), substr(t, 36)) when 3 then concat(left(t, 32), translate(substr(t, 33, 2), 'ACGT', 'GTAC'), substr(t, 33)) else t end"
+        return two.withColumn("e", F.expr(edited)).selectExpr("rec_id", "if(flag & 16 <> 0, reverse(translate(e, 'ACGT', 'TGCA')), e) as seq")
+
     def known_sites(self) -> DataFrame:
         return self.table("part").selectExpr(
             "cast(p_partkey % 25 as int) as contig_id", "cast(1 + (p_partkey * 6151) % (20000 + 4000 * (p_partkey % 25)) as bigint) as pos",

@@ -536,6 +536,15 @@ def _(g):
     return align.best_seeds(seeds(g))
 
 
+@query("align_reads", """, x AS (SELECT rec_id, flag, l_linenumber % 4 AS k, CASE WHEN l_partkey % 100 = 99 THEN l_partkey - 1 ELSE l_partkey END AS a FROM reads)
+SELECT rec_id, CAST(a // 100 AS INT) AS contig_id, CAST(a % 100 * 32 + 1 AS BIGINT) AS pos, (flag & 16) <> 0 AS flip, CASE k WHEN 1 THEN 59 WHEN 2 THEN 52 WHEN 3 THEN 56 ELSE 64 END AS score,
+CASE k WHEN 2 THEN 61 ELSE 64 END AS matched, CASE k WHEN 3 THEN 2 ELSE 0 END AS inserted, CASE k WHEN 2 THEN 3 ELSE 0 END AS deleted FROM x""")
+def _(g):
+    ops = R.cigar(F.col("cigar"))
+    kinds = [R.cigar_sum(ops, op).alias(name) for op, name in (("M", "matched"), ("I", "inserted"), ("D", "deleted"))]
+    return align.alignments(g.planted_reads(), g.parts_reference()).where("rank = 0").select("rec_id", "contig_id", "pos", "flip", "score", *kinds)
+
+
 _ALT = """, eb AS (SELECT contig_id, rpos, ref_base, base_call, count(*) AS d, CAST(sum(CAST(round(-10000 * log10(1 - pow(10.0, -bq / 10.0))) AS BIGINT)) AS BIGINT) AS m, CAST(sum(CAST(round(-10000 * log10(pow(10.0, -bq / 10.0) / 3)) AS BIGINT)) AS BIGINT) AS o FROM panel_bases WHERE bq >= 17 GROUP BY 1, 2, 3, 4),
 nth AS (SELECT *, row_number() OVER (PARTITION BY contig_id, rpos, ref_base, base_call = ref_base ORDER BY d DESC, base_call) AS k FROM eb),
 st AS (SELECT contig_id, rpos, ref_base, CAST(sum(d) AS BIGINT) AS dp, CAST(sum(o) AS BIGINT) AS o, coalesce(max(d) FILTER (base_call = ref_base), 0) AS rd, coalesce(max(m) FILTER (base_call = ref_base), 0) AS rm, coalesce(max(o) FILTER (base_call = ref_base), 0) AS ro,

@@ -63,9 +63,7 @@ def from_interleaved(spark: SparkSession, path: str) -> DataFrame:
 
 def from_aligned(spark: SparkSession, path: str) -> DataFrame:
     """Names with one passing record of each mate, supplementary ones aside; reverse records are turned back."""
-    if path.lower().endswith(".cram"):
-        raise ValueError(f"CRAM is not read: {path}")
-    reads = sequence.bam(spark, path) if path.lower().endswith(".bam") else sequence.sam(spark, path)
+    reads = sequence.records(spark, path)
     f = F.col("flag")
     turned = R.has(f, R.REVERSE)
     slim = passing(reads).select(

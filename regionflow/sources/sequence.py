@@ -240,6 +240,14 @@ def bam(spark: SparkSession, path: str) -> DataFrame:
     return out.withColumn("tags", R.tags(F.col("tags")))
 
 
+def records(spark: SparkSession, path: str) -> DataFrame:
+    """The records of a SAM or BAM file, by its ending in either case; another, CRAM too, is an error."""
+    kind = path.lower().rsplit(".", 1)[-1]
+    if kind not in ("sam", "bam"):
+        raise ValueError(f"{kind.upper()} is not read: {path}")
+    return (sam if kind == "sam" else bam)(spark, path)
+
+
 def vcf(spark: SparkSession, path: str) -> DataFrame:
     """contig, pos, id, ref, alt (array), qual, filter (array), info (map)."""
     p = F.split("value", "\t")
