@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionflow.llm import decontaminate, exact_dedup, langid, licenses, packing, secrets, sentencepiece_codec, simhash, toxicity, warc
+from regionflow.llm import conversations, decontaminate, exact_dedup, langid, licenses, packing, secrets, sentencepiece_codec, simhash, toxicity, warc
 from regionflow.llm.common import remainder, shared_path, table
 
 
@@ -95,6 +95,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audited(table(spark, sf_dir, "conversations"))
+
+
 OP8_SQL = """
 SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size, row_number() OVER w = 1 AS kept, sha256(t) AS text_sha256
 FROM (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS t FROM documents)
@@ -112,6 +116,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc": op9_warc,
     "op10_language_id": op10_language_id,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLES = {
     "op2_decontaminate": decontaminate.SQL,
