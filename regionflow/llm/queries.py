@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionflow.llm import conversations, decontaminate, divergence, exact_dedup, langid, licenses, packing, secrets, sentencepiece_codec, simhash, toxicity, warc
+from regionflow.llm import conversations, decontaminate, divergence, embeddings, exact_dedup, langid, licenses, packing, secrets, sentencepiece_codec, simhash, toxicity, warc
 from regionflow.llm.common import remainder, shared_path, table
 
 
@@ -95,6 +95,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
 
@@ -120,6 +124,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc": op9_warc,
     "op10_language_id": op10_language_id,
+    "op11_embedding_near_dedup": op11_embedding_near_dedup,
     "op12_source_divergence": op12_source_divergence,
     "op13_conversation_repair": op13_conversation_repair,
 }
@@ -127,6 +132,7 @@ ORACLES = {
     "op2_decontaminate": decontaminate.SQL,
     "op8_exact_dedup": OP8_SQL,
     "op9_warc": warc.SQL,
+    "op11_embedding_near_dedup": embeddings.SQL,
     "op12_source_divergence": divergence.SQL,
 }
 
