@@ -1,7 +1,6 @@
 """How far the sources of a language differ in their words: shares of terms, compared term by term in exact integers.
 
-Words are counted by language, source and term before the shuffle; a word's first time in a document is counted beside it
-under a mark. Each kept term of a language becomes one wide row, the counts of its sources as an array in the order of
+Words and the documents that have them are counted by source and term before the shuffle. Each kept term of a language becomes one wide row, the counts of its sources as an array in the order of
 the language's sources. Higher-order functions turn it into shares and emit what the term adds to each pair of sources;
 these rows are summed in the tasks that make them before they move. A pair of sources that both lack a term differs by
 the same amount for every such term, so that is added once for all terms and a row only corrects it: the work of a
@@ -18,8 +17,6 @@ from regionflow.llm.common import BROADCAST_ROWS, ascii_lower, cut
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: Documents that a kept term is in at least, terms told of a source, what is added to a count, and the whole of a share.
 LEAST_DOCUMENTS, TOP, ADDED, WHOLE = 30, 50, 5, 1_000_000_000
-#: What no term holds; it marks a term's first time in a document.
-MARK = "#"
 
 
 def share(count: Column, n: Column, v: Column) -> Column:
@@ -30,27 +27,29 @@ def share(count: Column, n: Column, v: Column) -> Column:
     return F.when(v == 0, 0).when(count < 1 << 32, 1 + near).otherwise(1 + far)
 
 
-def wide_terms(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
-    """lang, term, counts (array of source and n) of the terms in at least so many documents of a language; docs has lang,
-    source and text without nulls."""
-    words = docs.select("lang", "source", F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(TERM), F.lit(0)).alias("words"))
-    marked = F.concat("words", F.transform(F.array_distinct("words"), lambda w: F.concat(F.lit(MARK), w)))
-    each = words.select("lang", "source", F.explode(marked).alias("word")).groupBy("lang", "source", "word").agg(F.count("*").alias("n"))
-    first = F.startswith("word", F.lit(MARK))
-    term = F.when(first, F.substr("word", F.lit(2))).otherwise(F.col("word"))
-    wide = each.groupBy("lang", term.alias("term")).agg(
-        F.sum(F.when(first, F.col("n"))).alias("documents"), F.collect_list(F.when(~first, F.struct("source", "n"))).alias("counts")
-    )
+def numbered_groups(docs: DataFrame) -> DataFrame:
+    """lang, source, g (a number of its own) and i (its place among the sources of its language) of the groups of docs."""
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
+    return cut(docs.select("lang", "source").distinct().select("lang", "source", place.alias("i")).withColumn("g", F.monotonically_increasing_id()))
+
+
+def wide_terms(docs: DataFrame, groups: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
+    """lang, term, counts (array of i and n) of the terms in at least so many documents of a language; docs has g and text.
+    All words of a text and its different ones are told apart by number, so one group counts both."""
+    words = docs.select("g", F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(TERM), F.lit(0)).alias("words"))
+    both = words.select("g", F.posexplode(F.array("words", F.array_distinct("words"))).alias("kind", "own")).select("g", "kind", F.explode("own").alias("term"))
+    each = both.groupBy("g", "term").agg(F.sum(1 - F.col("kind")).alias("n"), F.sum("kind").alias("documents"))
+    wide = each.join(groups.drop("source"), "g").groupBy("lang", "term").agg(F.sum("documents").alias("documents"), F.collect_list(F.struct("i", "n")).alias("counts"))
     return wide.where(F.col("documents") >= least_documents).select("lang", "term", "counts")
 
 
-def languages(docs: DataFrame, kept: DataFrame) -> DataFrame:
+def languages(groups: DataFrame, kept: DataFrame) -> DataFrame:
     """A row per lang: sources (array in order), ns (occurrences of kept terms in each), n (in all), v (kept terms) and
     base (the share in each source of a term that it lacks)."""
-    occurring = kept.select("lang", F.inline("counts")).groupBy("lang", "source").agg(F.sum("n").alias("n"))
-    groups = docs.select("lang", "source").distinct().join(occurring, ["lang", "source"], "left").select("lang", F.struct("source", F.coalesce("n", F.lit(0)).alias("n")).alias("x"))
+    occurring = kept.select("lang", F.inline("counts")).groupBy("lang", "i").agg(F.sum("n").alias("n"))
+    listed = groups.join(occurring, ["lang", "i"], "left").select("lang", F.struct("i", "source", F.coalesce("n", F.lit(0)).alias("n")).alias("x"))
     v = kept.groupBy("lang").agg(F.count("*").alias("v"))
-    whole = groups.groupBy("lang").agg(F.array_sort(F.collect_list("x")).alias("xs"), F.sum("x.n").alias("n")).join(v, "lang", "left").withColumn("v", F.coalesce("v", F.lit(0)))
+    whole = listed.groupBy("lang").agg(F.array_sort(F.collect_list("x")).alias("xs"), F.sum("x.n").alias("n")).join(v, "lang", "left").withColumn("v", F.coalesce("v", F.lit(0)))
     base = F.transform("xs", lambda x: share(F.lit(0).cast("long"), x["n"], F.col("v")))
     return whole.select("lang", F.col("xs.source").alias("sources"), F.col("xs.n").alias("ns"), "n", "v", base.alias("base"))
 
@@ -61,30 +60,34 @@ def divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "sourc
 
     Null lang, source and text count as empty ones; a source without terms is compared too, a language without kept terms
     has values of 0. Repeated rows are documents of their own; ties are ranked by the item's bytes. An empty table gives
-    no rows; further columns are not looked at."""
+    no rows; further columns are not looked at. A language's sources are one array, as its wide terms are; the result has
+    the square of their number."""
     own = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(a) for c, a in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
-    kept = cut(wide_terms(own, least_documents))
-    langs = cut(languages(own, kept))
-    cells = langs.agg(F.sum(F.size("sources"))).first()[0] or 0
-    side = F.broadcast(langs) if cells <= BROADCAST_ROWS else langs
+    groups = numbered_groups(own)
+    small = groups.count() <= BROADCAST_ROWS
+    side = F.broadcast if small else lambda df: df
+    kept = cut(wide_terms(own.join(side(groups.select("lang", "source", "g")), ["lang", "source"]), side(groups), least_documents))
+    langs = cut(languages(groups, kept))
     total = F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x["n"])
-    terms = kept.join(side, "lang").withColumn("of", F.map_from_entries("counts")).withColumn("q", share(total, F.col("n"), F.col("v")))
-    placed = F.transform("sources", lambda s, i: F.struct(i.alias("i"), F.coalesce(F.try_element_at("of", s), F.lit(0)).alias("count"), F.element_at("ns", i + 1).alias("n")))
-    vector = terms.select("lang", "term", "q", "base", "v", placed.alias("xs"))
-    vector = vector.withColumn("shares", F.transform("xs", lambda x: share(x["count"], x["n"], F.col("v")))).withColumn("counted", F.col("xs.count")).drop("xs")
+    terms = kept.join(side(langs), "lang").withColumn("of", F.map_from_entries("counts")).withColumn("q", share(total, F.col("n"), F.col("v")))
+    counted = F.transform("ns", lambda _, i: F.coalesce(F.try_element_at("of", i), F.lit(0)))
+    vector = terms.withColumn("counted", counted).select(
+        "lang", "term", "q", "base", "counted", F.array_sort("counts.i").alias("had"), F.zip_with("counted", "ns", lambda c, n: share(c, n, F.col("v"))).alias("shares")
+    )
     # The sources that have a term, one row each; the arrays go along within the task.
-    had = F.filter(F.transform("counted", lambda c, i: F.when(c > 0, i)), lambda i: i.isNotNull())
-    each = vector.withColumn("i", F.explode(had)).withColumn("p", F.element_at("shares", F.col("i") + 1))
+    each = vector.withColumn("i", F.explode("had")).withColumn("p", F.element_at("shares", F.col("i") + 1))
 
     lacked = F.element_at("base", F.col("i") + 1)
-    emitted = F.transform("shares", lambda p, j: F.when((j != F.col("i")) & ((F.element_at("counted", j + 1) == 0) | (j > F.col("i"))), F.struct(j.alias("j"), (F.abs(F.col("p") - p) - F.abs(lacked - F.element_at("base", j + 1))).alias("more"))))
-    added = each.select("lang", "i", F.inline(F.filter(emitted, lambda x: x.isNotNull())))
+    more = F.zip_with("shares", "base", lambda p, b: F.abs(F.col("p") - p) - F.abs(F.col("lacked") - b))
+    wanted = lambda c, j: (j != F.col("i")) & ((c == 0) | (j > F.col("i")))  # noqa: E731  a pair that both have once
+    emitted = F.filter(F.transform("counted", lambda c, j: F.when(wanted(c, j), F.struct(j.alias("j"), F.element_at("more", j + 1).alias("more")))), lambda x: x.isNotNull())
+    added = each.withColumn("lacked", lacked).withColumn("more", more).select("lang", "i", F.inline(emitted))
     added = added.select("lang", F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"), "more")
     # Every pair once, as if no source had any term.
     ends = langs.where(F.size("sources") > 1).select("lang", "v", "base", F.posexplode("base").alias("a", "p"))
     plain = ends.select("lang", "v", "p", "a", F.posexplode("base").alias("b", "r")).where("a < b").select("lang", "a", "b", (F.col("v") * F.abs(F.col("p") - F.col("r"))).alias("more"))
     sums = plain.unionByName(added).groupBy("lang", "a", "b").agg(F.sum("more").alias("value"))
-    names = side.select("lang", "sources")
+    names = side(langs).select("lang", "sources")
     both = sums.join(names, "lang").select("lang", "value", F.element_at("sources", F.col("a") + 1).alias("x"), F.element_at("sources", F.col("b") + 1).alias("y"))
     way = lambda s, t: F.struct(F.col(s).alias("source"), F.col(t).alias("item"))
     pairs = both.select("lang", F.inline(F.array(way("x", "y"), way("y", "x"))), "value")
