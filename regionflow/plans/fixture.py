@@ -51,6 +51,33 @@ class Genome:
         edited = "case l_linenumber % 4 when 1 then concat(left(t, 32), translate(substr(t, 33, 1), 'ACGT', 'CGTA'), substr(t, 34)) when 2 then concat(left(t, 32), substr(t, 36)) when 3 then concat(left(t, 32), translate(substr(t, 33, 2), 'ACGT', 'GTAC'), substr(t, 33)) else t end"
         return two.withColumn("e", F.expr(edited)).selectExpr("rec_id", "if(flag & 16 <> 0, reverse(translate(e, 'ACGT', 'TGCA')), e) as seq")
 
+    def planted_sites(self) -> DataFrame:
+        """c, at (from 0), kind (snp, ins, del), both (whether both copies have it) and put: a site each 160 bases of a contig of
+        parts_reference, of single letters and of 12 bases put in after or left out after the place."""
+        lines = self.parts_reference().groupBy("contig_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "seq"))), lambda x: x["seq"]), "").alias("t"))
+        at = lines.where("length(t) = 3200").selectExpr("contig_id as c", "t", "explode(sequence(0, 18)) as s").selectExpr("*", "100 + 160 * s as at", "(c * 7 + s) % 5 as k")
+        base = at.withColumn("base", F.expr("substr(t, at + 1, 1)"))
+        kind = "case when k in (2, 4) then 'ins' when k = 3 and substr(t, at + 13, 1) <> base then 'del' else 'snp' end"
+        put = "concat(translate(substr(md5(concat(c, '_', s)), 1, 11), '0123456789abcdef', 'ACGTACGTACGTACGT'), translate(base, 'ACGT', 'CGTA'))"
+        return base.selectExpr("c", "at", f"{kind} as kind", "k in (0, 2) as both", f"{put} as put", "t")
+
+    def haplotype_reads(self) -> DataFrame:
+        """Reads of 100 bases of two copies that have the planted sites, aligned where they come from; a third has a letter of
+        low quality changed. Reads that end within 15 bases of a site are left out."""
+        raw = self.table("lineitem").selectExpr(
+            "concat_ws('_', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_quantity as int)) as rec_id", "cast(l_partkey div 100 as int) as c", "(l_orderkey * 7919 + l_suppkey * 31 + l_linenumber * 17 + l_partkey) % 3070 as start",
+            "(l_orderkey + l_linenumber) % 2 as copy", "if((l_orderkey * 31 + l_linenumber) % 3 = 0, (l_suppkey * 13 + l_orderkey) % 100, null) as wrong", "if(l_returnflag = 'R', 16, 0) as flag",
+        )
+        near = raw.withColumn("at", F.expr("100 + 160 * greatest(0, (start - 100 + 159) div 160)")).withColumn("d", F.expr("at - start")).where("d between 15 and 84 or d between 100 and 146 or start < 85 and d >= 100")
+        met = near.join(self.planted_sites().withColumnRenamed("c", "s_c").withColumnRenamed("at", "s_at"), F.expr("c = s_c and least(at, 2980) = s_at"))
+        has = "d between 15 and 84 and (both or copy = 1)"
+        text = f"case when not ({has}) then substr(t, start + 1, 100) when kind = 'snp' then concat(substr(t, start + 1, d), translate(substr(t, at + 1, 1), 'ACGT', 'CGTA'), substr(t, at + 2, 99 - d)) when kind = 'ins' then concat(substr(t, start + 1, d + 1), put, substr(t, at + 2, 87 - d)) else concat(substr(t, start + 1, d + 1), substr(t, at + 14, 99 - d)) end"
+        cigar = f"case when not ({has}) or kind = 'snp' then '100M' when kind = 'ins' then concat(d + 1, 'M12I', 87 - d, 'M') else concat(d + 1, 'M12D', 99 - d, 'M') end"
+        own = met.withColumn("x", F.expr(text))
+        wrong = "if(wrong is null, x, concat(substr(x, 1, wrong), translate(substr(x, wrong + 1, 1), 'ACGT', 'GTAC'), substr(x, wrong + 2)))"
+        qual = "if(wrong is null, repeat('I', 100), concat(repeat('I', wrong), '&', repeat('I', 99 - wrong)))"
+        return own.selectExpr("rec_id", "c as contig_id", "start + 1 as pos", "flag", "60 as mapq", f"{cigar} as cigar", f"{wrong} as seq", f"{qual} as qual")
+
     def known_sites(self) -> DataFrame:
         return self.table("part").selectExpr(
             "cast(p_partkey % 25 as int) as contig_id", "cast(1 + (p_partkey * 6151) % (20000 + 4000 * (p_partkey % 25)) as bigint) as pos",

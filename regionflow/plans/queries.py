@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from regionflow.functions import reads as R
-from regionflow.operators import align, bqsr, calling, dedup, genome, ingest, logs, route, variants
+from regionflow.operators import active, align, bqsr, calling, dedup, genome, haplotypes, ingest, logs, route, variants
 from regionflow.plans import calls as assembled
 from regionflow.plans.fixture import N_REGIONS, Genome
 from regionflow.plans.fixture_sql import with_genome
@@ -608,3 +608,31 @@ def _(g):
     reference = lines_of.selectExpr("contig_id", "concat('c', contig_id) as contig", "line", "60 as width", f"array_join(transform(sequence(line * 60 + 1, line * 60 + 60), p -> {base}), '') as seq")
     bases = assembled.bases_of(sequence.as_reads(sequence.parse_sam(lines), sequence.contigs_of(reference)), reference)
     return assembled.called(assembled.recalibrated(bases, g.known_sites()))
+
+
+_ACTIVE = """, pa AS (SELECT contig_id, rpos AS pos, count(*) AS dp, count(*) FILTER (base_call <> ref_base) AS n FROM panel_bases WHERE bq >= 17 GROUP BY 1, 2),
+act AS (SELECT contig_id, pos, 1000 * n // dp AS activity FROM pa WHERE n >= 2),
+sm AS (SELECT *, sum(activity) OVER (PARTITION BY contig_id ORDER BY pos RANGE BETWEEN 10 PRECEDING AND 10 FOLLOWING) AS total FROM act),
+fi AS (SELECT contig_id, pos, CASE WHEN pos - lag(pos) OVER (PARTITION BY contig_id ORDER BY pos) <= 25 THEN 0 ELSE 1 END AS first FROM sm WHERE total >= 100),
+ru AS (SELECT contig_id, pos, sum(first) OVER (PARTITION BY contig_id ORDER BY pos) AS run FROM fi),
+isl AS (SELECT contig_id, min(pos) AS lo, max(pos) AS hi, max(pos) - min(pos) + 1 AS n, (max(pos) - min(pos) + 300) // 300 AS parts FROM ru GROUP BY contig_id, run)
+SELECT contig_id, lo + n * k // parts AS lo, lo + n * (k + 1) // parts - 1 AS hi FROM (SELECT *, unnest(range(0, parts)) AS k FROM isl)"""
+
+
+@query("active_regions", _ACTIVE, panel=True)
+def _(g):
+    n = calling.alleles(g.bases()).where(F.col("n_alt") >= active.LEAST_READS)
+    rows = n.select("contig_id", F.col("rpos").alias("pos"), F.expr("1000 * n_alt div dp").alias("activity"))
+    return active.regions(rows).select("contig_id", "lo", "hi")
+
+
+@query("haplotype_calls", """, pt AS (SELECT CAST(p_partkey // 100 AS INT) AS c, string_agg(translate(md5(CAST(p_partkey AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT'), '' ORDER BY p_partkey) AS t FROM part GROUP BY 1 HAVING count(*) = 100),
+st AS (SELECT c, s, t, 100 + 160 * s AS pl, (c * 7 + s) % 5 AS k, substr(t, CAST(101 + 160 * s AS BIGINT), 1) AS base FROM pt CROSS JOIN (SELECT DISTINCT n_nationkey AS s FROM nation WHERE n_nationkey < 19)),
+sk AS (SELECT *, CASE WHEN k IN (2, 4) THEN 'ins' WHEN k = 3 AND substr(t, CAST(pl + 13 AS BIGINT), 1) <> base THEN 'del' ELSE 'snp' END AS kind FROM st)
+SELECT c AS contig_id, CAST(pl + 1 AS BIGINT) AS pos, CASE kind WHEN 'del' THEN substr(t, CAST(pl + 1 AS BIGINT), 13) ELSE base END AS ref,
+CASE kind WHEN 'del' THEN base WHEN 'snp' THEN translate(base, 'ACGT', 'CGTA') ELSE base || translate(substr(md5(c || '_' || s), 1, 11), '0123456789abcdef', 'ACGTACGTACGTACGT') || translate(base, 'ACGT', 'CGTA') END AS alt,
+CASE WHEN k IN (0, 2) THEN '1/1' ELSE '0/1' END AS gt FROM sk""")
+def _(g):
+    """Reads of two copies with planted letters, insertions and deletions: what is called is what was planted."""
+    found = haplotypes.call(g.haplotype_reads(), g.parts_reference())
+    return found.select("contig_id", "pos", "ref", F.array_join("alts", ",").alias("alt"), "gt")
