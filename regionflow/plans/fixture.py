@@ -70,7 +70,7 @@ class Genome:
         )
         near = raw.withColumn("at", F.expr("100 + 160 * greatest(0, (start - 100 + 159) div 160)")).withColumn("d", F.expr("at - start")).where("d between 15 and 84 or d between 100 and 146 or start < 85 and d >= 100")
         met = near.join(self.planted_sites().withColumnRenamed("c", "s_c").withColumnRenamed("at", "s_at"), F.expr("c = s_c and least(at, 2980) = s_at"))
-        has = "d between 15 and 84 and (both or copy = 1)"
+        has = "at = s_at and d between 15 and 84 and (both or copy = 1)"
         text = f"case when not ({has}) then substr(t, start + 1, 100) when kind = 'snp' then concat(substr(t, start + 1, d), translate(substr(t, at + 1, 1), 'ACGT', 'CGTA'), substr(t, at + 2, 99 - d)) when kind = 'ins' then concat(substr(t, start + 1, d + 1), put, substr(t, at + 2, 87 - d)) else concat(substr(t, start + 1, d + 1), substr(t, at + 14, 99 - d)) end"
         cigar = f"case when not ({has}) or kind = 'snp' then '100M' when kind = 'ins' then concat(d + 1, 'M12I', 87 - d, 'M') else concat(d + 1, 'M12D', 99 - d, 'M') end"
         own = met.withColumn("x", F.expr(text))
