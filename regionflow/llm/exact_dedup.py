@@ -1,7 +1,7 @@
 """Exact dedup by a tree of merges of sorted digest runs, in DataFrame operations only.
 
-Every input partition belongs to a run and combines its rows into it, one row per digest. The runs stand in as many
-partitions, a power of two. In a round, partitions whose numbers differ in the round's bits alone are partners: each
+Every input partition belongs to a run, whose rows it gives whole to one task; there they are sorted and combined, one row
+per digest. There are as many runs as input partitions, made a power of two. In a round, partitions whose numbers differ in the round's bits alone are partners: each
 keeps the part of its run that these bits of the digest assign to it, sends its partners theirs, and merges what it
 gets, sorted by digest, into one run, keeping for each digest the best row and the count. A round of RADIX_BITS bits
 is that many binomial steps at once, so a merge is RADIX-way; after the last one every digest stands whole in the
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from regionflow.llm.common import cut, join_groups, keep_rows
 
 RADIX_BITS = 2
-#: Rows that a run is planned for, and the bits of the largest number of runs.
-RUN_ROWS, MOST_BITS = 1 << 15, 14
+#: The bits of the smallest and of the largest number of runs.
+LEAST_BITS, MOST_BITS = 2, 14
 #: What the comparison of texts ignores.
 IGNORED = r"[\x09-\x0D\x20]+"
 KEY = ["digest", "check", "n_left"]
@@ -50,9 +50,9 @@ def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def run_bits(rows: int) -> int:
-    """The bits of the number of runs for so many rows."""
-    return min(MOST_BITS, max(0, (rows - 1) // RUN_ROWS).bit_length())
+def run_bits(partitions: int) -> int:
+    """The bits of the number of runs for so many input partitions."""
+    return min(MOST_BITS, max(LEAST_BITS, (partitions - 1).bit_length()))
 
 
 def merge(runs: DataFrame) -> DataFrame:
@@ -60,18 +60,22 @@ def merge(runs: DataFrame) -> DataFrame:
     return runs.groupBy("run", *KEY).agg(F.min("best").alias("best"), F.sum("n").alias("n"))
 
 
+def gathered(runs: DataFrame, bits: int) -> DataFrame:
+    """The runs, each sorted and merged in the partition of its number."""
+    return merge(runs.repartitionById(1 << bits, "run").sortWithinPartitions("run", *KEY))
+
+
 def exchange(runs: DataFrame, bits: int, low: int, step: int) -> DataFrame:
     """A round: the run numbers' bits from low on, step of them, become those of the digest; partners merge."""
     mask = ((1 << step) - 1) << low
     place = F.col("run").bitwiseAND((1 << bits) - 1 - mask).bitwiseOR(F.col("check").bitwiseAND(mask).cast("int"))
-    moved = runs.withColumn("run", place).repartitionById(1 << bits, "run")
-    return merge(moved.sortWithinPartitions("run", *KEY))
+    return gathered(runs.withColumn("run", place), bits)
 
 
 def merged_runs(leaves: DataFrame, bits: int) -> DataFrame:
-    """All rounds: KEY, best, n, one row per digest."""
+    """The leaves, a run of input partitions each, and all rounds: KEY, best, n, one row per digest."""
     run = F.col("part").bitwiseAND((1 << bits) - 1)
-    runs = merge(leaves.select(*KEY, "best", F.lit(1).cast("long").alias("n"), run.alias("run")))
+    runs = gathered(leaves.select(*KEY, "best", F.lit(1).cast("long").alias("n"), run.alias("run")), bits)
     for low in range(0, bits, RADIX_BITS):
         runs = exchange(runs, bits, low, min(RADIX_BITS, bits - low))
     return runs.select(*KEY, "best", "n")
@@ -86,8 +90,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     too; an empty table gives an empty result. Other columns of docs are not looked at.
     """
     leaves = cut(digests(docs, id_col, text_col))
-    total = leaves.count()
-    merged = merged_runs(leaves, run_bits(total))
+    total, last = leaves.agg(F.count("*"), F.coalesce(F.max("part"), F.lit(0))).first()
+    merged = merged_runs(leaves, run_bits(last + 1))
     winners = cut(merged.select(*KEY, F.col("best").alias("winner"), F.col("n").alias("group_size")))
     return join_groups(leaves, winners, KEY, "group_size", total).select(
         F.col("best.id").alias("id"),

@@ -36,10 +36,11 @@ SCRIPTS = [
     ("Hebrew", 0x0590, 0x05FF), ("Arabic", 0x0600, 0x077F), ("Devanagari", 0x0900, 0x097F), ("Bengali", 0x0980, 0x09FF),
     ("Tamil", 0x0B80, 0x0BFF), ("Thai", 0x0E00, 0x0E7F), ("Georgian", 0x10A0, 0x10FF), ("Hangul Jamo", 0x1100, 0x11FF),
     ("Latin", 0x1E00, 0x1EFF), ("Greek", 0x1F00, 0x1FFF), ("Kana", 0x3040, 0x30FF), ("Han", 0x3400, 0x9FFF),
-    ("Hangul", 0xAC00, 0xD7AF), ("Han", 0x20000, 0x2FFFF),
+    ("Hangul", 0xAC00, 0xD7AF), ("Han", 0x20000, 0x3FFFF),
 ]
 NAMES = sorted({s[0] for s in SCRIPTS}) + ["Other"]
-_POINTS = 0x30000
+#: The planes that hold letters.
+_POINTS = 0x40000
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:

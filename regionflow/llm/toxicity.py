@@ -53,7 +53,7 @@ STEPS = [(i, j) for i in range(1, SPAN - 1) for j in range(1, SPAN - i)]
 
 def _table() -> np.ndarray:
     """The symbol of each code point of the planes that hold letters in use."""
-    out = np.full(0x30000, SKIP, np.uint8)
+    out = np.full(0x40000, SKIP, np.uint8)
     letters = "abcdefghijklmnopqrstuvwxyz" + ACCENTED
     symbol = {c: 2 + min(i, OTHERS - 3) for i, c in enumerate(letters)}
     symbol |= {c: symbol[x] for c, x in IMITATED.items()}

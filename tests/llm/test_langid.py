@@ -111,3 +111,10 @@ def test_letters_of_a_large_script_count_as_themselves():
     for k in signs:
         _, label = model.label([said(k, 5)], model.rows())
         assert {model.languages[x] for x in label} == {k}
+
+
+def test_letters_of_the_last_planes_are_letters():
+    own = langid.words(["\U00030000\U00030001 \U000323af", "\U00040000 \U000e0041 1"])
+    assert list(own["text"]) == [0, 0] and list(own["size"]) == [2, 1]
+    assert {langid.NAMES[s] for s in own["script"]} == {"Han"}
+    assert not any(chr(cp).isalpha() for cp in range(langid._POINTS, 0x110000))
