@@ -21,6 +21,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--known", action="append", default=[], metavar="SOURCE=VCF", help="known sites, several times")
     c.add_argument("--sample", default="sample")
     c.add_argument("--least", type=int, default=calls.LEAST, help="least quality of a call, phred x 1000")
+    c.add_argument("--intervals", help="a file of contig:start-end lines; calls elsewhere are left out")
     c.add_argument("--realign", action="store_true", help="align the pairs of a SAM or BAM file anew")
     i = sub.add_parser("intervals", help="interval files with 0 to 3 halos for each region")
     i.add_argument("dictionary", help="file with @SQ lines")
@@ -40,9 +41,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     known = dict(x.split("=", 1) for x in a.known)
     kind, files = resolve(spark, a.reads)
     if kind == "aligned" and not a.realign:
-        vcf = calls.run(spark, files[0], a.fasta, a.out, known, a.sample, a.least)
+        vcf = calls.run(spark, files[0], a.fasta, a.out, known, a.sample, a.least, a.intervals)
     else:
-        vcf = calls.run_pairs(spark, read_pairs(spark, a.reads), a.fasta, a.out, known, a.sample, a.least)
+        vcf = calls.run_pairs(spark, read_pairs(spark, a.reads), a.fasta, a.out, known, a.sample, a.least, a.intervals)
     vcf.write.mode("overwrite").text(f"{a.out}/vcf")
 
 

@@ -18,6 +18,11 @@ def is_primary(flag: Column) -> Column:
     return flag.bitwiseAND(UNMAPPED | QCFAIL | SECONDARY | SUPPLEMENTARY) == 0
 
 
+def name_key() -> list[Column]:
+    """What the records of a name are grouped by: those without a name are each a group of their own, by rec_id."""
+    return [F.col("qname"), F.when(F.col("qname").isNull(), F.col("rec_id")).alias("_own")]
+
+
 def mate(flag: Column) -> Column:
     return F.when(has(flag, READ1), 1).when(has(flag, READ2), 2)
 
@@ -64,8 +69,8 @@ def cigar_text(ops: Column) -> Column:
 def tags(fields: Column) -> Column:
     """map<tag, struct<type, val, i, f, h, b>> of an array of TAG:TYPE:VALUE: val is the text, and beside it i (long) has
     the value of an i tag, f (double) of an f tag, h (binary) of an H tag and b (array of long) of a B tag, whose first
-    character names the numbers' size. A value that is no number, a B tag of fractions and an unknown type are errors; of
-    tags that repeat the last counts."""
+    character names the numbers' size, or d (array of double) of one of fractions. A value that is no number and an unknown
+    type are errors; of tags that repeat the last counts."""
     parts = F.transform(fields, lambda f: F.split(f, ":", 3))
     last = F.filter(parts, lambda p, i: ~F.exists(F.slice(parts, i + 2, F.greatest(F.size(parts), F.lit(1))), lambda q: q[0] == p[0]))
     of = lambda p, kind, value: F.when(p[1] == kind, value)
@@ -76,7 +81,8 @@ def tags(fields: Column) -> Column:
             F.struct(
                 F.when(p[1].isin("i", "f", "H", "B", "A", "Z"), p[1]).otherwise(F.raise_error(F.concat(F.lit("tag type "), p[1]))).alias("type"), p[2].alias("val"),
                 of(p, "i", p[2].cast("long")).alias("i"), of(p, "f", p[2].cast("double")).alias("f"), of(p, "H", F.unhex(p[2])).alias("h"),
-                of(p, "B", F.transform(F.slice(F.split(p[2], ","), 2, 1 << 30), lambda x: x.cast("long"))).alias("b"),
+                F.when((p[1] == "B") & ~p[2].startswith("f"), F.transform(F.slice(F.split(p[2], ","), 2, 1 << 30), lambda x: x.cast("long"))).alias("b"),
+                F.when((p[1] == "B") & p[2].startswith("f"), F.transform(F.slice(F.split(p[2], ","), 2, 1 << 30), lambda x: x.cast("double"))).alias("d"),
             ).alias("v"),
         ),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regionflow.functions import reads as R
+from regionflow.operators.align import blocks
 from regionflow.operators.store import cut
 
 
@@ -16,16 +17,19 @@ from regionflow.operators.store import cut
 SKIPPED = R.UNMAPPED | R.SECONDARY | R.QCFAIL | R.DUPLICATE
 
 
-def explode(reads: DataFrame) -> DataFrame:
+def explode(reads: DataFrame, least_mapq: int = 0) -> DataFrame:
     """A row per base of reads (contig_id, pos, flag, cigar, seq, qual, and columns that are kept) that stands over a
     base of the reference: rpos, cycle (its place in seq from 1, clips and insertions counted), bq, base_call, before
     (the call before in seq; null for a first one) in place of pos, cigar, seq and qual.
 
     Clipped and inserted bases, N, and records that are unmapped, secondary, failing or flagged as duplicates have no
-    rows; nor have records without sequence, qualities or CIGAR. Supplementary ones stay. A CIGAR or qualities of
+    rows; nor have records without sequence, qualities or CIGAR, or below least_mapq (a null mapq is 0), if
+    that is above 0. Supplementary ones stay. A CIGAR or qualities of
     another length than the sequence are an error."""
     kept = [F.col(f"`{c}`") for c in reads.columns if c not in ("pos", "cigar", "seq", "qual")]
     used = reads.where((F.col("flag").bitwiseAND(SKIPPED) == 0) & (F.col("seq") != "*") & (F.col("qual") != "*") & (F.col("cigar") != "*"))
+    if least_mapq > 0:
+        used = used.where(F.coalesce("mapq", F.lit(0)) >= least_mapq)
     ops = R.cigar(F.col("cigar"))
     fits = (R.cigar_sum(ops, "MIS=X") == F.length("seq")) & (F.length("qual") == F.length("seq"))
     ops = F.when(fits, ops).otherwise(F.raise_error(F.concat_ws(" ", F.lit("lengths differ:"), "cigar", "seq", "qual")))
@@ -39,6 +43,38 @@ def explode(reads: DataFrame) -> DataFrame:
     ).where("base_call <> 'N'")
 
 
+#: Bases of a block of known sites.
+BLOCK = 512
+
+
+def over_reference(reads: DataFrame, reference: DataFrame, known: DataFrame | None = None, least_mapq: int = 0) -> DataFrame:
+    """explode of reads, bases over ACGT of the reference (contig_id, line, width, seq) alone, with ref_base, and with masked
+    if known sites (contig_id, pos, and ref, whose length they cover) are given. Reads meet blocks of the reference and of
+    the sites, as long as the longest span behind each, before they become bases."""
+    used = reads.where((F.col("flag").bitwiseAND(SKIPPED) == 0) & (F.col("cigar") != "*")).withColumn("_start", F.col("pos"))
+    spans = cut(used.withColumn("_span", R.reference_span(R.cigar(F.col("cigar")))))
+    longest = int(spans.agg(F.max("_span")).first()[0] or 0)  # one number
+    size = 1 << 14
+    first = F.floor((F.col("pos") - 1) / size)
+    met = spans.withColumn("block", first).join(blocks(reference, size, longest + 1), ["contig_id", "block"])
+    met = met.withColumn("_text", F.substring("bases", ((F.col("pos") - 1) % size + 1).cast("int"), F.col("_span"))).drop("block", "bases")
+    extra = ["_start", "_span", "_text"]
+    if known is not None:
+        wide = F.greatest(F.coalesce(F.length("ref"), F.lit(1)), F.lit(1)) if "ref" in known.columns else F.lit(1)
+        site = known.where("contig_id is not null and pos is not null").select("contig_id", F.explode(F.sequence(F.col("pos"), F.col("pos") + wide - 1)).alias("at")).distinct()
+        b = F.floor(F.col("at") / BLOCK)
+        cell = site.withColumn("_b", F.explode(F.sequence(F.floor((F.col("at") - longest) / BLOCK), b))).where(F.col("at") < (F.col("_b") + 1) * BLOCK + longest)
+        listed = cell.groupBy(F.col("contig_id").alias("_c"), "_b").agg(F.collect_list("at").alias("_sites"))
+        met = met.withColumn("_a", F.floor(F.col("pos") / BLOCK)).join(listed, (F.col("contig_id") == F.col("_c")) & (F.col("_a") == F.col("_b")), "left")
+        own = F.filter(F.coalesce("_sites", F.array().cast("array<bigint>")), lambda x: x.between(F.col("_start"), F.col("_start") + F.col("_span")))
+        met = met.withColumn("_known", own).drop("_c", "_b", "_a", "_sites")
+        extra.append("_known")
+    bases = explode(met, least_mapq).withColumn("ref_base", F.substring("_text", (F.col("rpos") - F.col("_start") + 1).cast("int"), F.lit(1)))
+    if known is not None:
+        bases = bases.withColumn("masked", F.array_contains("_known", F.col("rpos")))
+    return bases.where("ref_base in ('A', 'C', 'G', 'T')").drop(*extra)
+
+
 def with_covariates(bases: DataFrame) -> DataFrame:
     """bases with cyc (negative for the second mate) and ctx (the base before and the base; null for a first base, and
     after N). Without a column before, the base before is that of the last cycle that bases has."""

@@ -23,20 +23,21 @@ def mark(reads: DataFrame) -> DataFrame:
     """rec_id, is_pair, duplicate. A name with exactly two passing primaries is a pair, keyed by both ends in order;
     of pairs with one key the best total score stays. Single reads are duplicates of any pair end at their place, and
     of the best single read there. Ties go to the smaller name or rec_id. Where reads have a column library, only those
-    of one library are duplicates of each other."""
-    w = Window.partitionBy("qname")
+    of one library are duplicates of each other. A read without a name is a single one. The best of a place is found by
+    aggregation and joined by its own id, so no task gets all reads of a place."""
+    w = Window.partitionBy(*R.name_key())
     found = ends(reads)
     place = [*(c for c in found.columns if c == "library"), "contig_id", "end5", "strand"]
     end = F.struct(*place)
     e = found.withColumn("k", F.count("*").over(w)).withColumn("a", F.min(end).over(w)).withColumn("b", F.max(end).over(w)).withColumn("total", F.sum("score").over(w))
     pair = F.col("k") == 2
-    best = F.dense_rank().over(Window.partitionBy("a", "b").orderBy(F.desc("total"), "qname")) > 1
-    paired = e.where(pair).select("rec_id", *place, "score", F.lit(True).alias("is_pair"), best.alias("dup"))
+    best = e.where(pair).groupBy("a", "b").agg(F.min(F.struct((-F.col("total")).alias("less"), "qname")).alias("x")).select(F.col("x.qname").alias("_best"))
+    paired = e.where(pair).join(best, F.col("qname") == F.col("_best"), "left").select("rec_id", *place, "score", F.lit(True).alias("is_pair"), F.col("_best").isNull().alias("dup"))
     single = e.where(~pair).select("rec_id", *place, "score", F.lit(False).alias("is_pair"), F.lit(False).alias("dup"))
-    here = Window.partitionBy(*place)
     both = paired.unionByName(single)
-    first = F.row_number().over(here.orderBy(F.col("is_pair").desc(), F.desc("score"), "rec_id")) > 1
-    return both.withColumn("first", first).select("rec_id", "is_pair", F.when(F.col("is_pair"), F.col("dup")).otherwise(F.col("first")).alias("duplicate"))
+    first = both.groupBy(*place).agg(F.min(F.struct((~F.col("is_pair")).alias("single"), (-F.col("score")).alias("less"), "rec_id")).alias("x")).select(F.col("x.rec_id").alias("_first"))
+    told = both.join(first, F.col("rec_id") == F.col("_first"), "left")
+    return told.select("rec_id", "is_pair", F.when(F.col("is_pair"), F.col("dup")).otherwise(F.col("_first").isNull()).alias("duplicate"))
 
 
 def flagged(reads: DataFrame) -> DataFrame:

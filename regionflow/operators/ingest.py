@@ -25,17 +25,18 @@ def passing(reads: DataFrame, supplementary: bool = False) -> DataFrame:
 
 
 def name_classes(reads: DataFrame) -> DataFrame:
-    """qname, n1, n2 and what its passing records are: pair, orphan or ambiguous."""
+    """qname, n1, n2 and what its passing records are: pair, orphan or ambiguous. Records without a name are an orphan each."""
     f = F.col("flag")
-    g = passing(reads).groupBy("qname").agg(F.count_if(R.has(f, R.READ1)).alias("n1"), F.count_if(~R.has(f, R.READ1)).alias("n2"))
+    own = F.when(F.col("qname").isNull(), F.monotonically_increasing_id())
+    g = passing(reads).withColumn("_own", own).groupBy("qname", "_own").agg(F.count_if(R.has(f, R.READ1)).alias("n1"), F.count_if(~R.has(f, R.READ1)).alias("n2"))
     kind = F.when((F.col("n1") == 1) & (F.col("n2") == 1), "pair").when(F.col("n1") + F.col("n2") == 1, "orphan").otherwise("ambiguous")
-    return g.withColumn("kind", kind)
+    return g.withColumn("kind", kind).drop("_own")
 
 
 def pairs(reads: DataFrame) -> DataFrame:
-    """qname with the ids of its two mates, where a name has one passing record of each."""
+    """qname with the ids of its two mates, where a name has one passing record of each; no name makes no pair."""
     f = F.col("flag")
-    ok = passing(reads)
+    ok = passing(reads).where("qname is not null")
     g = ok.groupBy("qname").agg(
         F.count("*").alias("n"), F.max(F.when(R.has(f, R.READ1), F.col("rec_id"))).alias("r1"), F.max(F.when(~R.has(f, R.READ1), F.col("rec_id"))).alias("r2")
     )
@@ -103,9 +104,9 @@ def counters_with_improper(reads: DataFrame, order: list[str]) -> DataFrame:
 
 
 def unpaired(reads: DataFrame) -> DataFrame:
-    """The passing records whose name is not a pair of one of each mate."""
-    lone = name_classes(reads).where("kind <> 'pair'").select(F.col("qname").alias("_q"))
-    return passing(reads).join(lone, F.col("qname") == F.col("_q"), "left_semi")
+    """The passing records whose name is not a pair of one of each mate, those without a name too."""
+    lone = name_classes(reads).where("kind <> 'pair'").select(F.col("qname").alias("_q")).distinct()
+    return passing(reads).join(lone, F.col("qname").eqNullSafe(F.col("_q")), "left_semi")
 
 
 def chunk_count(chunked: DataFrame) -> DataFrame:

@@ -15,14 +15,15 @@ def route(reads: DataFrame, iv: DataFrame) -> DataFrame:
 
     Unmapped reads go by their flag, wherever they stand or without a place, then failing ones. A name's two primaries
     stay together or go to chri both; every other read goes by its own start, to chri if several regions hold it. A
-    mapped, passing read that no region holds, or without a place, is an error. A null flag is an error too."""
+    mapped, passing read that no region holds, or without a place, is an error. A null flag is an error too. A read without a
+    name has no partner."""
     f = F.col("flag")
     slim = reads.select("rec_id", "qname", F.coalesce(f, F.raise_error(F.lit("a read has no flag")).cast("int")).alias("flag"), "contig_id", "pos")
     aside = slim.where(R.has(f, R.UNMAPPED | R.QCFAIL))
     sides = aside.select("rec_id", F.when(R.has(f, R.UNMAPPED), "unmapped").otherwise("qcfail").alias("dest"), F.lit(None).cast("long").alias("region"))
     h = hits_of(slim.where(~R.has(f, R.UNMAPPED | R.QCFAIL)), iv).withColumn("prim", R.is_primary(f))
     lost = F.raise_error(F.concat_ws(" ", F.lit("no region holds"), "rec_id", "contig_id", "pos")).cast("string")
-    w = Window.partitionBy("qname")
+    w = Window.partitionBy(*R.name_key())
     of = lambda g, c: g(F.when(F.col("prim"), F.col(c))).over(w)
     together = (of(F.max, "n") == 1) & (of(F.min, "r") == of(F.max, "r")) & (of(F.min, "contig_id") == of(F.max, "contig_id"))
     dest = (
@@ -70,9 +71,10 @@ def ordered_concat(reads: DataFrame, exact: DataFrame) -> DataFrame:
 
 
 def write_regions(reads: DataFrame, routed: DataFrame, path: str) -> None:
-    """One folder per destination and region, each file in coordinate order."""
-    out = reads.join(routed, "rec_id")
-    out.repartition("dest", "region").sortWithinPartitions("dest", "region", "contig_id", "pos", "rec_id").write.partitionBy("dest", "region").parquet(path)
+    """One folder per destination and region, each file in coordinate order, the files of a folder one after the other.
+    Range partitions cut the large destinations up as they do any other."""
+    out, order = reads.join(routed, "rec_id"), ["dest", "region", "contig_id", "pos", "rec_id"]
+    out.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("dest", "region").parquet(path)
 
 
 def write_sorted(reads: DataFrame, path: str) -> None:

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from math import log, pi
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from regionflow.operators.align import blocks
+from regionflow.operators.assembly import normalised
 from regionflow.operators.ingest import numbered
 from regionflow.operators.store import cut
 
@@ -29,7 +33,9 @@ def concat_distinct(calls: DataFrame, keys: list[str]) -> DataFrame:
 
 def annotate(calls: DataFrame, known: DataFrame) -> DataFrame:
     """calls with source, that of the known site (the first by name of several; null for none). Where both have ref and alt
-    a site must agree in them too; otherwise the place alone counts."""
+    a site must agree in them too, in each of its alts where those are arrays; otherwise the place alone counts."""
+    if dict(known.dtypes).get("alt", "").startswith("array") and "ref" in known.columns:
+        known = alleles(known)
     keys = [("contig_id", "contig_id"), ("pos", "pos")]
     if {"ref", "alt"} <= set(calls.columns) & set(known.columns):
         keys += [("ref", "ref"), ("alt", "alt")]
@@ -38,6 +44,65 @@ def annotate(calls: DataFrame, known: DataFrame) -> DataFrame:
     return calls.join(k, on, "left").drop(*[f"k_{c}" for _, c in keys])
 
 
+def alleles(calls: DataFrame) -> DataFrame:
+    """calls with a row for each of their alts, where alt is an array; without null, empty and `*` ones."""
+    each = calls.withColumn("alt", F.explode("alt")) if dict(calls.dtypes)["alt"].startswith("array") else calls
+    return each.where("alt is not null and alt not in ('', '*', '.')")
+
+
+def left_aligned(calls: DataFrame, reference: DataFrame, reach: int = 256) -> DataFrame:
+    """calls (contig_id, pos, ref, alt, one allele a row) as short and as far left as they go, in upper case: an indel in a
+    repeat is told at one place whatever wrote it. A row meets the reach bases before it; those whose repeat goes on
+    there are moved again. Alleles of other letters than ACGTN, and places beyond the reference, stay as they are."""
+    rest = [c for c in calls.columns if c not in ("contig_id", "pos", "ref", "alt")]
+    row = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(0)
+    left = calls.select("contig_id", F.col("pos").cast("long").alias("pos"), F.upper("ref").alias("ref"), F.upper("alt").alias("alt"), row.alias("row"))
+    plain = F.col("ref").rlike("^[ACGTN]+$") & F.col("alt").rlike("^[ACGTN]+$") & F.col("contig_id").isNotNull() & (F.col("pos") > 0)
+    done = [left.where(~F.coalesce(plain, F.lit(False)))]
+    left = left.where(F.coalesce(plain, F.lit(False)))
+    cells = cut(blocks(reference, 1 << 14, reach + 2))
+    simple = (F.length("ref") == 1) & (F.length("alt") == 1)
+    done.append(left.where(simple))
+    left = cut(left.where(~simple))
+    while not left.isEmpty():
+        from_ = F.greatest(F.col("pos") - reach, F.lit(1))
+        block = left.withColumn("_from", from_).withColumn("block", F.floor((F.col("_from") - 1) / (1 << 14)))
+        text = F.substring("bases", ((F.col("_from") - 1) % (1 << 14) + 1).cast("int"), (F.col("pos") - F.col("_from")).cast("int"))
+        met = block.join(cells, ["contig_id", "block"], "left").withColumn("before", F.coalesce(text, F.lit("")))
+        kind = calls.select("contig_id").schema[0].dataType
+        moved = met.select(F.col("contig_id").cast("long").alias("contig_id"), "pos", "ref", "alt", "before", "row").mapInArrow(_moved, "contig_id long, pos long, ref string, alt string, " + f"row {met.schema['row'].dataType.simpleString()}, open boolean")
+        moved = cut(moved.withColumn("contig_id", F.col("contig_id").cast(kind)))
+        done.append(moved.where("not open").drop("open"))
+        left = cut(moved.where("open").drop("open"))
+    out = reduce(DataFrame.unionByName, done)
+    return out.select("contig_id", "pos", "ref", "alt", *([f"row.{c}" for c in rest]))
+
+
+def _moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For left_aligned: the allele moved over the bases before it, and whether it may go on before them."""
+    for b in batches:
+        pos, ref, alt, open_ = [], [], [], []
+        for p, r, a, before in zip(*(b.column(c).to_pylist() for c in ("pos", "ref", "alt", "before"))):
+            at, old, new = normalised(before + r, len(before), r, a)
+            pos.append(p - len(before) + at)
+            ref.append(old)
+            alt.append(new)
+            open_.append(at == 0 and pos[-1] > 1 and p > pos[-1] and len(old) != len(new))
+        columns = [b.column("contig_id"), pa.array(pos, pa.int64()), pa.array(ref), pa.array(alt), b.column("row"), pa.array(open_)]
+        yield pa.RecordBatch.from_arrays(columns, ["contig_id", "pos", "ref", "alt", "row", "open"])
+
+
+def with_ids(calls: DataFrame, known: DataFrame, reference: DataFrame) -> DataFrame:
+    """calls (contig_id, pos, ref, alts) with id, the ids of the known sites (contig_id, pos, ref, alt, id) that have one of
+    their alleles, in order with `;` between them, null for none. Both sides are split by allele and left-aligned first."""
+    sites = left_aligned(alleles(known.where("id is not null")), reference).select(*[F.col(c).alias(f"k_{c}") for c in ("contig_id", "pos", "ref", "alt")], F.explode(F.split("id", ";")).alias("id"))
+    own = calls.withColumn("_row", F.struct("contig_id", "pos", "ref"))
+    each = left_aligned(alleles(own.select("contig_id", "pos", "ref", F.col("alts").alias("alt"), "_row")), reference)
+    on = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"k_{c}") for c in ("contig_id", "pos", "ref", "alt")])
+    ids = each.join(sites, on).groupBy("_row").agg(F.array_join(F.array_sort(F.collect_set("id")), ";").alias("id"))
+    return own.join(ids, "_row", "left").drop("_row")
+
+
 def label(calls: DataFrame, sites: DataFrame) -> DataFrame:
     """calls with is_known, is_training, is_truth and the largest prior of the resources that have the site."""
     named = lambda i: [r[0] for r in RESOURCES if r[i]]

@@ -606,8 +606,8 @@ def _(g):
     base = "substr('ACGT', cast(1 + (p * 31 + contig_id * 17 + ((p * p) % 7)) % 4 as int), 1)"
     lines_of = g.spark.range(5 * 34).selectExpr("cast(id div 34 as int) as contig_id", "id % 34 as line")
     reference = lines_of.selectExpr("contig_id", "concat('c', contig_id) as contig", "line", "60 as width", f"array_join(transform(sequence(line * 60 + 1, line * 60 + 60), p -> {base}), '') as seq")
-    bases = assembled.bases_of(sequence.as_reads(sequence.parse_sam(lines), sequence.contigs_of(reference)), reference)
-    return assembled.called(assembled.recalibrated(bases, g.known_sites()))
+    bases = assembled.bases_of(sequence.as_reads(sequence.parse_sam(lines), sequence.contigs_of(reference)), reference, g.known_sites())
+    return assembled.called(assembled.recalibrated(bases))
 
 
 _ACTIVE = """, pa AS (SELECT contig_id, rpos AS pos, count(*) AS dp, count(*) FILTER (base_call <> ref_base) AS n FROM panel_bases WHERE bq >= 17 GROUP BY 1, 2),

@@ -64,6 +64,15 @@ def read_intervals(spark: SparkSession, path: str, halo: int) -> DataFrame:
     return rows.select(name.alias("region_name"), part(1).alias("contig"), part(2).cast("long").alias("lo"), part(3).cast("long").alias("hi"))
 
 
+def interval_rows(spark: SparkSession, path: str) -> DataFrame:
+    """contig, lo, hi of the contig:start-end lines of a file; empty lines and those that begin with @ or # are left out, another
+    form is an error."""
+    lines = spark.read.text(path).select(F.trim("value").alias("value")).where("value <> '' and value not like '@%' and value not like '#%'")
+    part = lambda k: F.regexp_extract("value", r"^(.+):(\d+)-(\d+)$", k)
+    checked = F.when(F.col("value").rlike(r"^.+:\d+-\d+$"), part(1)).otherwise(F.raise_error(F.concat(F.lit("not an interval: "), "value")))
+    return lines.select(checked.alias("contig"), part(2).cast("long").alias("lo"), part(3).cast("long").alias("hi"))
+
+
 def interval_lines(iv: DataFrame, n_regions: int) -> DataFrame:
     """name and value, the line, and what they are sorted by (contig_id, lo)."""
     return iv.select(R.region_name(F.col("region"), n_regions).alias("name"), R.interval_text(F.col("contig"), F.col("lo"), F.col("hi")).alias("value"), "contig_id", "lo")

@@ -433,4 +433,79 @@ def test_files_become_calls(spark, tmp_path):
     assert [x for x in out if x.startswith("##contig")] == ["##contig=<ID=one,length=5000>", "##contig=<ID=two,length=5000>"]
     rows = [x.split("\t") for x in out if not x.startswith("#")]
     assert [(r[0], r[1], (r[3], r[4]), r[9].split(":")[0]) for r in rows] == [("one", "2500", planted["one"], "1/1"), ("two", "2500", planted["two"], "0/1")]
-    assert rows[0][7] == f"DP={depth}"  # copies are not counted
+    assert rows[0][7] == f"DP={depth}" and rows[0][2] == "rs1" and rows[1][2] == "."  # copies are not counted
+    (tmp_path / "two.intervals").write_text("@HD\n\ntwo:2400-2600\n")
+    with pytest.raises(ValueError, match="other inputs"):
+        calls.run(spark, str(tmp_path / "a.sam"), str(tmp_path / "r.fa"), str(tmp_path / "run"), None)
+    less = calls.run(spark, str(tmp_path / "a.sam"), str(tmp_path / "r.fa"), str(tmp_path / "less"), None, intervals=str(tmp_path / "two.intervals")).collect()
+    assert [r.value.split("\t")[:2] for r in less if not r.value.startswith("#")] == [["two", "2500"]]
+
+
+def test_a_folder_of_other_inputs_is_refused(spark, tmp_path):
+    one, two = tmp_path / "a.txt", tmp_path / "b.txt"
+    one.write_text("1\n")
+    two.write_text("2\n")
+    stages = [("a", lambda d: d.selectExpr("id + 1 as id"))]
+    told = lambda p, **k: pipeline.fingerprint(spark, [str(p)], **k)
+    folder = str(tmp_path / "run")
+    for _ in range(2):
+        assert pipeline.run(spark, spark.range(5), stages, folder, made_from=told(one, least=3)).count() == 5
+    for other in (told(two, least=3), told(one, least=4)):
+        with pytest.raises(ValueError, match="other inputs"):
+            pipeline.run(spark, spark.range(9), stages, folder, made_from=other)
+    pipeline.run(spark, spark.range(5), stages, str(tmp_path / "old"))
+    with pytest.raises(ValueError, match="unknown inputs"):
+        pipeline.run(spark, spark.range(5), stages, str(tmp_path / "old"), made_from=told(one))
+    with pytest.raises(ValueError, match="no such input"):
+        told(tmp_path / "none*")
+
+
+def test_reads_without_names_are_alone(spark):
+    schema = "rec_id string, qname string, flag int, contig_id int, pos long, cigar string, qual string"
+    rows = [(f"r{i}", None, 65 if i % 2 else 129, 0, 10, "4M", "IIII") for i in range(2)] + [("p1", "p", 65, 0, 10, "4M", "II5I"), ("p2", "p", 129, 0, 50, "4M", "IIII")]
+    reads = spark.createDataFrame(rows, schema)
+    got = {r.rec_id: (r.is_pair, r.duplicate) for r in dedup.mark(reads).collect()}
+    assert got == {"r0": (False, True), "r1": (False, True), "p1": (True, False), "p2": (True, False)}
+    assert sorted((r.qname or "", r.kind) for r in ingest.name_classes(reads).collect()) == [("", "orphan"), ("", "orphan"), ("p", "pair")]
+    assert [tuple(r) for r in ingest.pairs(reads).collect()] == [("p", "p1", "p2")]
+    assert {r.rec_id for r in ingest.unpaired(reads).collect()} == {"r0", "r1"}
+
+
+def test_alleles_stand_leftmost_and_are_named(spark):
+    rng = random.Random(21)
+    text_ = "".join(rng.choices("ACGT", k=60)) + "CA" * 400 + "".join(rng.choices("ACGT", k=60))
+    width = 50
+    reference = spark.createDataFrame([(0, "one", k // width, width, text_[k : k + width]) for k in range(0, len(text_), width)], "contig_id int, contig string, line long, width int, seq string")
+    start = next(i for i in range(len(text_)) if text_[i : i + 790] == ("CA" * 400)[:790] or text_[i : i + 790] == ("AC" * 400)[:790])
+    rows = [(0, 701, text_[700:703], text_[700], "far"), (0, 31, text_[30], "ACGT"["ACGT".index(text_[30]) - 1].lower(), "snp"), (0, 9000, "AC", "A", "beyond"), (1, 5, "AC", "A", "none"), (None, 5, "AC", "A", "null"), (0, 5, "A", "<DEL>", "odd")]
+    got = {r.name: (r.pos, r.ref, r.alt) for r in variants.left_aligned(spark.createDataFrame(rows, "contig_id int, pos long, ref string, alt string, name string"), reference, 64).collect()}
+    pos, ref, alt = got["far"]
+    assert pos == start and len(ref) == 3 and alt == text_[start - 1] == ref[0]  # the base before the repeat
+    assert text_[: pos - 1] + alt + text_[pos + 2 :] == text_[:700] + text_[700] + text_[703:]
+    assert got["snp"] == (31, text_[30], "ACGT"["ACGT".index(text_[30]) - 1]) and got["odd"] == (5, "A", "<DEL>") and got["null"][0] == 5 and got["none"] == (5, "AC", "A")
+    known = spark.createDataFrame([(0, 301, text_[300:303], [text_[300]], "rs9"), (0, 31, text_[30], ["N", "ACGT"["ACGT".index(text_[30]) - 1]], "rs2;rs1"), (0, 31, text_[30], ["ACGT"["ACGT".index(text_[30]) - 2]], "rs3"), (0, 60, "A", ["C"], None)], "contig_id int, pos long, ref string, alt array<string>, id string")
+    calls_ = spark.createDataFrame([(0, pos, ref, [alt, "*"]), (0, 31, text_[30], ["ACGT"["ACGT".index(text_[30]) - 1]]), (0, 60, "A", ["G"])], "contig_id int, pos long, ref string, alts array<string>")
+    assert {r.pos: r.id for r in variants.with_ids(calls_, known, reference).collect()} == {pos: "rs9", 31: "rs1;rs2", 60: None}
+    sites = spark.createDataFrame([(0, 31, "A", ["C", "G"], "x")], "contig_id int, pos long, ref string, alt array<string>, source string")
+    one = spark.createDataFrame([(0, 31, "A", "G"), (0, 31, "A", "T")], "contig_id int, pos long, ref string, alt string")
+    assert {r.alt: r.source for r in variants.annotate(one, sites).collect()} == {"G": "x", "T": None}
+
+
+def test_bases_over_the_reference_equal_a_join_by_base(spark):
+    rng = random.Random(22)
+    text_ = "".join(rng.choices("ACGTN", [9, 9, 9, 9, 1], k=1500))
+    reference = spark.createDataFrame([(0, "one", k // 70, 70, text_[k : k + 70]) for k in range(0, 1500, 70)], "contig_id int, contig string, line long, width int, seq string")
+    rows = [(f"r{i}", 0, 1 + rng.randint(0, 1450), 0, rng.choice([0, 30, None]), rng.choice(["50M", "5S20M3D25M", "20M6I24M"]), "".join(rng.choices("ACGT", k=50)), "I" * 50) for i in range(200)]
+    reads = spark.createDataFrame(rows, "rec_id string, contig_id int, pos long, flag int, mapq int, cigar string, seq string, qual string")
+    known = spark.createDataFrame([(0, rng.randint(1, 1500), rng.choice(["A", "ACGTA", None])) for _ in range(60)] + [(None, 3, "A"), (0, None, "A")], "contig_id int, pos long, ref string")
+    want = sequence.with_reference(bqsr.explode(reads), reference)
+    masked = {tuple(r) for r in want.select("rec_id", "cycle", "rpos", "ref_base", "base_call").collect()} - {tuple(r) for r in bqsr.unknown_only(want, known).select("rec_id", "cycle", "rpos", "ref_base", "base_call").collect()}
+    got = bqsr.over_reference(reads, reference, known)
+    assert sorted(tuple(r) for r in got.select("rec_id", "cycle", "rpos", "ref_base", "base_call").collect()) == sorted(tuple(r) for r in want.select("rec_id", "cycle", "rpos", "ref_base", "base_call").collect())
+    assert {tuple(r) for r in got.where("masked").select("rec_id", "cycle", "rpos", "ref_base", "base_call").collect()} == masked and masked
+    assert {r.mapq for r in bqsr.over_reference(reads, reference, None, 20).select("mapq").distinct().collect()} == {30}
+
+
+def test_fractions_in_tags(spark):
+    row = spark.createDataFrame([(["XF:B:f,0.5,-2,1e3", "XI:B:s,1,-2"],)], "t array<string>").select(R.tags(F.col("t")).alias("t")).first().t
+    assert row["XF"].d == [0.5, -2.0, 1000.0] and row["XF"].b is None and row["XI"].b == [1, -2] and row["XI"].d is None
