@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -195,48 +196,244 @@ def _binary_tags(b: bytes) -> list[str]:
     return out
 
 
-def decode_bam(f) -> Iterator[tuple]:
-    """SAM's eleven fields and the tags of each record of a BAM file; a record at a time is held."""
-    b = _Buffer(_pieces(f))
+def _long_cigar(cigar: str, l_seq: int, tags: list[str]) -> tuple[str, list[str]]:
+    """The CIGAR of the CG tag, and the other tags, where a record's own is a stand-in for one of too many operations."""
+    held = next((t for t in tags if t.startswith("CG:B:")), None)
+    if held is None or not re.fullmatch(rf"{l_seq}S\d+N", cigar):
+        return cigar, tags
+    return "".join(f"{int(x) >> 4}{'MIDNSHP=X'[int(x) & 15]}" for x in held.split(",")[1:]), [t for t in tags if t is not held]
+
+
+def _record(r: bytes, names: list[str]) -> tuple:
+    """SAM's eleven fields and the tags of a binary record."""
+    name = lambda i: "*" if i < 0 else names[i]
+    ref, pos, l_name, mapq, _, n_ops, flag, l_seq, nref, npos, tlen = struct.unpack_from("<iiBBHHHiiii", r, 0)
+    p = 32 + l_name
+    qname, ops = r[32 : p - 1].decode(), struct.unpack_from(f"<{n_ops}I", r, p)
+    p += 4 * n_ops
+    packed, p = r[p : p + (l_seq + 1) // 2], p + (l_seq + 1) // 2
+    seq, q = "".join(map(_TWO.__getitem__, packed))[:l_seq], r[p : p + l_seq]
+    qual = "*" if not l_seq or q[0] == 255 else bytes(x + 33 for x in q).decode()
+    cigar, tags = _long_cigar("".join(f"{x >> 4}{'MIDNSHP=X'[x & 15]}" for x in ops) or "*", l_seq, _binary_tags(r[p + l_seq :]))
+    rnext = "=" if nref == ref and ref >= 0 else name(nref)
+    return qname, flag, name(ref), pos + 1, mapq, cigar, rnext, npos + 1, tlen, seq or "*", qual, tags
+
+
+def _bam_header(b: _Buffer) -> tuple[list[str], list[int], int]:
+    """Names and lengths of the references, and how many bytes the header takes."""
     number = lambda: struct.unpack("<i", b.take(4))[0]
     if b.take(4) != b"BAM\1":
         raise ValueError("not a BAM file")
-    b.take(number())
-    names = []
+    text = number()
+    b.take(text)
+    names, lengths, size = [], [], 12 + text
     for _ in range(number()):
-        names.append(b.take(number())[:-1].decode())
-        b.take(4)
-    name = lambda i: "*" if i < 0 else names[i]
+        n = number()
+        names.append(b.take(n)[:-1].decode())
+        lengths.append(number())
+        size += 8 + n
+    return names, lengths, size
+
+
+def decode_bam(f) -> Iterator[tuple]:
+    """SAM's eleven fields and the tags of each record of a BAM file; a record at a time is held."""
+    b = _Buffer(_pieces(f))
+    names = _bam_header(b)[0]
     while size := b.take(4):
-        r = b.take(struct.unpack("<i", size)[0])
-        ref, pos, l_name, mapq, _, n_ops, flag, l_seq, nref, npos, tlen = struct.unpack_from("<iiBBHHHiiii", r, 0)
-        p = 32 + l_name
-        qname, ops = r[32 : p - 1].decode(), struct.unpack_from(f"<{n_ops}I", r, p)
-        p += 4 * n_ops
-        packed, p = r[p : p + (l_seq + 1) // 2], p + (l_seq + 1) // 2
-        seq, q = "".join(map(_TWO.__getitem__, packed))[:l_seq], r[p : p + l_seq]
-        qual = "*" if not l_seq or q[0] == 255 else bytes(x + 33 for x in q).decode()
-        cigar = "".join(f"{x >> 4}{'MIDNSHP=X'[x & 15]}" for x in ops) or "*"
-        rnext = "=" if nref == ref and ref >= 0 else name(nref)
-        yield qname, flag, name(ref), pos + 1, mapq, cigar, rnext, npos + 1, tlen, seq or "*", qual, _binary_tags(r[p + l_seq :])
-
-
-def bam(spark: SparkSession, path: str) -> DataFrame:
-    """The eleven fields and typed tags of BAM files, a file per task, read as a stream: a task holds some thousand records,
-    however large its file."""
-    files = spark.read.format("binaryFile").load(path).select("path", "length").repartition("path")
+        yield _record(b.take(struct.unpack("<i", size)[0]), names)
+
+
+#: Bytes of a range of a BAM file, and records that must follow each other for a place to count as a record's start.
+RANGE, CHAIN = 32 << 20, 4
+#: Bytes of a compressed block at most, and what one begins with.
+BLOCK, MAGIC = 1 << 16, b"\x1f\x8b\x08\x04"
+
+
+def _block_size(head: bytes) -> int | None:
+    """Bytes of the compressed block that begins with head, None if none does: its extra field says how many."""
+    if len(head) < 18 or not head.startswith(MAGIC):
+        return None
+    (extra,) = struct.unpack_from("<H", head, 10)
+    p, end = 12, 12 + extra
+    while p + 4 <= min(end, len(head)):
+        (n,) = struct.unpack_from("<H", head, p + 2)
+        if head[p : p + 2] == b"BC" and n == 2 and p + 6 <= len(head):
+            return struct.unpack_from("<H", head, p + 4)[0] + 1
+        p += 4 + n
+    return None
+
+
+class _Blocks:
+    """The compressed blocks of a file from the first one that begins at start or later."""
+
+    def __init__(self, f, start: int):
+        self.f, self.size = f, f.size()
+        self.at = self._first(start)
+
+    def _head(self, at: int) -> bytes:
+        self.f.seek(at)
+        return self.f.read(min(512, self.size - at))
+
+    def _whole(self, at: int) -> bytes | None:
+        """The content of the block at at; None if there is none that can be decoded."""
+        n = _block_size(self._head(at))
+        if n is None or at + n > self.size:
+            return None
+        self.f.seek(at)
+        raw = self.f.read(n)
+        d = zlib.decompressobj(31)
+        try:
+            out = d.decompress(raw)
+        except zlib.error:
+            return None
+        return out if d.eof and not d.unused_data else None
+
+    def _first(self, start: int) -> int:
+        if start == 0:
+            return 0
+        at = start
+        while at < self.size:
+            self.f.seek(at)
+            window = self.f.read(min(2 * BLOCK, self.size - at))
+            p = window.find(MAGIC)
+            while p >= 0:
+                if self._whole(at + p) is not None:  # its checksum holds, so it is one
+                    return at + p
+                p = window.find(MAGIC, p + 1)
+            at += max(1, len(window) - 3)
+        return self.size
+
+    def next(self) -> tuple[int, bytes] | None:
+        """Where the next block begins, and its content; None at the end."""
+        if self.at >= self.size:
+            return None
+        at, data = self.at, self._whole(self.at)
+        if data is None:
+            raise ValueError(f"a broken block at {at}")
+        self.at += _block_size(self._head(at))
+        return at, data
+
+
+def _plausible(b: bytes, p: int, lengths: list[int]) -> int | None:
+    """The end of the record that may begin at p of b, None if none does. b must hold the first 36 bytes."""
+    size, ref, pos, l_name, _, _, n_ops, _, l_seq, nref, npos, _ = struct.unpack_from("<iiiBBHHHiiii", b, p)
+    fits = l_name >= 1 and l_seq >= 0 and 32 + l_name + 4 * n_ops + (l_seq + 1) // 2 + l_seq <= size
+    placed = lambda r, x: -1 <= r < len(lengths) and -1 <= x and (r < 0 or x <= lengths[r])
+    if not fits or not placed(ref, pos) or not placed(nref, npos):
+        return None
+    name = b[p + 36 : p + 36 + l_name]
+    if len(name) == l_name and (name[-1] != 0 or not all(33 <= c <= 126 for c in name[:-1])):
+        return None
+    ops = b[p + 36 + l_name : p + 36 + l_name + 4 * n_ops]
+    if any(x & 15 > 8 for x in ops[::4]):
+        return None
+    return p + 4 + size
+
+
+def bam_range(f, start: int, stop: int) -> Iterator[tuple]:
+    """The records that begin in the blocks which begin at start or later and before stop. Ranges that meet end to end give
+    each record once, however they are cut. The first record of a range is the first place from which CHAIN records follow
+    each other, or all up to the file's end. A file that is not made of blocks is its first range's."""
+    whole = _Blocks.__new__(_Blocks)
+    whole.f, whole.size, whole.at = f, f.size(), 0
+    if _block_size(whole._head(0)) is None:
+        if start == 0:
+            f.seek(0)
+            yield from decode_bam(f)
+        return
+    ends: list[tuple[int, int]] = []  # where blocks begin, and the bytes up to their end
+
+    def content() -> Iterator[bytes]:
+        total = 0
+        while (got := whole.next()) is not None:
+            total += len(got[1])
+            ends.append((got[0], total))
+            yield got[1]
+
+    names, lengths, size = _bam_header(_Buffer(content()))
+    at_block = next((at for at, end in ends if end > size), None)  # the block of the first record, if it is read yet
+    if at_block is None:
+        while at_block is None and (got := whole.next()) is not None:
+            ends.append((got[0], ends[-1][1] + len(got[1])))
+            at_block = got[0] if ends[-1][1] > size else None
+        if at_block is None:
+            return
+    skip = size - max((end for at, end in ends if at < at_block), default=0)
+    blocks = _Blocks(f, start)
+    if blocks.at < at_block:
+        blocks.at = at_block
+    if blocks.at >= stop:
+        return
+    known = blocks.at == at_block
+    held, own, p = bytearray(), 0, skip if known else 0
+    done = False
+
+    def more() -> bool:
+        nonlocal own, done
+        got = None if done else blocks.next()
+        if got is None:
+            done = True
+            return False
+        held.extend(got[1])
+        own += len(got[1]) if got[0] < stop else 0
+        return True
+
+    def has(n: int) -> bool:
+        while len(held) < n and more():
+            pass
+        return len(held) >= n
+
+    def chained(p: int) -> bool:
+        for _ in range(CHAIN):
+            if not has(p + 36):
+                return len(held) == p
+            end = _plausible(held, p, lengths)
+            if end is None:
+                return False
+            has(min(end, p + 36 + 255 + 4 * 65535))
+            if _plausible(held, p, lengths) is None:  # now with its name and CIGAR
+                return False
+            p = end
+        return True
+
+    def owned(p: int) -> bool:
+        while p >= own and blocks.at < stop and more():
+            pass
+        return p < own
+
+    while not known and owned(p):
+        known = has(p + 36) and chained(p)
+        p += not known
+    while owned(p) and has(p + 4):
+        (n,) = struct.unpack_from("<i", held, p)
+        if not has(p + 4 + n):
+            raise ValueError("a record ends before its length")
+        yield _record(bytes(held[p + 4 : p + 4 + n]), names)
+        p += 4 + n
+        if p > 4 * BLOCK:
+            gone = min(p, own)
+            del held[:gone]
+            p, own = p - gone, own - gone
+
+
+def bam(spark: SparkSession, path: str, size: int = RANGE) -> DataFrame:
+    """The eleven fields and typed tags of BAM files, ranges of size bytes in tasks of their own, each read as a stream: a
+    task holds some blocks and some thousand records, however large its file."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    ranges = files.withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(size).cast("long"))))
+    spread = ranges.withColumn("stop", F.col("start") + size).repartition("path", "start")
     kinds = [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.string())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for uri in b.column("path").to_pylist():
+            for uri, start, stop in zip(*(b.column(c).to_pylist() for c in ("path", "start", "stop"))):
                 store, place = fs.FileSystem.from_uri(uri)
-                with store.open_input_stream(place, compression=None) as f:
-                    rows = decode_bam(f)
+                with store.open_input_file(place) as f:
+                    rows = bam_range(f, start, stop)
                     while held := list(islice(rows, 5000)):
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], [*SAM, "tags"])
 
-    out = files.mapInArrow(run, "qname string, flag int, rname string, pos long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string, tags array<string>")
+    out = spread.drop("length").mapInArrow(run, "qname string, flag int, rname string, pos long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string, tags array<string>")
     return out.withColumn("tags", R.tags(F.col("tags")))
 
 

@@ -1,4 +1,5 @@
 import gzip
+import io
 import math
 import random
 import re
@@ -509,3 +510,49 @@ def test_bases_over_the_reference_equal_a_join_by_base(spark):
 def test_fractions_in_tags(spark):
     row = spark.createDataFrame([(["XF:B:f,0.5,-2,1e3", "XI:B:s,1,-2"],)], "t array<string>").select(R.tags(F.col("t")).alias("t")).first().t
     assert row["XF"].d == [0.5, -2.0, 1000.0] and row["XF"].b is None and row["XI"].b == [1, -2] and row["XI"].d is None
+
+
+def blocked(body, sizes):
+    """body as compressed blocks of the given sizes in turn, with the empty one at the end."""
+    out, p, k = b"", 0, 0
+    while p < len(body) or p == 0:
+        part = body[p : p + sizes[k % len(sizes)]]
+        p, k = p + sizes[k % len(sizes)], k + 1
+        z = zlib.compressobj(6, zlib.DEFLATED, -15)
+        raw = z.compress(part) + z.flush()
+        out += b"\x1f\x8b\x08\x04" + bytes(4) + b"\0\xff" + struct.pack("<H", 6) + b"BC" + struct.pack("<HH", 2, len(raw) + 25) + raw + struct.pack("<II", zlib.crc32(part), len(part))
+    return out + bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
+
+
+class Held(io.BytesIO):
+    def size(self):
+        return len(self.getbuffer())
+
+
+def test_any_ranges_give_each_record_once(spark, tmp_path):
+    rng = random.Random(31)
+    names = [f"contig{i}" for i in range(30)]
+    body = b"BAM\1" + struct.pack("<i", 19) + b"@HD\tVN:1.6\nhello\n:-" + struct.pack("<i", len(names)) + b"".join(struct.pack("<i", len(n) + 1) + n.encode() + b"\0" + struct.pack("<i", 5000) for n in names)
+    want = []
+    for i in range(150):
+        n = rng.choice([0, 3, 50, 51, 2000])
+        ops = [n << 4] if n else []
+        tags, cigar = b"NMC\x05", f"{n}M" if n else "*"
+        if n == 2000:  # a CIGAR of many operations, told by its tag
+            many = [1 << 4, 1 << 4 | 1] * 1000
+            ops, cigar = [n << 4 | 4, 1000 << 4 | 3], "1M1I" * 1000
+            tags += b"CGBI" + struct.pack(f"<i{len(many)}I", len(many), *many)
+        name = f"read{i}".encode() + b"\0"
+        rec = struct.pack("<iiBBHHHiiii", i % 30, i, len(name), 60, 0, len(ops), 65, n, -1, -1, 0) + name + struct.pack(f"<{len(ops)}I", *ops) + bytes(rng.choices([0x11, 0x12, 0x48, 0x84, 0xFF, 0], k=(n + 1) // 2)) + bytes(rng.choices(range(41), k=n)) + tags
+        body += struct.pack("<i", len(rec)) + rec
+        want.append((f"read{i}", cigar))
+    for sizes in ([100, 700, 1], [60_000], [333]):
+        raw = blocked(body, sizes)
+        for step in (1, 97, 1000, len(raw)) if len(raw) < 40_000 and sizes == [60_000] else (401, 5000, len(raw)):
+            got = [(r[0], r[5], r[11]) for a in range(0, len(raw), step) for r in sequence.bam_range(Held(raw), a, a + step)]
+            assert [g[:2] for g in got] == want, (sizes, step)
+            assert all(g[2] == ["NM:i:5"] for g in got)
+    (tmp_path / "b.bam").write_bytes(raw)
+    rows = sequence.bam(spark, str(tmp_path / "b.bam"), 4000).collect()
+    assert sorted((r.qname, r.cigar) for r in rows) == sorted(want) and rows[0].tags["NM"].i == 5
+    assert list(sequence.bam_range(Held(blocked(b"BAM\1" + bytes(8), [5])), 0, 10**6)) == []
