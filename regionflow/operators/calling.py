@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regionflow.functions import reads as R
-from regionflow.operators.genome import spans_over
+from regionflow.operators.active import depths
 from regionflow.operators.ingest import numbered
 
 MIN_BASE_QUALITY, HET = 17, 3010
@@ -84,9 +84,8 @@ def indel_genotypes(reads: DataFrame) -> DataFrame:
     events = indel_events(reads)
     places = events.select("contig_id", "pos").distinct()
     span = F.col("pos") + R.reference_span(R.cigar(F.col("cigar"))) - 2  # the last base that has one after it in the read
-    slim = reads.where(R.is_primary(F.col("flag"))).select("contig_id", "pos", "cigar").where(span >= F.col("pos"))
-    iv = places.select("contig_id", F.col("pos").alias("region"), F.col("pos").alias("lo"), F.col("pos").alias("hi"))
-    depth = spans_over(slim, iv, span).groupBy(F.col("contig_id").alias("d_c"), F.col("region").alias("d_p")).agg(F.count("*").alias("covering"))
+    slim = reads.where(R.is_primary(F.col("flag"))).select("contig_id", F.col("pos").alias("lo"), span.alias("hi")).where("hi >= lo")
+    depth = depths(slim, places).select(F.col("contig_id").alias("d_c"), F.col("pos").alias("d_p"), F.col("depth").alias("covering"))
     joined = events.join(depth, (F.col("contig_id") == F.col("d_c")) & (F.col("pos") == F.col("d_p")), "left")
     s = joined.withColumn("dp", F.greatest(F.coalesce("covering", F.lit(0)), F.col("n")))
     right, wrong = round(-10000 * log10(1 - 1e-3)), 30_000

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from regionflow.functions import reads as R
 from regionflow.operators.genome import hits_of, owned, points_in, spans_over
 from regionflow.operators.ingest import numbered
+from regionflow.operators.store import cut
 
 
 def route(reads: DataFrame, iv: DataFrame) -> DataFrame:
@@ -37,11 +38,15 @@ def route(reads: DataFrame, iv: DataFrame) -> DataFrame:
 
 
 def numbered_within(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
-    """df with the place of each row within its group, from 1. The rows are numbered as a whole by range partitions, so
-    no group is sorted in one task; there are few groups, whose first numbers are joined."""
-    every = numbered(df, [group, *order], "_n")
-    first = every.groupBy(group).agg(F.min("_n").alias("_first")).withColumnRenamed(group, "_g")
-    return every.join(first, F.col(group).eqNullSafe(F.col("_g"))).withColumn(name, F.col("_n") - F.col("_first") + 1).drop("_n", "_g", "_first")
+    """df with the place of each row within its group, from 1. The rows lie in range partitions, so no group is sorted in one
+    task; what a group has in the partitions before is joined, a row for each group and partition that has some of it."""
+    parts = cut(df.repartitionByRange(group, *order).withColumn("_p", F.spark_partition_id()))
+    inner = parts.withColumn("_k", F.row_number().over(Window.partitionBy("_p", group).orderBy(*order)))
+    sizes = parts.groupBy("_p", group).agg(F.count("*").alias("_c"))
+    before = F.coalesce(F.sum("_c").over(Window.partitionBy(group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    found = sizes.select(F.col("_p").alias("_q"), F.col(group).alias("_g"), before.alias("_b"))
+    joined = inner.join(found, (F.col("_p") == F.col("_q")) & F.col(group).eqNullSafe(F.col("_g")))
+    return joined.withColumn(name, (F.col("_b") + F.col("_k")).cast("long")).drop("_p", "_k", "_q", "_g", "_b")
 
 
 def coordinate_rank(reads: DataFrame, iv: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from regionflow.functions import reads as R
-from regionflow.operators import active, align, bqsr, calling, dedup, genome, haplotypes, ingest, logs, route, variants
+from regionflow.operators import active, align, bqsr, calling, dedup, genome, haplotypes, ingest, joint, logs, route, variants
 from regionflow.plans import calls as assembled
 from regionflow.plans.fixture import N_REGIONS, Genome
 from regionflow.plans.fixture_sql import with_genome
@@ -636,3 +636,45 @@ def _(g):
     """Reads of two copies with planted letters, insertions and deletions: what is called is what was planted."""
     found = haplotypes.call(g.haplotype_reads(), g.parts_reference())
     return found.select("contig_id", "pos", "ref", F.array_join("alts", ",").alias("alt"), "gt")
+
+
+_GVCF = """, es AS (SELECT 'rg' || CAST(split_part(rec_id, '_', 1) AS BIGINT) % 3 AS rg, contig_id, rpos, ref_base, base_call, count(*) AS d, CAST(sum(CAST(round(-10000 * log10(1 - pow(10.0, -bq / 10.0))) AS BIGINT)) AS BIGINT) AS m, CAST(sum(CAST(round(-10000 * log10(pow(10.0, -bq / 10.0) / 3)) AS BIGINT)) AS BIGINT) AS o FROM panel_bases WHERE bq >= 17 GROUP BY ALL),
+ow AS (SELECT rg, contig_id, rpos, ref_base, CAST(sum(o) AS BIGINT) AS o, CAST(sum(d) AS BIGINT) AS dp FROM es GROUP BY 1, 2, 3, 4),
+nm AS (SELECT *, row_number() OVER (PARTITION BY rg, contig_id, rpos ORDER BY d DESC, base_call) AS k FROM es WHERE base_call <> ref_base AND d >= 2),
+na AS (SELECT rg, contig_id, rpos, base_call AS b, d, m, o FROM nm WHERE k <= 2 UNION ALL SELECT rg, contig_id, rpos, ref_base, d, m, o FROM es WHERE base_call = ref_base),
+su AS (SELECT DISTINCT contig_id, rpos, base_call AS b FROM nm WHERE k <= 2),
+al AS (SELECT contig_id, rpos, 0 AS i, min(ref_base) AS b FROM ow SEMI JOIN su USING (contig_id, rpos) GROUP BY 1, 2 UNION ALL SELECT contig_id, rpos, row_number() OVER (PARTITION BY contig_id, rpos ORDER BY b) AS i, b FROM su),
+li AS (SELECT contig_id, rpos, string_agg(b, ',' ORDER BY i) FILTER (i > 0) AS alts, max(i) AS n FROM al GROUP BY 1, 2),
+la AS (SELECT al.contig_id, al.rpos, al.i, ow.rg, coalesce(na.d, 0) AS d, coalesce(na.m, 0) AS m, coalesce(na.o, 0) AS o, (al.i = 0 OR na.d IS NOT NULL) AS named FROM al JOIN ow ON ow.contig_id = al.contig_id AND ow.rpos = al.rpos LEFT JOIN na ON na.rg = ow.rg AND na.contig_id = al.contig_id AND na.rpos = al.rpos AND na.b = al.b),
+gc AS (SELECT x.rg, x.contig_id, x.rpos, x.i, y.i AS j, ow.ref_base, ow.dp, CASE WHEN x.i = y.i THEN ow.o - x.o + x.m ELSE ow.o - x.o - y.o + 3010 * (x.d + y.d) END AS c FROM la x JOIN la y ON y.rg = x.rg AND y.contig_id = x.contig_id AND y.rpos = x.rpos AND x.i <= y.i JOIN ow ON ow.rg = x.rg AND ow.contig_id = x.contig_id AND ow.rpos = x.rpos),
+gp AS (SELECT *, CAST(round((c - min(c) OVER (PARTITION BY rg, contig_id, rpos)) / 1000.0) AS INT) AS p FROM gc),
+gw AS (SELECT gp.*, n, CASE WHEN j = 0 THEN 0.9985 WHEN i = 0 THEN 0.001 / n ELSE 0.001 / (n * (n + 1)) END * pow(10.0, -p / 10.0) AS w FROM gp JOIN li USING (contig_id, rpos)),
+sa AS (SELECT rg, contig_id, rpos, min(ref_base) AS ref, min(dp) AS dp, string_agg(p, ',' ORDER BY j, i) AS pl, first(i || '/' || j ORDER BY p, j, i) AS gt, least(99, list_sort(list(p))[2]) AS gq, -10 * log10(max(w) FILTER (j = 0) / sum(w)) AS q FROM gw GROUP BY 1, 2, 3),
+sq AS (SELECT contig_id, rpos, round(sum(q), 3) AS qual FROM sa GROUP BY 1, 2 HAVING bool_or(gt <> '0/0'))
+SELECT contig_id, rpos AS pos, ref, alts, rg AS sample, gt, gq, pl, dp, qual FROM sa JOIN sq USING (contig_id, rpos) JOIN li USING (contig_id, rpos)"""
+
+
+def gvcf_records(g):
+    """Records of the panel's three read groups as samples: where two reads of a letter differ, up to two such letters and
+    NON_REF; elsewhere NON_REF alone."""
+    match, other = calling._costs()
+    ok = grouped(g).where(F.col("bq") >= calling.MIN_BASE_QUALITY)
+    each = ok.groupBy("rg", *calling.SITE, "base_call").agg(F.count("*").alias("d"), F.sum(match).alias("m"), F.sum(other).alias("o"))
+    row = F.struct((-F.col("d")).alias("less"), "base_call", "d", "m", "o")
+    s = each.groupBy("rg", *calling.SITE).agg(F.array_sort(F.collect_list(row)).alias("xs"), F.sum("o").alias("all"), F.sum("d").alias("dp"))
+    zero = F.struct(F.lit(0).cast("long").alias("less"), F.col("ref_base").alias("base_call"), *[F.lit(0).cast("long").alias(c) for c in ("d", "m", "o")])
+    none = F.struct(F.lit(0).cast("long").alias("less"), F.lit(joint.NON_REF).alias("base_call"), *[F.lit(0).cast("long").alias(c) for c in ("d", "m", "o")])
+    ref = F.coalesce(F.get(F.filter("xs", lambda x: x["base_call"] == F.col("ref_base")), F.lit(0)), zero)
+    alts = F.slice(F.filter("xs", lambda x: (x["base_call"] != F.col("ref_base")) & (x["d"] >= 2)), 1, 2)
+    s = s.withColumn("as", F.concat(F.array(ref), alts, F.array(none)))
+    a = lambda i: F.element_at("as", i + 1)
+    cost = lambda q: F.when(q["i"] == q["j"], F.col("all") - a(q["i"])["o"] + a(q["i"])["m"]).otherwise(F.col("all") - a(q["i"])["o"] - a(q["j"])["o"] + calling.HET * (a(q["i"])["d"] + a(q["j"])["d"]))
+    s = s.withColumn("c", F.transform(joint.genotypes_of(F.size("as")), cost))
+    pl = F.transform("c", lambda x: F.round((x - F.array_min("c")) / 1000.0).cast("int"))
+    return s.select(F.col("rg").alias("sample"), "contig_id", F.col("rpos").alias("pos"), F.col("rpos").alias("end"), F.col("ref_base").alias("ref"), F.slice("as.base_call", 2, 9).alias("alts"), pl.alias("pl"), "dp")
+
+
+@query("genotype_gvcf", _GVCF, panel=True)
+def _(g):
+    found = joint.genotype(gvcf_records(g))
+    return found.select("contig_id", "pos", "ref", F.array_join("alts", ",").alias("alts"), "sample", "gt", "gq", F.array_join(F.col("pl").cast("array<string>"), ",").alias("pl"), "dp", "qual")

@@ -456,6 +456,24 @@ def vcf(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def gvcf(spark: SparkSession, path: str) -> DataFrame:
+    """sample, contig, pos, end, ref, alts (array), gt, dp, gq, pl of VCF files with a sample column, stretches of reference (END
+    in the info) too. The sample is named by each file's own header; a file without one is an error. Missing fields are null."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    heads = lines.where("value like '#CHROM%'").select(F.col("file").alias("h_file"), F.get(F.split("value", "\t"), F.lit(9)).alias("sample"))  # a row a file
+    body = lines.where(~F.col("value").startswith("#")).join(heads, F.col("file") == F.col("h_file"), "left")
+    p = F.split("value", "\t")
+    rows = body.select(F.coalesce("sample", F.raise_error(F.concat(F.lit("no sample in "), "file")).cast("string")).alias("sample"), p.alias("p"))
+    told = F.map_from_arrays(F.slice(F.split(F.get("p", F.lit(8)), ":"), F.lit(1), F.size(F.split(F.get("p", F.lit(9)), ":"))), F.split(F.get("p", F.lit(9)), ":"))
+    field = lambda k: F.when(F.try_element_at("told", F.lit(k)) != ".", F.try_element_at("told", F.lit(k)))
+    stop = F.try_element_at(F.str_to_map(F.get("p", F.lit(7)), F.lit(";"), F.lit("=")), F.lit("END"))
+    pos = F.get("p", F.lit(1)).cast("long")
+    return rows.withColumn("told", told).select(
+        "sample", F.get("p", F.lit(0)).alias("contig"), pos.alias("pos"), F.coalesce(stop.cast("long"), pos + F.length(F.get("p", F.lit(3))) - 1).alias("end"), F.get("p", F.lit(3)).alias("ref"),
+        F.filter(F.split(F.get("p", F.lit(4)), ","), lambda a: a != ".").alias("alts"), field("GT").alias("gt"), field("DP").cast("long").alias("dp"), field("GQ").cast("int").alias("gq"), F.split(field("PL"), ",").cast("array<int>").alias("pl"),
+    )
+
+
 def known_sites(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """The sites of several VCF files (source: path), as vcf gives them, with source. An empty dict is an error."""
     return reduce(DataFrame.unionByName, [vcf(spark, path).withColumn("source", F.lit(source)) for source, path in paths.items()])
