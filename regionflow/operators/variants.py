@@ -8,8 +8,6 @@ from math import log, pi
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import GaussianMixture
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,29 +126,96 @@ def apply_cut(scored: DataFrame, cut: DataFrame, level: float = TRUTH_LEVEL) ->
 
 
 def _standardised(sites: DataFrame, columns: list[str], training: str) -> DataFrame:
-    """sites with z_<column>, and v, the vector of them; mean and spread are those of the training sites."""
+    """sites with z_<column>; mean and spread are those of the training sites."""
     stats = sites.where(training).agg(*[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]).first()
     if stats[0] is None:
         raise ValueError("no training sites")
     std = [((F.col(c) - F.lit(stats[f"m_{c}"])) / F.lit(stats[f"s_{c}"] or 1.0)).alias(f"z_{c}") for c in columns]
-    return VectorAssembler(inputCols=[f"z_{c}" for c in columns], outputCol="v").transform(sites.select("*", *std))
-
-
-def _gaussians(rows: DataFrame, columns: list[str], k: int, seed: int) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    return sites.select("*", *std)
+
+
+#: Of the variational mixture: the weight that a component has before any site, sites that its mean and its spread count as
+#: beforehand, rounds at most, and the change of the means that ends it.
+WEIGHT, SHRINKAGE, COUNTS, ROUNDS, SETTLED = 1e-3, 1.0, 20.0, 60, 1e-8
+
+
+def _psi(x: float) -> float:
+    """The derivative of the logarithm of the gamma function: its recurrence up to 10, then its asymptotic series."""
+    out = 0.0
+    while x < 10:
+        out, x = out - 1 / x, x + 1
+    y = 1 / (x * x)
+    return out + log(x) - 0.5 / x - y * (1 / 12 - y * (1 / 120 - y * (1 / 252 - y / 240)))
+
+
+def variational(rows: DataFrame, columns: list[str], k: int, rounds: int = ROUNDS) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    """Weight, mean and covariance of each of k Gaussians by variational Bayes over z_<column> of rows. A round is one pass:
+    tasks add up, for each component, its share of the rows, of their values and of products of values, and the driver
+    works the posterior out from these sums alone. The start is along the first principal direction, so that the same
+    rows give the same mixture."""
+    z, d = [F.col(f"z_{c}") for c in columns], len(columns)
+    upper = [(i, j) for i in range(d) for j in range(i, d)]
+    first = rows.agg(F.count("*"), *[F.sum(x) for x in z], *[F.sum(z[i] * z[j]) for i, j in upper]).first()
+    n = float(first[0])
+
+    def square(values) -> np.ndarray:
+        out = np.zeros((d, d))
+        for (i, j), v in zip(upper, values):
+            out[i, j] = out[j, i] = v
+        return out
+
+    centre = np.array(first[1 : d + 1], float) / n
+    cov = square(first[d + 1 :]) / n - np.outer(centre, centre) + RIDGE * np.eye(d)
+    values, vectors = np.linalg.eigh(cov)
+    main = vectors[:, -1] * (1 if vectors[np.abs(vectors[:, -1]).argmax(), -1] > 0 else -1) * np.sqrt(values[-1])
+    means = [centre + main * c for c in np.linspace(-1.5, 1.5, k)]
+    alpha, beta, nu = np.full(k, WEIGHT + n / k), np.full(k, SHRINKAGE + n / k), np.full(k, COUNTS + n / k)
+    scales = [np.linalg.inv(cov) / x for x in nu]
+    prior = np.eye(d) * COUNTS  # spread 1, as the standardised sites have
+    for _ in range(rounds):
+        terms = []
+        for m, w, x in zip(means, scales, range(k)):
+            log_det = sum(_psi((nu[x] - i) / 2) for i in range(d)) + d * log(2) + float(np.linalg.slogdet(w)[1])
+            const = _psi(alpha[x]) - _psi(alpha.sum()) + log_det / 2 - d / 2 * log(2 * pi) - d / (2 * beta[x])
+            diff = [c - float(v) for c, v in zip(z, m)]
+            dist = sum(diff[i] * diff[j] * float(nu[x] * w[i, j] * (1 if i == j else 2)) for i, j in upper)
+            terms.append(F.lit(const) - dist / 2)
+        top = F.greatest(*terms) if k > 1 else terms[0]
+        raw = rows.select(*z, *[t.alias(f"t{x}") for x, t in enumerate(terms)], top.alias("top"))
+        shared = raw.select(*z, *[F.exp(F.col(f"t{x}") - F.col("top")).alias(f"e{x}") for x in range(k)])
+        whole = sum((F.col(f"e{x}") for x in range(1, k)), F.col("e0"))
+        parts = shared.select(*z, *[(F.col(f"e{x}") / whole).alias(f"r{x}") for x in range(k)])
+        sums = parts.agg(*[f for x in range(k) for r in [F.col(f"r{x}")] for f in (F.sum(r), *[F.sum(r * c) for c in z], *[F.sum(r * z[i] * z[j]) for i, j in upper])]).first()
+        size = 1 + d + len(upper)
+        moved = 0.0
+        for x in range(k):
+            own = sums[x * size : (x + 1) * size]
+            share, total, products = float(own[0]), np.array(own[1 : d + 1], float), square(own[d + 1 :])
+            alpha[x], beta[x], nu[x] = WEIGHT + share, SHRINKAGE + share, COUNTS + share
+            new = total / beta[x]  # the mean of sites is 0 beforehand
+            moved = max(moved, float(np.abs(new - means[x]).max()))
+            means[x] = new
+            spread = prior + products - beta[x] * np.outer(new, new)
+            scales[x] = np.linalg.inv((spread + spread.T) / 2)
+        if moved < SETTLED:
+            break
+    return [(float(a / alpha.sum()), m, np.linalg.inv(v * w)) for a, m, v, w in zip(alpha, means, nu, scales)]
+
+
+def _gaussians(rows: DataFrame, columns: list[str], k: int) -> list[tuple[float, np.ndarray, np.ndarray]]:
     """Weight, mean and covariance of each of k Gaussians fitted to z_<column>."""
     if k == 1:
         z = [f"z_{c}" for c in columns]
         got = rows.agg(*[F.avg(x) for x in z], *[F.covar_pop(x, y) for x in z for y in z]).first()
         n = len(z)
         return [(1.0, np.array(got[:n], float), np.array(got[n:], float).reshape(n, n))]
-    model = GaussianMixture(k=k, featuresCol="v", seed=seed).fit(rows)
-    return [(w, g.mean.toArray(), g.cov.toArray()) for w, g in zip(model.weights, model.gaussians)]
+    return variational(cut(rows.select(*[f"z_{c}" for c in columns])), columns, k)
 
 
-def _log_density(rows: DataFrame, columns: list[str], k: int, seed: int) -> Column:
+def _log_density(rows: DataFrame, columns: list[str], k: int) -> Column:
     """The log density under k Gaussians fitted to rows, as an expression over z_<column>."""
     terms = []
-    for weight, mean, cov in _gaussians(rows, columns, k, seed):
+    for weight, mean, cov in _gaussians(rows, columns, k):
         inv = np.linalg.inv(cov + RIDGE * np.eye(len(columns)))
         diff = [F.col(f"z_{c}") - float(m) for c, m in zip(columns, mean)]
         dist = sum(diff[i] * diff[j] * float(inv[i, j]) for i in range(len(columns)) for j in range(len(columns)))
@@ -160,21 +225,21 @@ def _log_density(rows: DataFrame, columns: list[str], k: int, seed: int) -> Colu
     return top + F.log(sum(F.exp(t - top) for t in terms))
 
 
-def mixture_scores(sites: DataFrame, columns: list[str], training: str, k: int = 2, seed: int = 1) -> DataFrame:
+def mixture_scores(sites: DataFrame, columns: list[str], training: str, k: int = 2) -> DataFrame:
     """sites with score, the log density under a Gaussian mixture of the standardised training sites."""
     v = _standardised(sites, columns, training)
-    return v.withColumn("score", _log_density(v.where(training), columns, k, seed)).drop("v", *[f"z_{c}" for c in columns])
+    return v.withColumn("score", _log_density(v.where(training), columns, k)).drop(*[f"z_{c}" for c in columns])
 
 
-def vqslod(sites: DataFrame, columns: list[str], training: str, prior: str, k: int = 2, worst: float = 0.05, seed: int = 1) -> DataFrame:
+def vqslod(sites: DataFrame, columns: list[str], training: str, prior: str, k: int = 2, worst: float = 0.05) -> DataFrame:
     """sites with vqslod: log10 odds of the model of the training sites against one of the worst share of all sites by
     that model, plus the log10 odds of the phred-scaled prior (NOVEL at least). One Gaussian describes the worst."""
     v = cut(_standardised(sites, columns, training))
-    good = _log_density(v.where(training), columns, k, seed)
+    good = _log_density(v.where(training), columns, k)
     edge = v.agg(F.percentile_approx(good, worst, 10_000)).first()[0]
-    bad = _log_density(v.where(good <= edge), columns, 1, seed)
+    bad = _log_density(v.where(good <= edge), columns, 1)
     p = 1 - F.pow(F.lit(10.0), -F.greatest(F.col(prior), F.lit(NOVEL)) / 10)
-    return v.withColumn("vqslod", (good - bad) / log(10) + F.log10(p / (1 - p))).drop("v", *[f"z_{c}" for c in columns])
+    return v.withColumn("vqslod", (good - bad) / log(10) + F.log10(p / (1 - p))).drop(*[f"z_{c}" for c in columns])
 
 
 def recalibrate(sites: DataFrame, columns: list[str], level: float = TRUTH_LEVEL, modes: tuple[str, ...] = ("SNP", "INDEL"), k: int = 2) -> DataFrame:
