@@ -82,11 +82,11 @@ def with_reference(bases: DataFrame, reference: DataFrame) -> DataFrame:
 
 
 def parse_sam(lines: DataFrame) -> DataFrame:
-    """Records of SAM text lines (value): eleven fields, cigar as ops, mate reference resolved, tags typed. Works on
-    static and streaming lines alike; fewer fields are an error."""
-    p = F.split("value", "\t")
+    """Records of SAM text lines (value): eleven fields, cigar as ops, mate reference resolved, tags typed, further
+    columns of lines kept. Works on static and streaming lines alike; fewer fields are an error."""
+    p, kept = F.split("value", "\t"), [c for c in lines.columns if c != "value"]
     body = lines.where(~F.col("value").startswith("@")).select(
-        F.when(F.size(p) >= 11, p).otherwise(F.raise_error(F.concat(F.lit("not a SAM record: "), "value"))).alias("p")
+        F.when(F.size(p) >= 11, p).otherwise(F.raise_error(F.concat(F.lit("not a SAM record: "), "value"))).alias("p"), *kept
     )
     col = {c: F.col("p")[i] for i, c in enumerate(SAM)}
     num = {c: col[c].cast("long") for c in ("pos", "pnext", "tlen")} | {c: col[c].cast("int") for c in ("flag", "mapq")}
@@ -94,7 +94,7 @@ def parse_sam(lines: DataFrame) -> DataFrame:
     return body.select(
         col["qname"].alias("qname"), num["flag"].alias("flag"), rname.alias("rname"), num["pos"].alias("pos"), num["mapq"].alias("mapq"),
         R.cigar(col["cigar"]).alias("cigar"), R.mate_reference(col["rnext"], rname).alias("rnext"), num["pnext"].alias("pnext"), num["tlen"].alias("tlen"),
-        col["seq"].alias("seq"), col["qual"].alias("qual"), R.tags(F.slice("p", 12, F.greatest(F.size("p") - 11, F.lit(0)))).alias("tags"),
+        col["seq"].alias("seq"), col["qual"].alias("qual"), R.tags(F.slice("p", 12, F.greatest(F.size("p") - 11, F.lit(0)))).alias("tags"), *kept,
     )
 
 
