@@ -43,7 +43,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 #: Chunks that a worker of the last stage keeps: fewer than alone, since the stages before it have filled the executor.
-REMEMBERED = 120_000
+REMEMBERED = 50_000
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
