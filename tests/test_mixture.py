@@ -1,4 +1,5 @@
 import math
+import os
 import random
 
 import numpy as np
@@ -103,8 +104,12 @@ def test_scores_and_filters_equal_plain_ones(spark):
                 assert got[r[0]][1] == ("PASS" if v >= cut else "VQSRTranche99.0")
 
 
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
 def test_the_queries_equal_plain_scores(spark):
-    folder = "/root/testdata/sf0.001"
+    folder = FOLDER
     g = Genome(spark, folder)
     t = labelled(g).select(F.col("contig_id").alias("c"), F.col("pos").alias("p"), "is_training", "prior")
     rows = calling.annotations(g.bases()).join(t, (F.col("contig_id") == F.col("c")) & (F.col("rpos") == F.col("p"))).select("contig_id", "rpos", F.col("dp").cast("double"), "fs", "mq", "qd", "sor", "is_training", "prior").collect()
