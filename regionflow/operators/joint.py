@@ -67,7 +67,8 @@ def likelihoods_at(rows: DataFrame) -> DataFrame:
 
 def reference_phred(pl: Column, ref: Column, alts: Column) -> Column:
     """Phred that a sample has the reference's alleles alone, by its likelihoods and the shares of genotypes: alleles share
-    evenly what heterozygotes, and half of that what others have."""
+    evenly what heterozygotes, and half of that what others have. It is infinite where that share is too small for a double
+    (beyond some 3,200), whose logarithm Spark takes for null."""
     n = F.size(alts)
     theta = F.when(F.exists(alts, lambda a: F.length(a) != F.length(ref)), INDEL_HETEROZYGOUS).otherwise(HETEROZYGOUS)
 
@@ -75,7 +76,8 @@ def reference_phred(pl: Column, ref: Column, alts: Column) -> Column:
         return F.when(g["j"] == 0, 1 - 1.5 * theta).when(g["i"] == 0, theta / n).otherwise(theta / (n * (n + 1)))
 
     weighed = F.zip_with(pl, genotypes_of(n + 1), lambda p, g: prior(g) * F.pow(F.lit(10.0), -p / 10.0))
-    return -10 * F.log10(F.element_at(weighed, 1) / F.aggregate(weighed, F.lit(0.0), lambda a, x: a + x))
+    share = F.element_at(weighed, 1) / F.aggregate(weighed, F.lit(0.0), lambda a, x: a + x)
+    return F.when(share == 0, float("inf")).otherwise(-10 * F.log10(share))
 
 
 def genotype(records: DataFrame) -> DataFrame:

@@ -80,3 +80,9 @@ def test_files_are_genotyped_together(spark, tmp_path):
     assert {(r["sample"], r.pos, r.end, tuple(r.alts), r.pl and tuple(r.pl)) for r in rows.collect()} >= {("one", 1, 99, ("<NON_REF>",), (0, 60, 600)), ("two", 300, 300, (), None)}
     got = {r["sample"]: (r.pos, r.ref, tuple(r.alts), r.gt, tuple(r.pl), r.dp) for r in joint.genotype(rows).collect()}
     assert got == {"one": (100, "C", ("G", "T"), "1/2", (900, 400, 350, 410, 0, 360), 31), "two": (100, "C", ("G", "T"), "0/0", (0, 36, 360, 36, 360, 360), 12)}
+
+
+def test_a_share_too_small_for_a_double_has_infinite_quality(spark):
+    records = [("a", 0, 5, 5, "A", ["C", joint.NON_REF], [4405, 321, 0, 4405, 321, 4405], 110), ("b", 0, 5, 5, "A", ["C", joint.NON_REF], [0, 30, 300, 30, 300, 300], 10)]
+    got = joint.genotype(spark.createDataFrame(records, SCHEMA)).collect()
+    assert [(r.gt, r.qual) for r in sorted(got, key=lambda r: r["sample"])] == [("1/1", math.inf), ("0/0", math.inf)]
