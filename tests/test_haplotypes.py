@@ -307,3 +307,24 @@ def test_planted_variants_are_called(spark):
         assert len(r.ad) == n and len(r.pl) == n * (n + 1) // 2 and r.pl[j * (j + 1) // 2 + i] == 0 and r.gq > 20 and sum(r.ad) <= r.dp
     assert haplotypes.call(frame.where("mapq < 0"), reference(spark, texts)).count() == 0
     assert R.REVERSE == 16
+
+
+def test_few_bytes_of_much_work_are_many_tasks(spark):
+    rng = random.Random(12)
+    text = text_of(rng, 3000)
+    own = spark.createDataFrame([], "region long, rec_id string, seq string, qual string").coalesce(1)
+    regions = spark.createDataFrame([(k, 0, 200 + 10 * k, 205 + 10 * k) for k in range(200)], "region long, contig_id int, lo long, hi long").coalesce(1)
+    seen = []
+
+    def counted(df):
+        out = cut(df)
+        if "haps" in df.columns:
+            seen.append(out.groupBy(F.spark_partition_id()).count().count())
+        return out
+
+    cut, haplotypes.cut = haplotypes.cut, counted
+    try:
+        haplotypes.assembled(own, regions, reference(spark, [text])).count()
+    finally:
+        haplotypes.cut = cut
+    assert seen[0] == 4
