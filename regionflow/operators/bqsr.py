@@ -30,9 +30,10 @@ def explode(reads: DataFrame, least_mapq: int = 0) -> DataFrame:
     used = reads.where((F.col("flag").bitwiseAND(SKIPPED) == 0) & (F.col("seq") != "*") & (F.col("qual") != "*") & (F.col("cigar") != "*"))
     if least_mapq > 0:
         used = used.where(F.coalesce("mapq", F.lit(0)) >= least_mapq)
-    ops = R.cigar(F.col("cigar"))
+    ops = F.col("_ops")  # parsed once, not for each of its uses
     fits = (R.cigar_sum(ops, "MIS=X") == F.length("seq")) & (F.length("qual") == F.length("seq"))
-    ops = F.when(fits, ops).otherwise(F.raise_error(F.concat_ws(" ", F.lit("lengths differ:"), "cigar", "seq", "qual")))
+    used = used.withColumn("_ops", R.cigar(F.col("cigar")))
+    used = used.withColumn("_ops", F.when(fits, ops).otherwise(F.raise_error(F.concat_ws(" ", F.lit("lengths differ:"), "cigar", "seq", "qual"))))
     each = F.transform(ops, lambda x, i: F.struct(x["op"].alias("op"), x["len"].alias("len"), R.reference_span(F.slice(ops, F.lit(1), i)).alias("ref"), R.cigar_sum(F.slice(ops, F.lit(1), i), "MIS=X").alias("own")))
     runs = used.select(*kept, "pos", "seq", "qual", F.explode(F.filter(each, lambda x: x["op"].isin("M", "=", "X") & (x["len"] > 0))).alias("_run"))
     bases = runs.select("*", F.explode(F.sequence(F.lit(1), F.col("_run.len"))).alias("_k")).withColumn("cycle", F.col("_run.own") + F.col("_k"))
@@ -119,8 +120,9 @@ def marginals(cov: DataFrame, *groups: str) -> DataFrame:
     """All covariate tables in one pass, those of each value of groups apart; g_* tell rolled-up keys from null ones."""
     own = [F.col(c) for c in groups]
     sets = [own, [*own, F.col("q")], [*own, F.col("q"), F.col("cyc")], [*own, F.col("q"), F.col("ctx")]]
-    return cov.groupingSets(sets, *groups, "q", "cyc", "ctx").agg(
-        F.count("*").alias("obs"), F.count_if("miss").alias("err"),
+    # Counted once by all keys: what is added up to each table is a row per combination, not four per base.
+    return tabulate(cov, *groups, "q", "cyc", "ctx").groupingSets(sets, *groups, "q", "cyc", "ctx").agg(
+        F.sum("obs").alias("obs"), F.sum("err").alias("err"),
         F.grouping("q").cast("int").alias("g_q"), F.grouping("cyc").cast("int").alias("g_cyc"), F.grouping("ctx").cast("int").alias("g_ctx"),
     )
 

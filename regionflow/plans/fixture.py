@@ -9,6 +9,12 @@ from regionflow.operators import bqsr
 from regionflow.operators.store import spread
 
 N_REGIONS = 20
+#: The panel's reference letter at a place, and the call of a read there by what is planted, that letter and the cycle.
+_REF = "cast(({0} * 31 + contig_id * 17 + (({0} * {0}) % 7)) % 4 as int)"
+_CALL = (
+    "case when {0} = 'hom' or ({0} = 'het' and (l_orderkey + l_partkey + l_linenumber) % 2 = 0) then ({1} + 2) % 4 "
+    "when (l_orderkey * 31 + l_partkey * 7 + {2} * 13) % 199 = 0 then ({1} + 1) % 4 else {1} end"
+)
 
 
 class Genome:
@@ -98,16 +104,21 @@ class Genome:
 
     def bases(self) -> DataFrame:
         """The panel's reads, a row per base, against a formula reference with planted variants. The calls are those of
-        the formula instead of the reads' own."""
-        b = bqsr.explode(self.panel()).drop("base_call", "before")
-        b = b.withColumn("rb", F.expr("cast((rpos * 31 + contig_id * 17 + ((rpos * rpos) % 7)) % 4 as int)"))
+        the formula instead of the reads' own; so is the call before, as a read's bases stand over neighbouring places."""
+        b = bqsr.explode(self.panel()).drop("base_call", "before").withColumn("rb", F.expr(_REF.format("rpos"))).withColumn("rb0", F.expr(_REF.format("(rpos - 1)")))
         t = F.broadcast(self.truth().selectExpr("contig_id as t_c", "pos as t_p", "gt"))  # 100 rows
-        b = b.join(t, (F.col("contig_id") == F.col("t_c")) & (F.col("rpos") == F.col("t_p")), "left")
-        call = (
-            "case when gt = 'hom' or (gt = 'het' and (l_orderkey + l_partkey + l_linenumber) % 2 = 0) then (rb + 2) % 4 "
-            "when (l_orderkey * 31 + l_partkey * 7 + cycle * 13) % 199 = 0 then (rb + 1) % 4 else rb end"
-        )
-        return b.selectExpr("rec_id", "contig_id", "rpos", "cycle", "flag", "mapq", "bq", "substr('ACGT', 1 + rb, 1) as ref_base", f"substr('ACGT', 1 + cast({call} as int), 1) as base_call")
+        b = b.join(t, (F.col("contig_id") == F.col("t_c")) & (F.col("rpos") == F.col("t_p")), "left").drop("t_c", "t_p")
+        t = t.selectExpr("t_c", "t_p", "gt as gt0")
+        b = b.join(F.broadcast(t), (F.col("contig_id") == F.col("t_c")) & (F.col("rpos") - 1 == F.col("t_p")), "left")
+        call, before = (f"substr('ACGT', 1 + cast({_CALL.format(*x)} as int), 1)" for x in (("gt", "rb", "cycle"), ("gt0", "rb0", "(cycle - 1)")))
+        return b.selectExpr("rec_id", "contig_id", "rpos", "cycle", "flag", "mapq", "bq", "substr('ACGT', 1 + rb, 1) as ref_base", f"{call} as base_call", f"if(cycle > 1, {before}, null) as before")
+
+    def called_reads(self) -> DataFrame:
+        """The panel's reads with the calls of bases as seq: all of a read at once, so that no base moves."""
+        t = self.truth().groupBy(F.col("contig_id").alias("t_c")).agg(F.map_from_entries(F.collect_list(F.struct("pos", "gt"))).alias("gts"))  # 5 rows
+        met = self.panel().join(F.broadcast(t), F.col("contig_id") == F.col("t_c"), "left")
+        each = f"transform(sequence(1, length(seq)), c -> named_struct('c', c, 'rb', {_REF.format('(pos + c - 1)')}, 'gt', gts[pos + c - 1]))"
+        return met.withColumn("seq", F.expr(f"array_join(transform({each}, x -> substr('ACGT', 1 + cast({_CALL.format('x.gt', 'x.rb', 'x.c')} as int), 1)), '')")).drop("t_c", "gts")
 
     def resource_sites(self) -> DataFrame:
         t = self.truth()
