@@ -599,8 +599,7 @@ _END_TO_END = _RECALIBRATE + ", pr AS (SELECT p.contig_id, p.rpos, p.ref_base, p
 @query("end_to_end_calls", _END_TO_END.replace("\nSELECT contig_id, rpos, ref_base, alt", ",\nout AS (SELECT contig_id, rpos, ref_base, alt").replace("AS gq FROM lk", "AS gq FROM lk) SELECT * FROM out WHERE gt <> '0/0' AND qual >= 30000"), panel=True)
 def _(g):
     """The panel written as SAM text and read again, over the reference as lines, to calls."""
-    seq = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("cycle", "base_call"))), lambda x: x["base_call"]), "")
-    reads = g.panel().select("rec_id", "flag", "contig_id", "pos", "mapq", "cigar", "qual").join(g.bases().groupBy("rec_id").agg(seq.alias("seq")), "rec_id")
+    reads = g.called_reads()
     star, zero = F.lit("*"), F.lit(0)
     lines = sequence.sam_lines(reads.select(F.col("rec_id").alias("qname"), "flag", F.concat(F.lit("c"), "contig_id").alias("rname"), "pos", "mapq", "cigar", star.alias("rnext"), zero.alias("pnext"), zero.alias("tlen"), "seq", "qual"))
     base = "substr('ACGT', cast(1 + (p * 31 + contig_id * 17 + ((p * p) % 7)) % 4 as int), 1)"
