@@ -29,12 +29,21 @@ def alleles(bases: DataFrame) -> DataFrame:
 
 def likelihoods(bases: DataFrame) -> DataFrame:
     """rr, ra, aa: a matching base costs -log10(1 - e), another -log10(e / 3), either one 0.301 in a heterozygote."""
-    e = F.pow(F.lit(10.0), -F.col("bq") / 10.0)
-    match = F.round(-10000 * F.log10(1 - e)).cast("long")
-    other = F.round(-10000 * F.log10(e / 3)).cast("long")
-    ref = F.col("base_call") == F.col("ref_base")
-    g = bases.where(F.col("bq") >= MIN_BASE_QUALITY).groupBy(*SITE).agg(
-        F.count("*").alias("dp"), F.count_if(~ref).alias("n_alt"), F.sum(F.when(ref, match).otherwise(other)).alias("rr"), F.sum(F.when(ref, other).otherwise(match)).alias("aa")
+    return _likelihoods(_by_quality(bases))
+
+
+def _by_quality(bases: DataFrame, *more: Column) -> DataFrame:
+    """How many bases (_n, and more aggregates) of MIN_BASE_QUALITY and more a site has of a quality, and with more of a strand, that
+    are reference (_ref) or not: costs are logarithms, taken of such a row and not of each base."""
+    strand = [R.has(F.col("flag"), R.REVERSE).alias("_rev")] if more else []
+    return bases.where(F.col("bq") >= MIN_BASE_QUALITY).groupBy(*SITE, (F.col("base_call") == F.col("ref_base")).alias("_ref"), *strand, "bq").agg(F.count("*").alias("_n"), *more)
+
+
+def _likelihoods(each: DataFrame, *more: Column) -> DataFrame:
+    match, other = _costs()
+    ref, n = F.col("_ref"), F.col("_n")
+    g = each.groupBy(*SITE).agg(
+        F.sum(n).alias("dp"), F.sum(F.when(~ref, n).otherwise(0)).alias("n_alt"), F.sum(n * F.when(ref, match).otherwise(other)).alias("rr"), F.sum(n * F.when(ref, other).otherwise(match)).alias("aa"), *more
     )
     return g.withColumn("ra", HET * F.col("dp"))
 
@@ -62,7 +71,9 @@ def allele_genotypes(bases: DataFrame) -> DataFrame:
     bases of a site are added up by letter before they meet, so a site is at most four rows of a group."""
     match, other = _costs()
     ok = bases.where(F.col("bq") >= MIN_BASE_QUALITY)
-    each = ok.groupBy(*SITE, "base_call").agg(F.count("*").alias("d"), F.sum(match).alias("m"), F.sum(other).alias("o"))
+    one = ok.groupBy(*SITE, "base_call", "bq").agg(F.count("*").alias("_n"))
+    n = F.col("_n")
+    each = one.groupBy(*SITE, "base_call").agg(F.sum(n).alias("d"), F.sum(n * match).alias("m"), F.sum(n * other).alias("o"))
     sites = each.groupBy(*SITE).agg(F.array_sort(F.collect_list(F.struct((-F.col("d")).alias("less"), "base_call", "d", "m", "o"))).alias("xs"))
     zero = F.struct(F.lit(0).cast("long").alias("less"), F.lit(None).cast("string").alias("base_call"), *[F.lit(0).cast("long").alias(c) for c in ("d", "m", "o")])
     ref = F.coalesce(F.get(F.filter("xs", lambda x: x["base_call"] == F.col("ref_base")), F.lit(0)), zero)
@@ -158,9 +169,15 @@ def strand_odds(a: Column, b: Column, c: Column, d: Column) -> Column:
 
 
 def annotations(bases: DataFrame) -> DataFrame:
-    """dp, fs, mq, qd and sor of the sites that are not reference. Both sides are grouped by site, so the join that
-    brings them together needs no shuffle of its own."""
-    called = genotypes(likelihoods(bases)).where("gt <> '0/0'").select(*SITE, "gt", "qual")
-    table = [F.col(c) for c in ("ref_fwd", "ref_rev", "alt_fwd", "alt_rev")]
+    """dp, fs, mq, qd and sor of the sites that are not reference, from one pass over the bases: what features and likelihoods
+    count is counted together."""
+    ref, rev = F.col("_ref"), F.col("_rev")
+    cell = lambda when, name: F.sum(F.when(when, F.col("_n")).otherwise(0)).alias(name)
+    each = _by_quality(bases, F.sum(F.col("mapq") * F.col("mapq")).alias("_squares"))
+    names = ("ref_fwd", "ref_rev", "alt_fwd", "alt_rev")
+    cells = [cell(when, name) for when, name in zip((ref & ~rev, ref & rev, ~ref & ~rev, ~ref & rev), names)]
+    mq = F.round(F.sqrt(F.sum("_squares") / F.sum("_n")), 4).alias("mq")
+    called = genotypes(_likelihoods(each, mq, *cells), "mq", *names).where("gt <> '0/0'")
+    table = [F.col(c) for c in names]
     qd = F.round(F.col("qual") / 1000 / F.col("dp"), 4)
-    return features(bases).join(called, SITE).select(*SITE, "gt", "dp", fisher_phred(*table).alias("fs"), "mq", qd.alias("qd"), strand_odds(*table).alias("sor"))
+    return called.select(*SITE, "gt", "dp", fisher_phred(*table).alias("fs"), "mq", qd.alias("qd"), strand_odds(*table).alias("sor"))
