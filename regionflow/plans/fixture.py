@@ -113,13 +113,6 @@ class Genome:
         call, before = (f"substr('ACGT', 1 + cast({_CALL.format(*x)} as int), 1)" for x in (("gt", "rb", "cycle"), ("gt0", "rb0", "(cycle - 1)")))
         return b.selectExpr("rec_id", "contig_id", "rpos", "cycle", "flag", "mapq", "bq", "substr('ACGT', 1 + rb, 1) as ref_base", f"{call} as base_call", f"if(cycle > 1, {before}, null) as before")
 
-    def called_reads(self) -> DataFrame:
-        """The panel's reads with the calls of bases as seq: all of a read at once, so that no base moves."""
-        t = self.truth().groupBy(F.col("contig_id").alias("t_c")).agg(F.map_from_entries(F.collect_list(F.struct("pos", "gt"))).alias("gts"))  # 5 rows
-        met = self.panel().join(F.broadcast(t), F.col("contig_id") == F.col("t_c"), "left")
-        each = f"transform(sequence(1, length(seq)), c -> named_struct('c', c, 'rb', {_REF.format('(pos + c - 1)')}, 'gt', gts[pos + c - 1]))"
-        return met.withColumn("seq", F.expr(f"array_join(transform({each}, x -> substr('ACGT', 1 + cast({_CALL.format('x.gt', 'x.rb', 'x.c')} as int), 1)), '')")).drop("t_c", "gts")
-
     def resource_sites(self) -> DataFrame:
         t = self.truth()
         rules = (("hapmap", "pos % 2 = 0"), ("omni", "pos % 3 = 0"), ("mills", "pos % 5 = 0"), ("dbsnp", "pos % 7 < 5"), ("kg_indel", "pos % 11 < 3"))
