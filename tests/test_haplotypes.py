@@ -2,6 +2,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -328,3 +329,58 @@ def test_few_bytes_of_much_work_are_many_tasks(spark):
     finally:
         haplotypes.cut = cut
     assert seen[0] == 4
+
+
+def test_leading_likelihoods_equal_whole_ones_and_few_pairs_are_worked_whole(monkeypatch):
+    rng = random.Random(21)
+    reads, quals, haps, groups = [], [], [], []
+    for g in range(150):
+        base = text_of(rng, 230)
+        if g % 10 == 0:
+            base = base[:60] + "ACG" * 30 + base[150:]
+        own = [base, base[:110] + text_of(rng, 12) + base[110:], base[:110] + "ACGT"["ACGT".index(base[110]) - 1] + base[111:], base[:100] + base[140:]]
+        if g % 17 == 0:
+            own.append("")
+        a = rng.randrange(150)
+        read = rng.choice(own[:4])[a : a + rng.randint(1, 100)]
+        for _ in range(g % 4):
+            p = rng.randrange(len(read) + 1)
+            read = read[:p] + rng.choice(["", "A", "N", "GT"]) + read[p + 1 :]
+        read = read or "A"
+        for h in own:
+            reads.append(read)
+            quals.append("".join(chr(33 + rng.choice([40, 40, 40, 30, 12, 2])) for _ in read) if h is own[0] else quals[-1])
+            haps.append(h)
+            groups.append(g)
+    whole, asked = pairhmm.likelihoods, []
+    want = whole(reads, quals, haps)
+    monkeypatch.setattr(pairhmm, "likelihoods", lambda *x: asked.append(len(x[0])) or whole(*x))
+    got = pairhmm.leading(reads, quals, haps, groups := np.array(groups), haplotypes.FLOOR)
+    for g in range(150):
+        best = max(want[groups == g])
+        for x, y in zip(want[groups == g], got[groups == g]):
+            assert max(x, best - haplotypes.FLOOR) == pytest.approx(max(y, best - haplotypes.FLOOR), abs=1e-6)
+    asked.clear()
+    base = text_of(rng, 230)
+    own = [base, base[:110] + text_of(rng, 12) + base[110:]]
+    clean = [own[k % 2][a : a + 70] for k, a in enumerate(range(0, 150, 3)) for _ in own]
+    pairhmm.leading(clean, ["I" * 70] * 100, own * 50, np.arange(100) // 2, haplotypes.FLOOR)
+    assert sum(asked) < 20
+
+
+def test_words_as_numbers_equal_plain_counts(spark, monkeypatch):
+    rng = random.Random(22)
+    rows, want = [], {}
+    for i in range(60):
+        seq, qual = "".join(rng.choices("ACGTN", [9, 9, 9, 9, 1], k=rng.randint(1, 40))), "".join(rng.choices("I+*!", [9, 9, 1, 1], k=40))
+        rows.append((i % 3 - 1, seq, qual[: len(seq)]))
+        for k in range(len(seq) - 4):
+            word = seq[k : k + 5]
+            if "N" not in word and all(ord(q) - 33 >= haplotypes.LEAST_QUALITY for q in qual[k : k + 5]):
+                want[i % 3 - 1, word] = want.get((i % 3 - 1, word), 0) + 1
+    own = spark.createDataFrame(rows, "region long, seq string, qual string")
+    numbers = {(r.region, r.word): r.n for r in haplotypes.words(own, 4, 1).collect()}
+    assert numbers == want
+    assert {(r.region, r.word): r.n for r in haplotypes.words(own, 4, 2).collect()} == {k: n for k, n in want.items() if n > 1}
+    monkeypatch.setattr(haplotypes.sweep, "EXACT", 3)
+    assert {(r.region, r.word): r.n for r in haplotypes.words(own, 4, 1).collect()} == want
